@@ -8,11 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def total_order(df: DataFrame, order_by: list[Column]) -> list[Column]:
-    """`order_by`, then every column, so that equal-looking rows are the only ties."""
-    return [*order_by, *[F.col(c).asc_nulls_first() for c in df.columns]]
-
-
 def dedup(df: DataFrame, keys: list[str | Column], order_by: list[Column] = ()) -> DataFrame:
     """Keep one row per key, the same one on every run.
 
@@ -20,7 +15,8 @@ def dedup(df: DataFrame, keys: list[str | Column], order_by: list[Column] = ())
     shuffle (WindowGroupLimit), so a key that holds a large part of the rows sends one row
     per map task and not its whole group.
     """
-    window = Window.partitionBy(*keys).orderBy(*total_order(df, list(order_by)))
+    # All columns follow `order_by`, so that only identical rows tie.
+    window = Window.partitionBy(*keys).orderBy(*order_by, *df.columns)
     return (
         df.withColumn("_rank", F.row_number().over(window))
         .filter(F.col("_rank") == 1)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from caudal.operators.rolling import rolling_stats, suspicious_flag
 from caudal.plans import gold, monitor, quality, silver, views
 from caudal.queries import bank
 from caudal.queries.bank import table
+from caudal.sources.tables import scratch_lake, stage
 from caudal.specs import (
     CUSTOMERS, DATE_MAX, DATE_MIN, MISSING_REQUIRED, UNKNOWN_CLIENT,
 )
@@ -28,96 +30,127 @@ LAST_MONTH = "200107"
 
 
 class Bank:
-    """Lazy frames of all layers over one data directory; nothing runs until the result is used."""
+    """Frames of all layers over one data directory.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    Lazy by default. Queries that read the same table several times pass `staged`: silver tables
+    and the loan fact are then written once to the checkpoint folder and read from there, as
+    the batch does with its layer tables.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, staged: bool = False):
         self.spark, self.sf_dir = spark, sf_dir
+        self.lake = scratch_lake(spark) if staged else None
+
+    def _kept(self, df: DataFrame, name: str) -> DataFrame:
+        return stage(df, self.lake, name, BATCH_ID) if self.lake else df
 
     def raw(self, name: str) -> DataFrame:
         return bank.RAW[name](self.spark, self.sf_dir)
 
     # Tagged silver frames: valid rows and rejects together.
+    @cached_property
     def tagged_customers(self) -> DataFrame:
         return silver.silver_customers(self.raw("TB_CLIENTES_CORE"))
 
+    @cached_property
     def tagged_products(self) -> DataFrame:
         return silver.silver_products(self.raw("TB_PRODUCTOS_CAT"))
 
+    @cached_property
     def tagged_branches(self) -> DataFrame:
         return silver.silver_branches(self.raw("TB_SUCURSALES_RED"))
 
+    @cached_property
     def tagged_loans(self) -> DataFrame:
-        return silver.silver_loans(self.raw("TB_OBLIGACIONES"), self.customers(), self.products())
+        return silver.silver_loans(self.raw("TB_OBLIGACIONES"), self.customers, self.products)
 
+    @cached_property
     def tagged_movements(self) -> DataFrame:
-        return silver.silver_movements(self.raw("TB_MOV_FINANCIEROS"), self.customers(),
-                                       self.products())
+        return silver.silver_movements(self.raw("TB_MOV_FINANCIEROS"), self.customers,
+                                       self.products)
 
+    @cached_property
     def tagged_fees(self) -> DataFrame:
-        return silver.silver_fees(self.raw("TB_COMISIONES_LOG"), self.customers(),
-                                  self.products())
+        return silver.silver_fees(self.raw("TB_COMISIONES_LOG"), self.customers,
+                                  self.products)
 
     # Valid silver rows.
+    @cached_property
     def customers(self) -> DataFrame:
-        return clean.accepted(self.tagged_customers())
+        return self._kept(clean.accepted(self.tagged_customers), "customers")
 
+    @cached_property
     def products(self) -> DataFrame:
-        return clean.accepted(self.tagged_products())
+        return self._kept(clean.accepted(self.tagged_products), "products")
 
+    @cached_property
     def branches(self) -> DataFrame:
-        return clean.accepted(self.tagged_branches())
+        return self._kept(clean.accepted(self.tagged_branches), "branches")
 
+    @cached_property
     def loans(self) -> DataFrame:
-        return clean.accepted(self.tagged_loans())
+        return self._kept(clean.accepted(self.tagged_loans), "loans")
 
+    @cached_property
     def movements(self) -> DataFrame:
-        return clean.accepted(self.tagged_movements())
+        return self._kept(clean.accepted(self.tagged_movements), "movements")
 
+    @cached_property
     def fees(self) -> DataFrame:
-        return clean.accepted(self.tagged_fees())
+        return self._kept(clean.accepted(self.tagged_fees), "fees")
 
     # Gold.
+    @cached_property
     def dim_customers(self) -> DataFrame:
-        return gold.build_dim_customers(self.customers(), PEOPLE_AS_OF)
+        return gold.build_dim_customers(self.customers, PEOPLE_AS_OF)
 
+    @cached_property
     def dim_products(self) -> DataFrame:
-        return gold.build_dim_products(self.products())
+        return gold.build_dim_products(self.products)
 
+    @cached_property
     def dim_geography(self) -> DataFrame:
-        return gold.build_dim_geography(self.branches())
+        return gold.build_dim_geography(self.branches)
 
+    @cached_property
     def dim_channels(self) -> DataFrame:
-        return gold.build_dim_channels(self.branches(), self.movements())
+        return gold.build_dim_channels(self.branches, self.movements)
 
+    @cached_property
     def transactions(self) -> DataFrame:
-        return gold.build_fact_transactions(self.movements(), self.customers(),
-                                            self.dim_products())
+        return gold.build_fact_transactions(self.movements, self.customers,
+                                            self.dim_products)
 
+    @cached_property
     def portfolio(self) -> DataFrame:
-        return gold.build_fact_portfolio(self.loans(), self.customers(), self.dim_products())
+        fact = gold.build_fact_portfolio(self.loans, self.customers, self.dim_products)
+        return self._kept(fact, "portfolio")
 
+    @cached_property
     def client_value(self) -> DataFrame:
-        return gold.build_client_value(self.fees(), self.loans(), self.movements(),
-                                       self.dim_products(), self.customers(), AS_OF)
+        return gold.build_client_value(self.fees, self.loans, self.movements,
+                                       self.dim_products, self.customers, AS_OF)
 
+    @cached_property
     def kpis(self) -> DataFrame:
-        return gold.build_daily_kpis(self.portfolio(), AS_OF)
+        return gold.build_daily_kpis(self.portfolio, AS_OF)
 
     def read(self, layer: str, name: str) -> DataFrame:
-        builders = {
-            "TB_CLIENTES_CORE": self.customers,
-            "TB_MOV_FINANCIEROS": self.movements,
-            "dim_clientes": self.dim_customers,
-            "dim_productos": self.dim_products,
-            "dim_geografia": self.dim_geography,
-            "dim_canal": self.dim_channels,
-            "fact_transacciones": self.transactions,
-            "fact_cartera": self.portfolio,
-            "fact_rentabilidad_cliente": self.client_value,
-            "kpis_diarios_cartera": self.kpis,
+        frames = {
+            "TB_CLIENTES_CORE": "customers",
+            "TB_MOV_FINANCIEROS": "movements",
+            "dim_clientes": "dim_customers",
+            "dim_productos": "dim_products",
+            "dim_geografia": "dim_geography",
+            "dim_canal": "dim_channels",
+            "fact_transacciones": "transactions",
+            "fact_cartera": "portfolio",
+            "fact_rentabilidad_cliente": "client_value",
+            "kpis_diarios_cartera": "kpis",
         }
-        return builders[name]()
+        return getattr(self, frames[name])
 
+    @cached_property
     def ingestion_log(self) -> DataFrame:
         """Orders as an ingestion log: a batch per month, a table per priority."""
         status = F.when(F.col("table_name") == "5-LOW", "FAILED").otherwise("SUCCESS")
@@ -264,7 +297,7 @@ def reject_rows(spark, sf_dir):
     bank_ = Bank(spark, sf_dir)
     orders = _orders(spark, sf_dir).select(
         F.col("o_orderkey").alias("id_oblig"), F.col("o_custkey").cast("string").alias("id_cli"))
-    orphans = clean.split_refs(orders, bank_.customers(), "id_cli")[1]
+    orphans = clean.split_refs(orders, bank_.customers, "id_cli")[1]
     return clean.reject(orphans, "orders", UNKNOWN_CLIENT, ("id_oblig",), BATCH_ID, NOW).select(
         "source_table", "reason", "batch_id", "row_key",
         F.col("payload").isNotNull().alias("has_payload"))
@@ -275,7 +308,7 @@ def null_profile(spark, sf_dir):
 
 
 def quality_report(spark, sf_dir):
-    tagged = Bank(spark, sf_dir).tagged_customers()
+    tagged = Bank(spark, sf_dir).tagged_customers
     counts = profile.batch_counts(tagged, clean.REASON, CUSTOMERS.columns)
     report = profile.quality_report(counts, CUSTOMERS.name, BATCH_ID, NOW)
     return report.drop("duration_sec", "logged_at")
@@ -289,7 +322,7 @@ def mask_pii(spark, sf_dir):
 def rolling_30d(spark, sf_dir):
     events = _events(spark, sf_dir).select("event_id", "user_id", "day", "value")
     stats = rolling_stats(events, "user_id", "day", "value")
-    return stats.withColumns({"mean_30d": F.round("mean_30d", 5), "sd_30d": F.round("sd_30d", 5)})
+    return stats.withColumn("sd_30d", F.round("sd_30d", 5))
 
 
 def suspicious_flag_orders(spark, sf_dir):
@@ -306,13 +339,13 @@ def business_hours(spark, sf_dir):
 
 def _tagged(method: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark, sf_dir):
-        return getattr(Bank(spark, sf_dir), method)().drop(clean.PAYLOAD)
+        return getattr(Bank(spark, sf_dir), method).drop(clean.PAYLOAD)
     return query
 
 
 def _layer(method: str) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark, sf_dir):
-        return getattr(Bank(spark, sf_dir), method)()
+        return getattr(Bank(spark, sf_dir), method)
     return query
 
 
@@ -369,17 +402,17 @@ def attach_segment(spark, sf_dir):
     """Inner attach: orders of customers that silver accepts, with their segment."""
     orders = _orders(spark, sf_dir).select(
         "o_orderkey", F.col("o_custkey").cast("string").alias("id_cli"))
-    return attach(orders, Bank(spark, sf_dir).customers(), "id_cli", ["cod_segmento"], "inner")
+    return attach(orders, Bank(spark, sf_dir).customers, "id_cli", ["cod_segmento"], "inner")
 
 
 def commissions_12m(spark, sf_dir):
-    fees = gold.monthly_fees(Bank(spark, sf_dir).fees(), AS_OF)
+    fees = gold.monthly_fees(Bank(spark, sf_dir).fees, AS_OF)
     return fees.withColumn("total_comisiones", F.col("total_comisiones").cast("double"))
 
 
 def interest_income(spark, sf_dir):
     bank_ = Bank(spark, sf_dir)
-    interest = gold.monthly_interest(bank_.loans(), bank_.dim_products(), AS_OF)
+    interest = gold.monthly_interest(bank_.loans, bank_.dim_products, AS_OF)
     return interest.withColumn(
         "ingreso_intereses_est", F.round("ingreso_intereses_est", 2).cast("double"))
 
@@ -387,15 +420,15 @@ def interest_income(spark, sf_dir):
 def monthly_income(spark, sf_dir):
     bank_ = Bank(spark, sf_dir)
     income = gold.monthly_income(
-        gold.monthly_fees(bank_.fees(), AS_OF),
-        gold.monthly_interest(bank_.loans(), bank_.dim_products(), AS_OF))
+        gold.monthly_fees(bank_.fees, AS_OF),
+        gold.monthly_interest(bank_.loans, bank_.dim_products, AS_OF))
     return income.select("id_cli", "periodo", *[
         F.round(c, 2).cast("double").alias(c)
         for c in ("total_comisiones", "ingreso_intereses_est", "ingreso_total_mes")])
 
 
 def active_months(spark, sf_dir):
-    return gold.active_months(Bank(spark, sf_dir).movements(), date(2024, 1, 30))
+    return gold.active_months(Bank(spark, sf_dir).movements, date(2024, 1, 30))
 
 
 # --- checks -------------------------------------------------------------------------------
@@ -459,7 +492,7 @@ def check_rate_range(spark, sf_dir):
 
 
 def quality_suite(spark, sf_dir):
-    checks = quality.standard_checks(Bank(spark, sf_dir).read)
+    checks = quality.standard_checks(Bank(spark, sf_dir, staged=True).read)
     return quality.suite(checks).select("check_name", "table_name", "layer", "passed", "message",
                                         "details")
 
@@ -467,20 +500,20 @@ def quality_suite(spark, sf_dir):
 # --- monitoring ---------------------------------------------------------------------------
 
 def batch_totals(spark, sf_dir):
-    return monitor.batch_totals(Bank(spark, sf_dir).ingestion_log())
+    return monitor.batch_totals(Bank(spark, sf_dir).ingestion_log)
 
 
 def last_batches(spark, sf_dir):
-    return monitor.last_batches(Bank(spark, sf_dir).ingestion_log(), LAST_MONTH)
+    return monitor.last_batches(Bank(spark, sf_dir).ingestion_log, LAST_MONTH)
 
 
 def volume_anomaly(spark, sf_dir):
-    return monitor.volume_anomaly(Bank(spark, sf_dir).ingestion_log(), None, LAST_MONTH)
+    return monitor.volume_anomaly(Bank(spark, sf_dir).ingestion_log, None, LAST_MONTH)
 
 
 def layer_counts(spark, sf_dir):
     """Row counts of three layers, by month of the order as the batch."""
-    bank_ = Bank(spark, sf_dir)
+    bank_ = Bank(spark, sf_dir, staged=True)
     month = F.date_format("fec_desembolso", "yyyyMM").alias("batch_id")
 
     def counted(df: DataFrame, layer: str, name: str) -> DataFrame:
@@ -490,11 +523,9 @@ def layer_counts(spark, sf_dir):
 
     raw = bank_.raw("TB_OBLIGACIONES").withColumn("fec_desembolso",
                                                   F.to_date("fec_desembolso", "yyyy-MM-dd"))
-    loans = bank_.loans()
-    portfolio = gold.build_fact_portfolio(loans, bank_.customers(), bank_.dim_products())
     return (counted(raw, "bronze", "TB_OBLIGACIONES")
-            .unionByName(counted(loans, "silver", "TB_OBLIGACIONES"))
-            .unionByName(counted(portfolio, "gold", "fact_cartera")))
+            .unionByName(counted(bank_.loans, "silver", "TB_OBLIGACIONES"))
+            .unionByName(counted(bank_.portfolio, "gold", "fact_cartera")))
 
 
 def run_summary(spark, sf_dir):
@@ -504,7 +535,7 @@ def run_summary(spark, sf_dir):
 
 
 def masked_customers(spark, sf_dir):
-    return views.analyst_view(Bank(spark, sf_dir).dim_customers())
+    return views.analyst_view(Bank(spark, sf_dir).dim_customers)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -646,10 +646,13 @@ ORACLE: dict[str, str] = {
               FROM t_customers)"""),
     "mask_pii": "SELECT c_custkey, sha256(c_name) AS c_name FROM customer",
     "rolling_30d": """
-        SELECT event_id, user_id, day, value, round(mean / 100, 5) AS mean_30d,
+        SELECT event_id, user_id, day, value,
+            CASE WHEN n > 0 THEN (total // n + (total % n) / n) / 100 END AS mean_30d,
             round(sd / 100, 5) AS sd_30d
-        FROM (SELECT *, avg(cents) OVER w AS mean, stddev_samp(cents) OVER w AS sd
-              FROM (SELECT *, CAST(ts AS DATE) AS day, round(value * 100) AS cents FROM events)
+        FROM (SELECT *, sum(cents) OVER w AS total, count(*) OVER w AS n,
+                  stddev_samp(cents) OVER w AS sd
+              FROM (SELECT *, CAST(ts AS DATE) AS day, CAST(round(value * 100) AS BIGINT) AS cents
+                    FROM events)
               WINDOW w AS (PARTITION BY user_id ORDER BY day
                   RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING))""",
     "suspicious_flag": _FLAGGED_ORDERS.strip(),

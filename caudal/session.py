@@ -29,6 +29,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )

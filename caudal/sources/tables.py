@@ -13,6 +13,8 @@ from __future__ import annotations
 
 import json
 import re
+import tempfile
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -168,6 +170,16 @@ def stage(df: DataFrame, lake: Lake, name: str, batch_id: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def scratch_lake(spark: SparkSession) -> Lake:
+    """A new folder for intermediate tables, inside the session's checkpoint folder.
+
+    A cluster names a shared folder in spark.checkpoint.dir. Only where none is set (tests, one
+    machine) is a local temporary folder used.
+    """
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return Lake(f"{shared or tempfile.gettempdir()}/caudal-{uuid.uuid4().hex}")
+
+
 def upsert_table(df: DataFrame, lake: Lake, layer: str, name: str, keys: tuple[str, ...],
                  partition_by: tuple[str, ...] = (), unique: bool = True,
                  stable_partitions: bool = False) -> None:
