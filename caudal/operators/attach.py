@@ -2,7 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+_TWIN = "_key_hash"
+
+
+def _twin(on: str) -> Column:
+    return F.hash(F.col(on))
+
+
+def skew_join(fact: DataFrame, side: DataFrame, on: str, how: str) -> DataFrame:
+    """Join on `on` such that adaptive execution can split a hot key of the fact.
+
+    Adaptive execution splits a skewed partition only where both inputs arrive straight from
+    a shuffle. A side that was grouped or ranked by the same key would be joined in place, and
+    all rows of a hot key would end in one task. Joining on the key and its hash asks for a
+    partitioning such a side does not have, so it is shuffled once more; it has one row per
+    key, which makes that cheap beside the fact. A broadcast side is not affected.
+    """
+    fact = fact.withColumn(_TWIN, _twin(on))
+    side = side.withColumn(_TWIN, _twin(on))
+    return fact.join(side, [on, _TWIN], how).drop(_TWIN)
 
 
 def attach(df: DataFrame, dim: DataFrame, on: str, columns: list[str],
@@ -13,4 +34,4 @@ def attach(df: DataFrame, dim: DataFrame, on: str, columns: list[str],
     spark.sql.autoBroadcastJoinThreshold (estimated, or measured by adaptive execution), and
     otherwise merges sorted partitions, splitting those of hot keys.
     """
-    return df.join(dim.select(on, *columns), on, how)
+    return skew_join(df, dim.select(on, *columns), on, how)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caudal.functions.rules import sha256_hex
+from caudal.operators.attach import skew_join
 
 REASON = "_reason"
 PAYLOAD = "_payload"
@@ -84,7 +85,7 @@ def ref_keys(dim: DataFrame, key: str) -> DataFrame:
 def split_refs(df: DataFrame, dim: DataFrame, on: str) -> tuple[DataFrame, DataFrame]:
     """(rows whose reference exists, orphans). A NULL reference is an orphan."""
     keys = dim.select(on)
-    return df.join(keys, on, "left_semi"), df.join(keys, on, "left_anti")
+    return skew_join(df, keys, on, "left_semi"), skew_join(df, keys, on, "left_anti")
 
 
 def start_tags(df: DataFrame) -> DataFrame:
@@ -115,7 +116,8 @@ def tag_refs(df: DataFrame, dim: DataFrame, on: str, reason: str) -> DataFrame:
     join is used, and adaptive execution splits the partition of a hot key.
     """
     keys = ref_keys(dim, on).withColumn("_known", F.lit(True))
-    return tag(df.join(keys, on, "left"), F.col("_known").isNull(), reason).drop("_known")
+    joined = skew_join(df, keys, on, "left")
+    return tag(joined, F.col("_known").isNull(), reason).drop("_known")
 
 
 def accepted(tagged: DataFrame) -> DataFrame:

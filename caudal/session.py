@@ -24,7 +24,7 @@ ADAPTIVE = {
 
 
 def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str = "8g",
-                  app: str = "caudal") -> SparkSession:
+                  app: str = "caudal", extra: dict[str, str] | None = None) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
@@ -33,7 +33,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
-    for key, value in {**REQUIRED, **ADAPTIVE}.items():
+    for key, value in {**REQUIRED, **ADAPTIVE, **(extra or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

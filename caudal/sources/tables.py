@@ -1,6 +1,6 @@
 """Layer tables on Parquet.
 
-A keyed table is a directory of numbered snapshots, `<root>/<layer>/<table>/v=<n>`, and the
+A keyed table is a directory of numbered snapshots, `<root>/<layer>/<table>/snapshot=<n>`, and the
 current one is the newest that has Spark's _SUCCESS file. A write goes to the next number, so a
 failed or repeated job never touches what readers see. For a partitioned table a snapshot
 holds only the partitions that changed; the newest snapshot of each partition counts.
@@ -60,14 +60,14 @@ def _children(spark: SparkSession, path: str) -> list[str]:
 def _versions(spark: SparkSession, path: str) -> list[int]:
     """Complete snapshots, oldest first."""
     found = [int(m.group(1)) for name in _children(spark, path)
-             if (m := re.fullmatch(r"v=(\d+)", name))]
-    return sorted(n for n in found if _exists(spark, f"{path}/v={n}/_SUCCESS"))
+             if (m := re.fullmatch(r"snapshot=(\d+)", name))]
+    return sorted(n for n in found if _exists(spark, f"{path}/snapshot={n}/_SUCCESS"))
 
 
 def _next_version(spark: SparkSession, path: str) -> str:
     """Path of the next snapshot, emptied of what an earlier failed write left there."""
     done = _versions(spark, path)
-    target = f"{path}/v={(done[-1] if done else 0) + 1}"
+    target = f"{path}/snapshot={(done[-1] if done else 0) + 1}"
     fs, hadoop = _fs(spark, target)
     fs.delete(hadoop, True)
     return target
@@ -95,18 +95,18 @@ def current_partitions(spark: SparkSession, lake: Lake, layer: str, name: str,
     for version in _versions(spark, base):
         if _is_full(spark, base, version):  # a full snapshot replaces all before it
             newest = {}
-        newest |= _leaves(spark, f"{base}/v={version}", depth)
+        newest |= _leaves(spark, f"{base}/snapshot={version}", depth)
     return newest
 
 
 def _is_full(spark: SparkSession, base: str, version: int) -> bool:
-    return _exists(spark, f"{base}/v={version}/_schema")
+    return _exists(spark, f"{base}/snapshot={version}/_schema")
 
 
 def _partitioned_schema(spark: SparkSession, base: str) -> StructType:
     """Schema stored beside the last full snapshot, so that reading lists and infers nothing."""
     version = max(n for n in _versions(spark, base) if _is_full(spark, base, n))
-    return StructType.fromJson(json.loads(spark.read.text(f"{base}/v={version}/_schema").head()[0]))
+    return StructType.fromJson(json.loads(spark.read.text(f"{base}/snapshot={version}/_schema").head()[0]))
 
 
 def read_table(spark: SparkSession, lake: Lake, layer: str, name: str,
@@ -117,7 +117,7 @@ def read_table(spark: SparkSession, lake: Lake, layer: str, name: str,
     if not versions:
         raise FileNotFoundError(f"no table {layer}/{name} under {lake.root}")
     if not partition_by:
-        return spark.read.parquet(f"{base}/v={versions[-1]}")
+        return spark.read.parquet(f"{base}/snapshot={versions[-1]}")
     paths = current_partitions(spark, lake, layer, name, len(partition_by))
     return _read_partitions(spark, base, sorted(paths.values()))
 
