@@ -220,7 +220,7 @@ def upsert_table(df: DataFrame, lake: Lake, layer: str, name: str, keys: tuple[s
     _write(merged, version, partition_by, "append")
 
 
-def append_table(df: DataFrame, lake: Lake, layer: str, name: str, **slice_of: str) -> None:
+def append_table(df: DataFrame, lake: Lake, layer: str, name: str, /, **slice_of: str) -> None:
     """Add a slice, e.g. batch_id='B1', to a log table. The same slice again replaces itself.
 
     The slice columns are in the directory name, so they are left out of the files.
