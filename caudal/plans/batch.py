@@ -17,8 +17,10 @@ from caudal.plans import bronze, gold, silver
 from caudal.plans.bronze import FAILED, LOG_SCHEMA, Source, layer_result, overall_status
 from caudal.plans.monitor import SUCCESS, run_summary, volume_anomaly
 from caudal.plans.quality import run_suite, standard_checks
+from caudal.sources.marks import MARKS
 from caudal.sources.tables import (
-    Lake, append_table, read_log, read_table, stage, upsert_table,
+    Lake, append_table, drop_stage, drop_superseded, read_log, read_table, stage, table_exists,
+    upsert_table,
 )
 from caudal.specs import (
     BRANCHES, CLIENT_VALUE, CUSTOMERS, DAILY_KPIS, DIM_CHANNELS, DIM_CUSTOMERS, DIM_GEOGRAPHY,
@@ -40,6 +42,7 @@ class Settings:
     # Where reference checks look keys up: "silver" (only accepted rows count) or "bronze"
     # (any landed row counts).
     refs_from: str = "silver"
+    keep_snapshots: int = 2
 
 
 def run_bronze(spark: SparkSession, lake: Lake, source: Source, batch: Batch,
@@ -120,8 +123,11 @@ def run_gold(spark: SparkSession, lake: Lake, batch: Batch,
 
     def one(spec: GoldSpec, build: Callable[[], DataFrame]) -> int:
         rows = with_layer_meta(build(), "gold", batch.batch_id, batch.now)
-        staged = stage(rows, lake, f"gold_{spec.name}", batch.batch_id)
-        upsert_table(staged, lake, "gold", spec.name, spec.keys, spec.partition_by)
+        # A first load writes the rows once; an upsert reads them more than once.
+        again = table_exists(spark, lake, "gold", spec.name)
+        if again:
+            rows = stage(rows, lake, f"gold_{spec.name}", batch.batch_id)
+        upsert_table(rows, lake, "gold", spec.name, spec.keys, spec.partition_by, unique=again)
         return built(spec).count()
 
     return [_try(spec.name, lambda s=spec, b=build: one(s, b)) for spec, build in steps]
@@ -172,4 +178,16 @@ def run_batch(spark: SparkSession, lake: Lake, source: Source, batch: Batch,
     counts = results[0].unionByName(results[1]).unionByName(results[2])
     summary = run_summary(counts, checks, anomaly)
     append_table(summary, lake, "errors", "run_summary", batch_id=batch.batch_id)
+    clean_up(spark, lake, batch, settings.keep_snapshots)
     return summary
+
+
+def clean_up(spark: SparkSession, lake: Lake, batch: Batch, keep: int) -> None:
+    """Drop the staged copies of the batch and snapshots nobody reads any more."""
+    drop_stage(spark, lake, batch.batch_id)
+    for spec in SOURCE_TABLES:
+        drop_superseded(spark, lake, "bronze", spec.name, INGEST_PARTS, keep)
+        drop_superseded(spark, lake, "silver", spec.name, (), keep)
+    for spec in GOLD_TABLES:
+        drop_superseded(spark, lake, "gold", spec.name, spec.partition_by, keep)
+    drop_superseded(spark, lake, "bronze", MARKS, (), keep)

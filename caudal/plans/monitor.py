@@ -64,23 +64,23 @@ def run_summary(layer_counts: DataFrame, checks: DataFrame, anomaly: DataFrame)
     def records(layer: str):
         return F.coalesce(F.sum(F.when(F.col("layer") == layer, F.col("records"))), F.lit(0))
 
-    layers = layer_counts.groupBy("batch_id").agg(
+    # One grouping over all three inputs instead of joins between them.
+    facts = (
+        layer_counts.select("batch_id", "layer", "records", "status")
+        .unionByName(checks.select("batch_id", "passed"), allowMissingColumns=True)
+        .unionByName(anomaly.select("batch_id", "anomaly_detected"), allowMissingColumns=True)
+    )
+    joined = facts.groupBy("batch_id").agg(
+        F.count("layer").alias("tables"),
         records("bronze").alias("total_bronze"),
         records("silver").alias("total_silver"),
         records("gold").alias("total_gold"),
         F.count_if(F.col("status") == "FAILED").alias("failed_tables"),
-    )
-    results = checks.groupBy("batch_id").agg(
-        F.count("*").alias("total_checks"),
+        F.count("passed").alias("total_checks"),
         F.count_if("passed").alias("passed_checks"),
         F.count_if(~F.col("passed")).alias("failed_checks"),
-    )
-    joined = (
-        layers.join(results, "batch_id", "left")
-        .join(anomaly.select("batch_id", "anomaly_detected"), "batch_id", "left")
-        .fillna(0, ["total_checks", "passed_checks", "failed_checks"])
-        .fillna(False, ["anomaly_detected"])
-    )
+        F.coalesce(F.max("anomaly_detected"), F.lit(False)).alias("anomaly_detected"),
+    ).filter("tables > 0").drop("tables")
     status = (
         F.when(F.col("failed_tables") > 0, "PARTIAL_FAILURE")
         .when(F.col("failed_checks") > 0, "CHECKS_FAILED")

@@ -220,6 +220,39 @@ def upsert_table(df: DataFrame, lake: Lake, layer: str, name: str, keys: tuple[s
     _write(merged, version, partition_by, "append")
 
 
+def drop_superseded(spark: SparkSession, lake: Lake, layer: str, name: str,
+                    partition_by: tuple[str, ...] = (), keep: int = 1) -> None:
+    """Delete what no reader of the `keep` newest snapshots needs any more.
+
+    A partition directory of an older snapshot stays while it is the newest of its partition.
+    """
+    base = lake.path(layer, name)
+    versions = _versions(spark, base)
+    old = versions[:-keep]
+    if not partition_by:
+        _delete(spark, [f"{base}/snapshot={n}" for n in old])
+        return
+    full = [n for n in versions if _is_full(spark, base, n)]
+    before_full = [n for n in old if n < full[-1]]
+    _delete(spark, [f"{base}/snapshot={n}" for n in before_full])
+    needed = set(current_partitions(spark, lake, layer, name, len(partition_by)).values())
+    _delete(spark, [path for n in old if n not in before_full
+                    for path in _leaves(spark, f"{base}/snapshot={n}", len(partition_by)).values()
+                    if path not in needed])
+
+
+def drop_stage(spark: SparkSession, lake: Lake, batch_id: str) -> None:
+    """Delete the staged copies of a finished batch."""
+    base = lake.path("_stage", "").rstrip("/")
+    _delete(spark, [f"{base}/{name}/batch_id={batch_id}" for name in _children(spark, base)])
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        fs, directory = _fs(spark, path)
+        fs.delete(directory, True)
+
+
 def append_table(df: DataFrame, lake: Lake, layer: str, name: str, /, **slice_of: str) -> None:
     """Add a slice, e.g. batch_id='B1', to a log table. The same slice again replaces itself.
 

@@ -19,6 +19,9 @@ def connection():
 def test_query_equals_sql(spark, connection, name):
     df = entry_points.queries()[name](spark, SF_DIR)
     assert differences(df, connection, entry_points.oracle_sql()[name]) == ""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
+        assert operator not in plan
 
 
 def test_every_query_has_sql():
@@ -28,3 +31,16 @@ def test_every_query_has_sql():
 def test_entry(spark):
     df = entry_points.entry(spark)
     assert df.count() > 0 and "tasa_mora_pct" in df.columns
+
+
+def test_filter_and_columns_reach_the_scan(spark):
+    df = entry_points.queries()["incremental_scan"](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(o_orderdate" in plan
+    assert "o_orderpriority" not in plan
+
+
+def test_checks_read_only_their_columns(spark):
+    df = entry_points.queries()["check_duplicate_keys"](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "l_linenumber" in plan and "l_extendedprice" not in plan

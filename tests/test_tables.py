@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from caudal.sources.files import read_csv, write_files
 from caudal.sources.marks import read_mark, write_mark
 from caudal.sources.tables import (
-    DuplicateKeyError, Lake, append_table, overwrite_table, read_log, read_table, scratch_lake,
+    DuplicateKeyError, append_table, drop_superseded, overwrite_table, read_log, read_table, scratch_lake,
     stage, table_exists, upsert_table,
 )
 
@@ -103,6 +103,28 @@ def test_log_slices_replace_themselves(spark, lake):
     assert rows(read_log(spark, lake, "errors", "log", ddl)) == Counter({(3, "B1"): 1, (2, "B2"): 1})
 
 
+@pytest.mark.parametrize("partition_by", [(), ("part",)])
+def test_superseded_snapshots_can_be_dropped(spark, lake, tmp_path, partition_by):
+    upsert_table(frame(spark, [(1, "a", "x"), (3, "b", "z")]), lake, "gold", "t", ("k",), partition_by)
+    for value in ("p", "q", "r"):
+        upsert_table(frame(spark, [(1, "a", value)]), lake, "gold", "t", ("k",), partition_by)
+
+    def now():
+        return rows(read_table(spark, lake, "gold", "t", partition_by).select("k", "part", "v"))
+
+    before = now()
+    drop_superseded(spark, lake, "gold", "t", partition_by, keep=2)
+    assert now() == before == Counter({(1, "a", "r"): 1, (3, "b", "z"): 1})
+    table = tmp_path / "lake" / "gold" / "t"
+    left = sorted(str(p.parent.relative_to(table)) for p in table.glob("**/*.parquet"))
+    if partition_by:
+        assert sorted(set(left)) == ["snapshot=1/part=b", "snapshot=3/part=a", "snapshot=4/part=a"]
+    else:
+        assert set(left) == {"snapshot=3", "snapshot=4"}
+    upsert_table(frame(spark, [(3, "b", "Z")]), lake, "gold", "t", ("k",), partition_by)
+    assert now() == Counter({(1, "a", "r"): 1, (3, "b", "Z"): 1})
+
+
 def test_stage_reads_files(spark, lake):
     staged = stage(spark.range(5).withColumn("r", F.rand()), lake, "x", "B1")
     assert staged.collect() == staged.collect()
