@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caudal.functions.audit import INGEST_PARTS, with_layer_meta
+from caudal.functions.audit import INGEST_PARTS, with_date_parts, with_layer_meta
 from caudal.functions.rules import COP_TO_USD
 from caudal.operators.clean import REASON, accepted, rejected
 from caudal.operators.profile import batch_counts, quality_report
@@ -28,6 +28,9 @@ from caudal.specs import (
     PRODUCTS, SOURCE_TABLES, Batch, GoldSpec, TableSpec,
 )
 
+QUALITY_LOG = "_control/quality_log"
+WINDOW_DAYS = 30
+
 Outcome = tuple[str, int, str, str]
 
 
@@ -42,6 +45,10 @@ class Settings:
     # Where reference checks look keys up: "silver" (only accepted rows count) or "bronze"
     # (any landed row counts).
     refs_from: str = "silver"
+    # What silver cleans of loans, movements and fees: "new" takes the rows of batches it has not
+    # seen and those it rejected before, "all" takes everything in bronze again. Customers,
+    # products and branches are always cleaned in full.
+    scope: str = "new"
     keep_snapshots: int = 2
 
 
@@ -51,21 +58,64 @@ def run_bronze(spark: SparkSession, lake: Lake, source: Source, batch: Batch,
             for spec in SOURCE_TABLES]
 
 
+def read_silver(spark: SparkSession, lake: Lake, spec: TableSpec) -> DataFrame:
+    return read_table(spark, lake, "silver", spec.name, spec.silver_parts)
+
+
 def _silver_table(spark: SparkSession, lake: Lake, spec: TableSpec, tagged: DataFrame,
                   n_input: int, batch: Batch, started: float) -> int:
     """Evaluate a tagged frame once, then write valid rows, rejects and the quality report."""
     staged = stage(tagged, lake, f"silver_{spec.name}", batch.batch_id)
     valid = with_layer_meta(accepted(staged), "silver", batch.batch_id, batch.now)
-    upsert_table(valid, lake, "silver", spec.name, spec.keys, unique=False)  # one row per key
+    if spec.partition_date:
+        valid = with_date_parts(valid, spec.partition_date, spec.silver_parts)
+    upsert_table(valid, lake, "silver", spec.name, spec.keys, spec.silver_parts,
+                 unique=False)  # cleaning leaves one row per key
     append_table(rejected(staged, spec.name, spec.keys, batch.batch_id, batch.now), lake,
                  "errors", "rejects", batch_id=batch.batch_id, source_table=spec.name)
     columns = [c for c in valid.columns if c in spec.columns]
     counts = batch_counts(staged, REASON, columns).withColumn("n_input", F.lit(n_input))
     report = quality_report(counts, spec.name, batch.batch_id, batch.now,
                             time.monotonic() - started)
-    append_table(report, lake, "silver", "_control/quality_log",
+    append_table(report, lake, "silver", QUALITY_LOG,
                  batch_id=batch.batch_id, table_name=spec.name)
-    return read_table(spark, lake, "silver", spec.name).count()
+    return read_silver(spark, lake, spec).count()
+
+
+def pending_rows(spark: SparkSession, lake: Lake, spec: TableSpec, batch: Batch) -> DataFrame:
+    """Bronze rows that silver has to look at: those of batches it has not reported on, and
+    those it rejected before, since their references may exist by now."""
+    landed = read_table(spark, lake, "bronze", spec.name, INGEST_PARTS)
+    if not table_exists(spark, lake, "silver", spec.name):
+        return landed
+    log = read_log(spark, lake, "silver", QUALITY_LOG, "table_name string, batch_id string")
+    reported = log.filter((F.col("table_name") == spec.name)
+                          & (F.col("batch_id") != batch.batch_id)).distinct()
+    done = [row["batch_id"] for row in reported.collect()]  # one per earlier batch
+    known = F.col("_batch_id").isin(done)
+    rejects = read_log(spark, lake, "errors", "rejects",
+                       "row_key string, batch_id string, source_table string")
+    keys = rejects.filter((F.col("source_table") == spec.name)
+                          & F.col("batch_id").isin(done)).select("row_key").distinct()
+    row_key = F.concat_ws("|", *[F.col(k).cast("string") for k in spec.keys])
+    again = (landed.filter(known).withColumn("row_key", row_key)
+             .join(keys, "row_key", "left_semi").drop("row_key"))
+    return landed.filter(~known).unionByName(again)
+
+
+def _changed_movements(spark: SparkSession, lake: Lake, df: DataFrame, customers: DataFrame,
+                       products: DataFrame, batch: Batch) -> DataFrame:
+    """Clean only pending movements, and flag them together with the rows around them."""
+    name = f"silver_{MOVEMENTS.name}"
+    new = stage(silver.prepare_movements(df, customers, products), lake, f"{name}_new",
+                batch.batch_id)
+    existing = read_silver(spark, lake, MOVEMENTS)
+    first = stage(silver.first_changes(new, existing), lake, f"{name}_first", batch.batch_id)
+    earliest = first.agg(F.date_sub(F.min("_first"), WINDOW_DAYS)).head()[0]
+    if earliest is not None:  # reads only the months the windows reach
+        year, month = (F.col(part) for part in MOVEMENTS.silver_parts)
+        existing = existing.filter(F.concat(year, month) >= f"{earliest:%Y%m}")
+    return silver.refresh_movements(new, existing, first, WINDOW_DAYS)
 
 
 def run_silver(spark: SparkSession, lake: Lake, batch: Batch,
@@ -73,26 +123,29 @@ def run_silver(spark: SparkSession, lake: Lake, batch: Batch,
     def raw(spec: TableSpec) -> DataFrame:
         return read_table(spark, lake, "bronze", spec.name, INGEST_PARTS)
 
-    def known(spec: TableSpec) -> DataFrame:
+    def refs() -> tuple[DataFrame, DataFrame]:
         if settings.refs_from == "bronze":
-            return raw(spec)
-        return read_table(spark, lake, "silver", spec.name)
+            return raw(CUSTOMERS), raw(PRODUCTS)
+        return read_silver(spark, lake, CUSTOMERS), read_silver(spark, lake, PRODUCTS)
 
-    def refs() -> tuple[DataFrame, DataFrame]:
-        return known(CUSTOMERS), known(PRODUCTS)
+    def movements(df: DataFrame) -> DataFrame:
+        if settings.scope == "all" or not table_exists(spark, lake, "silver", MOVEMENTS.name):
+            return silver.silver_movements(df, *refs(), WINDOW_DAYS)
+        return _changed_movements(spark, lake, df, *refs(), batch)
 
     steps: list[tuple[TableSpec, Callable[[DataFrame], DataFrame]]] = [
         (CUSTOMERS, silver.silver_customers),
         (PRODUCTS, silver.silver_products),
         (BRANCHES, silver.silver_branches),
         (LOANS, lambda df: silver.silver_loans(df, *refs())),
-        (MOVEMENTS, lambda df: silver.silver_movements(df, *refs())),
+        (MOVEMENTS, movements),
         (FEES, lambda df: silver.silver_fees(df, *refs())),
     ]
 
     def one(spec: TableSpec, clean: Callable[[DataFrame], DataFrame]) -> int:
         started = time.monotonic()
-        df = raw(spec)
+        narrow = settings.scope == "new" and spec in (LOANS, MOVEMENTS, FEES)
+        df = pending_rows(spark, lake, spec, batch) if narrow else raw(spec)
         return _silver_table(spark, lake, spec, clean(df), df.count(), batch, started)
 
     return [_try(spec.name, lambda s=spec, c=clean: one(s, c)) for spec, clean in steps]
@@ -101,7 +154,7 @@ def run_silver(spark: SparkSession, lake: Lake, batch: Batch,
 def run_gold(spark: SparkSession, lake: Lake, batch: Batch,
              settings: Settings = Settings()) -> list[Outcome]:
     def clean(spec: TableSpec) -> DataFrame:
-        return read_table(spark, lake, "silver", spec.name)
+        return read_silver(spark, lake, spec)
 
     def built(spec: GoldSpec) -> DataFrame:
         return read_table(spark, lake, "gold", spec.name, spec.partition_by)
@@ -142,6 +195,7 @@ def _try(name: str, work: Callable[[], int]) -> Outcome:
 
 def run_checks(spark: SparkSession, lake: Lake, batch: Batch) -> DataFrame:
     partitions = {spec.name: spec.partition_by for spec in GOLD_TABLES}
+    partitions |= {spec.name: spec.silver_parts for spec in SOURCE_TABLES}
 
     def read(layer: str, name: str) -> DataFrame:
         return read_table(spark, lake, layer, name, partitions.get(name, ()))
@@ -187,7 +241,7 @@ def clean_up(spark: SparkSession, lake: Lake, batch: Batch, keep: int) -> None:
     drop_stage(spark, lake, batch.batch_id)
     for spec in SOURCE_TABLES:
         drop_superseded(spark, lake, "bronze", spec.name, INGEST_PARTS, keep)
-        drop_superseded(spark, lake, "silver", spec.name, (), keep)
+        drop_superseded(spark, lake, "silver", spec.name, spec.silver_parts, keep)
     for spec in GOLD_TABLES:
         drop_superseded(spark, lake, "gold", spec.name, spec.partition_by, keep)
     drop_superseded(spark, lake, "bronze", MARKS, (), keep)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caudal.functions.rules import business_hours, clamp_min
+from caudal.operators.attach import skew_join
 from caudal.operators.clean import (
     PAYLOAD, REASON, all_present, conform, conformed, fill_defaults, mask_pii, start_tags, tag,
     tag_refs, within,
@@ -72,9 +73,8 @@ def silver_loans(df: DataFrame, customers: DataFrame, products: DataFrame) -> Da
     return _conform(df, LOANS).withColumn("dias_mora_act", clamp_min("dias_mora_act", 0))
 
 
-def silver_movements(df: DataFrame, customers: DataFrame, products: DataFrame,
-                     days: int = 30, sigmas: float = 3) -> DataFrame:
-    """Movements also get the suspicion flag and the business-hours flag.
+def prepare_movements(df: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
+    """Tagged movements before the flags.
 
     Exact copies collapse to one. Of the valid rows that still share an id, the latest date
     wins; rejected rows are kept beside it. Both are one keep-one step: valid rows group by
@@ -83,12 +83,50 @@ def silver_movements(df: DataFrame, customers: DataFrame, products: DataFrame,
     df = _require(df.select(*MOVEMENTS.columns), MOVEMENTS)
     df = _require_refs(df, customers, products)
     df = _conform(_dates_in_range(df, MOVEMENTS, "fec_mov"), MOVEMENTS)
-    df = dedup(df, ["id_mov", PAYLOAD], [F.col("fec_mov").desc_nulls_last()])
+    return dedup(df, ["id_mov", PAYLOAD], [F.col("fec_mov").desc_nulls_last()])
+
+
+def flag_movements(df: DataFrame, days: int = 30, sigmas: float = 3) -> DataFrame:
+    """Add the suspicion and business-hours flags; only valid rows count in the window."""
     df = suspicious_flag(df, "id_cli", "fec_mov", "vr_mov", days, sigmas,
                          history=df.filter(F.col(REASON).isNull()))
     return df.withColumn("ind_horario_habil", business_hours("fec_mov", "hra_mov"))
 
 
+def silver_movements(df: DataFrame, customers: DataFrame, products: DataFrame,
+                     days: int = 30, sigmas: float = 3) -> DataFrame:
+    return flag_movements(prepare_movements(df, customers, products), days, sigmas)
+
+
+def first_changes(new: DataFrame, existing: DataFrame) -> DataFrame:
+    """(id_cli, _first): the earliest day on which prepared `new` rows change a client's history,
+    by adding a row or by taking the place of an existing one."""
+    ids = new.select("id_mov").distinct()
+    added = new.filter(F.col(REASON).isNull()).select("id_cli", "fec_mov")
+    replaced = existing.join(ids, "id_mov", "left_semi").select("id_cli", "fec_mov")
+    return added.unionByName(replaced).groupBy("id_cli").agg(F.min("fec_mov").alias("_first"))
+
+
+def refresh_movements(new: DataFrame, existing: DataFrame, first: DataFrame,
+                      days: int = 30, sigmas: float = 3) -> DataFrame:
+    """Flags of the new rows, and again of the clients' existing rows whose window they enter.
+
+    `existing` holds silver rows at least from `days` before the earliest change on. The result
+    has all new rows and those existing rows that come after their client's first change.
+    """
+    columns = new.columns
+    ids = new.select("id_mov").distinct()
+    others = existing.join(ids, "id_mov", "left_anti")
+    near = skew_join(others, first, "id_cli", "inner").filter(
+        F.col("fec_mov") >= F.date_sub("_first", days))
+    empty = F.lit(None).cast("string")
+    near = near.withColumns({REASON: empty, PAYLOAD: empty}).select(*columns, "_first")
+    both = new.withColumn("_first", F.lit(None).cast("date")).unionByName(near)
+    flagged = flag_movements(both, days, sigmas)
+    changed = F.col("_first").isNull() | (F.col("fec_mov") > F.col("_first"))
+    return flagged.filter(changed).drop("_first")
+
+
 def silver_fees(df: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     df = _require(_newest_per_key(df, FEES), FEES)
     return _conform(_require_refs(df, customers, products), FEES)

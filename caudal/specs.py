@@ -39,6 +39,11 @@ class TableSpec:
     upper: tuple[str, ...] = ()
     defaults: dict[str, object] = field(default_factory=dict)
     pii: tuple[str, ...] = ()
+    partition_date: str | None = None  # silver is partitioned by year and month of this date
+
+    @property
+    def silver_parts(self) -> tuple[str, ...]:
+        return ("_anio", "_mes") if self.partition_date else ()
 
     @property
     def schema(self) -> StructType:
@@ -46,7 +51,7 @@ class TableSpec:
 
     @property
     def columns(self) -> list[str]:
-        return self.schema.fieldNames()
+        return [part.split()[0] for part in self.ddl.split(", ")]
 
 
 CUSTOMERS = TableSpec(
@@ -99,6 +104,7 @@ LOANS = TableSpec(
            "vr_cuota": "double", "dias_mora_act": "int"},
     dates=("fec_desembolso", "fec_venc"),
     defaults={"num_cuotas_pend": 0, "calif_riesgo": "A"},
+    partition_date="fec_desembolso",
 )
 
 MOVEMENTS = TableSpec(
@@ -114,6 +120,7 @@ MOVEMENTS = TableSpec(
     upper=("cod_canal", "tip_mov"),
     defaults={"num_cuenta": "DESCONOCIDO", "cod_ciudad": "DESCONOCIDO",
               "id_dispositivo": "DESCONOCIDO"},
+    partition_date="fec_mov",
 )
 
 FEES = TableSpec(
@@ -127,6 +134,7 @@ FEES = TableSpec(
     dates=("fec_cobro",),
     defaults={"tip_comision": "NO_INFORMADO", "estado_cobro": "PENDIENTE"},
     upper=("tip_comision", "estado_cobro"),
+    partition_date="fec_cobro",
 )
 
 SOURCE_TABLES = (CUSTOMERS, PRODUCTS, BRANCHES, LOANS, MOVEMENTS, FEES)

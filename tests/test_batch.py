@@ -1,5 +1,6 @@
+import random
 from collections import Counter
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,12 +11,14 @@ from caudal.plans import batch as runs
 from caudal.plans.bronze import ERROR_SCHEMA, LOG_SCHEMA, frames_source
 from caudal.sources.marks import read_mark
 from caudal.sources.tables import Lake, read_log, read_table
-from caudal.specs import GOLD_TABLES, MOVEMENTS, SOURCE_TABLES, Batch
+from caudal.specs import CUSTOMERS, FEES, GOLD_TABLES, LOANS, MOVEMENTS, SOURCE_TABLES, Batch
 
 FIRST = Batch("BATCH_20240601", date(2024, 12, 31), datetime(2024, 6, 1, 7))
 SECOND = Batch("BATCH_20240602", date(2024, 12, 31), datetime(2024, 6, 2, 7))
 REJECTS = ("source_table string, reason string, batch_id string, row_key string, payload string, "
            "rejected_at timestamp")
+MOVEMENTS_COLUMNS = [*MOVEMENTS.columns, *MOVEMENTS.silver_parts, "ind_sospechoso",
+                     "ind_horario_habil"]
 TIMES = ("_ingestion_timestamp", "_silver_timestamp", "_gold_timestamp")
 
 
@@ -24,7 +27,7 @@ def snapshot(spark, lake):
     out = {}
     for spec in SOURCE_TABLES:
         out["bronze", spec.name] = read_table(spark, lake, "bronze", spec.name, INGEST_PARTS)
-        out["silver", spec.name] = read_table(spark, lake, "silver", spec.name)
+        out["silver", spec.name] = runs.read_silver(spark, lake, spec)
     for spec in GOLD_TABLES:
         out["gold", spec.name] = read_table(spark, lake, "gold", spec.name, spec.partition_by)
     out["errors", "rejects"] = read_log(spark, lake, "errors", "rejects", REJECTS)
@@ -86,7 +89,7 @@ def test_late_rows_of_the_marked_day_arrive(spark, first_run):
     data[MOVEMENTS.name] = data[MOVEMENTS.name].union(spark.createDataFrame(more, MOVEMENTS.schema))
     summary = runs.run_batch(spark, lake, frames_source(data), SECOND).head()
     assert summary["total_bronze"] == 2 + 6  # new movements; the full-load tables have 6 rows
-    silver = read_table(spark, lake, "silver", MOVEMENTS.name)
+    silver = runs.read_silver(spark, lake, MOVEMENTS)
     assert {r["id_mov"] for r in silver.collect()} == {"M1", "M2", "M3", "M8", "M20", "M21"}
     assert read_mark(spark, lake, MOVEMENTS.name) == "2024-03-06"
 
@@ -117,3 +120,57 @@ def test_references_can_be_checked_against_bronze(spark, lake):
     outcomes = {name: count for name, count, _, _ in runs.run_silver(spark, lake, FIRST, settings)}
     assert outcomes["TB_CLIENTES_CORE"] == 3
     assert outcomes["TB_OBLIGACIONES"] == 2
+
+
+def random_batches(seed):
+    """Three deliveries of movements: late rows, new versions, unknown clients, bad dates."""
+    rng = random.Random(seed)
+    first = date(2024, 1, 1)
+    deliveries, known = [], []
+    for number in range(3):
+        rows = []
+        for i in range(60):
+            fresh = not known or rng.random() < 0.85
+            id_mov = f"R{number}_{i}" if fresh else rng.choice(known)
+            day = first + timedelta(days=number * 40 + rng.randrange(50))
+            value = rng.choice([10.0, 11.0, 12.0, 900.0])
+            client = rng.choice(["C1", "C1", "C1", "C2", "C7"])
+            text = rng.choice([str(day)] * 9 + ["2099-01-01"])
+            rows.append(movement(id_mov, client, day=text, value=value))
+        unique = {row[0]: row for row in rows}
+        known += [id_mov for id_mov in unique if id_mov not in known]
+        deliveries.append(list(unique.values()))
+    return deliveries
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_cleaning_only_new_rows_equals_cleaning_all(spark, tmp_path, seed):
+    """Client C7 is unknown at first and arrives with the third delivery."""
+    deliveries = random_batches(seed)
+    results = {}
+    for scope in ("all", "new"):
+        lake = Lake(str(tmp_path / scope))
+        settings = runs.Settings(scope=scope)
+        for number, rows in enumerate(deliveries):
+            data = frames(spark)
+            data[MOVEMENTS.name] = spark.createDataFrame(rows, MOVEMENTS.schema)
+            if number == 2:
+                late = ("C7", "Eva", "Ruiz", "CC", "777", None, "2024-05-01", "ELITE", 1, "CALI",
+                        "VALLE", "ACTIVO", "WEB")
+                data[CUSTOMERS.name] = data[CUSTOMERS.name].union(
+                    spark.createDataFrame([late], CUSTOMERS.schema))
+            # Deliver everything given, whatever the mark says.
+            source = lambda spec, mark, d=data: d[spec.name]
+            batch = Batch(f"B{number}", date(2024, 12, 31), datetime(2024, 6, 1 + number, 7))
+            assert all(o[2] != "FAILED" for o in runs.run_bronze(spark, lake, source, batch, settings))
+            outcomes = runs.run_silver(spark, lake, batch, settings)
+            assert all(o[2] == "SUCCESS" for o in outcomes), outcomes
+        tables = {}
+        for spec in (MOVEMENTS, LOANS, FEES):
+            df = runs.read_silver(spark, lake, spec).drop(*TIMES, "_batch_id_silver")
+            tables[spec.name] = Counter(tuple(r) for r in df.select(*sorted(df.columns)).collect())
+        results[scope] = tables
+    assert results["new"] == results["all"]
+    flags = Counter(row[sorted(MOVEMENTS_COLUMNS).index("ind_sospechoso")]
+                    for row in results["new"][MOVEMENTS.name])
+    assert flags[1] > 0 and flags[0] > 0
