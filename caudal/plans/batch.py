@@ -53,9 +53,10 @@ class Settings:
 
 
 def run_bronze(spark: SparkSession, lake: Lake, source: Source, batch: Batch,
-               settings: Settings = Settings()) -> list[Outcome]:
+               settings: Settings = Settings(),
+               only: tuple[TableSpec, ...] = SOURCE_TABLES) -> list[Outcome]:
     return [bronze.ingest_table(spark, lake, spec, source, batch, settings.source_system)
-            for spec in SOURCE_TABLES]
+            for spec in SOURCE_TABLES if spec in only]
 
 
 def read_silver(spark: SparkSession, lake: Lake, spec: TableSpec) -> DataFrame:
@@ -118,8 +119,8 @@ def _changed_movements(spark: SparkSession, lake: Lake, df: DataFrame, customers
     return silver.refresh_movements(new, existing, first, WINDOW_DAYS)
 
 
-def run_silver(spark: SparkSession, lake: Lake, batch: Batch,
-               settings: Settings = Settings()) -> list[Outcome]:
+def run_silver(spark: SparkSession, lake: Lake, batch: Batch, settings: Settings = Settings(),
+               only: tuple[TableSpec, ...] = SOURCE_TABLES) -> list[Outcome]:
     def raw(spec: TableSpec) -> DataFrame:
         return read_table(spark, lake, "bronze", spec.name, INGEST_PARTS)
 
@@ -148,7 +149,8 @@ def run_silver(spark: SparkSession, lake: Lake, batch: Batch,
         df = pending_rows(spark, lake, spec, batch) if narrow else raw(spec)
         return _silver_table(spark, lake, spec, clean(df), df.count(), batch, started)
 
-    return [_try(spec.name, lambda s=spec, c=clean: one(s, c)) for spec, clean in steps]
+    return [_try(spec.name, lambda s=spec, c=clean: one(s, c))
+            for spec, clean in steps if spec in only]
 
 
 def run_gold(spark: SparkSession, lake: Lake, batch: Batch,

@@ -13,7 +13,7 @@ from caudal.sources.tables import Lake  # noqa: E402
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     checkpoints = str(tmp_path_factory.mktemp("checkpoints"))
-    session = local_session(8, 4, memory="6g", app="caudal-tests",
+    session = local_session(8, 2, memory="6g", app="caudal-tests",
                             extra={"spark.checkpoint.dir": checkpoints})
     session.sparkContext.setLogLevel("ERROR")
     yield session
