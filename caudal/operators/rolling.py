@@ -28,6 +28,7 @@ def daily_stats(df: DataFrame, key: str, date_col: str, value: str, days: int,
     Sums are whole cents in decimals, so they are exact and do not depend on row order. With
     sum = n*k + r, the squared deviations from k are squares - n*k*k - 2*k*r, exactly; only the
     small correction r*r/n is done in floating point, so equal amounts give a deviation of 0.
+    Should absurd amounts overflow the 38 digits, the deviation is NULL and nothing is flagged.
     """
     per_day = (
         df.filter(F.col(key).isNotNull() & F.col(date_col).isNotNull())
@@ -35,14 +36,16 @@ def daily_stats(df: DataFrame, key: str, date_col: str, value: str, days: int,
         .groupBy(key, date_col)
         .agg(F.count("_c").alias("_n"),
              F.sum("_c").alias("_s"),
-             F.sum((F.col("_c") * F.col("_c")).cast(WIDE)).alias("_q"))
+             F.try_sum((F.col("_c") * F.col("_c")).cast(WIDE)).alias("_q"))
     )
-    frame = (Window.partitionBy(key).orderBy(F.unix_date(date_col)).rangeBetween(-days, -1))
+    too_large = F.col("_q").isNull() & (F.col("_n") > 0)
+    frame = Window.partitionBy(key).orderBy(F.unix_date(date_col)).rangeBetween(-days, -1)
     sums = per_day.select(
         key, date_col,
         F.sum("_n").over(frame).cast(CENTS).alias("_rows"),
         F.sum("_s").over(frame).cast(WIDE).alias("_sum"),
-        F.sum("_q").over(frame).cast(WIDE).alias("_squares"),
+        F.when(F.count_if(too_large).over(frame) == 0, F.try_sum("_q").over(frame)).cast(WIDE)
+        .alias("_squares"),
     ).filter("_rows > 0")
     parts = (
         sums.withColumn("_k", F.expr("cast(_sum div _rows as decimal(20,0))"))
@@ -57,7 +60,8 @@ def daily_stats(df: DataFrame, key: str, date_col: str, value: str, days: int,
     return parts.select(
         key, date_col,
         ((F.col("_k").cast("double") + rest / count) / 100).alias(mean),
-        F.when(count > 1, F.sqrt(F.greatest(squares, F.lit(0.0)) / (count - 1)) / 100).alias(sd),
+        F.when((count > 1) & F.col("_squares").isNotNull(),
+               F.sqrt(F.greatest(squares, F.lit(0.0)) / (count - 1)) / 100).alias(sd),
     )
 
 

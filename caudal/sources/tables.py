@@ -176,7 +176,8 @@ def scratch_lake(spark: SparkSession) -> Lake:
     A cluster names a shared folder in spark.checkpoint.dir. Only where none is set (tests, one
     machine) is a local temporary folder used.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    shared = (spark.conf.get("spark.checkpoint.dir", None)
+              or spark.sparkContext.getCheckpointDir())
     return Lake(f"{shared or tempfile.gettempdir()}/caudal-{uuid.uuid4().hex}")
 
 

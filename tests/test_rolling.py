@@ -78,6 +78,15 @@ def test_missing_amounts_are_left_out(spark):
     assert len(got) == 4 and got["c", day + timedelta(days=1), 5.0] == 10.0
 
 
+def test_absurd_amounts_do_not_stop_the_job(spark):
+    day = date(2024, 1, 1)
+    rows = [("c", day + timedelta(days=i // 40), 9e15) for i in range(160)]
+    rows += [("c", day + timedelta(days=40), 1.0), ("c", day + timedelta(days=41), 2.0)]
+    got = {r["v"]: (r["sd_30d"], r["ind_sospechoso"]) for r in suspicious_flag(
+        rolling_stats(movements(spark, rows), "c", "d", "v"), "c", "d", "v").collect()}
+    assert got[1.0] == got[2.0] == (None, 0) and got[9e15][1] == 0
+
+
 def test_window_input_is_one_row_per_client_and_day(spark):
     """A client with nearly all rows reaches the window as one row per day."""
     df = spark.range(60_000).select(
