@@ -4,16 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from caudal.llm.exact_dedup import exact_dedup
 from caudal.llm.shared import prepare, table
+from caudal.llm.token_files import token_file_digest
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(prepare(spark), sf_dir, "documents"))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    return token_file_digest(docs, public_tokenizers.path("word_bpe_49k.json"), keeps_space=False, end_id=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
+    "op8_token_files": op8_token_files,
 }

@@ -89,6 +89,25 @@ def keyed_join(rows: DataFrame, side: DataFrame, keys: list[str], how: str = "in
     return rows.join(side, [*keys, twin], how).drop(twin)
 
 
+def _lists(batch: pa.RecordBatch) -> dict[str, list]:
+    """Columns as Python lists; lists of numbers as numpy views."""
+    out = {}
+    for name, column in zip(batch.schema.names, batch.columns, strict=True):
+        if pa.types.is_list(column.type) and pa.types.is_primitive(column.type.value_type):
+            values = column.values.to_numpy(zero_copy_only=False)
+            ends = column.offsets.to_numpy()
+            out[name] = [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        else:
+            out[name] = column.to_pylist()
+    return out
+
+
+def _typed(values, kind: pa.DataType) -> pa.Array:
+    if isinstance(values, pa.Array):
+        return values if values.type == kind else values.cast(kind)
+    return pa.array(values, kind)
+
+
 def in_batches(df: DataFrame, each: Callable[[dict[str, list]], Iterable[dict[str, list]]],
                schema: str, *columns: str) -> DataFrame:
     """Run `each` over Arrow batches: columns as Python lists in, columns as lists out."""
@@ -100,8 +119,8 @@ def in_batches(df: DataFrame, each: Callable[[dict[str, list]], Iterable[dict[st
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for out in each(batch.to_pydict()):
+            for out in each(_lists(batch)):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[f.name], f.type) for f in target], schema=target)
+                    [_typed(out[f.name], f.type) for f in target], schema=target)
 
     return frame.mapInArrow(run, schema)
