@@ -7,11 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from caudal.llm.bpe import bpe_digest
 from caudal.llm.exact_dedup import exact_dedup
 from caudal.llm.shared import prepare, table
 from caudal.llm.token_files import token_file_digest
 
 
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    return bpe_digest(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(prepare(spark), sf_dir, "documents"))
 
@@ -22,6 +28,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
     "op8_token_files": op8_token_files,
 }
