@@ -2,10 +2,44 @@
 
 from __future__ import annotations
 
+from caudal.llm.quality import MIN_WORDS, REPEATED_PERCENT, RULES, STOP_WORDS
+
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _LOWER = f"translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}')"
 
+_STOPS = ", ".join(f"'{word}'" for word in STOP_WORDS)
+_PASSED = " AND ".join(
+    f"CASE WHEN {r.under} > 0 THEN {r.over} / {r.under} ELSE 0 END BETWEEN {r.least} AND {r.most}"
+    for r in RULES)
+
 ORACLE: dict[str, str] = {
+    "op3_quality": f"""
+        WITH d AS (
+            SELECT doc_id, coalesce(text, '') AS t,
+                   list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
+                               lambda x: x <> '') AS words,
+                   list_filter(string_split(coalesce(text, ''), chr(10)),
+                               lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+            FROM documents),
+        w AS (SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
+              FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM d)),
+        again AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM w),
+        covered AS (SELECT doc_id, count(DISTINCT place) AS n FROM
+                    (SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM again WHERE n > 1) GROUP BY doc_id),
+        m AS (
+            SELECT d.doc_id, len(words) AS n_words,
+                   length(list_aggregate(words, 'string_agg', '')) AS chars,
+                   length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+                   length(regexp_replace(t, '[^!]', '', 'g')) AS n_shouts,
+                   len(list_filter(words, lambda x: lower(x) IN ({_STOPS}))) AS n_stop_words,
+                   len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+                   coalesce(covered.n, 0) AS n_repeat_words
+            FROM d LEFT JOIN covered ON covered.doc_id = d.doc_id),
+        f AS (SELECT * EXCLUDE chars, coalesce(chars, 0) AS word_chars,
+                     n_words < {MIN_WORDS} OR 100 * n_repeat_words > {REPEATED_PERCENT} * n_words AS base_failed
+              FROM m)
+        SELECT *, NOT base_failed AND {_PASSED} AS kept FROM f
+    """,
     "op2_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {_LOWER} AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
