@@ -31,10 +31,8 @@ from pyspark.sql import functions as F
 
 from caudal.llm.shared import in_batches
 from caudal.llm.token_files import id_lists
-from caudal.llm.tokens import PieceCache, byte_letters
+from caudal.llm.tokens import PATTERN, PieceCache, byte_letters
 
-# The split pattern of the byte-level format, fixed.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PAIRS_KEPT = 300_000
 DECODED_AT_ONCE = 1 << 18
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from caudal.llm.bpe import bpe_digest
 from caudal.llm.exact_dedup import exact_dedup
+from caudal.llm.packing import pack_documents
 from caudal.llm.quality import quality
 from caudal.llm.shared import prepare, table
 from caudal.llm.token_files import token_file_digest
@@ -27,6 +28,11 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(prepare(spark), sf_dir, "documents"))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents")
     return token_file_digest(docs, public_tokenizers.path("word_bpe_49k.json"), keeps_space=False, end_id=2)
@@ -36,5 +42,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_quality": op3_quality,
+    "op6_packing": op6_packing,
     "op8_token_files": op8_token_files,
 }

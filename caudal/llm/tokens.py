@@ -11,8 +11,11 @@ from __future__ import annotations
 import json
 import os
 import re
+from array import array
 from functools import lru_cache
 
+# The split pattern of the byte-level format, fixed.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 CACHED = 400_000
 LONG = 200
 SEGMENT = 1 << 20
@@ -217,3 +220,31 @@ def library_cache(path: str, keeps_space: bool) -> PieceCache:
         return out
 
     return PieceCache(encode_many, keeps_space)
+
+
+@lru_cache(maxsize=1)
+def byte_level_core(path: str):
+    """A function from text to ids, as `tokenizers` gives them for a byte-level file.
+
+    The merge table of the file runs on the core of `tiktoken`, which is several times
+    faster on words that were not seen before; special tokens in a text get their ids.
+    """
+    import tiktoken
+
+    with open(path) as file:
+        described = json.load(file)
+    byte_of = {chr(code): byte for byte, code in byte_letters().items()}
+    ranks = {bytes(byte_of[c] for c in word): i for word, i in described["model"]["vocab"].items()}
+    special = {token["content"]: token["id"] for token in described["added_tokens"]}
+    core = tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+
+    def ids(text: str | None) -> bytes:
+        out = array("I")
+        for part in segments(text or ""):
+            if any(token in part for token in special):
+                out.extend(core.encode(part, allowed_special="all"))
+            else:
+                out.extend(core.encode_ordinary(part))
+        return out.tobytes()
+
+    return ids
