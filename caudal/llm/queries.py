@@ -13,6 +13,7 @@ from caudal.llm.packing import pack_documents
 from caudal.llm.quality import quality
 from caudal.llm.shared import prepare, table
 from caudal.llm.token_files import token_file_digest
+from caudal.llm.warc import archived_pages
 
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +29,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(prepare(spark), sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archived_pages(table(prepare(spark), sf_dir, "pages"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents")
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -42,6 +47,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_quality": op3_quality,
+    "op4_warc": op4_warc,
     "op6_packing": op6_packing,
     "op8_token_files": op8_token_files,
 }
