@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from caudal.llm.bpe import bpe_digest
 from caudal.llm.exact_dedup import exact_dedup
+from caudal.llm.near_dedup import near_duplicates
 from caudal.llm.packing import pack_documents
 from caudal.llm.quality import quality
 from caudal.llm.shared import prepare, table
@@ -43,6 +44,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(docs, public_tokenizers.path("word_bpe_49k.json"), keeps_space=False, end_id=2)
 
 
+def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(prepare(spark), sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
@@ -50,4 +55,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op6_packing": op6_packing,
     "op8_token_files": op8_token_files,
+    "op10_near_dedup": op10_near_dedup,
 }
