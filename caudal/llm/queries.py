@@ -13,6 +13,7 @@ from caudal.llm.near_dedup import near_duplicates
 from caudal.llm.packing import pack_documents
 from caudal.llm.quality import quality
 from caudal.llm.shared import prepare, table
+from caudal.llm.suffix_dedup import repeated_passages
 from caudal.llm.token_files import token_file_digest
 from caudal.llm.warc import archived_pages
 
@@ -39,6 +40,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(prepare(spark), sf_dir, "documents")).drop("row")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents")
     return token_file_digest(docs, public_tokenizers.path("word_bpe_49k.json"), keeps_space=False, end_id=2)
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_warc": op4_warc,
     "op6_packing": op6_packing,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_token_files": op8_token_files,
     "op10_near_dedup": op10_near_dedup,
 }

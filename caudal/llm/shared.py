@@ -11,6 +11,8 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from caudal.session import configure
 
@@ -109,12 +111,9 @@ def _typed(values, kind: pa.DataType) -> pa.Array:
 
 
 def in_batches(df: DataFrame, each: Callable[[dict[str, list]], Iterable[dict[str, list]]],
-               schema: str, *columns: str) -> DataFrame:
+               schema: str | StructType, *columns: str) -> DataFrame:
     """Run `each` over Arrow batches: columns as Python lists in, columns as lists out."""
-    from pyspark.sql.types import StructType
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    target = to_arrow_schema(StructType.fromDDL(schema))
+    target = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
     frame = df.select(*columns) if columns else df
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
