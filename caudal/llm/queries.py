@@ -15,6 +15,7 @@ from caudal.llm.quality import quality
 from caudal.llm.shared import prepare, table
 from caudal.llm.suffix_dedup import repeated_passages
 from caudal.llm.token_files import token_file_digest
+from caudal.llm.toxicity import toxicity
 from caudal.llm.warc import archived_pages
 
 
@@ -35,6 +36,11 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archived_pages(table(prepare(spark), sf_dir, "pages"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(prepare(spark), sf_dir, "documents")
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
@@ -58,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_quality": op3_quality,
     "op4_warc": op4_warc,
+    "op5_toxicity": op5_toxicity,
     "op6_packing": op6_packing,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_token_files": op8_token_files,
