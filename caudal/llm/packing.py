@@ -150,7 +150,7 @@ def evolve(lengths: np.ndarray, seeds: list[np.ndarray], size: int,
 
 
 def _epoch(epoch: int, size: int):
-    def run(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         block, island = key
         rows = rows.sort_values(["length", "uid"], ascending=[False, True], kind="stable")
         own = rows[rows["origin"] == 0]

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from caudal.llm.bpe import bpe_digest
 from caudal.llm.exact_dedup import exact_dedup
+from caudal.llm.lm_scoring import lm_scores
 from caudal.llm.near_dedup import near_duplicates
 from caudal.llm.packing import pack_documents
 from caudal.llm.quality import quality
@@ -55,6 +56,11 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digest(docs, public_tokenizers.path("word_bpe_49k.json"), keeps_space=False, end_id=2)
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(prepare(spark), sf_dir, "documents")
+    return lm_scores(docs, public_tokenizers.path("byte_bpe_50k.json"), vocabulary_size=50257)
+
+
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(prepare(spark), sf_dir, "documents"))
 
@@ -68,5 +74,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_packing": op6_packing,
     "op7_suffix_dedup": op7_suffix_dedup,
     "op8_token_files": op8_token_files,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_near_dedup": op10_near_dedup,
 }

@@ -110,16 +110,24 @@ def _typed(values, kind: pa.DataType) -> pa.Array:
     return pa.array(values, kind)
 
 
-def in_batches(df: DataFrame, each: Callable[[dict[str, list]], Iterable[dict[str, list]]],
-               schema: str | StructType, *columns: str) -> DataFrame:
-    """Run `each` over Arrow batches: columns as Python lists in, columns as lists out."""
+def in_partitions(df: DataFrame, run: Callable[[Iterator[dict[str, list]]], Iterator[dict[str, list]]],
+                  schema: str | StructType, *columns: str) -> DataFrame:
+    """Apply `run` to the Arrow batches of each partition: columns as Python lists in, columns out."""
     target = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
     frame = df.select(*columns) if columns else df
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def typed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for out in run(map(_lists, batches)):
+            yield pa.RecordBatch.from_arrays([_typed(out[f.name], f.type) for f in target], schema=target)
+
+    return frame.mapInArrow(typed, schema)
+
+
+def in_batches(df: DataFrame, each: Callable[[dict[str, list]], Iterable[dict[str, list]]],
+               schema: str | StructType, *columns: str) -> DataFrame:
+    """Apply `each` to every Arrow batch by itself; it may give several results."""
+    def run(batches):
         for batch in batches:
-            for out in each(_lists(batch)):
-                yield pa.RecordBatch.from_arrays(
-                    [_typed(out[f.name], f.type) for f in target], schema=target)
+            yield from each(batch)
 
-    return frame.mapInArrow(run, schema)
+    return in_partitions(df, run, schema, *columns)

@@ -1,23 +1,53 @@
 """The stages of corpus_pipeline.py: each takes (spark, docs, sf_dir) and returns a frame.
 
-`doc_id` is the key of the documents; a row whose doc_id is null is treated as a document of its own.
+doc_id is the key of the documents. All stages but the last return the columns of `documents`. Null or
+empty texts pass the toxicity stage like any text without words; null ids are equal to each other.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from caudal.llm.exact_dedup import exact_dedup
-from caudal.llm.shared import prepare
+from caudal.llm.near_dedup import near_duplicates
+from caudal.llm.packing import pack_documents
+from caudal.llm.shared import prepare, staged, table
+from caudal.llm.suffix_dedup import remove_repeats
+from caudal.llm.toxicity import toxicity
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """The documents whose doc_id is in `kept`; two null ids are equal here."""
-    kept = kept.select(kept["doc_id"].alias("kept_id"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The documents whose doc_id is not in `dropped`, which is staged so that its size is known."""
+    dropped = staged(dropped.select(dropped["doc_id"].alias("dropped_id")))
+    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["dropped_id"]), "left_anti")
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that reach the threshold of their language go."""
+    prepare(spark)
+    return _without(docs, toxicity(docs, table(spark, sf_dir, "labels")).filter("flagged"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the largest id stays."""
     prepare(spark)
-    return _only(docs, exact_dedup(docs).filter("kept"))
+    return _without(docs, exact_dedup(docs).filter("NOT kept"))
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of near duplicates, the document with the smallest id stays."""
+    prepare(spark)
+    return _without(docs, near_duplicates(docs, percent=80).filter("NOT kept"))
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more stay where they occur first."""
+    prepare(spark)
+    return remove_repeats(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents with their sequences."""
+    prepare(spark)
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))

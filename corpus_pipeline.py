@@ -5,14 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from caudal.llm.shared import prepare, staged, table
-from caudal.llm.stages import exact
+from caudal.llm.stages import exact, near, packed, repeats, toxic
 
 STAGES = [
+    ("toxicity", toxic),
     ("exact dedup", exact),
+    ("near dedup", near),
+    ("suffix dedup", repeats),
+    ("packing", packed),
 ]
 
-# The stages run a trained classifier, MinHash and a genetic algorithm, which SQL cannot express;
-# tests/llm/test_pipeline.py compares the result with a brute-force version.
+# A trained classifier and a genetic algorithm are beyond SQL; tests/llm/test_pipeline.py compares
+# each stage with a brute-force version.
 ORACLE_SQL = None
 
 
