@@ -19,7 +19,7 @@ OWN = 4096  # the most frequent subwords have an embedding of their own, the oth
 SMOOTHING = 20.0
 RATE = 4e-3
 BATCH = 64
-AT_ONCE = 128
+AT_ONCE = 256
 
 
 class Vocabulary:
@@ -152,7 +152,9 @@ class Attention:
         p = self.p
         x = p["embed"][rows]
         late = x[:, CONTEXT - STRIDE:]
-        q, k, v = late @ p["query"], x @ p["key"], x @ p["value"]
+        all_three = np.concatenate([p["query"], p["key"], p["value"]], axis=1)
+        mapped = (x.reshape(-1, WIDTH) @ all_three).reshape(len(x), CONTEXT, 3 * WIDTH)
+        q, k, v = mapped[:, CONTEXT - STRIDE:, :WIDTH], mapped[:, :, WIDTH:2 * WIDTH], mapped[:, :, 2 * WIDTH:]
         weights = q @ k.transpose(0, 2, 1) * np.float32(WIDTH ** -0.5)
         weights += p["bias"][np.abs(_DISTANCE)] + _LATER
         # A place looks at itself at least, also where nothing else is before it.

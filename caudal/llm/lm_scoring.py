@@ -40,8 +40,9 @@ FOLDS, HELD = 7, 2
 HEAD = 200_000
 SAMPLE = 1500
 SAMPLE_WINDOWS = 90_000
-WINDOWS = 4
+WINDOWS = 2
 COUNTED_AT_ONCE = 300_000
+PAIRS_AT_ONCE = 2_000_000
 _STEPS = 8  # of the count histogram for each doubling
 
 
@@ -138,11 +139,15 @@ def train(training: DataFrame, counts: np.ndarray, tokenizer: str, sample: int =
         own.load(started.flat())
         pairs = np.zeros((CLASSES + 1) * size, np.int64)
         held, seen, weight = [], 0, 0
+        places, waiting = [], 0
         for batch in batches:
             for text in batch["text"]:
                 ids = subwords(text, tokenizer)
-                places = vocabulary.befores(ids) * size + np.append(ids, vocabulary.end)
-                np.add.at(pairs, places, 1)
+                places.append(vocabulary.befores(ids) * size + np.append(ids, vocabulary.end))
+                waiting += len(places[-1])
+                if waiting >= PAIRS_AT_ONCE:
+                    pairs += np.bincount(np.concatenate(places), minlength=len(pairs))
+                    places, waiting = [], 0
                 held.append(_picked(ids, vocabulary, WINDOWS))
                 seen += len(held[-1][0])
                 if seen >= 8192:
@@ -151,6 +156,8 @@ def train(training: DataFrame, counts: np.ndarray, tokenizer: str, sample: int =
         if held:
             own.fit(*map(np.concatenate, zip(*held, strict=True)), rate=1e-3)
             weight += seen
+        if places:
+            pairs += np.bincount(np.concatenate(places), minlength=len(pairs))
         found = np.flatnonzero(pairs)
         yield {"kind": np.zeros(len(found), np.int32), "at": found,
                "total": pairs[found].astype(np.float64), "weight": np.zeros(len(found))}
