@@ -132,8 +132,8 @@ def period(day) -> Column:
 
 
 def in_trailing_months(day, months: int, as_of: date) -> Column:
-    """True on and after the day so many months before `as_of`."""
-    return _col(day) >= F.add_months(F.lit(as_of), -months)
+    """True from the day so many months before `as_of` to `as_of`."""
+    return _col(day).between(F.add_months(F.lit(as_of), -months), F.lit(as_of))
 
 
 def safe_pct(part, whole, scale: int = 4) -> Column:

@@ -25,10 +25,15 @@ def null_profile(df: DataFrame) -> DataFrame:
 
 
 def since(df: DataFrame, column: str, last, inclusive: bool = False) -> DataFrame:
-    """Rows after the mark, or all rows where there is no mark yet."""
+    """Rows after the mark, or all rows where there is no mark yet.
+
+    With `inclusive`, rows of the mark itself and rows without a value come again: neither can be told
+    from rows that arrived late, and the caller sets aside what it already has.
+    """
     if last is None:
         return df
-    return df.filter(F.col(column) >= F.lit(last) if inclusive else F.col(column) > F.lit(last))
+    mark = F.col(column)
+    return df.filter(mark.isNull() | (mark >= F.lit(last)) if inclusive else mark > F.lit(last))
 
 
 def next_mark(df: DataFrame, column: str, as_of: date) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from caudal.functions.audit import INGEST_PARTS, with_date_parts, with_layer_meta
 from caudal.functions.rules import COP_TO_USD
 from caudal.operators.clean import REASON, accepted, rejected
+from caudal.operators.keyed import without_keys
 from caudal.operators.profile import batch_counts, quality_report
 from caudal.plans import bronze, gold, silver
 from caudal.plans.bronze import FAILED, LOG_SCHEMA, Source, layer_result, overall_status
@@ -28,6 +30,8 @@ from caudal.specs import (
     PRODUCTS, SOURCE_TABLES, Batch, GoldSpec, TableSpec,
 )
 
+# What makes a reject the same one in a later batch.
+REJECT_KEY = ["reason", "row_key", "payload"]
 QUALITY_LOG = "_control/quality_log"
 WINDOW_DAYS = 30
 
@@ -67,15 +71,20 @@ def _silver_table(spark: SparkSession, lake: Lake, spec: TableSpec, tagged: Data
                   n_input: int, batch: Batch, started: float) -> int:
     """Evaluate a tagged frame once, then write valid rows, rejects and the quality report."""
     staged = stage(tagged, lake, f"silver_{spec.name}", batch.batch_id)
+    delivered = staged
+    if silver.REFRESHED in staged.columns:  # rows flagged again are no part of the delivery
+        delivered = staged.filter(~F.col(silver.REFRESHED))
+        staged = staged.drop(silver.REFRESHED)
     valid = with_layer_meta(accepted(staged), "silver", batch.batch_id, batch.now)
     if spec.partition_date:
         valid = with_date_parts(valid, spec.partition_date, spec.silver_parts)
     upsert_table(valid, lake, "silver", spec.name, spec.keys, spec.silver_parts,
                  unique=False)  # cleaning leaves one row per key
-    append_table(rejected(staged, spec.name, spec.keys, batch.batch_id, batch.now), lake,
+    refused = rejected(delivered, spec.name, spec.keys, batch.batch_id, batch.now)
+    append_table(without_keys(refused, _earlier_rejects(spark, lake, spec, batch), REJECT_KEY), lake,
                  "errors", "rejects", batch_id=batch.batch_id, source_table=spec.name)
     columns = [c for c in valid.columns if c in spec.columns]
-    counts = batch_counts(staged, REASON, columns).withColumn("n_input", F.lit(n_input))
+    counts = batch_counts(delivered, REASON, columns).withColumn("n_input", F.lit(n_input))
     report = quality_report(counts, spec.name, batch.batch_id, batch.now,
                             time.monotonic() - started)
     append_table(report, lake, "silver", QUALITY_LOG,
@@ -83,6 +92,13 @@ def _silver_table(spark: SparkSession, lake: Lake, spec: TableSpec, tagged: Data
     return read_silver(spark, lake, spec).count()
 
 
+def _earlier_rejects(spark: SparkSession, lake: Lake, spec: TableSpec, batch: Batch) -> DataFrame:
+    """Rejects of the table from other batches; a row refused again for the same reason is among them."""
+    rejects = read_log(spark, lake, "errors", "rejects",
+                       "reason string, row_key string, payload string, batch_id string, source_table string")
+    return rejects.filter((F.col("source_table") == spec.name) & (F.col("batch_id") != batch.batch_id))
+
+
 def pending_rows(spark: SparkSession, lake: Lake, spec: TableSpec, batch: Batch) -> DataFrame:
     """Bronze rows that silver has to look at: those of batches it has not reported on, and
     those it rejected before, since their references may exist by now."""
@@ -91,17 +107,13 @@ def pending_rows(spark: SparkSession, lake: Lake, spec: TableSpec, batch: Batch)
         return landed
     log = read_log(spark, lake, "silver", QUALITY_LOG, "table_name string, batch_id string")
     reported = log.filter((F.col("table_name") == spec.name)
-                          & (F.col("batch_id") != batch.batch_id)).distinct()
-    done = [row["batch_id"] for row in reported.collect()]  # one per earlier batch
-    known = F.col("_batch_id").isin(done)
-    rejects = read_log(spark, lake, "errors", "rejects",
-                       "row_key string, batch_id string, source_table string")
-    keys = rejects.filter((F.col("source_table") == spec.name)
-                          & F.col("batch_id").isin(done)).select("row_key").distinct()
+                          & (F.col("batch_id") != batch.batch_id)).select("batch_id").distinct()
+    seen = landed.join(reported.withColumnRenamed("batch_id", "_batch_id"), "_batch_id", "left_semi")
+    unseen = landed.join(reported.withColumnRenamed("batch_id", "_batch_id"), "_batch_id", "left_anti")
+    keys = _earlier_rejects(spark, lake, spec, batch).select("row_key").distinct()
     row_key = F.concat_ws("|", *[F.col(k).cast("string") for k in spec.keys])
-    again = (landed.filter(known).withColumn("row_key", row_key)
-             .join(keys, "row_key", "left_semi").drop("row_key"))
-    return landed.filter(~known).unionByName(again)
+    again = seen.withColumn("row_key", row_key).join(keys, "row_key", "left_semi").drop("row_key")
+    return unseen.select(landed.columns).unionByName(again.select(landed.columns))
 
 
 def _changed_movements(spark: SparkSession, lake: Lake, df: DataFrame, customers: DataFrame,
@@ -112,10 +124,11 @@ def _changed_movements(spark: SparkSession, lake: Lake, df: DataFrame, customers
                 batch.batch_id)
     existing = read_silver(spark, lake, MOVEMENTS)
     first = stage(silver.first_changes(new, existing), lake, f"{name}_first", batch.batch_id)
-    earliest = first.agg(F.date_sub(F.min("_first"), WINDOW_DAYS)).head()[0]
+    earliest, latest = first.agg(F.date_sub(F.min("_first"), WINDOW_DAYS),
+                                 F.date_add(F.max("_last"), WINDOW_DAYS)).head()
     if earliest is not None:  # reads only the months the windows reach
         year, month = (F.col(part) for part in MOVEMENTS.silver_parts)
-        existing = existing.filter(F.concat(year, month) >= f"{earliest:%Y%m}")
+        existing = existing.filter(F.concat(year, month).between(f"{earliest:%Y%m}", f"{latest:%Y%m}"))
     return silver.refresh_movements(new, existing, first, WINDOW_DAYS)
 
 
@@ -211,10 +224,23 @@ def run_batch(spark: SparkSession, lake: Lake, source: Source, batch: Batch,
               settings: Settings = Settings()) -> DataFrame:
     """Ingest, clean, model and check one batch; returns its one-row summary.
 
-    A layer with failed tables is finished and then ends the batch with BatchFailed. Failed
-    expectations and volume alerts only show in the summary.
+    A layer with failed tables is finished and then ends the batch with BatchFailed; its summary row is
+    written all the same, and staged copies are dropped. Failed expectations and volume alerts only show
+    in the summary.
     """
     results = []
+    try:
+        return _run_layers(spark, lake, source, batch, settings, results)
+    except BatchFailed:
+        _summarise(spark, lake, batch, results,
+                   spark.createDataFrame([], "passed boolean").withColumn("batch_id", F.lit(batch.batch_id)))
+        raise
+    finally:
+        drop_stage(spark, lake, batch.batch_id)
+
+
+def _run_layers(spark: SparkSession, lake: Lake, source: Source, batch: Batch, settings: Settings,
+                results: list[DataFrame]) -> DataFrame:
     for layer, run in (
         ("bronze", lambda: run_bronze(spark, lake, source, batch, settings)),
         ("silver", lambda: run_silver(spark, lake, batch, settings)),
@@ -229,12 +255,18 @@ def run_batch(spark: SparkSession, lake: Lake, source: Source, batch: Batch,
             raise BatchFailed(f"{layer}: {bad}")
 
     checks = run_checks(spark, lake, batch).withColumn("batch_id", F.lit(batch.batch_id))
+    summary = _summarise(spark, lake, batch, results, checks)
+    clean_up(spark, lake, batch, settings.keep_snapshots)
+    return summary
+
+
+def _summarise(spark: SparkSession, lake: Lake, batch: Batch, results: list[DataFrame],
+               checks: DataFrame) -> DataFrame:
+    """Write and return the summary row over the layers that were run."""
     log = read_log(spark, lake, "bronze", "_control/ingestion_log", LOG_SCHEMA)
     anomaly = volume_anomaly(log, None, batch.batch_id)
-    counts = results[0].unionByName(results[1]).unionByName(results[2])
-    summary = run_summary(counts, checks, anomaly)
+    summary = run_summary(reduce(DataFrame.unionByName, results), checks, anomaly)
     append_table(summary, lake, "errors", "run_summary", batch_id=batch.batch_id)
-    clean_up(spark, lake, batch, settings.keep_snapshots)
     return summary
 
 

@@ -77,9 +77,10 @@ def not_yet_landed(incoming: DataFrame, landed: DataFrame, spec: TableSpec,
                    mark: str) -> DataFrame:
     """Incoming rows that bronze does not hold yet, compared on all source columns.
 
-    Only the landed rows from the mark on are read, since that is what the source was asked for.
+    Only the landed rows from the mark on, and those without a value, are read, since that is what
+    the source was asked for.
     """
-    recent = landed.filter(F.col(spec.watermark) >= F.lit(mark))
+    recent = since(landed, spec.watermark, mark, inclusive=True)
     return without_keys(incoming, recent, spec.columns)
 
 

@@ -83,7 +83,7 @@ def build_dim_channels(branches: DataFrame, movements: DataFrame) -> DataFrame:
     return channels(branches, movements).select(
         "cod_canal",
         "tipo_canal",
-        F.md5("cod_canal").alias("id_canal"),
+        F.md5(F.concat_ws("_", "cod_canal", "tipo_canal")).alias("id_canal"),
         rules.channel_label("cod_canal").alias("desc_canal"),
     )
 

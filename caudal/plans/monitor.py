@@ -17,9 +17,9 @@ def batch_totals(log: DataFrame) -> DataFrame:
 
 
 def last_batches(log: DataFrame, batch_id: str, n: int = 7) -> DataFrame:
-    """The n newest batches other than the given one."""
+    """The n newest batches before the given one. Batch ids sort by time."""
     return (
-        batch_totals(log.filter(F.col("batch_id") != batch_id))
+        batch_totals(log.filter(F.col("batch_id") < batch_id))
         .orderBy(F.col("batch_id").desc()).limit(n)
     )
 

@@ -23,6 +23,9 @@ from caudal.specs import (
     MOVEMENTS, PRODUCTS, UNKNOWN_CLIENT, UNKNOWN_PRODUCT, TableSpec,
 )
 
+# Marks existing rows that are only flagged again, beside the rows of a delivery.
+REFRESHED = "_refreshed"
+
 
 def _newest_per_key(df: DataFrame, spec: TableSpec) -> DataFrame:
     order = [F.col(spec.watermark).desc_nulls_last()] if spec.watermark else []
@@ -99,32 +102,34 @@ def silver_movements(df: DataFrame, customers: DataFrame, products: DataFrame,
 
 
 def first_changes(new: DataFrame, existing: DataFrame) -> DataFrame:
-    """(id_cli, _first): the earliest day on which prepared `new` rows change a client's history,
+    """(id_cli, _first, _last): the days between which prepared `new` rows change a client's history,
     by adding a row or by taking the place of an existing one."""
     ids = new.select("id_mov").distinct()
     added = new.filter(F.col(REASON).isNull()).select("id_cli", "fec_mov")
     replaced = existing.join(ids, "id_mov", "left_semi").select("id_cli", "fec_mov")
-    return added.unionByName(replaced).groupBy("id_cli").agg(F.min("fec_mov").alias("_first"))
+    return added.unionByName(replaced).groupBy("id_cli").agg(
+        F.min("fec_mov").alias("_first"), F.max("fec_mov").alias("_last"))
 
 
 def refresh_movements(new: DataFrame, existing: DataFrame, first: DataFrame,
                       days: int = 30, sigmas: float = 3) -> DataFrame:
     """Flags of the new rows, and again of the clients' existing rows whose window they enter.
 
-    `existing` holds silver rows at least from `days` before the earliest change on. The result
-    has all new rows and those existing rows that come after their client's first change.
+    `existing` holds silver rows at least from `days` before the earliest change to `days` after the
+    latest one. The result has all new rows and those existing rows that come after their client's first
+    change and at most `days` after the last one; REFRESHED marks the existing rows.
     """
     columns = new.columns
     ids = new.select("id_mov").distinct()
     others = existing.join(ids, "id_mov", "left_anti")
     near = skew_join(others, first, "id_cli", "inner").filter(
-        F.col("fec_mov") >= F.date_sub("_first", days))
+        F.col("fec_mov").between(F.date_sub("_first", days), F.date_add("_last", days)))
     empty = F.lit(None).cast("string")
     near = near.withColumns({REASON: empty, PAYLOAD: empty}).select(*columns, "_first")
     both = new.withColumn("_first", F.lit(None).cast("date")).unionByName(near)
     flagged = flag_movements(both, days, sigmas)
     changed = F.col("_first").isNull() | (F.col("fec_mov") > F.col("_first"))
-    return flagged.filter(changed).drop("_first")
+    return flagged.filter(changed).withColumn(REFRESHED, F.col("_first").isNotNull()).drop("_first")
 
 
 def silver_fees(df: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:

@@ -193,6 +193,13 @@ def incremental_scan(spark, sf_dir):
                         F.col("o_orderdate").cast("date").alias("o_orderdate"))
 
 
+def incremental_with_nulls(spark, sf_dir):
+    """The inclusive scan also brings rows without a value of the watermark column."""
+    day = F.nullif(F.col("o_orderdate").cast("date"), F.lit(date(1998, 3, 5)))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", day.alias("day"))
+    return profile.since(orders, "day", date(2000, 1, 1), inclusive=True)
+
+
 def next_watermark(spark, sf_dir):
     return profile.next_mark(table(spark, sf_dir, "orders"), "o_orderdate", date(2000, 6, 30))
 
@@ -462,7 +469,7 @@ def check_bucket_values(spark, sf_dir):
 
 def invalid_sample(spark, sf_dir):
     events = table(spark, sf_dir, "events").filter(~F.col("event_type").isin("view", "click"))
-    return keyed.sample_values(events.filter("value > 100"), "value", 5)
+    return keyed.sample_values(events, "event_type", 5)
 
 
 def check_provision(spark, sf_dir):
@@ -552,6 +559,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "provision": provision,
     "clamp_overdue": clamp_overdue,
     "incremental_scan": incremental_scan,
+    "incremental_with_nulls": incremental_with_nulls,
     "next_watermark": next_watermark,
     "latest_watermark": latest_watermark,
     "audit_columns": audit_columns,

@@ -310,7 +310,7 @@ _part("dim_geography", ("s_branches",), """
 """)
 
 _part("dim_channels", ("s_branches", "s_movements"), """
-    SELECT cod_canal, tipo_canal, md5(cod_canal) AS id_canal,
+    SELECT cod_canal, tipo_canal, md5(cod_canal || '_' || tipo_canal) AS id_canal,
         CASE cod_canal WHEN 'APP_MOVIL' THEN 'Aplicación Móvil' WHEN 'PORTAL_WEB' THEN 'Portal Web'
             WHEN 'CORRESPONSAL' THEN 'Corresponsal Bancario' WHEN 'ATM' THEN 'Cajero Automático'
             WHEN 'BANCA_TELEFONICA' THEN 'Banca Telefónica' WHEN 'SUCURSAL' THEN 'Sucursal Física'
@@ -346,7 +346,7 @@ _part("portfolio", ("s_loans", "s_customers", "dim_products"), f"""
 _part("fees_12m", ("s_fees",), """
     SELECT id_cli, strftime(fec_cobro, '%Y-%m') AS periodo,
         sum(CAST(vr_comision AS DECIMAL(18,2))) AS total_comisiones
-    FROM s_fees WHERE estado_cobro = 'COBRADO' AND fec_cobro >= DATE '2000-08-01'
+    FROM s_fees WHERE estado_cobro = 'COBRADO' AND fec_cobro BETWEEN DATE '2000-08-01' AND DATE '2001-08-01'
     GROUP BY ALL
 """)
 _part("interest_12m", ("s_loans", "dim_products"), """
@@ -354,7 +354,7 @@ _part("interest_12m", ("s_loans", "dim_products"), """
         sum(CAST(sdo_capital AS DECIMAL(18,2)) * CAST(tasa_mensual_pct AS DECIMAL(9,4))
             * CAST(0.01 AS DECIMAL(3,2))) AS ingreso_intereses_est
     FROM s_loans l LEFT JOIN dim_products p ON l.cod_prod = p.cod_prod
-    WHERE fec_desembolso >= DATE '2000-08-01' GROUP BY ALL
+    WHERE fec_desembolso BETWEEN DATE '2000-08-01' AND DATE '2001-08-01' GROUP BY ALL
 """)
 _part("income", ("fees_12m", "interest_12m"), """
     SELECT coalesce(f.id_cli, i.id_cli) AS id_cli, coalesce(f.periodo, i.periodo) AS periodo,
@@ -373,7 +373,7 @@ _part("value_12m", ("income", "s_movements", "s_customers"), """
               CAST(round(sum(ingreso_intereses_est), 2) AS DOUBLE) AS total_intereses_12m
           FROM income GROUP BY id_cli) v
     LEFT JOIN (SELECT id_cli, count(DISTINCT strftime(fec_mov, '%Y-%m')) AS meses_activo
-               FROM s_movements WHERE fec_mov >= DATE '2000-08-01' GROUP BY id_cli) m
+               FROM s_movements WHERE fec_mov BETWEEN DATE '2000-08-01' AND DATE '2001-08-01' GROUP BY id_cli) m
       ON m.id_cli = v.id_cli
     LEFT JOIN s_customers c ON c.id_cli = v.id_cli
 """)
@@ -402,7 +402,7 @@ _part("totals", ("ingestion_log",), """
     WHERE status = 'SUCCESS' GROUP BY batch_id
 """)
 _part("last7", ("totals",), """
-    SELECT * FROM totals WHERE batch_id <> '200107' ORDER BY batch_id DESC LIMIT 7
+    SELECT * FROM totals WHERE batch_id < '200107' ORDER BY batch_id DESC LIMIT 7
 """)
 _part("anomaly", ("last7", "totals"), """
     SELECT '200107' AS batch_id, pct > 30 AS anomaly_detected, current,
@@ -555,6 +555,10 @@ ORACLE: dict[str, str] = {
     "incremental_scan": """
         SELECT o_orderkey, o_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate
         FROM orders WHERE o_orderdate > TIMESTAMP '2000-01-01'""",
+    "incremental_with_nulls": """
+        SELECT o_orderkey, day FROM (
+            SELECT o_orderkey, nullif(CAST(o_orderdate AS DATE), DATE '1998-03-05') AS day FROM orders)
+        WHERE day IS NULL OR day >= DATE '2000-01-01'""",
     "next_watermark": """
         SELECT CAST(max(CAST(o_orderdate AS DATE)) AS VARCHAR) AS last_watermark FROM orders
         WHERE CAST(o_orderdate AS DATE) <= DATE '2000-06-30'""",
@@ -715,8 +719,8 @@ ORACLE: dict[str, str] = {
         "expect_bucket_mora_valid_values", "customer", "Gold", "cod_segmento",
         "'ELITE', 'Premium'", "raw_customers")),
     "invalid_sample": """
-        SELECT DISTINCT value FROM events
-        WHERE event_type NOT IN ('view', 'click') AND value > 100 ORDER BY value LIMIT 5""",
+        SELECT DISTINCT event_type FROM events
+        WHERE event_type NOT IN ('view', 'click') ORDER BY event_type LIMIT 5""",
     "check_provision": _with(("lines",), _bounds(
         "expect_provision_non_negative_and_consistent", "lineitem", "Gold", "provision_estimada",
         "0", "l_extendedprice * 1.001",

@@ -173,12 +173,17 @@ def stage(df: DataFrame, lake: Lake, name: str, batch_id: str) -> DataFrame:
 def scratch_lake(spark: SparkSession) -> Lake:
     """A new folder for intermediate tables, inside the session's checkpoint folder.
 
-    A cluster names a shared folder in spark.checkpoint.dir. Only where none is set (tests, one
-    machine) is a local temporary folder used.
+    A cluster names a shared folder in spark.checkpoint.dir. Where none is set, one machine uses a
+    temporary folder, and a cluster is refused, since its executors would each write to their own disk.
     """
     shared = (spark.conf.get("spark.checkpoint.dir", None)
               or spark.sparkContext.getCheckpointDir())
-    return Lake(f"{shared or tempfile.gettempdir()}/caudal-{uuid.uuid4().hex}")
+    if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        shared = tempfile.mkdtemp(prefix="caudal-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return Lake(f"{shared}/caudal-{uuid.uuid4().hex}")
 
 
 def upsert_table(df: DataFrame, lake: Lake, layer: str, name: str, keys: tuple[str, ...],

@@ -107,6 +107,8 @@ def test_one_failing_table_stops_the_layer_at_its_end(spark, lake):
     assert log["TB_PRODUCTOS_CAT"] == "FAILED" and Counter(log.values())["SUCCESS"] == 5
     assert read_log(spark, lake, "errors", "pipeline_errors", ERROR_SCHEMA).head()["table_name"] == (
         "TB_PRODUCTOS_CAT")
+    summary = read_log(spark, lake, "errors", "run_summary", "batch_id string, status string").collect()
+    assert [row["status"] for row in summary] == ["PARTIAL_FAILURE"]
     # The next attempt of the same batch carries on.
     assert runs.run_batch(spark, lake, good, FIRST).head()["status"] == "SUCCESS"
 
@@ -165,6 +167,11 @@ def test_cleaning_only_new_rows_equals_cleaning_all(spark, tmp_path):
             assert {status for _, _, status, _ in loaded + cleaned} == {"SUCCESS"}
         df = runs.read_silver(spark, lake, MOVEMENTS).drop(*TIMES, "_batch_id_silver")
         results[scope] = Counter(df.select(*sorted(df.columns)).collect())
+        log = read_log(spark, lake, "silver", runs.QUALITY_LOG,
+                       "n_input long, n_output long, n_rejected long, pct_conformes double").collect()
+        assert all(0 <= r["pct_conformes"] <= 100 and r["n_rejected"] >= 0 for r in log)
+        refused = read_log(spark, lake, "errors", "rejects", "reason string, row_key string, payload string")
+        assert refused.count() == refused.distinct().count()
     assert results["new"] == results["all"]
     assert {row["ind_sospechoso"] for row in results["new"]} == {0, 1}
     assert "C7" in {row["id_cli"] for row in results["new"]}
