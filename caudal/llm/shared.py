@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -79,6 +80,15 @@ def staged(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished, unreachable queries.
+
+    It does so when the driver collects its garbage, which an idle driver may put off for half an hour.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def keyed_join(rows: DataFrame, side: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join on keys of which one may hold a large share of `rows`; `side` has a row per key.
 

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caudal.llm.near_dedup import _mixed, hashed_words, windows_of
-from caudal.llm.shared import in_batches, keyed_join, staged
+from caudal.llm.shared import in_batches, keyed_join, release, staged
 
 MIN_WORDS = 50
 PHRASE = 8
@@ -107,7 +107,10 @@ def _kept_suffixes(docs: DataFrame, min_words: int, phrase: int) -> DataFrame:
 
 
 def _windows(docs: DataFrame, wanted: DataFrame, min_words: int, phrase: int) -> DataFrame:
-    """Every window of the wanted runs: phrase, window fingerprint, doc_id, row, place."""
+    """Every window of the wanted runs: phrase, window fingerprint, doc_id, row, place.
+
+    Rows that share id and text give the same windows more than once, which later steps allow.
+    """
     asked = (wanted.groupBy("doc_id").agg(F.collect_list(F.struct("row", "phrase", "stretch", "first")).alias("runs"))
              .withColumn("_null", F.col("doc_id").isNull()).withColumn("_id", F.coalesce("doc_id", F.lit(0))))
     texts = docs.select(F.col("doc_id").isNull().alias("_null"), F.coalesce("doc_id", F.lit(0)).alias("_id"), "text")
@@ -135,7 +138,7 @@ def _windows(docs: DataFrame, wanted: DataFrame, min_words: int, phrase: int) ->
 
     joined = asked.join(texts, ["_null", "_id"])
     return in_batches(joined, each, "phrase long, window long, doc_id long, row long, place int",
-                      "doc_id", "runs", "text").distinct()
+                      "doc_id", "runs", "text")
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, phrase: int = PHRASE) -> DataFrame:
@@ -145,6 +148,9 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, phrase: int =
     """
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     suffixes = staged(_kept_suffixes(docs, min_words, phrase))
+    repeated = suffixes.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("phrase")
+    suffixes = staged(keyed_join(suffixes, repeated, ["phrase"], "left_semi"))
+    release(docs.sparkSession)
     stretches = staged(suffixes.groupBy("phrase", "stretch").agg(
         F.min(F.struct("doc_id", "row", "first", "last")).alias("origin"), F.count(F.lit(1)).alias("copies")))
     whole = (keyed_join(suffixes, stretches.filter("copies > 1"), ["phrase", "stretch"])
@@ -155,7 +161,9 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, phrase: int =
     several = stretches.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("phrase")
     wanted = keyed_join(stretches, several, ["phrase"]).select(
         "phrase", "stretch", "origin.doc_id", "origin.row", "origin.first")
+    release(docs.sparkSession)
     windows = staged(_windows(docs, wanted, min_words, phrase))
+    release(docs.sparkSession)
     origins = windows.groupBy("phrase", "window").agg(
         F.min(F.struct("doc_id", "row", "place")).alias("origin"), F.count(F.lit(1)).alias("copies"))
     parts = (keyed_join(windows, origins.filter("copies > 1"), ["phrase", "window"])
