@@ -17,6 +17,7 @@ HIDDEN = 32
 CLASSES = 64
 OWN = 4096  # the most frequent subwords have an embedding of their own, the others that of their class
 SMOOTHING = 20.0
+LARGE = 60.0  # float32 holds exponentials up to this, and their sums
 RATE = 4e-3
 BATCH = 64
 AT_ONCE = 256
@@ -45,7 +46,7 @@ class Vocabulary:
         rank[np.argsort(-counts, kind="stable")] = np.arange(len(counts))
         self.row = np.where(rank < OWN, rank, OWN + self.classes)
         self.start_row, self.none_row = OWN + CLASSES, OWN + CLASSES + 1
-        self.class_share = np.log(mass / mass.sum())
+        self.class_share = np.log(np.maximum(mass, 1.0) / mass.sum())
 
     def befores(self, ids: np.ndarray) -> np.ndarray:
         """For each target of a text, its end included, the class of the subword before."""
@@ -103,6 +104,7 @@ def windows(ids: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.nda
 
 _DISTANCE = (np.arange(CONTEXT - STRIDE, CONTEXT)[:, None] - np.arange(CONTEXT)[None]).astype(np.int64)
 _LATER = np.where(_DISTANCE < 0, np.float32(-1e9), np.float32(0))
+_PLACES = np.arange(STRIDE)
 _SELF = (_DISTANCE == 0).astype(np.float32)
 
 
@@ -152,33 +154,44 @@ class Attention:
         p = self.p
         x = p["embed"][rows]
         late = x[:, CONTEXT - STRIDE:]
-        all_three = np.concatenate([p["query"], p["key"], p["value"]], axis=1)
+        scaled = p["query"] * np.float32(WIDTH ** -0.5)
+        all_three = np.concatenate([scaled, p["key"], p["value"]], axis=1)
         mapped = (x.reshape(-1, WIDTH) @ all_three).reshape(len(x), CONTEXT, 3 * WIDTH)
         q, k, v = mapped[:, CONTEXT - STRIDE:, :WIDTH], mapped[:, :, WIDTH:2 * WIDTH], mapped[:, :, 2 * WIDTH:]
-        weights = q @ k.transpose(0, 2, 1) * np.float32(WIDTH ** -0.5)
+        weights = q @ k.transpose(0, 2, 1)
         weights += p["bias"][np.abs(_DISTANCE)] + _LATER
         # A place looks at itself at least, also where nothing else is before it.
         none = rows == self.none_row
         if none.any():
             some = none.any(axis=1)
             weights[some] -= np.float32(1e9) * none[some].astype(np.float32)[:, None, :] * (1 - _SELF)
-        weights -= weights.max(axis=2, keepdims=True)
+        own = weights[:, _PLACES, _PLACES + CONTEXT - STRIDE]  # each place's look at itself
+        if kept is not None or weights.max() > LARGE or own.min() < -LARGE:
+            weights -= weights.max(axis=2, keepdims=True)
         np.exp(weights, out=weights)
-        weights /= weights.sum(axis=2, keepdims=True)
-        joined = np.concatenate([late, weights @ v], axis=2)
+        total = weights.sum(axis=2, keepdims=True)
+        joined = np.empty((len(x), STRIDE, 2 * WIDTH), x.dtype)
+        joined[:, :, :WIDTH] = late
+        np.divide(weights @ v, total, out=joined[:, :, WIDTH:])
         if kept is not None:
-            kept.update(x=x, q=q, k=k, v=v, weights=weights, joined=joined)
+            weights /= total
+            kept.update(x=x, q=q / np.float32(WIDTH ** -0.5), k=k, v=v, weights=weights, joined=joined)
         return joined
 
     def log_classes(self, rows: np.ndarray, classes: np.ndarray) -> np.ndarray:
         """Log probability (natural) of the given class at each predicted place."""
         p = self.p
         flat = self._attended(rows).reshape(-1, 2 * WIDTH)
-        hidden = np.maximum(flat @ p["hidden"] + p["hidden0"], 0)
-        logits = hidden @ p["out"]
-        logits += p["out0"]
+        hidden = np.ones((len(flat), HIDDEN + 1), flat.dtype)  # the last column meets the bias
+        np.matmul(flat, p["hidden"], out=hidden[:, :HIDDEN])
+        hidden[:, :HIDDEN] += p["hidden0"]
+        np.maximum(hidden, 0, out=hidden)
+        logits = hidden @ np.vstack([p["out"], p["out0"]])
         own = logits[np.arange(len(logits)), classes.ravel()]
-        np.clip(logits, -60, 60, out=logits)  # float32 holds their exponentials and the sum
+        if np.abs(own).max() > LARGE or logits.max() > LARGE:
+            most = logits.max(axis=1, keepdims=True)
+            logits -= most
+            own -= most[:, 0]
         np.exp(logits, out=logits)
         return (own - np.log(logits.sum(axis=1))).reshape(classes.shape)
 
