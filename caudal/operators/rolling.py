@@ -10,6 +10,8 @@ from caudal.functions.rules import flag
 
 CENTS = DecimalType(20, 0)
 WIDE = DecimalType(38, 0)
+LIMB = 10 ** 9
+LIMB_PAIRS = (("_h", "_h", "_hh"), ("_h", "_l", "_hl"), ("_l", "_l", "_ll"))
 
 
 def _cents(value: str) -> Column:
@@ -28,39 +30,48 @@ def daily_stats(df: DataFrame, key: str, date_col: str, value: str, days: int,
     Sums are whole cents in decimals, so they are exact and do not depend on row order. With
     sum = n*k + r, the squared deviations from k are squares - n*k*k - 2*k*r, exactly; only the
     small correction r*r/n is done in floating point, so equal amounts give a deviation of 0.
-    Should absurd amounts overflow the 38 digits, the deviation is NULL and nothing is flagged.
+    Squares are summed in three parts, from the upper and lower nine digits of each amount, so that no
+    sum overflows; only a result beyond 38 digits is put together in floating point.
     """
     per_day = (
         df.filter(F.col(key).isNotNull() & F.col(date_col).isNotNull())
         .select(key, date_col, _cents(value).alias("_c"))
+        .withColumn("_h", F.expr(f"_c div {LIMB}")).withColumn("_l", F.expr(f"cast(_c % {LIMB} as bigint)"))
         .groupBy(key, date_col)
         .agg(F.count("_c").alias("_n"),
              F.sum("_c").alias("_s"),
-             F.try_sum((F.col("_c") * F.col("_c")).cast(WIDE)).alias("_q"))
+             *[F.sum((F.col(x) * F.col(y)).cast(CENTS)).alias(name) for x, y, name in LIMB_PAIRS])
     )
-    too_large = F.col("_q").isNull() & (F.col("_n") > 0)
     frame = Window.partitionBy(key).orderBy(F.unix_date(date_col)).rangeBetween(-days, -1)
     sums = per_day.select(
         key, date_col,
         F.sum("_n").over(frame).cast(CENTS).alias("_rows"),
         F.sum("_s").over(frame).cast(WIDE).alias("_sum"),
-        F.when(F.count_if(too_large).over(frame) == 0, F.try_sum("_q").over(frame)).cast(WIDE)
-        .alias("_squares"),
+        *[F.sum(name).over(frame).cast(WIDE).alias(name) for _, _, name in LIMB_PAIRS],
     ).filter("_rows > 0")
     parts = (
         sums.withColumn("_k", F.expr("cast(_sum div _rows as decimal(20,0))"))
         .withColumn("_nk", F.expr("cast(_rows * _k as decimal(38,0))"))
         .withColumn("_r", F.expr("cast(_sum - _nk as decimal(20,0))"))
+        .withColumn("_kh", F.expr(f"cast(_k div {LIMB} as decimal(10,0))"))
+        .withColumn("_kl", F.expr(f"cast(_k % {LIMB} as decimal(10,0))"))
+        .withColumn("_dh", F.expr("_hh - cast(_rows * (_kh * _kh) as decimal(38,0))"))
+        .withColumn("_dm", F.expr("2 * (_hl - cast(_rows * (_kh * _kl) as decimal(38,0))"
+                                  " - cast(_kh * _r as decimal(38,0)))"))
+        .withColumn("_dl", F.expr("_ll - cast(_rows * (_kl * _kl) as decimal(38,0))"
+                                  " - cast(2 * (_kl * _r) as decimal(38,0))"))
     )
-    around_k = F.expr(
-        "_squares - cast(_nk * _k as decimal(38,0)) - cast(2 * _k * _r as decimal(38,0))")
+    exact = F.expr(f"try_add(try_add(try_multiply(_dh, {LIMB}BD * {LIMB}BD), try_multiply(_dm, {LIMB}BD)), _dl)")
+    near = (F.col("_dh").cast("double") * float(LIMB) ** 2 + F.col("_dm").cast("double") * float(LIMB)
+            + F.col("_dl").cast("double"))
+    around_k = F.coalesce(exact.cast("double"), near)
     rest = F.col("_r").cast("double")
     count = F.col("_rows").cast("double")
-    squares = around_k.cast("double") - rest * rest / count
+    squares = around_k - rest * rest / count
     return parts.select(
         key, date_col,
         ((F.col("_k").cast("double") + rest / count) / 100).alias(mean),
-        F.when((count > 1) & F.col("_squares").isNotNull(),
+        F.when(count > 1,
                F.sqrt(F.greatest(squares, F.lit(0.0)) / (count - 1)) / 100).alias(sd),
     )
 

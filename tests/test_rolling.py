@@ -87,6 +87,24 @@ def test_absurd_amounts_do_not_stop_the_job(spark):
     assert got[1.0] == got[2.0] == (None, 0) and got[9e15][1] == 0
 
 
+def test_large_amounts_keep_their_deviation(spark):
+    """Squares of these sums pass 38 digits."""
+    rng = random.Random(7)
+    first = date(2024, 1, 1)
+    rows = [("C1", first + timedelta(days=n // 30), 5e15 + rng.randrange(1000)) for n in range(600)]
+    rows += [("C1", first + timedelta(days=20), 9.9e15)] + [
+        ("C2", first + timedelta(days=n), 9e15) for n in range(5)] + [("C2", first + timedelta(days=6), 9.1e15)]
+    df = spark.createDataFrame(rows, "k string, d date, v double")
+    got = rolling_stats(df, "k", "d", "v", 30).select("k", "d", "mean_30d", "sd_30d").distinct().collect()
+    for r in got:
+        window = [v for k, d, v in rows if k == r["k"] and 1 <= (r["d"] - d).days <= 30]
+        if len(window) > 1:
+            exact = statistics.stdev([int(v) for v in window])
+            assert r["sd_30d"] == pytest.approx(exact, rel=1e-6, abs=1e-6)
+    flags = {(r["k"], r["d"]): r["ind_sospechoso"] for r in suspicious_flag(df, "k", "d", "v").collect()}
+    assert flags["C1", first + timedelta(days=20)] == 1 and flags["C2", first + timedelta(days=6)] == 1
+
+
 def test_window_input_is_one_row_per_client_and_day(spark):
     """A client with nearly all rows reaches the window as one row per day."""
     df = spark.range(60_000).select(
