@@ -66,7 +66,8 @@ def load_jdbc(tables: dict[str, DataFrame], url: str, order: list[str],
               batchsize: int = FETCH_SIZE, **connection: str) -> None:
     """Reload tables in foreign-key order: empty children first, then fill parents first.
 
-    `order` lists parents before children.
+    `order` lists parents before children. Emptying asks for TRUNCATE TABLE, which some databases refuse for a
+    table that a foreign key points to, even if the child is empty; there, delete the rows beforehand.
     """
     properties = {"batchsize": str(batchsize), **connection}
     for name in reversed(order):
