@@ -140,14 +140,17 @@ class Attention:
         """Log probabilities (natural) of the classes for the last STRIDE places of each window."""
         p = self.p
         joined = self._attended(rows, kept)
-        before = joined @ p["hidden"] + p["hidden0"]
-        hidden = np.maximum(before, 0)
-        logits = hidden @ p["out"] + p["out0"]
-        logits -= logits.max(axis=2, keepdims=True)
-        logits -= np.log(np.exp(logits).sum(axis=2, keepdims=True))
+        # Products of flat tables are one call each, those of stacks one for each window.
+        hidden = joined.reshape(-1, 2 * WIDTH) @ p["hidden"]
+        hidden += p["hidden0"]
+        np.maximum(hidden, 0, out=hidden)
+        logits = hidden @ p["out"]
+        logits += p["out0"]
+        logits -= logits.max(axis=1, keepdims=True)
+        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
         if kept is not None:
             kept["hidden"] = hidden
-        return logits
+        return logits.reshape(len(rows), STRIDE, CLASSES)
 
     def _attended(self, rows: np.ndarray, kept: dict | None = None) -> np.ndarray:
         """The last STRIDE places of each window, joined with what they attend to."""
@@ -202,13 +205,14 @@ class Attention:
         counted = classes >= 0
         batch, place = np.nonzero(counted)
         change[batch, place, classes[batch, place]] -= 1
-        change *= counted[:, :, None] / np.float32(max(1, counted.sum()))
+        change *= (counted / np.float32(max(1, counted.sum())))[:, :, None]
         flat = change.reshape(-1, CLASSES)
-        g = {"out": kept["hidden"].reshape(-1, HIDDEN).T @ flat, "out0": flat.sum(axis=0)}
-        inner = (change @ p["out"].T) * (kept["hidden"] > 0)
-        g["hidden"] = kept["joined"].reshape(-1, 2 * WIDTH).T @ inner.reshape(-1, HIDDEN)
-        g["hidden0"] = inner.sum(axis=(0, 1))
-        joined = inner @ p["hidden"].T
+        g = {"out": kept["hidden"].T @ flat, "out0": flat.sum(axis=0)}
+        inner = flat @ p["out"].T
+        inner *= kept["hidden"] > 0
+        g["hidden"] = kept["joined"].reshape(-1, 2 * WIDTH).T @ inner
+        g["hidden0"] = inner.sum(axis=0)
+        joined = (inner @ p["hidden"].T).reshape(kept["joined"].shape)
         late, mixed = joined[:, :, :WIDTH], joined[:, :, WIDTH:]
         weights = kept["weights"]
         v = weights.transpose(0, 2, 1) @ mixed
@@ -221,10 +225,14 @@ class Attention:
         flat_x = x.reshape(-1, WIDTH)
         g["query"] = x[:, CONTEXT - STRIDE:].reshape(-1, WIDTH).T @ q.reshape(-1, WIDTH)
         g["key"], g["value"] = flat_x.T @ k.reshape(-1, WIDTH), flat_x.T @ v.reshape(-1, WIDTH)
-        own = k @ p["key"].T + v @ p["value"].T
-        own[:, CONTEXT - STRIDE:] += late + q @ p["query"].T
+        own = (k.reshape(-1, WIDTH) @ p["key"].T + v.reshape(-1, WIDTH) @ p["value"].T).reshape(x.shape)
+        own[:, CONTEXT - STRIDE:] += late + (q.reshape(-1, WIDTH) @ p["query"].T).reshape(late.shape)
         g["embed"] = np.zeros_like(p["embed"])
-        np.add.at(g["embed"], rows.ravel(), own.reshape(-1, WIDTH))
+        places = rows.ravel()
+        order = np.argsort(places, kind="stable")
+        found = places[order]
+        starts = np.flatnonzero(np.diff(found, prepend=-1))
+        g["embed"][found[starts]] = np.add.reduceat(own.reshape(-1, WIDTH)[order], starts, axis=0)
         return g
 
     def fit(self, rows: np.ndarray, classes: np.ndarray, seed: int = 13, rate: float = RATE) -> None:

@@ -10,7 +10,7 @@ Model: subword ids of the text, A-Z lower-cased and words divided by one space.
 2. At most SAMPLE training documents (the first by a hash of doc_id) give the classes of subwords and the first
    weights on the driver.
 3. A second pass over all training documents counts each subword by the class before it, and trains the weights in
-   every task on WINDOWS windows of each document, at places drawn by a hash of its text. The tasks' weights are
+   every task on all windows of its documents, so that every subword is a target once. The tasks' weights are
    averaged, weighted by their windows. What is sent grows with the number of tasks, so with the data;
    what comes to the driver is one set of weights and one count for each class and subword.
 4. A third pass scores all documents.
@@ -24,7 +24,6 @@ doc_id and text are not read.
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 
 import numpy as np
@@ -40,7 +39,7 @@ FOLDS, HELD = 7, 2
 HEAD = 200_000
 SAMPLE = 1500
 SAMPLE_WINDOWS = 90_000
-WINDOWS = 2
+WINDOWS_AT_ONCE = 8192
 COUNTED_AT_ONCE = 300_000
 PAIRS_AT_ONCE = 2_000_000
 _STEPS = 8  # of the count histogram for each doubling
@@ -111,12 +110,29 @@ def _sample(training: DataFrame, tokenizer: str, most: int) -> list[np.ndarray]:
     return [np.asarray(ids.values, np.int64) for ids in table["ids"]]
 
 
-def _picked(ids: np.ndarray, vocabulary: Vocabulary, wanted: int) -> tuple[np.ndarray, np.ndarray]:
-    """`wanted` windows of a text at places drawn by its ids."""
-    rows, classes, _ = windows(ids, vocabulary)
-    random = np.random.default_rng(zlib.crc32(ids.tobytes()))
-    chosen = random.permutation(len(rows))[:wanted]
-    return rows[chosen], classes[chosen]
+class _Training:
+    """Fits a model to all windows it is given, WINDOWS_AT_ONCE or fewer at a time; `weight` counts them."""
+
+    def __init__(self, model: Attention, vocabulary: Vocabulary):
+        self.model, self._vocabulary = model, vocabulary
+        self._held, self._waiting, self.weight = [], 0, 0
+
+    def add(self, ids: np.ndarray) -> None:
+        rows, classes, _ = windows(ids, self._vocabulary)
+        at = 0
+        while at < len(rows):
+            end = at + WINDOWS_AT_ONCE - self._waiting
+            self._held.append((rows[at:end], classes[at:end]))
+            self._waiting += len(self._held[-1][0])
+            at = end
+            if self._waiting == WINDOWS_AT_ONCE:
+                self.finish()
+
+    def finish(self) -> None:
+        if self._held:
+            self.model.fit(*map(np.concatenate, zip(*self._held, strict=True)), rate=1e-3)
+        self.weight += self._waiting
+        self._held, self._waiting = [], 0
 
 
 def train(training: DataFrame, counts: np.ndarray, tokenizer: str, sample: int = SAMPLE) -> tuple[Attention, Vocabulary]:
@@ -138,7 +154,7 @@ def train(training: DataFrame, counts: np.ndarray, tokenizer: str, sample: int =
         own = Attention(vocabulary)
         own.load(started.flat())
         pairs = np.zeros((CLASSES + 1) * size, np.int64)
-        held, seen, weight = [], 0, 0
+        training = _Training(own, vocabulary)
         places, waiting = [], 0
         for batch in batches:
             for text in batch["text"]:
@@ -148,14 +164,9 @@ def train(training: DataFrame, counts: np.ndarray, tokenizer: str, sample: int =
                 if waiting >= PAIRS_AT_ONCE:
                     pairs += np.bincount(np.concatenate(places), minlength=len(pairs))
                     places, waiting = [], 0
-                held.append(_picked(ids, vocabulary, WINDOWS))
-                seen += len(held[-1][0])
-                if seen >= 8192:
-                    own.fit(*map(np.concatenate, zip(*held, strict=True)), rate=1e-3)
-                    weight, held, seen = weight + seen, [], 0
-        if held:
-            own.fit(*map(np.concatenate, zip(*held, strict=True)), rate=1e-3)
-            weight += seen
+                training.add(ids)
+        training.finish()
+        weight = training.weight
         if places:
             pairs += np.bincount(np.concatenate(places), minlength=len(pairs))
         found = np.flatnonzero(pairs)

@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 
 from caudal.llm.attention import CLASSES, CONTEXT, STRIDE, Attention, Vocabulary, cluster, windows
+from caudal.llm import lm_scoring
 from caudal.llm.lm_scoring import head_words, lm_scores
 from caudal.llm.toxicity import DEFAULT, PARTS, TextCnn, threshold, toxicity, word_ids
 from rows import documents, empty
@@ -180,3 +181,20 @@ def test_head_is_bounded(session):
     words = session.createDataFrame([(str(n).encode(), 1 + n // 10) for n in range(1000)], "word binary, count long")
     for most in (0, 10, 300, 5000):
         assert words.filter(f"count >= {head_words(words, most)}").count() <= most
+
+
+def test_every_subword_is_a_training_target_once(monkeypatch):
+    _, vocabulary = small_vocabulary()
+    fitted = []
+    monkeypatch.setattr(lm_scoring, "WINDOWS_AT_ONCE", 8)
+    texts = [np.arange(n) % 59 for n in (0, 30, 16 * STRIDE, 40 * STRIDE + 3)]
+    model = Attention(vocabulary)
+    model.fit = lambda rows, classes, rate: fitted.append((rows, classes))
+    training = lm_scoring._Training(model, vocabulary)
+    for ids in texts:
+        training.add(ids)
+    training.finish()
+    classes = np.concatenate([c for _, c in fitted])
+    assert classes[classes >= 0].tolist() == vocabulary.classes[
+        np.concatenate([np.append(ids, vocabulary.end) for ids in texts])].tolist()
+    assert training.weight == len(classes) and max(len(r) for r, _ in fitted) <= 8
