@@ -16,6 +16,10 @@ WIDTH = 16
 HIDDEN = 32
 CLASSES = 64
 OWN = 4096  # the most frequent subwords have an embedding of their own, the others that of their class
+MARKS = 256  # the most frequent subwords, beside which neighbours are counted
+NEAR = 2 * MARKS
+PROJECTED = 48
+LEAST = 6
 SMOOTHING = 20.0
 LARGE = 60.0  # float32 holds exponentials up to this, and their sums
 RATE = 4e-3
@@ -53,30 +57,43 @@ class Vocabulary:
         return np.append(CLASSES, self.classes[ids])
 
 
-def cluster(texts: list[np.ndarray], counts: np.ndarray, seed: int = 5, rounds: int = 10) -> np.ndarray:
-    """Classes of subwords by their neighbours in sample texts: k-means of projected neighbour counts.
+def marked(counts: np.ndarray) -> np.ndarray:
+    """For each subword its place among the MARKS most frequent ones, or -1."""
+    marks = np.argsort(-counts, kind="stable")[:MARKS]
+    place = np.full(len(counts), -1)
+    place[marks] = np.arange(len(marks))
+    return place
 
-    Subwords too rare in the sample to tell share the last four classes.
+
+def neighbours(ids: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """A number for each subword of a text and mark beside it: NEAR * subword + mark, MARKS more if the mark follows."""
+    before, after = place[ids[:-1]], place[ids[1:]]
+    return np.concatenate([(NEAR * ids[1:] + before)[before >= 0], (NEAR * ids[:-1] + MARKS + after)[after >= 0]])
+
+
+def projected(near: np.ndarray, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """From the neighbour counts of subwords, one row of NEAR each: their sums and projected shares."""
+    total = near.sum(axis=1, dtype=np.float64)
+    projection = np.random.default_rng(seed).standard_normal((NEAR, PROJECTED))
+    vectors = np.empty((len(near), PROJECTED), np.float32)  # rounded, so that they do not depend on the batch
+    for at in range(0, len(near), AT_ONCE):
+        part = slice(at, at + AT_ONCE)
+        vectors[part] = np.sqrt(near[part] / np.maximum(total[part], 1)[:, None]) @ projection
+    return total, vectors
+
+
+def classes_of(size: int, tokens: np.ndarray, total: np.ndarray, vectors: np.ndarray, rounds: int = 10) -> np.ndarray:
+    """Classes of `size` subwords by k-means of the vectors of those with neighbours.
+
+    Subwords with too few neighbours to tell share the last four classes.
     """
-    random = np.random.default_rng(seed)
-    marks = np.argsort(-counts, kind="stable")[:256]
-    column = np.full(len(counts), -1)
-    column[marks] = np.arange(len(marks))
-    near = np.zeros((len(counts), 2 * len(marks)), np.float32)
-    for ids in texts:
-        if len(ids) > 1:
-            before, after = column[ids[:-1]], column[ids[1:]]
-            np.add.at(near, (ids[1:][before >= 0], before[before >= 0]), 1)
-            np.add.at(near, (ids[:-1][after >= 0], len(marks) + after[after >= 0]), 1)
-    total = near.sum(axis=1)
-    known = np.flatnonzero(total >= 6)
-    classes = CLASSES - 4 + np.arange(len(counts)) % 4
+    known = total >= LEAST
+    tokens, total, vectors = tokens[known], total[known], vectors[known]
+    classes = CLASSES - 4 + np.arange(size) % 4
     groups = CLASSES - 4
-    if len(known) <= groups:
+    if len(tokens) <= groups:
         return classes
-    share = near[known] / total[known, None]
-    vectors = np.sqrt(share) @ random.standard_normal((near.shape[1], 48)).astype(np.float32)
-    centres = vectors[np.argsort(-total[known], kind="stable")[:groups]]
+    centres = vectors[np.argsort(-total, kind="stable")[:groups]]
     for _ in range(rounds):
         distance = (centres * centres).sum(axis=1)[None] - 2 * vectors @ centres.T
         own = distance.argmin(axis=1)
@@ -84,10 +101,18 @@ def cluster(texts: list[np.ndarray], counts: np.ndarray, seed: int = 5, rounds:
         np.add.at(sums, own, vectors)
         members = np.bincount(own, minlength=groups)
         centres = np.where(members[:, None] > 0, sums / np.maximum(members, 1)[:, None], centres)
-    classes[known] = own
+    classes[tokens] = own
     return classes
 
 
+def cluster(texts: list[np.ndarray], counts: np.ndarray) -> np.ndarray:
+    """Classes of subwords by their neighbours in these texts."""
+    place, near = marked(counts), np.zeros(len(counts) * NEAR, np.float32)
+    for ids in texts:
+        np.add.at(near, neighbours(ids, place), 1)
+    return classes_of(len(counts), np.arange(len(counts)), *projected(near.reshape(-1, NEAR)))
+
+
 def windows(ids: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, int]:
     """Embedding rows of all windows of a text, the classes of their targets (-1: none), the number of targets."""
     targets = np.append(ids, vocabulary.end)

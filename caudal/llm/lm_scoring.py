@@ -6,14 +6,16 @@ any size.
 
 Model: subword ids of the text, A-Z lower-cased and words divided by one space.
 
-1. One pass over all training documents counts words and subwords.
-2. At most SAMPLE training documents (the first by a hash of doc_id) give the classes of subwords and the first
-   weights on the driver.
-3. A second pass over all training documents counts each subword by the class before it, and trains the weights in
+1. One pass over all training documents counts words and subwords, another writes their subword ids.
+2. A pass over all ids counts each subword's neighbours among the most frequent subwords; the counts are
+   summed and projected in Spark, and one vector for each subword comes to the driver, which forms the classes.
+3. At most SAMPLE training documents (the first by a hash of doc_id) give the first weights on the driver, and
+   nothing else.
+4. A further pass over all ids counts each subword by the class before it, and trains the weights in
    every task on all windows of its documents, so that every subword is a target once. The tasks' weights are
    averaged, weighted by their windows. What is sent grows with the number of tasks, so with the data;
    what comes to the driver is one set of weights and one count for each class and subword.
-4. A third pass scores all documents.
+5. A last pass scores all documents.
 
 Training documents are those whose crc32 of doc_id mod FOLDS is not HELD.
 
@@ -30,9 +32,18 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caudal.llm.attention import CLASSES, Attention, Vocabulary, cluster, windows
+from caudal.llm.attention import (
+    CLASSES,
+    NEAR,
+    Attention,
+    Vocabulary,
+    classes_of,
+    marked,
+    neighbours,
+    projected,
+    windows,
+)
 from caudal.llm.shared import in_batches, in_partitions, keyed_join, staged
-from caudal.llm.token_files import id_lists
 from caudal.llm.tokens import byte_level_core
 
 FOLDS, HELD = 7, 2
@@ -42,6 +53,8 @@ SAMPLE_WINDOWS = 90_000
 WINDOWS_AT_ONCE = 8192
 COUNTED_AT_ONCE = 300_000
 PAIRS_AT_ONCE = 2_000_000
+NEAR_AT_ONCE = 1 << 30  # a count in 32 bits holds this
+ROWS_AT_ONCE = 1_000_000
 _STEPS = 8  # of the count histogram for each doubling
 
 
@@ -97,17 +110,67 @@ def head_words(words: DataFrame, most: int = HEAD) -> int:
     return least if least is not None else (histogram[0]["least"] + 1 << 40 if histogram else 1)
 
 
-def _sample(training: DataFrame, tokenizer: str, most: int) -> list[np.ndarray]:
-    chosen = (training.filter("doc_id IS NOT NULL").select("doc_id").distinct()
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
-    rows = training.join(chosen, "doc_id").select("doc_id", "text")
-
+def encoded(training: DataFrame, tokenizer: str) -> DataFrame:
+    """doc_id and subword ids of each document, as bytes."""
     def each(columns):
-        ids = [subwords(text, tokenizer).astype("<i4").tobytes() for text in columns["text"]]
-        yield {"doc_id": columns["doc_id"], "ids": id_lists(ids)}
+        yield {"doc_id": columns["doc_id"],
+               "ids": [subwords(text, tokenizer).astype("<i4").tobytes() for text in columns["text"]]}
+
+    return in_batches(training, each, "doc_id long, ids binary", "doc_id", "text")
+
+
+def _ids(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, "<i4").astype(np.int64)
+
+
+def subword_classes(texts: DataFrame, counts: np.ndarray) -> np.ndarray:
+    """The class of each subword by its neighbours in all of `texts`, as `cluster` forms them."""
+    size = len(counts)
+    shared = texts.sparkSession.sparkContext.broadcast(marked(counts))  # one number for each subword
+
+    def count(batches):
+        near, seen = np.zeros(size * NEAR, np.int32), 0
 
-    table = in_batches(rows, each, "doc_id long, ids array<int>").toArrow().sort_by([("doc_id", "ascending")])
-    return [np.asarray(ids.values, np.int64) for ids in table["ids"]]
+        def rows():
+            found = np.flatnonzero(near)
+            for at in range(0, len(found), ROWS_AT_ONCE):
+                part = found[at:at + ROWS_AT_ONCE]
+                yield {"token": part // NEAR, "mark": part % NEAR, "count": near[part]}
+
+        for batch in batches:
+            for data in batch["ids"]:
+                ids = _ids(data)
+                for at in range(0, len(ids), PAIRS_AT_ONCE):
+                    codes = neighbours(ids[at:at + PAIRS_AT_ONCE + 1], shared.value)
+                    np.add.at(near, codes, 1)
+                    seen += len(codes)
+                    if seen >= NEAR_AT_ONCE:
+                        yield from rows()
+                        near[:], seen = 0, 0
+        yield from rows()
+
+    def project(columns):
+        near = np.zeros((len(columns["token"]), NEAR), np.float32)
+        for row, marks, numbers in zip(near, columns["marks"], columns["counts"], strict=True):
+            row[marks] = numbers
+        total, vectors = projected(near)
+        yield {"token": columns["token"], "total": total, "vector": list(vectors)}
+
+    summed = (in_partitions(texts, count, "token int, mark int, count long", "ids")
+              .groupBy("token", "mark").agg(F.sum("count").alias("count"))
+              .groupBy("token").agg(F.collect_list("mark").alias("marks"), F.collect_list("count").alias("counts")))
+    table = in_batches(summed, project, "token int, total double, vector array<float>").toArrow()  # a row per subword
+    table = table.sort_by([("token", "ascending")])
+    vectors = [v.values.to_numpy() for v in table["vector"]]
+    return classes_of(size, table["token"].to_numpy(), table["total"].to_numpy(),
+                      np.stack(vectors) if vectors else np.zeros((0, 1), np.float32))
+
+
+def _sample(texts: DataFrame, most: int) -> list[np.ndarray]:
+    chosen = (texts.filter("doc_id IS NOT NULL").select("doc_id").distinct()
+              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
+    table = texts.join(chosen, "doc_id").select("doc_id", "ids").toArrow().sort_by([("doc_id", "ascending")])
+    return [_ids(data) for data in table["ids"].to_pylist()]
 
 
 class _Training:
@@ -136,17 +199,16 @@ class _Training:
 
 
 def train(training: DataFrame, counts: np.ndarray, tokenizer: str, sample: int = SAMPLE) -> tuple[Attention, Vocabulary]:
-    """Weights and tables after the sample on the driver and the pass over all training documents."""
+    """Weights and tables after the sample on the driver and the passes over all training documents."""
     size = len(counts)
-    texts = _sample(training, tokenizer, sample)
-    vocabulary = Vocabulary(counts, cluster(texts, counts))
+    texts = staged(encoded(training, tokenizer))
+    vocabulary = Vocabulary(counts, subword_classes(texts, counts))
     model = Attention(vocabulary)
-    if not texts:
-        return model, vocabulary
-    parts = [windows(ids, vocabulary)[:2] for ids in texts]
-    rows, classes = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-    chosen = np.random.default_rng(1).permutation(len(rows))[:SAMPLE_WINDOWS]
-    model.fit(rows[chosen], classes[chosen])
+    parts = [windows(ids, vocabulary)[:2] for ids in _sample(texts, sample)]
+    if parts:
+        rows, classes = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+        chosen = np.random.default_rng(1).permutation(len(rows))[:SAMPLE_WINDOWS]
+        model.fit(rows[chosen], classes[chosen])
     shared = training.sparkSession.sparkContext.broadcast((model, vocabulary))  # fixed sizes
 
     def run(batches):
@@ -157,8 +219,7 @@ def train(training: DataFrame, counts: np.ndarray, tokenizer: str, sample: int =
         training = _Training(own, vocabulary)
         places, waiting = [], 0
         for batch in batches:
-            for text in batch["text"]:
-                ids = subwords(text, tokenizer)
+            for ids in map(_ids, batch["ids"]):
                 places.append(vocabulary.befores(ids) * size + np.append(ids, vocabulary.end))
                 waiting += len(places[-1])
                 if waiting >= PAIRS_AT_ONCE:
@@ -177,7 +238,7 @@ def train(training: DataFrame, counts: np.ndarray, tokenizer: str, sample: int =
             yield {"kind": np.ones(len(values), np.int32), "at": np.arange(len(values)),
                    "total": values * weight, "weight": np.full(len(values), float(weight))}
 
-    learned = (in_partitions(training, run, "kind int, at long, total double, weight double", "text")
+    learned = (in_partitions(texts, run, "kind int, at long, total double, weight double", "ids")
                .groupBy("kind", "at").agg(F.sum("total").alias("total"), F.sum("weight").alias("weight")))
     table = learned.toArrow()  # one row for each class and subword, and for each weight
     kind, at, total, weight = (table[name].to_numpy() for name in ("kind", "at", "total", "weight"))

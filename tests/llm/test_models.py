@@ -198,3 +198,20 @@ def test_every_subword_is_a_training_target_once(monkeypatch):
     assert classes[classes >= 0].tolist() == vocabulary.classes[
         np.concatenate([np.append(ids, vocabulary.end) for ids in texts])].tolist()
     assert training.weight == len(classes) and max(len(r) for r, _ in fitted) <= 8
+
+
+def test_classes_come_from_all_documents(session):
+    rng = random.Random(3)
+    rows = [(n if n % 5 else None, " ".join(rng.choices(["ab", "cd", "ef", "gh"], k=4) + [f"w{n % 90}"] * 2) * 3)
+            for n in range(700)]
+    docs = session.createDataFrame(rows, "doc_id long, text string")
+    ids = [lm_scoring.subwords(text, BYTE) for _, text in rows]
+    counts = np.bincount(np.concatenate(ids), minlength=50258).astype(float)
+    texts = lm_scoring.encoded(docs, BYTE)
+    got = lm_scoring.subword_classes(texts, counts)
+    assert (got == cluster(ids, counts)).mean() > 0.999
+    # The classes do not depend on the sample, and documents without ids count.
+    _, one = lm_scoring.train(docs, counts, BYTE, 1)
+    _, none = lm_scoring.train(docs, counts, BYTE, 0)
+    assert (one.classes == got).all() and (none.classes == got).all() and len(set(got.tolist())) > 4
+    assert (one.within == none.within).all()
