@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caudal.llm.shared import in_batches, keyed_join, staged
+from caudal.llm.shared import ROW, in_batches, keyed_join, row_number, staged
 
 BLOCK_BYTES = 8192
 
@@ -61,7 +61,7 @@ def _heads(docs: DataFrame, size: int, hashed: Callable[[bytes], int],
                 out["block"].append(block if contents else None)
         yield out
 
-    return in_batches(docs.withColumn("row", F.monotonically_increasing_id()), each,
+    return in_batches(docs, each,
                       "row long, doc_id long, blocks long, pos long, hash long, sha string, block binary")
 
 
@@ -98,7 +98,7 @@ def name_keys(rows: DataFrame, keys: list[str], name: str = "name") -> DataFrame
 def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES,
                hashed: Callable[[bytes], int] = fingerprint) -> DataFrame:
     """(doc_id, row, level, name, sha) of each row of (doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text"))
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text"), row_number(docs).alias("row"))
     heads = staged(_heads(docs, block_bytes, hashed))
     ordinals = staged(_ordinals(docs, heads, block_bytes, hashed))
     most = heads.agg(F.max("blocks")).first()[0] or 1
@@ -138,4 +138,5 @@ def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES,
         F.max(F.struct("doc_id", "row")).alias("keep"), F.count(F.lit(1)).alias("group_size"))
     return keyed_join(named, groups, ["level", "name"]).select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
-        (F.col("row") == F.col("keep.row")).alias("kept"), F.col("sha").alias("text_sha256"))
+        (F.col("row") == F.col("keep.row")).alias("kept"), F.col("sha").alias("text_sha256"),
+        *([F.col("row").alias(ROW)] if ROW in docs.columns else []))

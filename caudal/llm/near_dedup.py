@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caudal.llm.components import components
-from caudal.llm.shared import in_batches, keyed_join, staged
+from caudal.llm.shared import ROW, in_batches, keyed_join, row_number, staged
 
 SHINGLE = 5
 PERCENT = 85
@@ -193,11 +193,12 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def signed_documents(docs: DataFrame, rows: int = ROWS, bands: int = BANDS) -> DataFrame:
-    """doc_id, n_shingles, the digest of the words, band keys and the signature."""
+    """uid, doc_id, n_shingles, the digest of the words, band keys and the signature."""
     def each(columns):
-        out = {k: [] for k in ("doc_id", "n_shingles", "words", "bands", "signature")}
-        for doc_id, text in zip(columns["doc_id"], columns["text"], strict=True):
+        out = {k: [] for k in ("uid", "doc_id", "n_shingles", "words", "bands", "signature")}
+        for uid, doc_id, text in zip(columns["uid"], columns["doc_id"], columns["text"], strict=True):
             shingles = np.unique(windows_of(hashed_words(text), SHINGLE))
+            out["uid"].append(uid)
             out["doc_id"].append(doc_id)
             out["n_shingles"].append(len(shingles))
             if not len(shingles):
@@ -211,8 +212,8 @@ def signed_documents(docs: DataFrame, rows: int = ROWS, bands: int = BANDS) -> D
             out["signature"].append(short(minima))
         yield out
 
-    return in_batches(docs.select(F.col("doc_id").cast("long"), "text"), each,
-                      "doc_id long, n_shingles long, words binary, bands array<long>, signature binary")
+    return in_batches(docs, each,
+                      "uid long, doc_id long, n_shingles long, words binary, bands array<long>, signature binary")
 
 
 def dealt(rows: DataFrame, size: str, block: int, at_once: int, total: int) -> DataFrame:
@@ -277,8 +278,9 @@ def _exactly(percent: int):
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, rows: int = ROWS, bands: int = BANDS,
                     block: int = BLOCK) -> DataFrame:
     """One row per row of (doc_id, text): doc_id, n_shingles, component_id, kept."""
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
-    signed = staged(signed_documents(docs, rows, bands).withColumn("uid", F.monotonically_increasing_id()))
+    numbers = [F.col("uid").alias(ROW)] if ROW in docs.columns else []
+    docs = docs.select(F.col("doc_id").cast("long"), "text", row_number(docs).alias("uid"))
+    signed = staged(signed_documents(docs, rows, bands))
     classes = staged(signed.filter("words IS NOT NULL").groupBy("words").agg(F.min("uid").alias("class")))
     reps = signed.join(classes.select(F.col("class").alias("uid")), "uid", "left_semi")
 
@@ -308,7 +310,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, rows: int = ROWS, b
     least = linked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("least"))
     return keyed_join(linked, least, ["root"]).select(
         "doc_id", "n_shingles", F.col("least.doc_id").alias("component_id"),
-        (F.col("uid") == F.col("least.uid")).alias("kept"))
+        (F.col("uid") == F.col("least.uid")).alias("kept"), *numbers)
 
 
 def _texts_of(members: DataFrame, texts: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
@@ -69,17 +69,30 @@ def scratch(spark: SparkSession) -> str:
     return f"{shared.rstrip('/')}/caudal-llm-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame) -> DataFrame:
+def staged(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write a frame once and read it back, so that later steps start from files.
 
     Unlike a cache it survives lost executors and it cuts the lineage.
     """
     spark = df.sparkSession
     path = scratch(spark)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
+ROW = "_row_number"  # of `numbered`; operators that get it give it back with each row
+
+
+def numbered(df: DataFrame) -> DataFrame:
+    """The frame, staged, with a number for each row that stays the same however often it is read."""
+    return staged(df.withColumn(ROW, F.monotonically_increasing_id()), "zstd")
+
+
+def row_number(df: DataFrame) -> Column:
+    """The number of `numbered`, or else one that holds for one reading only."""
+    return F.col(ROW) if ROW in df.columns else F.monotonically_increasing_id()
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished, unreachable queries.
 

@@ -1,7 +1,8 @@
 """The stages of corpus_pipeline.py: each takes (spark, docs, sf_dir) and returns a frame.
 
-doc_id is the key of the documents. All stages but the last return the columns of `documents`. Null or
-empty texts pass the toxicity stage like any text without words; null ids are equal to each other.
+Stages decide for each row: they number the rows of their input, and the operators carry the numbers, so that
+repeated rows and null ids are rows of their own. All stages but the last return the columns of `documents`. Null or
+empty texts pass the toxicity stage like any text without words.
 """
 
 from __future__ import annotations
@@ -12,32 +13,34 @@ from pyspark.sql import DataFrame, SparkSession
 from caudal.llm.exact_dedup import exact_dedup
 from caudal.llm.near_dedup import near_duplicates
 from caudal.llm.packing import pack_documents
-from caudal.llm.shared import prepare, staged, table
+from caudal.llm.shared import ROW, numbered, prepare, staged, table
 from caudal.llm.suffix_dedup import remove_repeats
 from caudal.llm.toxicity import toxicity
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """The documents whose doc_id is not in `dropped`, which is staged so that its size is known."""
-    dropped = staged(dropped.select(dropped["doc_id"].alias("dropped_id")))
-    return docs.join(dropped, docs["doc_id"].eqNullSafe(dropped["dropped_id"]), "left_anti")
+    """The rows of `docs` whose number is not in `dropped`, which is staged so that its size is known."""
+    return docs.join(staged(dropped.select(ROW)), ROW, "left_anti").drop(ROW)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that reach the threshold of their language go."""
     prepare(spark)
+    docs = numbered(docs)
     return _without(docs, toxicity(docs, table(spark, sf_dir, "labels")).filter("flagged"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts, the document with the largest id stays."""
     prepare(spark)
+    docs = numbered(docs)
     return _without(docs, exact_dedup(docs).filter("NOT kept"))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates, the document with the smallest id stays."""
     prepare(spark)
+    docs = numbered(docs)
     return _without(docs, near_duplicates(docs, percent=80).filter("NOT kept"))
 
 

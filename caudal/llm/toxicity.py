@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caudal.llm.shared import in_batches
+from caudal.llm.shared import ROW, in_batches
 from caudal.llm.token_files import id_lists
 
 SAMPLE = 8000
@@ -284,10 +284,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFram
         model = shared.value
         texts = [word_ids(text) for text in columns["text"]]
         scores = model.scores(texts) if model else np.full(len(texts), 0.5)
-        yield {"doc_id": columns["doc_id"], "lang": columns["lang"], "score": scores}
+        yield {name: columns[name] for name in kept} | {"score": scores}
 
-    scored = in_batches(docs.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string")), each,
-                        "doc_id long, lang string, score double")
+    rows = [ROW] if ROW in docs.columns else []
+    kept = ["doc_id", "lang", *rows]
+    scored = in_batches(docs.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string"), *rows), each,
+                        "doc_id long, lang string, score double" + "".join(f", {name} long" for name in rows))
     limit = F.lit(thresholds[None])
     for language, value in thresholds.items():
         if language is not None:
@@ -295,4 +297,4 @@ def toxicity(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFram
     return (scored.withColumn("threshold", limit)
             .select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "score",
                     (F.col("score") >= 0.5).cast("int").alias("predicted"), "threshold",
-                    (F.col("score") >= F.col("threshold")).alias("flagged")))
+                    (F.col("score") >= F.col("threshold")).alias("flagged"), *rows))
