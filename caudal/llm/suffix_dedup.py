@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caudal.llm.near_dedup import _mixed, hashed_words, windows_of
-from caudal.llm.shared import in_batches, keyed_join, release, staged
+from caudal.llm.shared import ROW, in_batches, keyed_join, numbered, release, row_number, staged
 
 MIN_WORDS = 50
 PHRASE = 8
@@ -102,8 +102,7 @@ def _kept_suffixes(docs: DataFrame, min_words: int, phrase: int) -> DataFrame:
         yield out | {name: np.concatenate(out[name]) if out[name] else np.zeros(0, np.int64)
                      for name in ("phrase", "stretch", "first", "last")}
 
-    return in_batches(docs.withColumn("row", F.monotonically_increasing_id()), each,
-                      "doc_id long, row long, phrase long, stretch long, first int, last int")
+    return in_batches(docs, each, "doc_id long, row long, phrase long, stretch long, first int, last int")
 
 
 def _windows(docs: DataFrame, wanted: DataFrame, min_words: int, phrase: int) -> DataFrame:
@@ -146,7 +145,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, phrase: int =
 
     The end is exclusive; source_ids are the documents in which its windows occur first.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), "text")
+    docs = docs.select(F.col("doc_id").cast("long"), "text", row_number(docs).alias("row"))
     suffixes = staged(_kept_suffixes(docs, min_words, phrase))
     repeated = suffixes.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("phrase")
     suffixes = staged(keyed_join(suffixes, repeated, ["phrase"], "left_semi"))
@@ -196,12 +195,12 @@ def without_words(text: str, spans: list[tuple[int, int]]) -> str:
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, phrase: int = PHRASE) -> DataFrame:
     """The documents without their repeated passages, all columns kept; n_chars, if there, follows the text.
 
-    doc_id must be unique here. A document of which no word stays is left out.
+    Each row loses its own passages, also among rows with one doc_id or none. A row of which no word stays is left out.
     """
-    spans = (repeated_passages(docs, min_words, phrase).filter("doc_id IS NOT NULL").groupBy("doc_id")
-             .agg(F.collect_list(F.struct("start_word", "end_word")).alias("_spans"))
-             .withColumnRenamed("doc_id", "_span_id"))
-    columns = list(docs.columns)
+    columns, schema = list(docs.columns), docs.schema
+    docs = numbered(docs)
+    spans = (repeated_passages(docs, min_words, phrase).groupBy(F.col("row").alias(ROW))
+             .agg(F.collect_list(F.struct("start_word", "end_word")).alias("_spans")))
 
     def each(batch):
         out = {name: [] for name in columns}
@@ -218,5 +217,4 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, phrase: int = PH
                 out[name].append(value)
         yield out
 
-    joined = docs.join(spans, docs["doc_id"] == spans["_span_id"], "left").drop("_span_id")
-    return in_batches(joined, each, docs.schema)
+    return in_batches(docs.join(spans, ROW, "left").drop(ROW), each, schema)

@@ -3,7 +3,7 @@
 from collections import Counter
 
 from caudal.llm import stages
-from rows import documents
+from rows import WORDS, documents
 
 
 def left(frame):
@@ -38,3 +38,21 @@ def test_only_toxic_rows_go(session, monkeypatch):
         rows.selectExpr("_row_number", "text <=> 'toxic' AS flagged"), "_row_number"))
     kept = stages.toxic(session, docs, "")
     assert kept.columns == docs.columns and left(kept) == left(documents(session))
+
+
+def test_each_row_loses_its_own_passages(session):
+    long = " ".join(f"z{n}" for n in range(60))
+    docs = documents(session, ((None, "x " + WORDS), (None, WORDS + " y"), (20, long), (20, long), (20, None),
+                               (20, "short"), (21, long + " end")))
+    want = left(docs)
+    # By hand: of the null ids the first holds WORDS, of id 20 the first row holds `long`.
+    want -= Counter([(None, WORDS + " y"), (8, WORDS), (9, "before " + WORDS.upper() + " after"), (20, long),
+                     (21, long + " end")])
+    want += Counter([(None, "y"), (9, "before after"), (21, "end")])
+    for key in [key for key in want if key[0] in (6, 7)]:
+        del want[key]
+    want[7, "tail"] += 1
+    kept = stages.repeats(session, docs, "")
+    assert kept.columns == docs.columns
+    assert left(kept) == want
+    assert all(r.n_chars == len(r.text) for r in kept.collect() if r.text is not None)
