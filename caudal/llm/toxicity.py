@@ -7,8 +7,9 @@ max pooling a gradient reaches one window for each text and filter only.
 
 The classifier is fitted on at most SAMPLE labelled documents, the first ones by a hash of doc_id; all
 documents are scored over their whole texts. A fifth of the labels (crc32 of doc_id mod 5 is 0) is held out, and
-another fifth is not trained on but calibrates a threshold for each language: `flagged` is score >= that
-threshold. The language never enters a score.
+another fifth is not trained on but calibrates a threshold for each language: all its documents are scored, and
+thresholds come from histograms of the scores. A language without both labels there has the threshold of all
+languages together. `flagged` is score >= threshold. The language never enters a score.
 
 Defined cases: a null text is empty and gets the score of a text without words; a null doc_id is not
 held out; labels that disagree on a document count as toxic; labels without a document, without a
@@ -26,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caudal.llm.shared import ROW, in_batches
+from caudal.llm.shared import ROW, in_batches, staged
 from caudal.llm.token_files import id_lists
 
 SAMPLE = 8000
@@ -41,6 +42,7 @@ WORDS_KEPT = 300_000
 SEEN = 36_000  # documents shown in training, over as many epochs as that takes
 RATE = 0.08
 DEFAULT = 0.5
+BINS = 10_000
 WORDS_AT_ONCE = 1 << 16
 _EDGES = string.punctuation.encode()
 
@@ -220,65 +222,108 @@ class TextCnn:
 
 
 def threshold(scores: np.ndarray, labels: np.ndarray) -> float:
-    """Where F0.5 is best: halfway between a score that is flagged and the next lower one; DEFAULT without both labels."""
-    if not (labels == 1).any() or not (labels == 0).any():
-        return DEFAULT
-    order = np.argsort(-scores, kind="stable")
-    right = np.cumsum(labels[order])
-    flagged = np.arange(1, len(order) + 1)
-    quality = 1.25 * right / (0.25 * labels.sum() + flagged)
-    ranked = scores[order]
+    """The threshold of single documents; DEFAULT without both labels."""
+    order = np.argsort(scores, kind="stable")
+    found = threshold_of(scores[order], scores[order], np.ones(len(order)), labels[order])
+    return DEFAULT if found is None else found
+
+
+def threshold_of(least: np.ndarray, most: np.ndarray, documents: np.ndarray, toxic: np.ndarray) -> float | None:
+    """Where F0.5 is best: halfway between a score that is flagged and the next lower one; None without both labels.
+
+    Documents come in groups of rising scores: the least and the largest score, all documents and toxic ones.
+    """
+    if not 0 < toxic.sum() < documents.sum():
+        return None
+    least, most, documents, toxic = least[::-1], most[::-1], documents[::-1], toxic[::-1]
+    quality = 1.25 * np.cumsum(toxic) / (0.25 * toxic.sum() + np.cumsum(documents))
     at = int(np.flatnonzero(quality == quality.max())[-1])
-    below = ranked[at + 1] if at + 1 < len(ranked) else 0.0
-    return float(np.clip((ranked[at] + below) / 2, 0.05, 0.95))
+    below = most[at + 1] if at + 1 < len(most) else 0.0
+    return float(np.clip((least[at] + below) / 2, 0.05, 0.95))
 
 
 def fold(doc_id: str = "doc_id"):
     return F.crc32(F.col(doc_id).cast("string")) % FOLDS
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
-    """At most `most` documents with labels outside the held-out fold: fold, lang, toxic and word ids."""
-    chosen = (labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(fold() != 0)
-              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, toxic and whether it calibrates, of each document with a label outside the held-out fold.
+
+    Fold 1 calibrates. If it or the rest has no document, a fourth by another hash does.
+    """
+    marked = (labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(fold() != 0)
+              .groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic")))
+    present = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id IS NOT NULL").distinct()
+    found = staged(marked.join(present, "doc_id").withColumn("calibrates", fold() == 1))
+    if len(found.select("calibrates").distinct().collect()) < 2:
+        found = found.withColumn("calibrates", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS - 1)) == 1)
+        if found.filter("NOT calibrates").isEmpty():
+            found = found.withColumn("calibrates", F.lit(False))
+    return found
+
+
+def with_text(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string")).join(chosen, "doc_id")
+
+
+def labelled_sample(docs: DataFrame, marked: DataFrame, most: int = SAMPLE) -> DataFrame:
+    """Of at most `most` labelled documents that do not calibrate: toxic and word ids."""
+    chosen = (marked.filter("NOT calibrates").select("doc_id", "toxic")
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
-    rows = docs.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string")).join(chosen, "doc_id").select(
-        "doc_id", fold().cast("int").alias("fold"), "lang", "toxic", "text")
 
     def each(columns):
-        yield {"doc_id": columns["doc_id"], "fold": columns["fold"], "lang": columns["lang"],
-               "toxic": columns["toxic"], "ids": id_lists([word_ids(t).tobytes() for t in columns["text"]])}
+        yield {"doc_id": columns["doc_id"], "toxic": columns["toxic"],
+               "ids": id_lists([word_ids(t).tobytes() for t in columns["text"]])}
 
-    return in_batches(rows, each, "doc_id long, fold int, lang string, toxic int, ids array<int>")
+    return in_batches(with_text(docs, chosen), each, "doc_id long, toxic int, ids array<int>",
+                      "doc_id", "toxic", "text")
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> tuple[TextCnn | None, dict[str, float]]:
-    """The classifier and a threshold for each language (and for others, under None)."""
-    rows = labelled_sample(docs, labels, most).toArrow().sort_by([("doc_id", "ascending")])
+def calibrated(docs: DataFrame, marked: DataFrame, shared) -> dict[str | None, float]:
+    """The threshold of all labelled documents that calibrate (under None) and of each language with both labels.
+
+    What comes to the driver is a histogram of BINS bins for each language.
+    """
+    def each(columns):
+        scores = shared.value.scores([word_ids(text) for text in columns["text"]])
+        yield {"lang": columns["lang"], "toxic": columns["toxic"], "score": scores}
+
+    rows = with_text(docs, marked.filter("calibrates").select("doc_id", "toxic"))
+    scored = in_batches(rows, each, "lang string, toxic int, score double", "lang", "toxic", "text")
+    bins = (scored.groupBy("lang", F.floor(F.col("score") * BINS).alias("bin"))
+            .agg(F.min("score").alias("least"), F.max("score").alias("most"), F.count(F.lit(1)).alias("documents"),
+                 F.sum("toxic").alias("toxic")).toPandas())
+
+    def found(part):
+        part = part.groupby("bin").agg({"least": "min", "most": "max", "documents": "sum", "toxic": "sum"})
+        return threshold_of(*(part[name].to_numpy(np.float64) for name in ("least", "most", "documents", "toxic")))
+
+    pooled = found(bins)
+    out = {None: DEFAULT if pooled is None else pooled}
+    for language, part in bins.groupby("lang"):
+        own = found(part)
+        if own is not None:
+            out[language] = own
+    return out
+
+
+def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> tuple[object, dict[str | None, float]]:
+    """The broadcast classifier and a threshold for each language (and for others, under None)."""
+    context = docs.sparkSession.sparkContext
+    marked = labelled(docs, labels)
+    rows = labelled_sample(docs, marked, most).toArrow().sort_by([("doc_id", "ascending")])
     if not rows.num_rows:
-        return None, {None: DEFAULT}
+        return context.broadcast(None), {None: DEFAULT}
     texts = [np.asarray(ids.values, np.int32).reshape(-1, PARTS) for ids in rows["ids"]]
-    toxic = rows["toxic"].to_numpy().astype(np.float32)
-    languages = np.array(rows["lang"].to_pylist(), object)
-    calibrates = rows["fold"].to_numpy() == 1
-    if calibrates.all() or not calibrates.any():
-        calibrates = np.arange(len(texts)) % (FOLDS - 1) == 1
-    fitted = np.flatnonzero(~calibrates)
     model = TextCnn()
-    model.fit([texts[i] for i in fitted], toxic[fitted])
-    held = np.flatnonzero(calibrates)
-    scores = model.scores([texts[i] for i in held])
-    thresholds = {None: threshold(scores, toxic[held])}
-    for language in {x for x in languages[held] if x is not None}:
-        own = languages[held] == language
-        thresholds[language] = threshold(scores[own], toxic[held][own])
-    return model, thresholds
+    model.fit(texts, rows["toxic"].to_numpy().astype(np.float32))
+    shared = context.broadcast(model)  # BUCKETS * WIDTH numbers at any input
+    return shared, calibrated(docs, marked, shared)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
     """One row per row of (doc_id, text, lang): doc_id, held_out, score, predicted, threshold, flagged."""
-    model, thresholds = train(docs, labels, most)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS * WIDTH numbers at any input
+    shared, thresholds = train(docs, labels, most)
 
     def each(columns):
         model = shared.value

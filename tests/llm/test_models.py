@@ -7,9 +7,11 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from caudal.llm.attention import CLASSES, CONTEXT, STRIDE, Attention, Vocabulary, cluster, windows
 from caudal.llm import lm_scoring
+from caudal.llm import toxicity as toxic_module
+from caudal.llm.attention import CLASSES, CONTEXT, STRIDE, Attention, Vocabulary, cluster, windows
 from caudal.llm.lm_scoring import head_words, lm_scores
 from caudal.llm.toxicity import DEFAULT, PARTS, TextCnn, threshold, toxicity, word_ids
 from rows import documents, empty
@@ -215,3 +217,31 @@ def test_classes_come_from_all_documents(session):
     _, none = lm_scoring.train(docs, counts, BYTE, 0)
     assert (one.classes == got).all() and (none.classes == got).all() and len(set(got.tolist())) > 4
     assert (one.within == none.within).all()
+
+
+def test_thresholds_come_from_all_calibrating_documents(session, monkeypatch):
+    """Labels without a document take no place in the sample; `de` has one label only; 3000 documents calibrate."""
+    fitted = []
+
+    def spread(self, texts, labels):
+        fitted.append(len(texts))
+        self.embedding *= 20
+
+    monkeypatch.setattr(TextCnn, "fit", spread)
+    monkeypatch.setattr(toxic_module, "fold", lambda doc_id="doc_id": F.col(doc_id) % 5)
+    model = TextCnn()
+    model.embedding *= 20
+    score = dict(enumerate(model.scores([word_ids(f"t{n}") for n in range(3000)])))
+    middle = {"en": np.quantile(list(score.values()), 0.4), "es": np.quantile(list(score.values()), 0.8)}
+    language = {n: "de" if n % 50 == 1 else "en" if n % 3 else "es" for n in score}
+    toxic = {n: int(score[n] > middle.get(language[n], 1)) for n in score}
+    docs = session.createDataFrame([(n, f"t{n}", language[n]) for n in score], "doc_id long, text string, lang string")
+    labels = session.createDataFrame([*toxic.items(), *((n, 1) for n in range(5000, 40000))], "doc_id long, toxic int")
+    _, got = toxic_module.train(docs, labels, 40)
+    assert fitted == [40]
+    held = [n for n in score if n % 5 == 1]
+    for name in ("en", "es"):
+        own = [n for n in held if language[n] == name]
+        want = threshold(np.array([score[n] for n in own]), np.array([toxic[n] for n in own]))
+        assert math.isclose(got[name], want, abs_tol=0.01), name
+    assert "de" not in got and 0.05 <= got[None] <= 0.95 and got[None] != DEFAULT
