@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caudal.llm.components import components
-from caudal.llm.shared import ROW, in_batches, keyed_join, row_number, staged
+from caudal.llm.shared import ROW, in_batches, keyed_join, numbered, staged
 
 SHINGLE = 5
 PERCENT = 85
@@ -279,7 +279,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, rows: int = ROWS, b
                     block: int = BLOCK) -> DataFrame:
     """One row per row of (doc_id, text): doc_id, n_shingles, component_id, kept."""
     numbers = [F.col("uid").alias(ROW)] if ROW in docs.columns else []
-    docs = docs.select(F.col("doc_id").cast("long"), "text", row_number(docs).alias("uid"))
+    if not numbers:
+        docs = numbered(docs.select("doc_id", "text"))
+    docs = docs.select(F.col("doc_id").cast("long"), "text", F.col(ROW).alias("uid"))
     signed = staged(signed_documents(docs, rows, bands))
     classes = staged(signed.filter("words IS NOT NULL").groupBy("words").agg(F.min("uid").alias("class")))
     reps = signed.join(classes.select(F.col("class").alias("uid")), "uid", "left_semi")
@@ -293,12 +295,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, rows: int = ROWS, b
 
     near = staged(near.select(F.col("id").alias("uid"), F.col("component").alias("cluster")))
     sizes = near.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    members = (keyed_join(near, sizes, ["cluster"]).join(reps.select("uid", "doc_id", "signature", "words"), "uid"))
-    members = staged(members.withColumn("_null", F.col("doc_id").isNull())
-                     .withColumn("doc_id", F.coalesce("doc_id", F.lit(0))))
-    texts = docs.select(F.col("doc_id").isNull().alias("_null"), F.coalesce("doc_id", F.lit(0)).alias("doc_id"),
-                        "text")
-    with_text = _texts_of(members, texts)
+    members = staged(keyed_join(near, sizes, ["cluster"]).join(reps.select("uid", "signature"), "uid"))
+    with_text = members.join(docs.select("uid", "text"), "uid")
     verified = dealt(with_text, "size", block, block, members.count())
     exact = components(verified.groupBy("part").applyInPandas(
         _forest(percent / 100, _exactly(percent)), "a long, b long"))
@@ -311,16 +309,3 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, rows: int = ROWS, b
     return keyed_join(linked, least, ["root"]).select(
         "doc_id", "n_shingles", F.col("least.doc_id").alias("component_id"),
         (F.col("uid") == F.col("least.uid")).alias("kept"), *numbers)
-
-
-def _texts_of(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Members with their text. Rows that share an id but not the words are told apart by the digest."""
-    def each(columns):
-        digests = [hashlib.blake2b(b" ".join((text or "").encode().lower().split()), digest_size=16).digest()
-                   for text in columns["text"]]
-        keep = [i for i, (own, wanted) in enumerate(zip(digests, columns["words"], strict=True)) if own == wanted]
-        yield {name: [values[i] for i in keep] for name, values in columns.items() if name != "words"}
-
-    joined = members.join(texts, ["_null", "doc_id"])
-    return in_batches(joined, each, "uid long, cluster long, size long, signature binary, text string",
-                      "uid", "cluster", "size", "signature", "text", "words")

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caudal.llm.near_dedup import _mixed, hashed_words, windows_of
-from caudal.llm.shared import ROW, in_batches, keyed_join, numbered, release, row_number, staged
+from caudal.llm.shared import ROW, in_batches, keyed_join, numbered, release, staged
 
 MIN_WORDS = 50
 PHRASE = 8
@@ -106,38 +106,27 @@ def _kept_suffixes(docs: DataFrame, min_words: int, phrase: int) -> DataFrame:
 
 
 def _windows(docs: DataFrame, wanted: DataFrame, min_words: int, phrase: int) -> DataFrame:
-    """Every window of the wanted runs: phrase, window fingerprint, doc_id, row, place.
-
-    Rows that share id and text give the same windows more than once, which later steps allow.
-    """
-    asked = (wanted.groupBy("doc_id").agg(F.collect_list(F.struct("row", "phrase", "stretch", "first")).alias("runs"))
-             .withColumn("_null", F.col("doc_id").isNull()).withColumn("_id", F.coalesce("doc_id", F.lit(0))))
-    texts = docs.select(F.col("doc_id").isNull().alias("_null"), F.coalesce("doc_id", F.lit(0)).alias("_id"), "text")
+    """Every window of the wanted runs: phrase, window fingerprint, doc_id, row, place."""
+    asked = wanted.groupBy("row").agg(F.collect_list("first").alias("firsts"))
 
     def each(columns):
         out = {k: [] for k in ("phrase", "window", "doc_id", "row", "place")}
-        for doc_id, asked_runs, text in zip(columns["doc_id"], columns["runs"], columns["text"], strict=True):
-            runs = runs_of(hashed_words(text), min_words, phrase)
-            if runs is None:
-                continue
-            keys, stretches, first, last, prints = runs
+        for row, doc_id, firsts, text in zip(
+                columns["row"], columns["doc_id"], columns["firsts"], columns["text"], strict=True):
+            keys, _, first, last, prints = runs_of(hashed_words(text), min_words, phrase)
             by_start = {start: n for n, start in enumerate(first.tolist())}
-            for run in asked_runs:
-                n = by_start.get(run["first"])
-                if n is None or keys[n] != run["phrase"] or stretches[n] != run["stretch"]:
-                    continue  # another text with the same id
+            for n in map(by_start.__getitem__, firsts.tolist()):
                 places = np.arange(first[n], last[n] + 1)
                 out["window"].append(prints.of(places, places + min_words).view(np.int64))
                 out["place"].append(places)
                 out["phrase"].append(np.full(len(places), keys[n]))
-                out["row"].append(np.full(len(places), run["row"]))
+                out["row"].append(np.full(len(places), row))
                 out["doc_id"].extend([doc_id] * len(places))
         yield out | {name: np.concatenate(out[name]) if out[name] else np.zeros(0, np.int64)
                      for name in ("phrase", "window", "row", "place")}
 
-    joined = asked.join(texts, ["_null", "_id"])
-    return in_batches(joined, each, "phrase long, window long, doc_id long, row long, place int",
-                      "doc_id", "runs", "text")
+    return in_batches(asked.join(docs, "row"), each, "phrase long, window long, doc_id long, row long, place int",
+                      "row", "doc_id", "firsts", "text")
 
 
 def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, phrase: int = PHRASE) -> DataFrame:
@@ -145,7 +134,9 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, phrase: int =
 
     The end is exclusive; source_ids are the documents in which its windows occur first.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), "text", row_number(docs).alias("row"))
+    if ROW not in docs.columns:
+        docs = numbered(docs.select("doc_id", "text"))
+    docs = docs.select(F.col("doc_id").cast("long"), "text", F.col(ROW).alias("row"))
     suffixes = staged(_kept_suffixes(docs, min_words, phrase))
     repeated = suffixes.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("phrase")
     suffixes = staged(keyed_join(suffixes, repeated, ["phrase"], "left_semi"))
@@ -159,7 +150,7 @@ def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, phrase: int =
 
     several = stretches.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("phrase")
     wanted = keyed_join(stretches, several, ["phrase"]).select(
-        "phrase", "stretch", "origin.doc_id", "origin.row", "origin.first")
+        "origin.row", "origin.first")
     release(docs.sparkSession)
     windows = staged(_windows(docs, wanted, min_words, phrase))
     release(docs.sparkSession)

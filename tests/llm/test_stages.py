@@ -2,7 +2,7 @@
 
 from collections import Counter
 
-from caudal.llm import stages
+from caudal.llm import near_dedup, stages, suffix_dedup
 from rows import WORDS, documents
 
 
@@ -56,3 +56,14 @@ def test_each_row_loses_its_own_passages(session):
     assert kept.columns == docs.columns
     assert left(kept) == want
     assert all(r.n_chars == len(r.text) for r in kept.collect() if r.text is not None)
+
+
+def test_each_member_meets_its_own_text_only(session):
+    """Of many null ids each row asks for its runs once, whatever the other rows hold."""
+    texts = [" ".join(f"q{n if n < 55 else (k, n)}" for n in range(70)) for k in range(6)]
+    docs = session.createDataFrame([(n, None, t) for n, t in enumerate(texts + texts)], "row long, doc_id long, text string")
+    wanted = session.createDataFrame([(n, 0) for n in range(12)], "row long, first int")
+    rows = suffix_dedup._windows(docs, wanted, 50, 8).collect()
+    assert len({(r.row, r.place) for r in rows}) == len(rows) and {r.row for r in rows} == set(range(12))
+    found = near_dedup.near_duplicates(docs.drop("row")).collect()
+    assert len(found) == 12 and sum(r.kept for r in found) == 6
