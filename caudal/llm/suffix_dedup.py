@@ -1,20 +1,19 @@
-"""Repeated passages by a sparse suffix array.
+"""Repeated passages by sparse suffixes, grouped by fingerprints.
 
 Suffixes are kept only at minimiser positions: of each window of MIN_WORDS words, the place of its
 K-word phrase with the smallest hash. Equal windows have equal minimisers, so every passage of
 MIN_WORDS words or more that occurs twice has kept suffixes at the same places of both copies.
 
-A kept suffix stands for the run of windows whose minimiser it is. The suffixes are ordered by the phrase at
-the minimiser and then by the whole stretch of words that the run covers, extended left and right as far as
-its windows reach. Neighbours in this order are compared:
+A kept suffix stands for the run of windows whose minimiser it is, and has fingerprints of the phrase at the
+minimiser and of the whole stretch of words that the run covers. Nothing is sorted, no neighbours are compared and
+no match is extended word by word; suffixes are grouped instead:
 
-* Neighbours with the same stretch match over all of it. All but the first (by doc_id and place) are repeats.
-* Neighbours with the same phrase but different stretches match over a part at most. Of each
-  stretch only the first occurrence is taken further: its windows are extended left and right of the
-  minimiser one by one and compared with those of the other stretches of the phrase.
+* Suffixes with the same phrase and stretch match over all of it. All but the first (by doc_id and place) are repeats.
+* Suffixes with the same phrase but different stretches match over a part at most. Of each
+  stretch only the first occurrence is taken further: the fingerprints of all its windows are grouped by
+  phrase and window.
 
-The order is by fingerprints and not by spelling, so that equal keys meet by hash-partitioned grouping with
-map-side combining instead of one global sort; a phrase that a third of all documents hold is one row per task
+Equal keys meet by hash-partitioned grouping with map-side combining instead of one global sort; a phrase that a third of all documents hold is one row per task
 there, and rows get their group's first occurrence by joins that adaptive execution can split. Phrase and
 stretch (or window) are compared by 128 bits together.
 
