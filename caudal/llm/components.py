@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caudal.llm.shared import keyed_join, staged
+from caudal.llm.shared import keyed_join, scope, staged
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -32,13 +32,15 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(id, component) of all nodes of edges (a, b); the component is its smallest node."""
-    edges = staged(edges.filter("a != b").distinct())
-    before = None
-    while True:
-        edges = staged(_star(_star(edges, large=True), large=False))
-        total = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if total == before:
-            break
-        before = total
-    roots = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
-    return roots.unionByName(roots.select(F.col("component").alias("id"), "component").distinct())
+    with scope() as work:
+        edges = staged(edges.filter("a != b").distinct())
+        before = None
+        while True:
+            last, edges = edges, staged(_star(_star(edges, large=True), large=False))
+            work.drop(last)
+            total = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+            if total == before:
+                break
+            before = total
+        roots = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
+        return work.result(roots.unionByName(roots.select(F.col("component").alias("id"), "component").distinct()))

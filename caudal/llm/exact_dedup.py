@@ -10,7 +10,8 @@ number exactly if they are equal, whatever the hash function does:
   content) joins the sort key.
 * Pairs of numbers are compared as they are.
 
-Only hashes, numbers and contested blocks are shuffled. The sort keys are distinct before they
+What is shuffled: hashes, numbers, and the distinct contents (of each task) of blocks whose hash occurs again. A bitmap of the
+repeated hashes, of fixed size, picks these where they are read. The sort keys are distinct before they
 are sorted, so a text that a third of all rows share is one key; rows get their numbers by joins
 that adaptive execution can split.
 
@@ -24,13 +25,16 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
+import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caudal.llm.shared import ROW, in_batches, keyed_join, row_number, staged
+from caudal.llm.shared import in_batches, keyed_join, scope, staged
 
 BLOCK_BYTES = 8192
+BITMAP_BITS = 1 << 26  # 8 MB that the driver sends to each executor
+PART_BITS = 1 << 15  # of one bitmap aggregate, fixed by Spark
 
 
 def fingerprint(block: bytes) -> int:
@@ -65,9 +69,28 @@ def _heads(docs: DataFrame, size: int, hashed: Callable[[bytes], int],
                       "row long, doc_id long, blocks long, pos long, hash long, sha string, block binary")
 
 
-def _contents(docs: DataFrame, size: int, hashed: Callable[[bytes], int]) -> DataFrame:
+def bitmap_of(hashes: DataFrame) -> np.ndarray:
+    """A bitmap with the bit of each hash set; its size does not depend on the number of hashes."""
+    bit = F.pmod("hash", F.lit(BITMAP_BITS))
+    parts = (hashes.select(F.floor(bit / PART_BITS).alias("part"), F.pmod(bit, F.lit(PART_BITS)).alias("bit"))
+             .groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits"))).collect()
+    out = np.zeros((BITMAP_BITS // PART_BITS, PART_BITS // 8), np.uint8)
+    for row in parts:
+        out[row.part] = np.frombuffer(row.bits, np.uint8)
+    return out.reshape(-1)
+
+
+def _contents(docs: DataFrame, size: int, hashed: Callable[[bytes], int], wanted) -> DataFrame:
+    """Distinct blocks of each batch whose hash has its bit set in `wanted`."""
     def each(columns):
-        found = {block: hashed(block) for text in columns["text"] for block in _blocks(text, size)[1]}
+        bits = wanted.value
+        found = {}
+        for text in columns["text"]:
+            for block in _blocks(text, size)[1]:
+                value = hashed(block)
+                at = value % BITMAP_BITS
+                if bits[at >> 3] >> (at & 7) & 1:
+                    found[block] = value
         yield {"hash": list(found.values()), "block": list(found)}
 
     return in_batches(docs, each, "hash long, block binary", "text")
@@ -76,8 +99,10 @@ def _contents(docs: DataFrame, size: int, hashed: Callable[[bytes], int]) -> Dat
 def _ordinals(docs: DataFrame, heads: DataFrame, size: int,
               hashed: Callable[[bytes], int]) -> DataFrame:
     """(hash, block, ordinal) of all hashes that different blocks share; nearly always empty."""
-    repeated = heads.groupBy("hash").count().filter("count > 1").select("hash")
-    contested = (_contents(docs, size, hashed).join(repeated, "hash", "left_semi").distinct())
+    repeated = staged(heads.groupBy("hash").count().filter("count > 1").select("hash"))
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap_of(repeated))
+    # Distinct first: a task sends a block that all its rows share once.
+    contested = _contents(docs, size, hashed, wanted).distinct().join(repeated, "hash", "left_semi")
     several = contested.groupBy("hash").count().filter("count > 1").select("hash")
     by_content = Window.partitionBy("hash").orderBy("block")
     return (contested.join(several, "hash", "left_semi")
@@ -96,47 +121,51 @@ def name_keys(rows: DataFrame, keys: list[str], name: str = "name") -> DataFrame
 
 
 def identities(docs: DataFrame, block_bytes: int = BLOCK_BYTES,
-               hashed: Callable[[bytes], int] = fingerprint) -> DataFrame:
-    """(doc_id, row, level, name, sha) of each row of (doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text"), row_number(docs).alias("row"))
-    heads = staged(_heads(docs, block_bytes, hashed))
-    ordinals = staged(_ordinals(docs, heads, block_bytes, hashed))
-    most = heads.agg(F.max("blocks")).first()[0] or 1
-    keys = ["hash"]
-    rows = heads
-    if not ordinals.isEmpty():
-        heads = staged(_heads(docs, block_bytes, hashed, contents=True))
-        keys = ["hash", "ordinal"]
-        rows = (keyed_join(heads, ordinals, ["hash", "block"], "left")
-                .withColumn("ordinal", F.coalesce("ordinal", F.lit(0))))
-    rows = rows.select("row", "blocks", "pos", *keys)
-    named = name_keys(rows, keys)
-    level = staged(named.select("row", "blocks", "pos", "name"))
-    done = level.filter("blocks = 1").select("row", F.lit(0).alias("level"), "name")
-    depth = 0
-    while most > 1:
-        depth, most = depth + 1, (most + 1) // 2
-        pairs = (level.filter("blocks > 1")
-                 .groupBy("row", F.floor(F.col("pos") / 2).alias("pos"))
-                 .agg(F.ceil(F.max("blocks") / 2).alias("blocks"),
-                      F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("left"),
-                      F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))),
-                                 F.lit(-1)).alias("right")))
-        named = name_keys(pairs, ["left", "right"])
+               hashed: Callable[[bytes], int] = fingerprint, number: str | None = None) -> DataFrame:
+    """(doc_id, row, level, name, sha) of each row of (doc_id, text); `number` is a column that numbers the rows."""
+    row = F.col(number) if number else F.monotonically_increasing_id()
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text"), row.alias("row"))
+    with scope() as work:
+        heads = staged(_heads(docs, block_bytes, hashed), "zstd")
+        ordinals = staged(_ordinals(docs, heads, block_bytes, hashed))
+        most = heads.agg(F.max("blocks")).first()[0] or 1
+        first = heads.filter("pos = 0").select("row", "doc_id", "sha")
+        keys = ["hash"]
+        rows = heads
+        if not ordinals.isEmpty():
+            # Read again for the contents; places are those of the first reading, in the order of each text's blocks.
+            keys = ["hash", "ordinal"]
+            contents = staged(_heads(docs, block_bytes, hashed, contents=True), "zstd")
+            first = contents.filter("pos = 0").select("row", "doc_id", "sha")
+            rows = (keyed_join(contents, ordinals, ["hash", "block"], "left")
+                    .withColumn("ordinal", F.coalesce("ordinal", F.lit(0))))
+        rows = rows.select("row", "blocks", "pos", *keys)
+        named = name_keys(rows, keys)
         level = staged(named.select("row", "blocks", "pos", "name"))
-        done = done.unionByName(
-            level.filter("blocks = 1").select("row", F.lit(depth).alias("level"), "name"))
-    first = heads.filter("pos = 0").select("row", "doc_id", "sha")
-    return first.join(done, "row")
+        done = level.filter("blocks = 1").select("row", F.lit(0).alias("level"), "name")
+        depth = 0
+        while most > 1:
+            depth, most = depth + 1, (most + 1) // 2
+            pairs = (level.filter("blocks > 1")
+                     .groupBy("row", F.floor(F.col("pos") / 2).alias("pos"))
+                     .agg(F.ceil(F.max("blocks") / 2).alias("blocks"),
+                          F.max(F.when(F.col("pos") % 2 == 0, F.col("name"))).alias("left"),
+                          F.coalesce(F.max(F.when(F.col("pos") % 2 == 1, F.col("name"))),
+                                     F.lit(-1)).alias("right")))
+            named = name_keys(pairs, ["left", "right"])
+            level = staged(named.select("row", "blocks", "pos", "name"))
+            done = done.unionByName(
+                level.filter("blocks = 1").select("row", F.lit(depth).alias("level"), "name"))
+        return work.result(first.join(done, "row"), "zstd")
 
 
 def exact_dedup(docs: DataFrame, block_bytes: int = BLOCK_BYTES,
-                hashed: Callable[[bytes], int] = fingerprint) -> DataFrame:
-    """One row per row of (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256."""
-    named = staged(identities(docs, block_bytes, hashed))
+                hashed: Callable[[bytes], int] = fingerprint, number: str | None = None) -> DataFrame:
+    """One row per row of (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256 (and `number`, if given)."""
+    named = identities(docs, block_bytes, hashed, number)
     groups = named.groupBy("level", "name").agg(
         F.max(F.struct("doc_id", "row")).alias("keep"), F.count(F.lit(1)).alias("group_size"))
     return keyed_join(named, groups, ["level", "name"]).select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
         (F.col("row") == F.col("keep.row")).alias("kept"), F.col("sha").alias("text_sha256"),
-        *([F.col("row").alias(ROW)] if ROW in docs.columns else []))
+        *([F.col("row").alias(number)] if number else []))

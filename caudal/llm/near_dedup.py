@@ -8,17 +8,19 @@
 3. In a bucket, signatures are compared batch by batch. After each batch a pair is pruned if, given its
    agreements, the posterior probability that its similarity reaches the threshold is below MISS; the
    posterior under a uniform prior is a beta distribution, so this is a least number of agreements for each
-   batch. The surviving pairs of a block only need to be known up to connection: a spanning forest
-   of them is emitted, not the pairs.
-4. Connected survivors form clusters; all links of a class lie within its cluster. Each cluster gets the full
-   sets of its classes once, prunes pairs the same way, and verifies survivors on the full
-   sets unless both are already known to be in one component. Again a spanning forest is emitted, now of
-   exact links.
-5. Connected components of the exact links; every row gets its class's component.
-
-Buckets and clusters of more than BLOCK classes are dealt into blocks of bounded size, and each pair of blocks is a
-group of its own, so no group grows with the data. Work in such a bucket grows with the square of its
-number of different texts, as vectorised comparison of signatures; the rows emitted do not.
+   batch. The surviving pairs of a bucket only need to be known up to connection: a spanning forest
+   of them is emitted, not the pairs. A bucket of more than BLOCK classes is a star first, each member against four
+   centres; only members that are not connected by then meet the others, in blocks.
+4. Connected survivors form clusters; all links of a class lie within its cluster. Each class is verified on the full sets
+   against one survivor, its smallest one: two texts for each class. What is linked is contracted.
+5. In clusters that still have several components, members outside the largest one meet all members: pairs of different
+   components are pruned the same way, and survivors are verified on the full sets. Again a spanning forest is
+   emitted, now of exact links.
+6. Connected components of the exact links; every row gets its class's component.
+
+No group grows with the data, and rows are copied about twice where a bucket or cluster is mostly connected, whatever its
+size. Only where thousands of classes are alike in their signatures but are not linked, copies and comparisons grow
+with their number times the cluster's, in blocks of BLOCK.
 
 Defined cases: a null text or a text without words has an empty set, no links and is its own
 component; fewer than five words are one shingle; equal rows are linked like other copies; a null doc_id
@@ -37,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caudal.llm.components import components
-from caudal.llm.shared import ROW, in_batches, keyed_join, numbered, staged
+from caudal.llm.shared import crossing, dealt, in_batches, keyed_join, numbered, release, scope, staged
 
 SHINGLE = 5
 PERCENT = 85
@@ -216,96 +218,150 @@ def signed_documents(docs: DataFrame, rows: int = ROWS, bands: int = BANDS) -> D
                       "uid long, doc_id long, n_shingles long, words binary, bands array<long>, signature binary")
 
 
-def dealt(rows: DataFrame, size: str, block: int, at_once: int, total: int) -> DataFrame:
-    """Rows (cluster, uid, ...) with the group they are compared in: part, low and high.
-
-    Clusters of at most `block` rows share parts of about `at_once` rows. A larger one is dealt into
-    blocks, and a row goes to each pair of blocks that has its own.
-    """
-    parts = max(1, -(-total // at_once))
-    return (rows.withColumn("_blocks", F.ceil(F.col(size) / block))
-            .withColumn("_own", F.pmod(F.xxhash64("uid"), F.col("_blocks")).cast("int"))
-            .withColumn("_other", F.explode(F.sequence(F.lit(0), (F.col("_blocks") - 1).cast("int"))))
-            .withColumn("low", F.least("_own", "_other")).withColumn("high", F.greatest("_own", "_other"))
-            .withColumn("part", F.when(F.col("_blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(parts)))
-                        .otherwise(F.xxhash64("cluster", "low", "high")))
-            .withColumn("own", F.col("_own") == F.col("low")))
-
-
-def _forest(threshold: float, verify):
-    """A function from the rows of a part to a spanning forest (a, b) of the links in its clusters.
-
-    `verify` makes, from the rows of a cluster, the function that confirms a pair; None takes all survivors.
-    """
+def _forest(threshold: float):
+    """A function from the rows of a part to a spanning forest (a, b) of the surviving pairs in its clusters."""
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         found_a, found_b = [], []
-        for (_, low, high), group in rows.groupby(["cluster", "low", "high"], sort=False):
-            group = group.drop_duplicates("uid")
+        for _, group in rows.groupby("cluster", sort=False):
+            group = group.sort_values("uid", kind="stable")
             uids = group["uid"].to_numpy()
             minima = np.frombuffer(b"".join(group["signature"]), "<u2").reshape(len(group), -1)
-            confirm = verify(group) if verify else None
             forest = Forest(len(group))
-            if low == high:
-                places = (np.arange(len(group)),) * 2
-            else:
-                own = group["own"].to_numpy()
-                places = np.flatnonzero(own), np.flatnonzero(~own)
-            left, right = places
-            for i, j in survivors(minima[left], minima[right], threshold, low == high):
-                i, j = int(left[i]), int(right[j])
-                if forest.root(i) != forest.root(j) and (confirm is None or confirm(i, j)):
-                    forest.join(i, j)
-                    found_a.append(uids[i])
-                    found_b.append(uids[j])
+            for i, j in survivors(minima, minima, threshold, True):
+                if forest.join(i, j):
+                    found_a.append(uids[j])
+                    found_b.append(uids[i])
         return pd.DataFrame({"a": np.array(found_a, np.int64), "b": np.array(found_b, np.int64)})
     return run
 
 
-def _exactly(percent: int):
-    def verify(group: pd.DataFrame):
-        texts = group["text"].tolist()
-        sets: dict[int, np.ndarray] = {}
+def _across(threshold: float, percent: int | None):
+    """A function from a part of `crossing` to links (a, b) between labels, one for each two labels it connects.
+
+    With `percent`, links are verified on the full sets of the texts; without it survivors are links.
+    """
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        found = [links(group) for _, group in rows.groupby(["cluster", "_block", "_chunk"], sort=False)]
+        pairs = np.array([pair for pairs in found for pair in pairs], np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": pairs.max(axis=1), "b": pairs.min(axis=1)})
+
+    def links(group: pd.DataFrame) -> list[tuple[int, int]]:
+        minor = group["minor"].to_numpy()
+        left, right = np.flatnonzero(minor), np.flatnonzero(~minor)
+        out = []
+        if len(left) and len(right):
+            uids = group["uid"].to_numpy()
+            names, places = np.unique(group["label"].to_numpy(), return_inverse=True)
+            forest = Forest(len(names))
+            minima = np.frombuffer(b"".join(group["signature"]), "<u2").reshape(len(group), -1)
+            texts = group["text"].tolist() if percent else None
+            sets: dict[int, np.ndarray] = {}
+
+            def shingles(place: int) -> np.ndarray:
+                if place not in sets:
+                    sets[place] = np.unique(windows_of(hashed_words(texts[place]), SHINGLE))
+                return sets[place]
+
+            for i, j in survivors(minima[left], minima[right], threshold, False):
+                i, j = int(left[i]), int(right[j])
+                if forest.root(places[i]) != forest.root(places[j]) and (
+                        percent is None or similar(shingles(i), shingles(j), percent)):
+                    forest.join(places[i], places[j])
+                    out.append((uids[i], uids[j]))
+        return out
+    return run
 
-        def shingles(place: int) -> np.ndarray:
-            if place not in sets:
-                sets[place] = np.unique(windows_of(hashed_words(texts[place]), SHINGLE))
-            return sets[place]
 
-        return lambda i, j: similar(shingles(i), shingles(j), percent)
-    return verify
+def _surviving(threshold: float):
+    """Batches (uid, signature, centre, other) to the links that no batch of the signature prunes."""
+    def each(columns):
+        a, b = [], []
+        for uid, own, centre, other in zip(*(columns[c] for c in ("uid", "signature", "centre", "other")), strict=True):
+            pair = [np.frombuffer(data, "<u2").reshape(1, -1) for data in (own, other)]
+            if list(survivors(*pair, threshold, False)):
+                a.append(max(uid, centre))
+                b.append(min(uid, centre))
+        yield {"a": a, "b": b}
+    return each
+
+
+def verified(edges: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """The edges (a, b) whose two texts are similar on their full sets."""
+    def each(columns):
+        kept = [similar(*(np.unique(windows_of(hashed_words(text), SHINGLE)) for text in pair), percent)
+                for pair in zip(columns["left"], columns["right"], strict=True)]
+        yield {name: [v for v, keep in zip(columns[name], kept, strict=True) if keep] for name in ("a", "b")}
+
+    # Both joins may meet a hot smaller end: many classes are verified against one.
+    texts = keyed_join(edges, docs.select(F.col("uid").alias("a"), F.col("text").alias("left")), ["a"])
+    texts = keyed_join(texts, docs.select(F.col("uid").alias("b"), F.col("text").alias("right")), ["b"])
+    return in_batches(texts, each, "a long, b long", "a", "b", "left", "right")
+
+
+def candidate_edges(reps: DataFrame, threshold: float, block: int) -> DataFrame:
+    """Edges (a, b), a > b, that connect all classes whose signatures survive in a common bucket."""
+    with scope() as work:
+        entries = reps.select("uid", F.explode("bands").alias("cluster"))
+        signed = reps.select("uid", "signature")
+        sizes = entries.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+        shared = staged(keyed_join(entries, sizes, ["cluster"]), "zstd")
+        few = shared.filter(F.col("size") <= block)
+        parts = dealt(few.join(signed, "uid"), "size", block, 4 * block, few.count())
+        edges = staged(parts.groupBy("part").applyInPandas(_forest(threshold), "a long, b long").distinct())
+        many = shared.filter(F.col("size") > block)
+        if not many.isEmpty():
+            random = F.struct(F.xxhash64("uid", "cluster"), "uid")
+            centres = many.groupBy("cluster").agg(F.array(
+                F.min("uid"), F.max("uid"), F.min(random)["uid"], F.max(random)["uid"]).alias("centres"))
+            pairs = (keyed_join(many, centres, ["cluster"])
+                     .select("uid", F.explode("centres").alias("centre")).filter("uid != centre").distinct())
+            pairs = keyed_join(pairs, signed.withColumnsRenamed({"uid": "centre", "signature": "other"}), ["centre"])
+            star = in_batches(pairs.join(signed, "uid"), _surviving(threshold), "a long, b long",
+                              "uid", "signature", "centre", "other")
+            edges = staged(edges.unionByName(star).distinct())
+            labels = components(edges).select(F.col("id").alias("uid"), F.col("component").alias("label"))
+            named = (many.join(labels, "uid", "left").withColumn("label", F.coalesce("label", "uid"))
+                     .join(signed, "uid").select("cluster", "uid", "label", "signature"))
+            rest = crossing(named, "cluster", "label", block).groupBy("part").applyInPandas(
+                _across(threshold, None), "a long, b long")
+            edges = edges.unionByName(rest).distinct()
+        return work.result(edges)
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, rows: int = ROWS, bands: int = BANDS,
-                    block: int = BLOCK) -> DataFrame:
-    """One row per row of (doc_id, text): doc_id, n_shingles, component_id, kept."""
-    numbers = [F.col("uid").alias(ROW)] if ROW in docs.columns else []
-    if not numbers:
-        docs = numbered(docs.select("doc_id", "text"))
-    docs = docs.select(F.col("doc_id").cast("long"), "text", F.col(ROW).alias("uid"))
-    signed = staged(signed_documents(docs, rows, bands))
-    classes = staged(signed.filter("words IS NOT NULL").groupBy("words").agg(F.min("uid").alias("class")))
-    reps = signed.join(classes.select(F.col("class").alias("uid")), "uid", "left_semi")
-
-    entries = reps.select("uid", F.explode("bands").alias("cluster"))
-    sizes = entries.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    shared = staged(keyed_join(entries, sizes, ["cluster"]))
-    compared = dealt(shared.join(reps.select("uid", "signature"), "uid"), "size", block, 4 * block, shared.count())
-    near = components(compared.groupBy("part").applyInPandas(
-        _forest(percent / 100, None), "a long, b long"))
-
-    near = staged(near.select(F.col("id").alias("uid"), F.col("component").alias("cluster")))
-    sizes = near.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    members = staged(keyed_join(near, sizes, ["cluster"]).join(reps.select("uid", "signature"), "uid"))
-    with_text = members.join(docs.select("uid", "text"), "uid")
-    verified = dealt(with_text, "size", block, block, members.count())
-    exact = components(verified.groupBy("part").applyInPandas(
-        _forest(percent / 100, _exactly(percent)), "a long, b long"))
-
-    linked = (keyed_join(signed.select("uid", "doc_id", "n_shingles", "words"), classes, ["words"], "left")
-              .join(exact.select(F.col("id").alias("class"), "component"), "class", "left")
-              .withColumn("root", F.coalesce("component", "class", "uid")))
-    linked = staged(linked.select("uid", "doc_id", "n_shingles", "root"))
+                    block: int = BLOCK, number: str | None = None) -> DataFrame:
+    """One row per row of (doc_id, text): doc_id, n_shingles, component_id, kept (and `number`, if given).
+
+    `number` is a column that numbers the rows the same at each reading; without it they are numbered here.
+    """
+    threshold = percent / 100
+    with scope() as work:
+        if number is None:
+            docs = numbered(docs.select("doc_id", "text"), "uid")
+        docs = docs.select(F.col("doc_id").cast("long"), "text", F.col(number or "uid").alias("uid"))
+        signed = staged(signed_documents(docs, rows, bands))
+        classes = staged(signed.filter("words IS NOT NULL").groupBy("words").agg(F.min("uid").alias("class")))
+        reps = staged(signed.join(classes.select(F.col("class").alias("uid")), "uid", "left_semi")
+                      .select("uid", "bands", "signature"))
+        edges = candidate_edges(reps, threshold, block)
+        release(docs.sparkSession)
+
+        first = staged(verified(edges.groupBy("a").agg(F.min("b").alias("b")), docs, percent))
+        known = components(first).select(F.col("id").alias("uid"), F.col("component").alias("label"))
+        clusters = components(edges).select(F.col("id").alias("uid"), F.col("component").alias("cluster"))
+        named = (clusters.join(known, "uid", "left").withColumn("label", F.coalesce("label", "uid"))
+                 .join(reps.select("uid", "signature"), "uid"))
+        rest = crossing(named, "cluster", "label", block)
+        met = rest.join(docs.select("uid", "text"), "uid")
+        second = met.groupBy("part").applyInPandas(_across(threshold, percent), "a long, b long")
+        exact = components(first.unionByName(second))
+
+        linked = (keyed_join(signed.select("uid", "doc_id", "n_shingles", "words"), classes, ["words"], "left")
+                  .join(exact.select(F.col("id").alias("class"), "component"), "class", "left")
+                  .withColumn("root", F.coalesce("component", "class", "uid")))
+        linked = work.result(linked.select("uid", "doc_id", "n_shingles", "root"), "zstd")
     least = linked.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "uid")).alias("least"))
     return keyed_join(linked, least, ["root"]).select(
         "doc_id", "n_shingles", F.col("least.doc_id").alias("component_id"),
-        (F.col("uid") == F.col("least.uid")).alias("kept"), *numbers)
+        (F.col("uid") == F.col("least.uid")).alias("kept"),
+        *([F.col("uid").alias(number)] if number else []))

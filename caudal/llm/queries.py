@@ -10,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from caudal.llm.bpe import bpe_digest
 from caudal.llm.exact_dedup import exact_dedup
 from caudal.llm.lm_scoring import lm_scores
+from caudal.llm.merkle import merkle_manifest
 from caudal.llm.near_dedup import near_duplicates
 from caudal.llm.packing import pack_documents
 from caudal.llm.quality import quality
 from caudal.llm.shared import prepare, table
+from caudal.llm.simhash import simhash_duplicates
+from caudal.llm.spelling import spelling_variants
 from caudal.llm.suffix_dedup import repeated_passages
 from caudal.llm.token_files import token_file_digest
 from caudal.llm.toxicity import toxicity
@@ -65,6 +68,18 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(prepare(spark), sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(prepare(spark), sf_dir, "documents"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest(table(prepare(spark), sf_dir, "documents"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_duplicates(table(prepare(spark), sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_exact_dedup": op2_exact_dedup,
@@ -76,4 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_near_dedup": op10_near_dedup,
+    "op11_spelling": op11_spelling,
+    "op12_merkle": op12_merkle,
+    "op13_simhash": op13_simhash,
 }

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -57,18 +58,81 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def scratch(spark: SparkSession) -> str:
     """A new folder for intermediate tables below spark.checkpoint.dir.
 
-    Without that setting a temporary folder serves on one machine (tests); a cluster must name a
-    folder that all executors share.
+    Without that setting a temporary folder serves where driver and executors are one process; a cluster
+    must name a folder that all executors share.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="caudal-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/caudal-llm-{uuid.uuid4().hex}"
 
 
+class Scope:
+    """The staged tables of one piece of work, deleted at its end but for its result."""
+
+    def __init__(self) -> None:
+        self.folders: list[tuple[DataFrame, str]] = []
+
+    def drop(self, *frames: DataFrame) -> None:
+        """Delete staged tables that nothing will read again."""
+        for frame, path in [pair for pair in self.folders if any(pair[0] is f for f in frames)]:
+            self.folders = [pair for pair in self.folders if pair[1] != path]
+            _delete(frame.sparkSession, path)
+
+    def result(self, df: DataFrame, compression: str = "snappy") -> DataFrame:
+        """The frame, staged for whoever asked for this work, which may delete it in turn."""
+        df = staged(df, compression)
+        self.folders, own = [pair for pair in self.folders if pair[0] is not df], self.folders
+        if len(_scopes) > 1:
+            _scopes[-2].folders += [pair for pair in own if pair[0] is df]
+        return df
+
+
+_scopes: list[Scope] = []
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scope() -> Iterator[Scope]:
+    """Tables that are staged inside belong to the scope; it deletes them when it ends, also by an error."""
+    own = Scope()
+    _scopes.append(own)
+    try:
+        yield own
+    finally:
+        _scopes.pop()
+        own.drop(*(frame for frame, _ in own.folders))
+
+
+_left: list[tuple[DataFrame, str]] = []
+
+
+def leave(work: Scope | None, *frames: DataFrame) -> None:
+    """Take staged tables out of a scope (all of them, if none are named): they outlive it, until the next stage begins.
+
+    Without a scope this is the beginning of a stage, of which `frames` are the input: what earlier stages left is deleted,
+    but for tables that the input itself reads.
+    """
+    if work is not None:
+        kept = [pair for pair in work.folders if not frames or any(pair[0] is f for f in frames)]
+        work.folders = [pair for pair in work.folders if all(pair[1] != path for _, path in kept)]
+        _left.extend(kept)
+        return
+    read = [file for frame in frames for file in frame.inputFiles()] if _left else []
+    for frame, path in list(_left):
+        if not any(path.rsplit("/", 1)[-1] in file for file in read):
+            _left.remove((frame, path))
+            _delete(frame.sparkSession, path)
+
+
 def staged(df: DataFrame, compression: str = "snappy") -> DataFrame:
     """Write a frame once and read it back, so that later steps start from files.
 
@@ -77,20 +141,21 @@ def staged(df: DataFrame, compression: str = "snappy") -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark)
     df.write.parquet(path, compression=compression)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-ROW = "_row_number"  # of `numbered`; operators that get it give it back with each row
+    out = spark.read.schema(df.schema).parquet(path)
+    if _scopes:
+        _scopes[-1].folders.append((out, path))
+    return out
 
 
-def numbered(df: DataFrame) -> DataFrame:
-    """The frame, staged, with a number for each row that stays the same however often it is read."""
-    return staged(df.withColumn(ROW, F.monotonically_increasing_id()), "zstd")
+def unused(df: DataFrame, stem: str) -> str:
+    """A column name that the frame does not have, whatever its own columns are called."""
+    taken = {name.lower() for name in df.columns}
+    return next(name for name in (stem + "_" * n for n in range(len(taken) + 1)) if name not in taken)
 
 
-def row_number(df: DataFrame) -> Column:
-    """The number of `numbered`, or else one that holds for one reading only."""
-    return F.col(ROW) if ROW in df.columns else F.monotonically_increasing_id()
+def numbered(df: DataFrame, number: str) -> DataFrame:
+    """The frame, staged, with a column that numbers the rows and stays the same however often it is read."""
+    return staged(df.withColumn(number, F.monotonically_increasing_id()), "zstd")
 
 
 def release(spark: SparkSession) -> None:
@@ -115,10 +180,11 @@ def keyed_join(rows: DataFrame, side: DataFrame, keys: list[str], how: str = "in
 
 
 def _lists(batch: pa.RecordBatch) -> dict[str, list]:
-    """Columns as Python lists; lists of numbers as numpy views."""
+    """Columns as Python lists; lists of numbers without nulls as numpy views."""
     out = {}
     for name, column in zip(batch.schema.names, batch.columns, strict=True):
-        if pa.types.is_list(column.type) and pa.types.is_primitive(column.type.value_type):
+        if (pa.types.is_list(column.type) and pa.types.is_primitive(column.type.value_type)
+                and not column.values.null_count):
             values = column.values.to_numpy(zero_copy_only=False)
             ends = column.offsets.to_numpy()
             out[name] = [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
@@ -154,3 +220,47 @@ def in_batches(df: DataFrame, each: Callable[[dict[str, list]], Iterable[dict[st
             yield from each(batch)
 
     return in_partitions(df, run, schema, *columns)
+
+
+def dealt(rows: DataFrame, size: str, block: int, at_once: int, total: int) -> DataFrame:
+    """Rows (cluster, uid, ...) with the group they are compared in: part, low and high.
+
+    Clusters of at most `block` rows share parts of about `at_once` rows. A larger one is dealt into
+    blocks, and a row goes to each pair of blocks that has its own.
+    """
+    parts = max(1, -(-total // at_once))
+    return (rows.withColumn("_blocks", F.ceil(F.col(size) / block))
+            .withColumn("_own", F.pmod(F.xxhash64("uid"), F.col("_blocks")).cast("int"))
+            .withColumn("_other", F.explode(F.sequence(F.lit(0), (F.col("_blocks") - 1).cast("int"))))
+            .withColumn("low", F.least("_own", "_other")).withColumn("high", F.greatest("_own", "_other"))
+            .withColumn("part", F.when(F.col("_blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(parts)))
+                        .otherwise(F.xxhash64("cluster", "low", "high")))
+            .withColumn("own", F.col("_own") == F.col("low")))
+
+
+def crossing(rows: DataFrame, cluster: str, label: str, block: int) -> DataFrame:
+    """Rows of clusters that have several labels, with the group in which they meet the rows of other labels.
+
+    The rows outside a cluster's most frequent label ("minor" ones) meet all of its rows: minor ones are dealt into blocks by
+    `_block`, all of them into blocks by `_chunk`, and a group holds one of each. A cluster whose rows are mostly connected
+    costs about two copies of a row, whatever its size. `part` is such a group, or small clusters together.
+    """
+    with scope() as work:
+        sizes = rows.groupBy(cluster, label).agg(F.count(F.lit(1)).alias("_n"))
+        main = sizes.groupBy(cluster).agg(
+            F.max(F.struct("_n", label))[label].alias("_main"), F.count(F.lit(1)).alias("_labels"),
+            F.sum("_n").alias("_all"), F.max("_n").alias("_most"))
+        main = main.filter("_labels > 1").select(
+            cluster, "_main", F.ceil((F.col("_all") - F.col("_most")) / block).cast("int").alias("_blocks"),
+            F.ceil(F.col("_all") / block).cast("int").alias("_chunks"))
+        kept = staged(keyed_join(rows, main, [cluster]), "zstd")
+        parts = max(1, kept.count() // block)
+        chunk = F.pmod(F.xxhash64("uid"), F.col("_chunks")).cast("int")
+        minor = (kept.filter(F.col(label) != F.col("_main"))
+                 .withColumn("_block", F.pmod(F.xxhash64(F.lit(1), "uid"), F.col("_blocks")).cast("int"))
+                 .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1))).withColumn("minor", F.lit(True)))
+        every = (kept.withColumn("_chunk", chunk)
+                 .withColumn("_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).withColumn("minor", F.lit(False)))
+        part = F.when(F.col("_chunks") == 1, F.pmod(F.xxhash64(cluster), F.lit(parts))).otherwise(
+            F.xxhash64(cluster, "_block", "_chunk"))
+        return work.result(minor.unionByName(every).withColumn("part", part).drop("_main", "_blocks", "_chunks"), "zstd")

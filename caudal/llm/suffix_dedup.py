@@ -6,7 +6,8 @@ MIN_WORDS words or more that occurs twice has kept suffixes at the same places o
 
 A kept suffix stands for the run of windows whose minimiser it is, and has fingerprints of the phrase at the
 minimiser and of the whole stretch of words that the run covers. Nothing is sorted, no neighbours are compared and
-no match is extended word by word; suffixes are grouped instead:
+no match is extended word by word: the neighbour with the longest common words to the right of a minimiser need not be the one
+that agrees to its left, so neighbours alone would lose windows. Suffixes are grouped instead:
 
 * Suffixes with the same phrase and stretch match over all of it. All but the first (by doc_id and place) are repeats.
 * Suffixes with the same phrase but different stretches match over a part at most. Of each
@@ -35,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from caudal.llm.near_dedup import _mixed, hashed_words, windows_of
-from caudal.llm.shared import ROW, in_batches, keyed_join, numbered, release, staged
+from caudal.llm.shared import in_batches, keyed_join, numbered, release, scope, staged, unused
 
 MIN_WORDS = 50
 PHRASE = 8
@@ -95,11 +96,11 @@ def _kept_suffixes(docs: DataFrame, min_words: int, phrase: int) -> DataFrame:
                 continue
             keys, stretches, first, last, _ = runs
             out["doc_id"].extend([doc_id] * len(keys))
-            out["row"].extend([row] * len(keys))
+            out["row"].append(np.full(len(keys), row))
             for name, values in (("phrase", keys), ("stretch", stretches), ("first", first), ("last", last)):
                 out[name].append(values)
         yield out | {name: np.concatenate(out[name]) if out[name] else np.zeros(0, np.int64)
-                     for name in ("phrase", "stretch", "first", "last")}
+                     for name in ("row", "phrase", "stretch", "first", "last")}
 
     return in_batches(docs, each, "doc_id long, row long, phrase long, stretch long, first int, last int")
 
@@ -128,46 +129,56 @@ def _windows(docs: DataFrame, wanted: DataFrame, min_words: int, phrase: int) ->
                       "row", "doc_id", "firsts", "text")
 
 
-def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, phrase: int = PHRASE) -> DataFrame:
+def repeated_passages(docs: DataFrame, min_words: int = MIN_WORDS, phrase: int = PHRASE,
+                      number: str | None = None) -> DataFrame:
     """One row per maximal stretch of repeated words: doc_id, row, start_word, end_word, source_ids.
 
-    The end is exclusive; source_ids are the documents in which its windows occur first.
+    The end is exclusive; source_ids are the documents in which its windows occur first. `number` is a column that
+    numbers the rows the same at each reading; without it the rows are numbered here.
     """
-    if ROW not in docs.columns:
-        docs = numbered(docs.select("doc_id", "text"))
-    docs = docs.select(F.col("doc_id").cast("long"), "text", F.col(ROW).alias("row"))
-    suffixes = staged(_kept_suffixes(docs, min_words, phrase))
-    repeated = suffixes.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("phrase")
-    suffixes = staged(keyed_join(suffixes, repeated, ["phrase"], "left_semi"))
-    release(docs.sparkSession)
-    stretches = staged(suffixes.groupBy("phrase", "stretch").agg(
-        F.min(F.struct("doc_id", "row", "first", "last")).alias("origin"), F.count(F.lit(1)).alias("copies")))
-    whole = (keyed_join(suffixes, stretches.filter("copies > 1"), ["phrase", "stretch"])
-             .filter("NOT (row = origin.row AND first = origin.first)")
-             .select("doc_id", "row", F.col("first").alias("start"), (F.col("last") + min_words).alias("end"),
-                     F.col("origin.doc_id").alias("source")))
-
-    several = stretches.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("phrase")
-    wanted = keyed_join(stretches, several, ["phrase"]).select(
-        "origin.row", "origin.first")
-    release(docs.sparkSession)
-    windows = staged(_windows(docs, wanted, min_words, phrase))
-    release(docs.sparkSession)
-    origins = windows.groupBy("phrase", "window").agg(
-        F.min(F.struct("doc_id", "row", "place")).alias("origin"), F.count(F.lit(1)).alias("copies"))
-    parts = (keyed_join(windows, origins.filter("copies > 1"), ["phrase", "window"])
-             .filter("NOT (row = origin.row AND place = origin.place)")
-             .select("doc_id", "row", F.col("place").alias("start"), (F.col("place") + min_words).alias("end"),
-                     F.col("origin.doc_id").alias("source")))
-
-    in_text = Window.partitionBy("row").orderBy("start", "end")
-    reach = F.max("end").over(in_text.rowsBetween(Window.unboundedPreceding, -1))
-    joined = (whole.unionByName(parts)
-              .withColumn("_new", F.coalesce(F.col("start") > reach, F.lit(True)).cast("int"))
-              .withColumn("_stretch", F.sum("_new").over(in_text)))
-    return joined.groupBy("row", "_stretch").agg(
-        F.first("doc_id").alias("doc_id"), F.min("start").alias("start_word"), F.max("end").alias("end_word"),
-        F.sort_array(F.collect_set("source")).alias("source_ids")).drop("_stretch")
+    with scope() as work:
+        if number is None:
+            docs = docs.select("doc_id", "text")
+            number = "row"
+            docs = numbered(docs, number)
+        docs = docs.select(F.col("doc_id").cast("long"), "text", F.col(number).alias("row"))
+        everything = staged(_kept_suffixes(docs, min_words, phrase), "zstd")
+        repeated = everything.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("phrase")
+        suffixes = staged(keyed_join(everything, repeated, ["phrase"], "left_semi"), "zstd")
+        work.drop(everything)
+        release(docs.sparkSession)
+        stretches = staged(suffixes.groupBy("phrase", "stretch").agg(
+            F.min(F.struct("doc_id", "row", "first", "last")).alias("origin"), F.count(F.lit(1)).alias("copies")), "zstd")
+        whole = staged(
+            keyed_join(suffixes, stretches.filter("copies > 1"), ["phrase", "stretch"])
+            .filter("NOT (row = origin.row AND first = origin.first)")
+            .select("doc_id", "row", F.col("first").alias("start"), (F.col("last") + min_words).alias("end"),
+                    F.col("origin.doc_id").alias("source")), "zstd")
+        work.drop(suffixes)
+        release(docs.sparkSession)
+
+        several = stretches.groupBy("phrase").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("phrase")
+        wanted = staged(keyed_join(stretches, several, ["phrase"]).select("origin.row", "origin.first"), "zstd")
+        work.drop(stretches)
+        release(docs.sparkSession)
+        windows = staged(_windows(docs, wanted, min_words, phrase), "zstd")
+        work.drop(wanted)
+        release(docs.sparkSession)
+        origins = windows.groupBy("phrase", "window").agg(
+            F.min(F.struct("doc_id", "row", "place")).alias("origin"), F.count(F.lit(1)).alias("copies"))
+        parts = (keyed_join(windows, origins.filter("copies > 1"), ["phrase", "window"])
+                 .filter("NOT (row = origin.row AND place = origin.place)")
+                 .select("doc_id", "row", F.col("place").alias("start"), (F.col("place") + min_words).alias("end"),
+                         F.col("origin.doc_id").alias("source")))
+
+        in_text = Window.partitionBy("row").orderBy("start", "end")
+        reach = F.max("end").over(in_text.rowsBetween(Window.unboundedPreceding, -1))
+        joined = (whole.unionByName(parts)
+                  .withColumn("_new", F.coalesce(F.col("start") > reach, F.lit(True)).cast("int"))
+                  .withColumn("_stretch", F.sum("_new").over(in_text)))
+        return work.result(joined.groupBy("row", "_stretch").agg(
+            F.first("doc_id").alias("doc_id"), F.min("start").alias("start_word"), F.max("end").alias("end_word"),
+            F.sort_array(F.collect_set("source")).alias("source_ids")).drop("_stretch"), "zstd")
 
 
 def without_words(text: str, spans: list[tuple[int, int]]) -> str:
@@ -188,13 +199,14 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, phrase: int = PH
     Each row loses its own passages, also among rows with one doc_id or none. A row of which no word stays is left out.
     """
     columns, schema = list(docs.columns), docs.schema
-    docs = numbered(docs)
-    spans = (repeated_passages(docs, min_words, phrase).groupBy(F.col("row").alias(ROW))
-             .agg(F.collect_list(F.struct("start_word", "end_word")).alias("_spans")))
+    number, found = unused(docs, "number"), unused(docs, "spans")
+    docs = numbered(docs, number)
+    spans = (repeated_passages(docs, min_words, phrase, number).groupBy(F.col("row").alias(number))
+             .agg(F.collect_list(F.struct("start_word", "end_word")).alias(found)))
 
     def each(batch):
         out = {name: [] for name in columns}
-        for row in zip(*(batch[name] for name in [*columns, "_spans"]), strict=True):
+        for row in zip(*(batch[name] for name in [*columns, found]), strict=True):
             values, spans = dict(zip(columns, row[:-1], strict=True)), row[-1]
             if spans:
                 text = without_words(values["text"], [(s["start_word"], s["end_word"]) for s in spans])
@@ -207,4 +219,4 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, phrase: int = PH
                 out[name].append(value)
         yield out
 
-    return in_batches(docs.join(spans, ROW, "left").drop(ROW), each, schema)
+    return in_batches(docs.join(spans, number, "left").drop(number), each, schema)

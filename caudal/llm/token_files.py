@@ -52,8 +52,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, keeps_space: bool,
         yield {"doc_id": columns["doc_id"], "n_tokens": [len(ids) // 4 for ids in encoded],
                "ids": id_lists(encoded)}
 
-    ordered = (docs.select(F.col("doc_id").cast("long"), "text")
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id"))
+    # The hash of the text splits the rows of one id (or none) over several tasks.
+    ordered = (docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("split"))
+               .repartitionByRange("doc_id", "split").sortWithinPartitions("doc_id", "split").drop("split"))
     in_batches(ordered, each, "doc_id long, n_tokens long, ids array<int>").write.options(**LAYOUT).parquet(path)
 
 

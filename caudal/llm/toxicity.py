@@ -27,7 +27,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caudal.llm.shared import ROW, in_batches, staged
+from caudal.llm.shared import in_batches, staged
 from caudal.llm.token_files import id_lists
 
 SAMPLE = 8000
@@ -262,10 +262,6 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return found
 
 
-def with_text(docs: DataFrame, chosen: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string")).join(chosen, "doc_id")
-
-
 def labelled_sample(docs: DataFrame, marked: DataFrame, most: int = SAMPLE) -> DataFrame:
     """Of at most `most` labelled documents that do not calibrate: toxic and word ids."""
     chosen = (marked.filter("NOT calibrates").select("doc_id", "toxic")
@@ -275,22 +271,20 @@ def labelled_sample(docs: DataFrame, marked: DataFrame, most: int = SAMPLE) -> D
         yield {"doc_id": columns["doc_id"], "toxic": columns["toxic"],
                "ids": id_lists([word_ids(t).tobytes() for t in columns["text"]])}
 
-    return in_batches(with_text(docs, chosen), each, "doc_id long, toxic int, ids array<int>",
-                      "doc_id", "toxic", "text")
+    # The sample is bounded, so that the join reads texts where they are.
+    texts = (docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(chosen), "doc_id")
+             .groupBy("doc_id", "toxic").agg(F.min("text").alias("text")))
+    return in_batches(texts, each, "doc_id long, toxic int, ids array<int>", "doc_id", "toxic", "text")
 
 
-def calibrated(docs: DataFrame, marked: DataFrame, shared) -> dict[str | None, float]:
+def calibrated(scored: DataFrame, marked: DataFrame) -> dict[str | None, float]:
     """The threshold of all labelled documents that calibrate (under None) and of each language with both labels.
 
-    What comes to the driver is a histogram of BINS bins for each language.
+    `scored` has doc_id, lang and score of every document. What comes to the driver is a histogram of BINS bins for each
+    language.
     """
-    def each(columns):
-        scores = shared.value.scores([word_ids(text) for text in columns["text"]])
-        yield {"lang": columns["lang"], "toxic": columns["toxic"], "score": scores}
-
-    rows = with_text(docs, marked.filter("calibrates").select("doc_id", "toxic"))
-    scored = in_batches(rows, each, "lang string, toxic int, score double", "lang", "toxic", "text")
-    bins = (scored.groupBy("lang", F.floor(F.col("score") * BINS).alias("bin"))
+    rows = scored.join(marked.filter("calibrates").select("doc_id", "toxic"), "doc_id")
+    bins = (rows.groupBy("lang", F.floor(F.col("score") * BINS).alias("bin"))
             .agg(F.min("score").alias("least"), F.max("score").alias("most"), F.count(F.lit(1)).alias("documents"),
                  F.sum("toxic").alias("toxic")).toPandas())
 
@@ -307,34 +301,38 @@ def calibrated(docs: DataFrame, marked: DataFrame, shared) -> dict[str | None, f
     return out
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> tuple[object, dict[str | None, float]]:
-    """The broadcast classifier and a threshold for each language (and for others, under None)."""
-    context = docs.sparkSession.sparkContext
-    marked = labelled(docs, labels)
+def train(docs: DataFrame, marked: DataFrame, most: int = SAMPLE) -> TextCnn | None:
+    """The classifier, fitted on a bounded sample of the labelled documents that do not calibrate; None without any."""
     rows = labelled_sample(docs, marked, most).toArrow().sort_by([("doc_id", "ascending")])
     if not rows.num_rows:
-        return context.broadcast(None), {None: DEFAULT}
+        return None
     texts = [np.asarray(ids.values, np.int32).reshape(-1, PARTS) for ids in rows["ids"]]
     model = TextCnn()
     model.fit(texts, rows["toxic"].to_numpy().astype(np.float32))
-    shared = context.broadcast(model)  # BUCKETS * WIDTH numbers at any input
-    return shared, calibrated(docs, marked, shared)
+    return model
+
 
+def toxicity(docs: DataFrame, labels: DataFrame, most: int = SAMPLE, number: str | None = None) -> DataFrame:
+    """One row per row of (doc_id, text, lang): doc_id, held_out, score, predicted, threshold, flagged.
 
-def toxicity(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFrame:
-    """One row per row of (doc_id, text, lang): doc_id, held_out, score, predicted, threshold, flagged."""
-    shared, thresholds = train(docs, labels, most)
+    Every document is scored once; its score is staged, and thresholds and verdicts are read from there. `number` is a
+    column that numbers the rows, which is handed out too.
+    """
+    marked = labelled(docs, labels)
+    model = train(docs, marked, most)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS * WIDTH numbers at any input
+    rows = [F.col(number).alias("row")] if number else [F.lit(0).cast("long").alias("row")]
 
     def each(columns):
         model = shared.value
         texts = [word_ids(text) for text in columns["text"]]
         scores = model.scores(texts) if model else np.full(len(texts), 0.5)
-        yield {name: columns[name] for name in kept} | {"score": scores}
+        yield {name: columns[name] for name in ("doc_id", "lang", "row")} | {"score": scores}
 
-    rows = [ROW] if ROW in docs.columns else []
-    kept = ["doc_id", "lang", *rows]
-    scored = in_batches(docs.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string"), *rows), each,
-                        "doc_id long, lang string, score double" + "".join(f", {name} long" for name in rows))
+    scored = staged(in_batches(
+        docs.select(F.col("doc_id").cast("long"), "text", F.col("lang").cast("string"), *rows), each,
+        "doc_id long, lang string, row long, score double"), "zstd")
+    thresholds = calibrated(scored, marked) if model else {None: DEFAULT}
     limit = F.lit(thresholds[None])
     for language, value in thresholds.items():
         if language is not None:
@@ -342,4 +340,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFram
     return (scored.withColumn("threshold", limit)
             .select("doc_id", F.coalesce(fold() == 0, F.lit(False)).alias("held_out"), "score",
                     (F.col("score") >= 0.5).cast("int").alias("predicted"), "threshold",
-                    (F.col("score") >= F.col("threshold")).alias("flagged"), *rows))
+                    (F.col("score") >= F.col("threshold")).alias("flagged"),
+                    *([F.col("row").alias(number)] if number else [])))

@@ -1,0 +1,359 @@
+"""Spelling variants, the Merkle manifest and SimHash against brute force."""
+
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+
+from caudal.llm.merkle import climbed, exchanged, folded, merkle_manifest, part_roots, parts_of, placed
+from caudal.llm.simhash import (
+    SEGMENTS, bucketed, buckets_of, corrections, fingerprint, linked_prints, segment_keys, simhash_duplicates, syndromes,
+)
+from caudal.llm.spelling import Matrices, near_pairs, near_words, spelling_variants, tile
+from rows import LONG, documents, empty
+
+
+def lowered(text):
+    return text.encode().lower().decode()
+
+
+# Spelling variants
+
+def one_edit(a, b):
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return any(b[:n] + b[n + 1:] == a for n in range(len(b)))
+
+
+def brute_spelling(rows):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = lowered(run)
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            if h % 31 == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            counts[run] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= 7 and n >= 2}
+    near = {w: [v for v in words if one_edit(w, v)] for w in words}
+    form = {}
+    for w, others in near.items():
+        best = min(others, key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= 10 * words[w] else None
+    out = {}
+    for w in words:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out[w] = (form[w], root, words[w], len(near[w]), words[form[w]] if form[w] else None)
+    return out
+
+
+def variants(rng):
+    base = ["chamber", "chambers", "spelling", "variantes", "élégante", "naïveté", "abcabcabc", "aaaaaaa", "xyzzyxyzzy"]
+    texts = []
+    for word, times in zip(base, (300, 25, 120, 80, 40, 30, 200, 90, 10), strict=True):
+        texts.append(" ".join([word] * times))
+    letters = "abcdexyzéñ÷"
+    for _ in range(150):
+        word = list(rng.choice(base))
+        for _ in range(rng.randrange(1, 3)):
+            at = rng.randrange(len(word))
+            kind = rng.randrange(3)
+            word[at:at + (kind != 0)] = rng.choice(letters) if kind != 1 else ""
+        texts.append(" ".join(["".join(word)] * rng.randrange(1, 6)).title() + " I. İ ſ K 字")
+    return texts
+
+
+@pytest.mark.parametrize("block", [2048, 8])
+def test_spelling_variants(session, block):
+    texts = variants(random.Random(3))
+    docs = documents(session, (*((100 + n, t) for n, t in enumerate(texts)), (None, "chambre chambre chambrs"),
+                               (None, "chamber chambr chambr")))
+    got = spelling_variants(docs, block=block).collect()
+    want = brute_spelling([(r.doc_id, r.text) for r in docs.collect()])
+    assert {r.word: (r.form, r.root, r.n, r.n_near, r.form_n) for r in got} == want and len(got) == len(want)
+    assert sum(v[0] is not None for v in want.values()) > 5
+    assert max(v[3] for v in want.values()) > 5
+
+
+def test_forms_are_followed_to_the_last(session):
+    """Each word has ten times its variant's count, over several steps, and a tie is decided by code points."""
+    chain = [("aaaaaaaa", 1100), ("aaaaaaab", 110), ("aaaaaabb", 11), ("bbbbbbbb", 40), ("bbbbbbbé", 4), ("bbbbbbbz", 40)]
+    docs = session.createDataFrame([(1, " ".join(" ".join([w] * n) for w, n in chain))], "doc_id long, text string")
+    got = {r.word: r for r in spelling_variants(docs, every=1 << 40).collect()}
+    assert got["aaaaaabb"].form == "aaaaaaab" and got["aaaaaabb"].root == "aaaaaaaa" == got["aaaaaaab"].root
+    assert got["bbbbbbbé"].form == "bbbbbbbb" and got["bbbbbbbé"].n_near == 2 and got["bbbbbbbb"].form is None
+
+
+def test_tiles_find_single_edits_only():
+    rng = random.Random(8)
+    words = sorted({"".join(rng.choice("ab") for _ in range(rng.choice((8, 9)))) for _ in range(200)})
+    matrices, every = Matrices(words), np.arange(len(words))
+    found = tile(matrices, every, every, 8, 0) | tile(matrices, every, every, 8, 1)
+    for i, a in enumerate(words):
+        for j, b in enumerate(words):
+            assert i == j or found[i, j] == (one_edit(a, b) and min(len(a), len(b)) == 8)
+    both = tile(matrices, every, every, 8, 0) & tile(matrices, every, every, 8, 1)
+    assert not both.any()  # a pair counts on one side
+    i, j = near_pairs(matrices, np.zeros(len(words), np.int64), 8, 0)
+    left, right = np.array_split(every, 2)
+    x, y = near_pairs(matrices, np.zeros(len(words), np.int64), 8, 0, left, right)
+    assert {(a, b) for a, b in zip(i, j, strict=True) if a in left and b in right} == set(zip(x, y, strict=True))
+
+
+def test_very_long_words(session):
+    long = "ab" * 4000
+    words = session.createDataFrame([(long, 50), (long[:-1], 2), (long[:4000] + "x" + long[4001:], 2), ("c" * 9000, 3)],
+                                    "word string, n long")
+    got = {(len(r.word), r.word[4000]): (r.n_near, r.best_n) for r in near_words(words).collect()}
+    assert got == {(8000, "a"): (2, 2), (7999, "a"): (1, 50), (8000, "x"): (1, 50)}
+
+
+def test_empty_and_wordless_tables(session):
+    for docs in (empty(session), session.createDataFrame([(1, None), (2, "a b c")], "doc_id long, text string")):
+        assert spelling_variants(docs).columns == ["word", "form", "root", "n", "n_near", "form_n"]
+        assert spelling_variants(docs).count() == 0
+    assert merkle_manifest(empty(session)).count() == 0
+    assert simhash_duplicates(empty(session)).count() == 0
+
+
+# Merkle manifest
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def brute_merkle(rows, fanout=16):
+    def leaf(row, change=False):
+        out = ""
+        for name in ("doc_id", "source", "lang", "n_chars", "text"):
+            value = row[name]
+            if change and name == "text" and value is not None:
+                value = lowered(value)
+            out += "-" if value is None else f"{len(str(value).encode())}:{value}"
+        return sha(out)
+
+    def paths(leaves):
+        """For each leaf its (siblings before, after) from below up, and the top."""
+        trail, nodes, under = [[] for _ in leaves], list(leaves), [[n] for n in range(len(leaves))]
+        while len(nodes) > 1:
+            above, below = [], []
+            for at in range(0, len(nodes), fanout):
+                run = nodes[at:at + fanout]
+                for k in range(len(run)):
+                    for n in under[at + k]:
+                        trail[n].append((run[:k], run[k + 1:]))
+                above.append(sha("".join(run)))
+                below.append([n for u in under[at:at + fanout] for n in u])
+            nodes, under = above, below
+        return trail, nodes[0]
+
+    by_source = defaultdict(list)
+    for row in rows:
+        by_source[row["source"]].append(row)
+    sources = sorted(by_source, key=lambda s: (s is not None, (s or "").encode()))
+    parts = {}
+    for s in sources:
+        own = sorted(by_source[s], key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, leaf(r)))
+        parts[s] = (own, *paths([leaf(r) for r in own]))
+    top, root = paths([parts[s][2] for s in sources])
+    out = Counter()
+    for n, s in enumerate(sources):
+        own, trail, subroot = parts[s]
+        for row, path in zip(own, trail, strict=True):
+            whole = path + top[n]
+            proof = sha("".join("".join(a) + "".join(b) for a, b in whole))
+            changed = row["doc_id"] is not None and zlib.crc32(str(row["doc_id"]).encode()) % 5 == 0
+            digest = leaf(row, changed)
+            for a, b in whole:
+                digest = sha("".join(a) + digest + "".join(b))
+            out[row["doc_id"], leaf(row), subroot, root, proof, digest, digest == root] += 1
+    return out
+
+
+def manifest_rows(frame):
+    return Counter((r.doc_id, r.leaf, r.subroot, r.root, r.proof_sha256, r.folded_root, r.verified) for r in frame.collect())
+
+
+def sourced(session, counts):
+    rows, doc_id = [], 0
+    for source, n in counts.items():
+        for _ in range(n):
+            rows.append((doc_id, f"Text {doc_id} É Ü", "en", source, doc_id))
+            doc_id += 1
+    random.Random(1).shuffle(rows)
+    return session.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+
+
+@pytest.mark.parametrize("fanout,levels", [(16, 3), (16, 1), (3, 1), (3, 2), (2, 1), (2, 4)])
+def test_merkle_manifest(session, fanout, levels):
+    docs = sourced(session, {"a": 1, "é": 2, "z": 17, "hot": 61, None: 33, "": 5, "b": 16, "B": 48})
+    want = brute_merkle([r.asDict() for r in docs.collect()], fanout)
+    got = manifest_rows(merkle_manifest(docs, fanout, levels))
+    assert got == want and {k[3] for k in got} == {next(iter(want))[3]}
+    assert 0 < sum(n for k, n in got.items() if not k[-1]) < 0.4 * sum(got.values())
+
+
+def test_merkle_manifest_of_awkward_rows(session):
+    docs = documents(session, tuple((None, f"no id {n % 7}") for n in range(40)))
+    nulls = docs.selectExpr("*", "'x' AS extra").withColumn("lang", docs.lang.substr(9, 1)).selectExpr("*")
+    for frame in (docs, nulls.replace({"": None}, subset=["lang"])):
+        for levels in (1, 3):
+            want = brute_merkle([r.asDict() for r in frame.collect()])
+            assert manifest_rows(merkle_manifest(frame, 16, levels)) == want
+    one = docs.filter("doc_id = 8")
+    row = merkle_manifest(one).first()
+    assert row.leaf == row.subroot == row.root == row.folded_root and row.proof_sha256 == sha("") and row.verified
+    assert manifest_rows(merkle_manifest(one.unionByName(one))) == brute_merkle([r.asDict() for r in one.collect()] * 2)
+
+
+def test_a_tampered_row_is_told_from_case_free_text(session):
+    """Lower-casing changes nothing where there is no upper case."""
+    docs = session.createDataFrame([(n, "low" if n % 2 else "Up", "en", "s", 3) for n in range(200)],
+                                   "doc_id long, text string, lang string, source string, n_chars long")
+    bad = {r.doc_id for r in merkle_manifest(docs).collect() if not r.verified}
+    assert bad == {n for n in range(200) if n % 2 == 0 and zlib.crc32(str(n).encode()) % 5 == 0}
+
+
+@pytest.mark.parametrize("parts", [1, 2, 7, 16, 17, 35])
+def test_butterfly_gives_every_part_the_root_and_its_siblings(session, parts):
+    leaves = [sha(str(n)) for n in range(parts * 3 - 1)]
+    rows = session.createDataFrame([(0, 1, f"{n:04}", leaf) for n, leaf in enumerate(leaves)],
+                                   "t int, k int, o string, leaf string").repartition(4)
+    cut = parts_of(placed(rows, ["t"], ["o"]), 3, 1)
+    state = exchanged(part_roots(cut, 3, 1), 3).collect()
+    root = climbed(leaves, 3, None)[-1][0]
+    own = climbed(leaves, 3, None)[1] if len(leaves) > 3 else climbed(leaves, 3, None)[-1]
+    assert len(state) == parts and {r.root for r in state} == {root}
+    for r in state:
+        siblings = [(s["at"], s["others"]) for s in r.siblings]
+        assert folded(own[r.part], siblings) == root
+        if siblings:
+            assert folded(sha("other"), siblings) != root
+
+
+# SimHash
+
+def brute_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    size = min(4, len(words))
+    grams = [b" ".join(words[n:n + size]) for n in range(len(words) - size + 1)] if words else []
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if sum(h >> b & 1 for h in hashes) * 2 > len(hashes))
+
+
+def brute_links(values, most=4):
+    root = list(range(len(values)))
+
+    def find(n):
+        while root[n] != n:
+            root[n] = root[root[n]]
+            n = root[n]
+        return n
+
+    array = np.array(values, np.uint64)
+    for n in range(len(values)):
+        for m in np.flatnonzero(np.bitwise_count(array[n + 1:] ^ array[n]) <= most) + n + 1:
+            root[find(int(m))] = find(n)
+    return [find(n) for n in range(len(values))]
+
+
+def test_the_code_is_perfect():
+    errors = corrections()
+    assert len(set(errors.tolist())) == 2048 and (np.bitwise_count(errors) <= 3).all()
+    rng = np.random.default_rng(2)
+    words = rng.integers(0, 1 << 23, 500)
+    assert (syndromes(words ^ errors[syndromes(words)]) == 0).all()
+
+
+@pytest.mark.parametrize("width", sorted(set(SEGMENTS)))
+def test_segments_two_bits_apart_share_a_key(width):
+    rng = np.random.default_rng(width)
+    words = rng.integers(0, 1 << width, 300)
+    near = words ^ (1 << rng.integers(0, width, 300)) ^ (1 << rng.integers(0, width, 300))
+    for a, b in zip(segment_keys(words, width), segment_keys(near, width), strict=True):
+        assert set(a[a >= 0]) & set(b[b >= 0])
+
+
+def test_near_fingerprints_share_a_bucket():
+    rng = np.random.default_rng(5)
+    prints = rng.integers(0, 1 << 64, 400, dtype=np.uint64)
+    other = prints.copy()
+    for n in range(400):
+        for bit in rng.choice(64, rng.integers(1, 5), replace=False):
+            other[n] ^= np.uint64(1 << int(bit))
+    a, b = (defaultdict(set), defaultdict(set))
+    for out, values in ((a, prints), (b, other)):
+        for place, bucket in zip(*buckets_of(values), strict=True):
+            out[place].add(bucket)
+    assert all(a[n] & b[n] for n in range(400))
+    assert np.mean([len(v) for v in a.values()]) < 100
+
+
+def test_fingerprint_equals_brute_force():
+    texts = [None, "", " \n", "one", "One TWO three", "a b c d", "É ñ 漢字 é ok", LONG, "a " * 9, "x" * 500]
+    for text in texts:
+        assert fingerprint(text) == brute_fingerprint(text)
+    slices = " ".join(f"w{n % 3001}" for n in range(40_000))
+    assert fingerprint(slices) == brute_fingerprint(slices)
+
+
+def test_simhash_duplicates(session):
+    rng = random.Random(9)
+    extra = []
+    for group in range(8):
+        base = [f"g{group}w{rng.randrange(500)}" for _ in range(rng.choice((20, 150, 400)))]
+        for n in range(15):
+            text = list(base)
+            for _ in range(rng.randrange(0, 4)):
+                text[rng.randrange(len(text))] = f"x{rng.random()}"
+            extra.append((100 + group * 20 + n, " ".join(text)))
+    docs = documents(session, tuple(extra))
+    rows = [(r.doc_id, brute_fingerprint(r.text)) for r in docs.collect()]
+    values = sorted({fp for _, fp in rows})
+    label = dict(zip(values, brute_links(values), strict=True))
+    least = {}
+    for doc_id, fp in rows:
+        if doc_id is not None:
+            least[label[fp]] = min(doc_id, least.get(label[fp], doc_id))
+    want = Counter((doc_id, f"{fp:016x}", least.get(label[fp])) for doc_id, fp in rows)
+    got = simhash_duplicates(docs).collect()
+    assert Counter((r.doc_id, r.fingerprint, r.component_id) for r in got) == want
+    assert len(least) < len(values) - 10
+
+
+def test_links_of_random_and_dense_fingerprints(session):
+    """Chains, stars and a ball of fingerprints that are one to four bits apart, among random ones."""
+    rng = random.Random(21)
+    values = {rng.randrange(1 << 64) for _ in range(300)}
+    for _ in range(25):
+        at = rng.randrange(1 << 64)
+        for _ in range(12):
+            values.add(at)
+            for bit in rng.sample(range(64), rng.randrange(1, 6)):
+                at ^= 1 << bit
+    ball = rng.randrange(1 << 64)
+    values |= {ball ^ 1 << a ^ 1 << b for a in range(30) for b in range(a)}
+    values = sorted(values)
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    prints = session.createDataFrame([(v,) for v in signed], "fp long")
+    got = {r.fp % (1 << 64): r.label for r in linked_prints(prints).collect()}
+    label = brute_links(values)
+    groups = defaultdict(set)
+    for v, l in zip(values, label, strict=True):
+        groups[l].add(v)
+    want = {frozenset(g) for g in groups.values() if len(g) > 1}
+    found = defaultdict(set)
+    for v, l in got.items():
+        found[l].add(v)
+    assert {frozenset(g) for g in found.values() if len(g) > 1} == want and len(want) > 15
+    assert bucketed(prints).count() < 110 * len(values)

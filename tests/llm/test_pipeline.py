@@ -16,7 +16,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 def test_names():
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= entry_points.queries().keys()
 
 

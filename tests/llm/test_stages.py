@@ -34,8 +34,8 @@ def test_only_toxic_rows_go(session, monkeypatch):
     labels = session.createDataFrame([(1, 0)], "doc_id long, toxic int")
     real = stages.toxicity
     monkeypatch.setattr(stages, "table", lambda *_: labels)
-    monkeypatch.setattr(stages, "toxicity", lambda rows, labels: real(rows, labels).drop("flagged").join(
-        rows.selectExpr("_row_number", "text <=> 'toxic' AS flagged"), "_row_number"))
+    monkeypatch.setattr(stages, "toxicity", lambda rows, labels, number: real(rows, labels, number=number).drop("flagged").join(
+        rows.selectExpr(number, "text <=> 'toxic' AS flagged"), number))
     kept = stages.toxic(session, docs, "")
     assert kept.columns == docs.columns and left(kept) == left(documents(session))
 
