@@ -15,8 +15,8 @@ _PASSED = " AND ".join(
 
 # The table of CRC-32 by its rule, and the checksum of a text by its UTF-8 bytes.
 _CRC_TABLE = """crc_table AS (
-    SELECT list_transform(range(256), x -> list_reduce(list_prepend(x, range(8)),
-        (c, i) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+    SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, range(8)),
+        lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
 
 
 def _crc32(text: str) -> str:
@@ -24,8 +24,8 @@ def _crc32(text: str) -> str:
     digits = f"hex(encode({text}))"
     return f"""xor(4294967295, list_reduce(
         list_prepend(4294967295::BIGINT, list_transform(range(0, length({digits}) // 2),
-            i -> ('0x' || substr({digits}, 2 * i + 1, 2))::BIGINT)),
-        (c, b) -> xor(c >> 8, t[(xor(c, b) & 255) + 1])))"""
+            lambda i: ('0x' || substr({digits}, 2 * i + 1, 2))::BIGINT)),
+        lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])))"""
 
 
 def _spelling() -> str:
