@@ -42,7 +42,9 @@ WORKING_DAYS = (2, 3, 4, 5, 6)  # Monday to Friday in dayofweek numbering
 WORKING_HOURS = (6, 19)
 # -----------------------------------------------------------------------------
 
-MONEY = DecimalType(18, 2)
+# Amounts are exact to the cent below this limit; silver rejects what reaches it.
+MONEY = DecimalType(24, 2)
+MONEY_LIMIT = 1e22
 
 
 def money(value) -> Column:
@@ -50,6 +52,11 @@ def money(value) -> Column:
     return _col(value).cast(MONEY)
 
 
+def beyond_money(value) -> Column:
+    """True for amounts that `money` cannot hold, among them NaN and infinity; NULL is none of them."""
+    return F.coalesce(~(F.abs(_col(value)) < F.lit(MONEY_LIMIT)), F.lit(False))
+
+
 def flag(condition: Column) -> Column:
     """1 where the condition holds, else 0 (also for NULL)."""
     return F.when(condition, 1).otherwise(0)

@@ -125,9 +125,15 @@ def accepted(tagged: DataFrame) -> DataFrame:
 
 
 def rejected(tagged: DataFrame, table: str, keys: tuple[str, ...], batch_id: str,
-             now: datetime) -> DataFrame:
+             now: datetime, references: dict[str, str] | None = None) -> DataFrame:
+    """The refused rows in the reject layout. `references` gives, for reasons that wait for a row of
+    another table, the column that names it; its value is the reject's `ref_key`."""
+    ref_key = F.lit(None).cast("string")
+    for reason, column in (references or {}).items():
+        if column in tagged.columns:
+            ref_key = F.when(F.col(REASON) == reason, F.col(column).cast("string")).otherwise(ref_key)
     return envelope(tagged.filter(F.col(REASON).isNotNull()), table, F.col(REASON), keys,
-                    batch_id, now, F.col(PAYLOAD))
+                    batch_id, now, F.col(PAYLOAD), ref_key)
 
 
 def reject(df: DataFrame, table: str, reason: str, keys: tuple[str, ...], batch_id: str,
@@ -137,13 +143,20 @@ def reject(df: DataFrame, table: str, reason: str, keys: tuple[str, ...], batch_
                     F.to_json(F.struct(*df.columns)))
 
 
+def row_key(keys: tuple[str, ...]) -> Column:
+    """A row's key as one text: the value of a single key, else a JSON list, in which NULL keeps its place."""
+    parts = [F.col(k).cast("string") for k in keys]
+    return F.coalesce(parts[0], F.lit("")) if len(parts) == 1 else F.to_json(F.array(*parts))
+
+
 def envelope(df: DataFrame, table: str, reason: Column, keys: tuple[str, ...], batch_id: str,
-             now: datetime, payload: Column) -> DataFrame:
+             now: datetime, payload: Column, ref_key: Column | None = None) -> DataFrame:
     return df.select(
         F.lit(table).alias("source_table"),
         reason.alias("reason"),
         F.lit(batch_id).alias("batch_id"),
-        F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("row_key"),
+        row_key(keys).alias("row_key"),
         payload.alias("payload"),
         F.lit(now).cast("timestamp").alias("rejected_at"),
+        (F.lit(None).cast("string") if ref_key is None else ref_key).alias("ref_key"),
     )

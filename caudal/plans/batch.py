@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from caudal.functions.audit import INGEST_PARTS, with_date_parts, with_layer_meta
 from caudal.functions.rules import COP_TO_USD
-from caudal.operators.clean import REASON, accepted, rejected
+from caudal.operators.clean import REASON, accepted
 from caudal.operators.keyed import without_keys
 from caudal.operators.profile import batch_counts, quality_report
-from caudal.plans import bronze, gold, silver
+from caudal.plans import bronze, changes, gold, rejects, silver, state
 from caudal.plans.bronze import FAILED, LOG_SCHEMA, Source, layer_result, overall_status
 from caudal.plans.monitor import SUCCESS, run_summary, volume_anomaly
 from caudal.plans.quality import run_suite, standard_checks
@@ -26,13 +26,12 @@ from caudal.sources.tables import (
 )
 from caudal.specs import (
     BRANCHES, CLIENT_VALUE, CUSTOMERS, DAILY_KPIS, DIM_CHANNELS, DIM_CUSTOMERS, DIM_GEOGRAPHY,
-    DIM_PRODUCTS, FACT_PORTFOLIO, FACT_TRANSACTIONS, FEES, GOLD_TABLES, LOANS, MOVEMENTS,
-    PRODUCTS, SOURCE_TABLES, Batch, GoldSpec, TableSpec,
+    CLIENT_NUMBERS, DIM_PRODUCTS, FACT_PORTFOLIO, FACT_TRANSACTIONS, FEES, GOLD_TABLES, INCOME_STATE, LOANS, MOVEMENTS,
+    PORTFOLIO_STATE, PRODUCTS, SOURCE_TABLES, STATE_TABLES, Batch, GoldSpec, TableSpec,
 )
 
-# What makes a reject the same one in a later batch.
-REJECT_KEY = ["reason", "row_key", "payload"]
 QUALITY_LOG = "_control/quality_log"
+GOLD_RATE = "_control/usd_rate"
 WINDOW_DAYS = 30
 
 Outcome = tuple[str, int, str, str]
@@ -50,8 +49,8 @@ class Settings:
     # (any landed row counts).
     refs_from: str = "silver"
     # What silver cleans of loans, movements and fees: "new" takes the rows of batches it has not
-    # seen and those it rejected before, "all" takes everything in bronze again. Customers,
-    # products and branches are always cleaned in full.
+    # seen and those whose reference has come, "all" takes everything in bronze again, with the same result.
+    # Customers, products and branches are always cleaned in full.
     scope: str = "new"
     keep_snapshots: int = 2
 
@@ -67,24 +66,53 @@ def read_silver(spark: SparkSession, lake: Lake, spec: TableSpec) -> DataFrame:
     return read_table(spark, lake, "silver", spec.name, spec.silver_parts)
 
 
+@dataclass(frozen=True)
+class Delivery:
+    """What silver cleans of a table in one batch: its rows and their number."""
+
+    rows: DataFrame
+    n_rows: int
+    waiting: DataFrame | None = None  # open rejects that lack a reference
+    ready: DataFrame | None = None  # those of them whose reference has come; their rows are in the delivery
+    whole: bool = True  # all of bronze, with rows that earlier batches have refused
+
+
 def _silver_table(spark: SparkSession, lake: Lake, spec: TableSpec, tagged: DataFrame,
-                  n_input: int, batch: Batch, started: float) -> int:
-    """Evaluate a tagged frame once, then write valid rows, rejects and the quality report."""
+                  delivery: Delivery, batch: Batch, started: float) -> int:
+    """Evaluate a tagged frame once, then write valid rows, rejects, changes and the quality report."""
     staged = stage(tagged, lake, f"silver_{spec.name}", batch.batch_id)
     delivered = staged
     if silver.REFRESHED in staged.columns:  # rows flagged again are no part of the delivery
         delivered = staged.filter(~F.col(silver.REFRESHED))
         staged = staged.drop(silver.REFRESHED)
-    valid = with_layer_meta(accepted(staged), "silver", batch.batch_id, batch.now)
+    again = table_exists(spark, lake, "silver", spec.name)
+    existing = read_silver(spark, lake, spec) if again else None
+    valid = accepted(staged)
+    if silver.SUPERSEDED not in valid.columns:
+        valid = valid.withColumn(silver.SUPERSEDED, F.lit(False))
+    marked = None
+    if again:
+        marked = silver.superseded_rows(delivered, existing, spec.keys)
+        marked = stage(marked, lake, f"silver_{spec.name}_superseded", batch.batch_id)
+        valid = without_keys(valid, marked, list(spec.keys)) if silver.REFRESHED in tagged.columns else valid
+    if spec.watched:
+        changes.note_keys(spark, lake, spec, batch, changes.changed_keys(valid, existing, spec))
+    valid = with_layer_meta(valid, "silver", batch.batch_id, batch.now)
     if spec.partition_date:
         valid = with_date_parts(valid, spec.partition_date, spec.silver_parts)
-    upsert_table(valid, lake, "silver", spec.name, spec.keys, spec.silver_parts,
-                 unique=False)  # cleaning leaves one row per key
-    refused = rejected(delivered, spec.name, spec.keys, batch.batch_id, batch.now)
-    append_table(without_keys(refused, _earlier_rejects(spark, lake, spec, batch), REJECT_KEY), lake,
-                 "errors", "rejects", batch_id=batch.batch_id, source_table=spec.name)
+    if marked is not None:
+        marked = with_layer_meta(marked, "silver", batch.batch_id, batch.now)
+        valid = valid.unionByName(_refreshed_mark(staged, marked, spec).select(*valid.columns))
+    touched = upsert_table(valid, lake, "silver", spec.name, spec.keys, spec.silver_parts,
+                           unique=False)  # cleaning leaves one row per key
+    if spec.silver_parts:
+        changes.note_parts(spark, lake, spec, batch, touched)
+    known = rejects.open_rejects(spark, lake, spec, batch) if delivery.whole else delivery.waiting
+    rejects.write_rejects(delivered, lake, spec, batch, known)
+    if delivery.waiting is not None:
+        rejects.close_rejects(delivered, lake, spec, batch, delivery.waiting, delivery.ready)
     columns = [c for c in valid.columns if c in spec.columns]
-    counts = batch_counts(delivered, REASON, columns).withColumn("n_input", F.lit(n_input))
+    counts = batch_counts(delivered, REASON, columns).withColumn("n_input", F.lit(delivery.n_rows))
     report = quality_report(counts, spec.name, batch.batch_id, batch.now,
                             time.monotonic() - started)
     append_table(report, lake, "silver", QUALITY_LOG,
@@ -92,44 +120,70 @@ def _silver_table(spark: SparkSession, lake: Lake, spec: TableSpec, tagged: Data
     return read_silver(spark, lake, spec).count()
 
 
-def _earlier_rejects(spark: SparkSession, lake: Lake, spec: TableSpec, batch: Batch) -> DataFrame:
-    """Rejects of the table from other batches; a row refused again for the same reason is among them."""
-    rejects = read_log(spark, lake, "errors", "rejects",
-                       "reason string, row_key string, payload string, batch_id string, source_table string")
-    return rejects.filter((F.col("source_table") == spec.name) & (F.col("batch_id") != batch.batch_id))
+def _refreshed_mark(staged: DataFrame, marked: DataFrame, spec: TableSpec) -> DataFrame:
+    """Superseded rows as they are after the batch: a row that is flagged again keeps its new flags."""
+    flags = [c for c in ("ind_sospechoso", "ind_horario_habil") if c in staged.columns and c in marked.columns]
+    if not flags:
+        return marked
+    new = accepted(staged).select(*spec.keys, *[F.col(c).alias(f"_new_{c}") for c in flags])
+    out = marked.join(new, list(spec.keys), "left")
+    return out.withColumns({c: F.coalesce(f"_new_{c}", c) for c in flags}).drop(*[f"_new_{c}" for c in flags])
+
+
+def unseen_batches(spark: SparkSession, lake: Lake, spec: TableSpec, batch: Batch) -> list[tuple[str, str]]:
+    """(batch, ingest day) of what bronze has landed and silver has not reported on."""
+    days = read_log(spark, lake, "bronze", bronze.INGEST_DAYS, bronze.DAYS_SCHEMA)
+    log = read_log(spark, lake, "silver", QUALITY_LOG, "table_name string, batch_id string")
+    reported = log.filter((F.col("table_name") == spec.name) & (F.col("batch_id") != batch.batch_id))
+    open_days = days.filter(F.col("table_name") == spec.name).join(
+        reported.select("batch_id").distinct(), "batch_id", "left_anti")
+    return [(r.batch_id, r.day) for r in open_days.select("batch_id", "day").distinct().collect()]
+
+
+def unseen_rows(spark: SparkSession, lake: Lake, spec: TableSpec, batch: Batch) -> DataFrame:
+    """Bronze rows of the batches that silver has not reported on, from the days on which they were landed."""
+    found = unseen_batches(spark, lake, spec, batch)
+    landed = read_table(spark, lake, "bronze", spec.name, INGEST_PARTS)
+    day = F.concat_ws("-", *[F.col(part) for part in INGEST_PARTS])
+    return landed.filter(day.isin(sorted({day for _, day in found}))
+                         & F.col("_batch_id").isin(sorted({name for name, _ in found})))
 
 
-def pending_rows(spark: SparkSession, lake: Lake, spec: TableSpec, batch: Batch) -> DataFrame:
-    """Bronze rows that silver has to look at: those of batches it has not reported on, and
-    those it rejected before, since their references may exist by now."""
+def pending(spark: SparkSession, lake: Lake, spec: TableSpec, batch: Batch, refs: tuple[DataFrame, DataFrame],
+            scope: str) -> Delivery:
+    """The delivery of a batch: all of bronze at first, then the unseen rows and the rejects whose reference has come."""
     landed = read_table(spark, lake, "bronze", spec.name, INGEST_PARTS)
     if not table_exists(spark, lake, "silver", spec.name):
-        return landed
-    log = read_log(spark, lake, "silver", QUALITY_LOG, "table_name string, batch_id string")
-    reported = log.filter((F.col("table_name") == spec.name)
-                          & (F.col("batch_id") != batch.batch_id)).select("batch_id").distinct()
-    seen = landed.join(reported.withColumnRenamed("batch_id", "_batch_id"), "_batch_id", "left_semi")
-    unseen = landed.join(reported.withColumnRenamed("batch_id", "_batch_id"), "_batch_id", "left_anti")
-    keys = _earlier_rejects(spark, lake, spec, batch).select("row_key").distinct()
-    row_key = F.concat_ws("|", *[F.col(k).cast("string") for k in spec.keys])
-    again = seen.withColumn("row_key", row_key).join(keys, "row_key", "left_semi").drop("row_key")
-    return unseen.select(landed.columns).unionByName(again.select(landed.columns))
+        return Delivery(landed, landed.count())  # counted from file footers
+    whole = scope == "all"
+    new = (landed if whole else unseen_rows(spark, lake, spec, batch)).select(*spec.columns)
+    waiting = stage(rejects.open_rejects(spark, lake, spec, batch, (rejects.WAITING,)), lake,
+                    f"waiting_{spec.name}", batch.batch_id)
+    ready = stage(rejects.arrived(waiting, *refs), lake, f"ready_{spec.name}", batch.batch_id)
+    retried = rejects.refused_rows(ready, spec)
+    if whole:  # bronze has most of them
+        retried = without_keys(retried, landed, spec.columns)
+    rows = stage(new.unionByName(retried), lake, f"pending_{spec.name}", batch.batch_id)
+    return Delivery(rows, rows.count(), waiting, ready, whole)
 
 
 def _changed_movements(spark: SparkSession, lake: Lake, df: DataFrame, customers: DataFrame,
                        products: DataFrame, batch: Batch) -> DataFrame:
-    """Clean only pending movements, and flag them together with the rows around them."""
+    """Clean the delivered movements, and flag them together with the rows around them.
+
+    Prepared rows are staged, since the flags read them twice. Of silver, the months around changed days are read.
+    """
     name = f"silver_{MOVEMENTS.name}"
-    new = stage(silver.prepare_movements(df, customers, products), lake, f"{name}_new",
-                batch.batch_id)
+    new = stage(silver.prepare_movements(df, customers, products), lake, f"{name}_new", batch.batch_id)
+    if not table_exists(spark, lake, "silver", MOVEMENTS.name):
+        return silver.flag_movements(new, WINDOW_DAYS)
     existing = read_silver(spark, lake, MOVEMENTS)
-    first = stage(silver.first_changes(new, existing), lake, f"{name}_first", batch.batch_id)
-    earliest, latest = first.agg(F.date_sub(F.min("_first"), WINDOW_DAYS),
-                                 F.date_add(F.max("_last"), WINDOW_DAYS)).head()
-    if earliest is not None:  # reads only the months the windows reach
-        year, month = (F.col(part) for part in MOVEMENTS.silver_parts)
-        existing = existing.filter(F.concat(year, month).between(f"{earliest:%Y%m}", f"{latest:%Y%m}"))
-    return silver.refresh_movements(new, existing, first, WINDOW_DAYS)
+    spans = silver.window_spans(silver.changed_days(new, existing), WINDOW_DAYS)
+    spans = stage(spans, lake, f"{name}_spans", batch.batch_id)
+    months = sorted(row[0] for row in silver.span_months(spans).collect())  # 372 at most: dates are checked
+    parts = [(month[:4], month[4:]) for month in months]
+    around = existing.filter(changes.in_parts(parts, MOVEMENTS.silver_parts))
+    return silver.refresh_movements(new, around, spans, WINDOW_DAYS)
 
 
 def run_silver(spark: SparkSession, lake: Lake, batch: Batch, settings: Settings = Settings(),
@@ -142,25 +196,23 @@ def run_silver(spark: SparkSession, lake: Lake, batch: Batch, settings: Settings
             return raw(CUSTOMERS), raw(PRODUCTS)
         return read_silver(spark, lake, CUSTOMERS), read_silver(spark, lake, PRODUCTS)
 
-    def movements(df: DataFrame) -> DataFrame:
-        if settings.scope == "all" or not table_exists(spark, lake, "silver", MOVEMENTS.name):
-            return silver.silver_movements(df, *refs(), WINDOW_DAYS)
-        return _changed_movements(spark, lake, df, *refs(), batch)
-
     steps: list[tuple[TableSpec, Callable[[DataFrame], DataFrame]]] = [
         (CUSTOMERS, silver.silver_customers),
         (PRODUCTS, silver.silver_products),
         (BRANCHES, silver.silver_branches),
         (LOANS, lambda df: silver.silver_loans(df, *refs())),
-        (MOVEMENTS, movements),
+        (MOVEMENTS, lambda df: _changed_movements(spark, lake, df, *refs(), batch)),
         (FEES, lambda df: silver.silver_fees(df, *refs())),
     ]
 
     def one(spec: TableSpec, clean: Callable[[DataFrame], DataFrame]) -> int:
         started = time.monotonic()
-        narrow = settings.scope == "new" and spec in (LOANS, MOVEMENTS, FEES)
-        df = pending_rows(spark, lake, spec, batch) if narrow else raw(spec)
-        return _silver_table(spark, lake, spec, clean(df), df.count(), batch, started)
+        if spec in (LOANS, MOVEMENTS, FEES):
+            delivery = pending(spark, lake, spec, batch, refs(), settings.scope)
+        else:
+            rows = raw(spec)
+            delivery = Delivery(rows, rows.count())
+        return _silver_table(spark, lake, spec, clean(delivery.rows), delivery, batch, started)
 
     return [_try(spec.name, lambda s=spec, c=clean: one(s, c))
             for spec, clean in steps if spec in only]
@@ -168,37 +220,107 @@ def run_silver(spark: SparkSession, lake: Lake, batch: Batch, settings: Settings
 
 def run_gold(spark: SparkSession, lake: Lake, batch: Batch,
              settings: Settings = Settings()) -> list[Outcome]:
+    """Dimensions in full; facts, states and what is read from them by the changes of silver."""
+    noted = changes.read_changes(spark, lake)
+    rate_changed = _rate_changed(spark, lake, settings.usd_rate)
+
     def clean(spec: TableSpec) -> DataFrame:
         return read_silver(spark, lake, spec)
 
     def built(spec: GoldSpec) -> DataFrame:
         return read_table(spark, lake, "gold", spec.name, spec.partition_by)
 
-    steps: list[tuple[GoldSpec, Callable[[], DataFrame]]] = [
-        (DIM_CUSTOMERS, lambda: gold.build_dim_customers(clean(CUSTOMERS), batch.as_of)),
-        (DIM_PRODUCTS, lambda: gold.build_dim_products(clean(PRODUCTS))),
-        (DIM_GEOGRAPHY, lambda: gold.build_dim_geography(clean(BRANCHES))),
-        (DIM_CHANNELS, lambda: gold.build_dim_channels(clean(BRANCHES), clean(MOVEMENTS))),
-        (FACT_TRANSACTIONS, lambda: gold.build_fact_transactions(
-            clean(MOVEMENTS), clean(CUSTOMERS), built(DIM_PRODUCTS), settings.usd_rate)),
-        (FACT_PORTFOLIO, lambda: gold.build_fact_portfolio(
-            clean(LOANS), clean(CUSTOMERS), built(DIM_PRODUCTS))),
-        (CLIENT_VALUE, lambda: gold.build_client_value(
-            clean(FEES), clean(LOANS), clean(MOVEMENTS), built(DIM_PRODUCTS), clean(CUSTOMERS),
-            batch.as_of)),
-        (DAILY_KPIS, lambda: gold.build_daily_kpis(built(FACT_PORTFOLIO), batch.as_of)),
-    ]
+    def exists(spec: GoldSpec) -> bool:
+        return table_exists(spark, lake, "gold", spec.name)
+
+    def changed(spec: TableSpec, fact: GoldSpec, whole: bool = False) -> DataFrame:
+        rows = clean(spec)
+        return changes.changed_rows(rows, spec, noted) if exists(fact) and not whole else rows
 
-    def one(spec: GoldSpec, build: Callable[[], DataFrame]) -> int:
-        rows = with_layer_meta(build(), "gold", batch.batch_id, batch.now)
+    def merge(spec: GoldSpec, rows: DataFrame) -> list[tuple[str | None, ...]]:
+        rows = with_layer_meta(rows, "gold", batch.batch_id, batch.now)
         # A first load writes the rows once; an upsert reads them more than once.
-        again = table_exists(spark, lake, "gold", spec.name)
+        again = exists(spec)
         if again:
             rows = stage(rows, lake, f"gold_{spec.name}", batch.batch_id)
-        upsert_table(rows, lake, "gold", spec.name, spec.keys, spec.partition_by, unique=again)
+        return upsert_table(rows, lake, "gold", spec.name, spec.keys, spec.partition_by, unique=again)
+
+    def keep(spec: GoldSpec, rows: DataFrame) -> None:
+        """Merge the rows of a state table; months are recomputed whole, so its keys stay in their partition."""
+        rows = stage(rows, lake, f"gold_{spec.name}", batch.batch_id)
+        upsert_table(rows, lake, "gold", spec.name, spec.keys, spec.partition_by, unique=False, stable_partitions=True)
+
+    def merge_portfolio() -> None:
+        again = exists(PORTFOLIO_STATE) and exists(FACT_PORTFOLIO)
+        touched = merge(FACT_PORTFOLIO, gold.build_fact_portfolio(
+            changed(LOANS, FACT_PORTFOLIO), clean(CUSTOMERS), built(DIM_PRODUCTS)))
+        fact = built(FACT_PORTFOLIO)
+        if again:
+            fact = fact.filter(changes.in_parts(touched, FACT_PORTFOLIO.partition_by))
+        known = built(CLIENT_NUMBERS) if exists(CLIENT_NUMBERS) else None
+        placed = stage(state.new_clients(known, fact), lake, "gold_clients", batch.batch_id)
+        keep(CLIENT_NUMBERS, state.numbered_clients(known, placed))
+        now = stage(state.portfolio_state(fact, built(CLIENT_NUMBERS)), lake, "gold_state", batch.batch_id)
+        if again:
+            before = built(PORTFOLIO_STATE).filter(changes.in_parts(touched, PORTFOLIO_STATE.partition_by))
+            now = now.unionByName(state.emptied_portfolio(before, now))
+        keep(PORTFOLIO_STATE, now)
+
+    def income(months: list[tuple[str, str]] | None) -> DataFrame:
+        """Income rows of some months (partitions of silver), or of all."""
+        frames = [clean(spec) for spec in (FEES, LOANS, MOVEMENTS)]
+        if months is not None:
+            frames = [df.filter(changes.in_parts(months, spec.silver_parts))
+                      for df, spec in zip(frames, (FEES, LOANS, MOVEMENTS), strict=True)]
+        return state.income_rows(*frames, built(DIM_PRODUCTS))
+
+    def merge_value() -> None:
+        months = None
+        if exists(INCOME_STATE):
+            found = set(noted.months(FEES, LOANS, MOVEMENTS))
+            products = noted.changed(PRODUCTS, "cod_prod")
+            if not products.isEmpty():  # a new rate changes the interest of all months with its loans
+                rows = clean(LOANS).join(products, "cod_prod", "left_semi").select(*LOANS.silver_parts).distinct()
+                found |= {tuple(row) for row in rows.collect() if None not in row}
+            months = sorted(found)
+        now = stage(state.income_state(income(months)), lake, "gold_income", batch.batch_id)
+        if months is not None:
+            before = built(INCOME_STATE).filter(changes.in_parts(months, INCOME_STATE.partition_by))
+            now = now.unionByName(state.emptied_income(before, now))
+        keep(INCOME_STATE, now)
+        _, partly = state.whole_months(batch.as_of)
+        edges = income([(period[:4], period[5:]) for period in partly])
+        merge(CLIENT_VALUE, state.value_from_state(built(INCOME_STATE), edges, clean(CUSTOMERS), batch.as_of))
+
+    steps: list[tuple[GoldSpec, Callable[[], object]]] = [
+        (DIM_CUSTOMERS, lambda: merge(DIM_CUSTOMERS, gold.build_dim_customers(clean(CUSTOMERS), batch.as_of))),
+        (DIM_PRODUCTS, lambda: merge(DIM_PRODUCTS, gold.build_dim_products(clean(PRODUCTS)))),
+        (DIM_GEOGRAPHY, lambda: merge(DIM_GEOGRAPHY, gold.build_dim_geography(clean(BRANCHES)))),
+        (DIM_CHANNELS, lambda: merge(DIM_CHANNELS, gold.build_dim_channels(
+            clean(BRANCHES), changed(MOVEMENTS, DIM_CHANNELS)))),
+        (FACT_TRANSACTIONS, lambda: merge(FACT_TRANSACTIONS, gold.build_fact_transactions(
+            changed(MOVEMENTS, FACT_TRANSACTIONS, rate_changed), clean(CUSTOMERS), built(DIM_PRODUCTS),
+            settings.usd_rate))),
+        (FACT_PORTFOLIO, merge_portfolio),
+        (CLIENT_VALUE, merge_value),
+        (DAILY_KPIS, lambda: merge(DAILY_KPIS, state.kpis_from_state(built(PORTFOLIO_STATE), batch.as_of))),
+    ]
+
+    def one(spec: GoldSpec, work: Callable[[], object]) -> int:
+        work()
         return built(spec).count()
 
-    return [_try(spec.name, lambda s=spec, b=build: one(s, b)) for spec, build in steps]
+    outcomes = [_try(spec.name, lambda s=spec, w=work: one(s, w)) for spec, work in steps]
+    if overall_status(outcomes) == SUCCESS:
+        append_table(spark.createDataFrame([(float(settings.usd_rate),)], "usd_rate double"), lake, "gold", GOLD_RATE)
+        changes.forget_changes(spark, lake)
+    return outcomes
+
+
+def _rate_changed(spark: SparkSession, lake: Lake, rate: float) -> bool:
+    """Whether the facts were last converted at another rate; then all of them are built again."""
+    before = read_log(spark, lake, "gold", GOLD_RATE, "usd_rate double").head()
+    return before is None or before["usd_rate"] != float(rate)
 
 
 def _try(name: str, work: Callable[[], int]) -> Outcome:
@@ -276,6 +398,6 @@ def clean_up(spark: SparkSession, lake: Lake, batch: Batch, keep: int) -> None:
     for spec in SOURCE_TABLES:
         drop_superseded(spark, lake, "bronze", spec.name, INGEST_PARTS, keep)
         drop_superseded(spark, lake, "silver", spec.name, spec.silver_parts, keep)
-    for spec in GOLD_TABLES:
+    for spec in (*GOLD_TABLES, *STATE_TABLES):
         drop_superseded(spark, lake, "gold", spec.name, spec.partition_by, keep)
     drop_superseded(spark, lake, "bronze", MARKS, (), keep)

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caudal.functions.audit import INGEST_PARTS, with_audit, with_date_parts
+from caudal.operators.clean import envelope
 from caudal.operators.keyed import without_keys
 from caudal.operators.profile import next_mark, since
 from caudal.plans.monitor import SUCCESS
+from caudal.sources.files import MALFORMED, scan_csv, split_csv
 from caudal.sources.jdbc import Partitioning, read_jdbc
 from caudal.sources.marks import read_mark, write_mark
 from caudal.sources.tables import (
@@ -30,6 +32,10 @@ ERROR_SCHEMA = "table_name string, batch_id string, error_msg string, failed_at
 RESULT_SCHEMA = ("batch_id string, layer string, table_name string, records long, "
                  "status string, error_msg string")
 
+# The day whose partition of bronze holds the rows of a batch.
+INGEST_DAYS = "_control/ingest_days"
+DAYS_SCHEMA = "noted_at timestamp, table_name string, batch_id string, day string"
+
 # Gives the source rows of a table: everything, or the rows from the mark on.
 Source = Callable[[TableSpec, str | None], DataFrame]
 
@@ -42,6 +48,17 @@ def frames_source(frames: dict[str, DataFrame], inclusive: bool = True) -> Sourc
     return read
 
 
+def csv_source(spark: SparkSession, lake: Lake, folder: str, batch: Batch, inclusive: bool = True) -> Source:
+    """A source over `<folder>/<table>.csv`. Lines that do not fit the table go to the rejects as they are."""
+    def read(spec: TableSpec, mark: str | None) -> DataFrame:
+        good, bad = split_csv(scan_csv(spark, f"{folder}/{spec.name}.csv", spec.schema))
+        refused = envelope(bad, spec.name, F.lit(MALFORMED), spec.keys, batch.batch_id, batch.now, F.col("line"))
+        append_table(refused, lake, "errors", "rejects", kind="malformed", batch_id=batch.batch_id,
+                     source_table=spec.name)
+        return since(good, spec.watermark, mark, inclusive) if spec.watermark else good
+    return read
+
+
 def jdbc_source(spark: SparkSession, url: str, partitions: dict[str, Partitioning] | None = None,
                 inclusive: bool = True, **connection: str) -> Source:
     """A source over a relational database; `partitions` says how each table's scan is split."""
@@ -116,6 +133,9 @@ def ingest_table(spark: SparkSession, lake: Lake, spec: TableSpec, source: Sourc
         records = staged.count()
         if incremental and records == 0:
             return done(0, SKIPPED)
+        # Noted before the rows land: silver finds them by it, whatever happens to the rest of this batch.
+        append_table(spark.createDataFrame([(batch.now,)], "noted_at timestamp"), lake, "bronze", INGEST_DAYS,
+                     table_name=spec.name, batch_id=batch.batch_id, day=f"{batch.now:%Y-%m-%d}")
         if incremental:
             # Copies within a batch are kept: silver decides which one counts.
             upsert_table(staged, lake, "bronze", spec.name, spec.keys, INGEST_PARTS, unique=False)

@@ -147,8 +147,8 @@ def monthly_interest(loans: DataFrame, dim_products: DataFrame, as_of: date,
 def monthly_income(fees: DataFrame, interest: DataFrame) -> DataFrame:
     """Full outer join of both incomes by client and month, missing sides as 0."""
     joined = fees.join(interest, ["id_cli", "periodo"], "outer").fillna(0)
-    return joined.withColumn("ingreso_total_mes",
-                             F.col("total_comisiones") + F.col("ingreso_intereses_est"))
+    return joined.withColumn("ingreso_total_mes", F.col("total_comisiones").cast("decimal(30,2)")
+                             + F.col("ingreso_intereses_est"))
 
 
 def active_months(movements: DataFrame, as_of: date, months: int = 12) -> DataFrame:

@@ -7,24 +7,28 @@ valid, the others carry the reason and the row as landed. `accepted` and `reject
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caudal.functions.rules import business_hours, clamp_min
+from caudal.functions.rules import beyond_money, business_hours, clamp_min
 from caudal.operators.attach import skew_join
 from caudal.operators.clean import (
     PAYLOAD, REASON, all_present, conform, conformed, fill_defaults, mask_pii, start_tags, tag,
     tag_refs, within,
 )
-from caudal.operators.keyed import dedup
+from caudal.operators.keyed import dedup, same_key, without_keys
 from caudal.operators.rolling import suspicious_flag
 from caudal.specs import (
-    BRANCHES, CUSTOMERS, DATE_MAX, DATE_MIN, DATE_OUT_OF_RANGE, FEES, LOANS, MISSING_REQUIRED,
+    AMOUNT_OUT_OF_RANGE, BRANCHES, CUSTOMERS, DATE_MAX, DATE_MIN, DATE_OUT_OF_RANGE, FEES, LOANS, MISSING_REQUIRED,
     MOVEMENTS, PRODUCTS, UNKNOWN_CLIENT, UNKNOWN_PRODUCT, TableSpec,
 )
 
 # Marks existing rows that are only flagged again, beside the rows of a delivery.
 REFRESHED = "_refreshed"
+# Marks accepted rows of which a newer version was refused.
+SUPERSEDED = "_superseded"
 
 
 def _newest_per_key(df: DataFrame, spec: TableSpec) -> DataFrame:
@@ -37,9 +41,14 @@ def _parsed(spec: TableSpec, column: str) -> Column:
 
 
 def _require(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Tag rows without a required value; a value that does not parse counts as missing."""
+    """Tag rows without a required value (one that does not parse counts as missing) or with an amount that
+    exact sums cannot hold."""
     present = all_present([_parsed(spec, c) for c in spec.required])
-    return tag(start_tags(df), ~present, MISSING_REQUIRED, spec.pii)
+    df = tag(start_tags(df), ~present, MISSING_REQUIRED, spec.pii)
+    if not spec.money:
+        return df
+    beyond = reduce(lambda a, b: a | b, [beyond_money(_parsed(spec, c)) for c in spec.money])
+    return tag(df, beyond, AMOUNT_OUT_OF_RANGE, spec.pii)
 
 
 def _dates_in_range(df: DataFrame, spec: TableSpec, column: str) -> DataFrame:
@@ -101,35 +110,73 @@ def silver_movements(df: DataFrame, customers: DataFrame, products: DataFrame,
     return flag_movements(prepare_movements(df, customers, products), days, sigmas)
 
 
-def first_changes(new: DataFrame, existing: DataFrame) -> DataFrame:
-    """(id_cli, _first, _last): the days between which prepared `new` rows change a client's history,
-    by adding a row or by taking the place of an existing one."""
-    ids = new.select("id_mov").distinct()
-    added = new.filter(F.col(REASON).isNull()).select("id_cli", "fec_mov")
-    replaced = existing.join(ids, "id_mov", "left_semi").select("id_cli", "fec_mov")
-    return added.unionByName(replaced).groupBy("id_cli").agg(
-        F.min("fec_mov").alias("_first"), F.max("fec_mov").alias("_last"))
+def changed_days(new: DataFrame, existing: DataFrame) -> DataFrame:
+    """(id_cli, day): where accepted `new` rows change a client's history, by adding a row or by taking the place
+    of an existing one. A refused version changes nothing: the accepted one stays."""
+    added = new.filter(F.col(REASON).isNull())
+    ids = added.select("id_mov").distinct()
+    replaced = existing.join(ids, "id_mov", "left_semi")
+    both = added.select("id_cli", "fec_mov").unionByName(replaced.select("id_cli", "fec_mov"))
+    return both.select("id_cli", F.col("fec_mov").alias("day")).distinct()
+
 
+def window_spans(days: DataFrame, length: int = 30) -> DataFrame:
+    """(id_cli, _start, _end, _again): the stretches of a client's history that a refresh has to read.
 
-def refresh_movements(new: DataFrame, existing: DataFrame, first: DataFrame,
+    A changed day enters the windows of the `length` days after it. These intervals are merged where they meet;
+    `_again` lists the merged ones as (after, to), in which rows are flagged again. Intervals that are close enough for
+    the rows before one to be those of another form one stretch from _start to _end, so a row lies in one stretch
+    at most. There is a row per changed day of a client at most, whatever the size of its history.
+    """
+    by_day = Window.partitionBy("id_cli").orderBy("day")
+    gap = F.datediff("day", F.lag("day").over(by_day))
+    merged = (days.withColumn("_no", F.sum(F.when(gap > length, 1).otherwise(0)).over(by_day))
+              .groupBy("id_cli", "_no").agg(F.min("day").alias("after"), F.date_add(F.max("day"), length).alias("to")))
+    by_start = Window.partitionBy("id_cli").orderBy("after")
+    apart = F.datediff("after", F.lag("to").over(by_start)) > length
+    return (merged.withColumn("_no", F.sum(F.when(apart, 1).otherwise(0)).over(by_start))
+            .groupBy("id_cli", "_no")
+            .agg(F.date_sub(F.min("after"), length).alias("_start"), F.max("to").alias("_end"),
+                 F.array_sort(F.collect_list(F.struct("after", "to"))).alias("_again"))
+            .drop("_no"))
+
+
+def span_months(spans: DataFrame) -> DataFrame:
+    """Distinct months ('yyyyMM') that the stretches touch."""
+    months = F.explode(F.expr("sequence(trunc(_start, 'MM'), trunc(_end, 'MM'), interval 1 month)"))
+    return spans.select(months.alias("_first")).select(F.date_format("_first", "yyyyMM").alias("month")).distinct()
+
+
+def refresh_movements(new: DataFrame, existing: DataFrame, spans: DataFrame,
                       days: int = 30, sigmas: float = 3) -> DataFrame:
     """Flags of the new rows, and again of the clients' existing rows whose window they enter.
 
-    `existing` holds silver rows at least from `days` before the earliest change to `days` after the
-    latest one. The result has all new rows and those existing rows that come after their client's first
-    change and at most `days` after the last one; REFRESHED marks the existing rows.
+    `existing` holds silver rows of at least the months of `spans` (see `window_spans`). The result has all new
+    rows and those existing rows that lie in an interval to flag again; REFRESHED marks these.
     """
     columns = new.columns
-    ids = new.select("id_mov").distinct()
+    ids = new.filter(F.col(REASON).isNull()).select("id_mov").distinct()
     others = existing.join(ids, "id_mov", "left_anti")
-    near = skew_join(others, first, "id_cli", "inner").filter(
-        F.col("fec_mov").between(F.date_sub("_first", days), F.date_add("_last", days)))
+    near = skew_join(others, spans, "id_cli", "inner").filter(F.col("fec_mov").between(F.col("_start"), F.col("_end")))
+    again = F.exists("_again", lambda i: (F.col("fec_mov") > i["after"]) & (F.col("fec_mov") <= i["to"]))
     empty = F.lit(None).cast("string")
-    near = near.withColumns({REASON: empty, PAYLOAD: empty}).select(*columns, "_first")
-    both = new.withColumn("_first", F.lit(None).cast("date")).unionByName(near)
+    mark = F.col(SUPERSEDED) if SUPERSEDED in existing.columns else F.lit(False)
+    near = near.withColumns({REASON: empty, PAYLOAD: empty}).select(
+        *columns, again.alias(REFRESHED), mark.alias(SUPERSEDED))
+    both = new.withColumns({REFRESHED: F.lit(None).cast("boolean"), SUPERSEDED: F.lit(False)}).unionByName(near)
     flagged = flag_movements(both, days, sigmas)
-    changed = F.col("_first").isNull() | (F.col("fec_mov") > F.col("_first"))
-    return flagged.filter(changed).withColumn(REFRESHED, F.col("_first").isNotNull()).drop("_first")
+    return flagged.filter(F.coalesce(REFRESHED, F.lit(True))).withColumn(REFRESHED, F.col(REFRESHED).isNotNull())
+
+
+def superseded_rows(tagged: DataFrame, existing: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Existing rows of which `tagged` has a refused version and no accepted one, with the mark set.
+
+    They stay accepted: windows, facts and checks read them like others, whatever is cleaned.
+    """
+    refused = tagged.filter(F.col(REASON).isNotNull()).select(*keys).distinct()
+    refused = without_keys(refused, tagged.filter(F.col(REASON).isNull()), list(keys))
+    hit = existing.join(refused, same_key(existing, refused, list(keys)), "left_semi")
+    return hit.withColumn(SUPERSEDED, F.lit(True))
 
 
 def silver_fees(df: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:

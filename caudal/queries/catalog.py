@@ -16,7 +16,7 @@ from caudal.operators import clean, keyed, profile
 from caudal.operators.attach import attach
 from caudal.operators.rolling import rolling_stats, suspicious_flag
 from caudal.plans import gold, monitor, quality, silver, views
-from caudal.queries import bank
+from caudal.queries import bank, deliveries
 from caudal.queries.bank import table
 from caudal.sources.tables import scratch_lake, stage
 from caudal.specs import (
@@ -339,6 +339,16 @@ def rolling_30d(spark, sf_dir):
     return stats.withColumn("sd_30d", F.round("sd_30d", 5))
 
 
+def rolling_large(spark, sf_dir):
+    """Amounts a million million times as large: past 64 bits, and their squares past 38 digits."""
+    orders = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderdate",
+                                           (F.col("o_totalprice") * 1e12).alias("amount"))
+    stats = rolling_stats(orders, "o_custkey", "o_orderdate", "amount", 365, "mean", "sd")
+    scaled = {c: F.round(F.col(c) / 1e12, 4).alias(c) for c in ("mean", "sd")}
+    return suspicious_flag(orders, "o_custkey", "o_orderdate", "amount", days=365).select(
+        "o_orderkey", "ind_sospechoso").join(stats.select("o_orderkey", *scaled.values()), "o_orderkey")
+
+
 def suspicious_flag_orders(spark, sf_dir):
     orders = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderdate",
                                            "o_totalprice")
@@ -581,6 +591,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_report": quality_report,
     "mask_pii": mask_pii,
     "rolling_30d": rolling_30d,
+    "rolling_large": rolling_large,
     "suspicious_flag": suspicious_flag_orders,
     "business_hours": business_hours,
     "silver_customers": _tagged("tagged_customers"),
@@ -622,4 +633,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "layer_counts": layer_counts,
     "run_summary": run_summary,
     "masked_customers": masked_customers,
+    **deliveries.QUERIES,
 }

@@ -537,6 +537,32 @@ _COUNT_CHECK = _row_counts("expect_minimum_row_count_gold", "Gold", _DOC_COUNTS)
 _REFERENCE_CHECK = _references("expect_fact_cartera_cli_referential_integrity", "documents",
                                "Gold", "doc_id", "documents", "labels")
 
+# --- after two deliveries -------------------------------------------------------------------
+
+def _second_quality(table: str, key: str, tagged: str, raw: str, day: str, late: str, waits: str) -> str:
+    """The delivered rows of the second batch, and the rows whose customer came with it."""
+    return f"""
+        SELECT '{table}' AS table_name, 'BATCH_2' AS batch_id, n_input, n_output,
+            n_input - n_output AS n_rejected,
+            CASE WHEN n_input > 0 THEN round(n_output / n_input * 100, 2) ELSE 0.0 END AS pct_conformes
+        FROM (
+            SELECT (SELECT count(*) FROM {raw} WHERE substr({day}, 1, 7) IN {late})
+                    + count(*) FILTER (late_client AND NOT late) AS n_input,
+                count(*) FILTER (_reason IS NULL AND (late OR late_client)) AS n_output
+            FROM (SELECT t._reason, coalesce(strftime(t.{day}, '%Y-%m') IN {late}, false) AS late,
+                    {waits} AND coalesce(c.depto_res = 'ASIA', false) AS late_client
+                  FROM {tagged} t LEFT JOIN s_customers c ON c.id_cli = t.id_cli))"""
+
+
+def _rejected(table: str, tagged: str, key: str) -> str:
+    ref = ("CASE _reason WHEN 'ID_CLI_NO_EXISTE_EN_DIMENSION' THEN id_cli "
+           "WHEN 'COD_PROD_NO_EXISTE_EN_DIMENSION' THEN cod_prod END")
+    return f"""
+        SELECT '{table}' AS source_table, _reason AS reason, count(*) AS entries,
+            count(DISTINCT {key}) AS row_keys, count(DISTINCT {ref}) AS ref_keys
+        FROM {tagged} WHERE _reason IS NOT NULL GROUP BY _reason"""
+
+
 ORACLE: dict[str, str] = {
     "daily_kpis": _with(("kpis",), "SELECT * FROM kpis"),
     "overdue_buckets": _with(("lines",), f"""
@@ -660,6 +686,32 @@ ORACLE: dict[str, str] = {
               WINDOW w AS (PARTITION BY user_id ORDER BY day
                   RANGE BETWEEN INTERVAL 30 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING))""",
     "suspicious_flag": _FLAGGED_ORDERS.strip(),
+    "rolling_large": """
+        SELECT o_orderkey, round(mean / 1e12, 4) AS mean, round(sd / 1e12, 4) AS sd,
+            CASE WHEN amount > mean + 3 * sd THEN 1 ELSE 0 END AS ind_sospechoso
+        FROM (SELECT o_orderkey, o_totalprice * 1e12 AS amount, avg(o_totalprice * 1e12) OVER w AS mean,
+                  stddev_samp(o_totalprice * 1e12) OVER w AS sd
+              FROM orders
+              WINDOW w AS (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE)
+                  RANGE BETWEEN INTERVAL 365 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING))""",
+    "facts_after_second_delivery": _with(("portfolio",), "SELECT * FROM portfolio"),
+    "transactions_after_second_delivery": _with(("transactions",), "SELECT * FROM transactions"),
+    "kpis_from_state": _with(("kpis",), "SELECT * FROM kpis"),
+    "client_value_from_state": _with(("value_12m",), "SELECT * FROM value_12m"),
+    "refreshed_flags": _with(("s_movements", "s_customers"), """
+        SELECT id_mov, m.id_cli, fec_mov, vr_mov, ind_sospechoso, ind_horario_habil,
+            tip_mov = 'PURCHASE' AND vr_mov > 100 AND c.depto_res <> 'ASIA'
+                AND fec_mov NOT IN (DATE '2024-01-05', DATE '2024-01-28') AS superseded
+        FROM s_movements m JOIN s_customers c ON c.id_cli = m.id_cli"""),
+    "still_rejected": _with(("t_loans", "t_movements", "t_fees"), " UNION ALL ".join([
+        _rejected("TB_OBLIGACIONES", "t_loans", "id_oblig"),
+        _rejected("TB_MOV_FINANCIEROS", "t_movements", "id_mov"),
+        _rejected("TB_COMISIONES_LOG", "t_fees", "id_comision")])),
+    "second_batch_quality": _with(("t_loans", "raw_loans", "t_fees", "raw_fees", "s_customers"), " UNION ALL ".join([
+        _second_quality("TB_OBLIGACIONES", "id_oblig", "t_loans", "raw_loans", "fec_desembolso",
+                        "('1997-03', '2001-07')", "true"),
+        _second_quality("TB_COMISIONES_LOG", "id_comision", "t_fees", "raw_fees", "fec_cobro",
+                        "('1998-05', '2001-07')", "t.vr_comision IS NOT NULL")])),
     "business_hours": """
         SELECT event_id, CAST(ts AS DATE) AS day, strftime(ts, '%H:%M:%S') AS hour,
             CASE WHEN dayofweek(ts) BETWEEN 1 AND 5 AND hour(ts) BETWEEN 6 AND 19

@@ -15,27 +15,18 @@ import json
 import re
 import tempfile
 import uuid
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from caudal.operators.keyed import duplicate_keys, same_key, upsert
+from caudal.operators.keyed import duplicate_keys, upsert
+from caudal.sources import locator
+from caudal.sources.lake import Lake
 
 _NULL = "__HIVE_DEFAULT_PARTITION__"  # Spark's directory name for a NULL partition value
 
 
-@dataclass(frozen=True)
-class Lake:
-    """Where the layers live: a directory all executors can reach (HDFS, object store, ...)."""
-
-    root: str
-
-    def path(self, layer: str, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{layer}/{name}"
-
-
 class DuplicateKeyError(ValueError):
     """The source of an upsert has more than one row for a key."""
 
@@ -179,7 +170,8 @@ def scratch_lake(spark: SparkSession) -> Lake:
     shared = (spark.conf.get("spark.checkpoint.dir", None)
               or spark.sparkContext.getCheckpointDir())
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="caudal-")
         spark.conf.set("spark.checkpoint.dir", shared)
@@ -188,42 +180,53 @@ def scratch_lake(spark: SparkSession) -> Lake:
 
 def upsert_table(df: DataFrame, lake: Lake, layer: str, name: str, keys: tuple[str, ...],
                  partition_by: tuple[str, ...] = (), unique: bool = True,
-                 stable_partitions: bool = False) -> None:
+                 stable_partitions: bool = False) -> list[tuple[str | None, ...]]:
     """Update all rows whose key exists and insert the others; create the table if need be.
 
     `df` is read more than once, so pass a frame that reads files (see `stage`). With
     `unique`, a key that occurs twice in `df` is an error. A partitioned table rewrites only
-    the partitions that hold affected keys; `stable_partitions` states that a key never
-    changes its partition, which saves looking for old copies elsewhere.
+    the partitions that hold affected keys, which it gives back; the locator (see `locator`) knows where
+    keys are. `stable_partitions` states that a key never changes its partition, which saves looking.
     """
     spark = df.sparkSession
     if unique and (twice := duplicate_keys(df, list(keys)).head(1)):
         raise DuplicateKeyError(f"{layer}/{name}: duplicate key in source: {twice[0].asDict()}")
     if not table_exists(spark, lake, layer, name):
         overwrite_table(df, lake, layer, name, partition_by)
-        return
+        if partition_by and not stable_partitions:
+            locator.restart(df, lake, layer, name, keys, partition_by)
+        return [tuple(row) for row in df.select(*partition_by).distinct().collect()] if partition_by else []
     if not partition_by:
         merged = upsert(read_table(spark, lake, layer, name), df, list(keys))
         _write(merged, _next_version(spark, lake.path(layer, name)), (), "overwrite")
-        return
+        return []
 
     base = lake.path(layer, name)
     current = current_partitions(spark, lake, layer, name, len(partition_by))
     touched = df.select(*partition_by).distinct()
     if not stable_partitions:
-        target = _read_partitions(spark, base, sorted(current.values()))
-        incoming = df.select(*keys).distinct()
-        moved = target.join(incoming, same_key(target, incoming, list(keys)), "left_semi")
-        touched = touched.unionByName(moved.select(*partition_by).distinct()).distinct()
+        known = locator.read(spark, lake, layer, name, keys, partition_by)
+        if known is None:  # written by other means
+            target = _read_partitions(spark, base, sorted(current.values()))
+            locator.restart(target, lake, layer, name, keys, partition_by)
+            known = locator.read(spark, lake, layer, name, keys, partition_by)
+        touched = touched.unionByName(locator.partitions_of(known, df, keys, partition_by)).distinct()
+    rows = touched.collect()  # bounded by the number of partitions
+    if not rows:
+        return []
     names = ["/".join(f"{c}={_NULL if row[c] is None else row[c]}" for c in partition_by)
-             for row in touched.collect()]  # bounded by the number of partitions
+             for row in rows]
     hit = sorted(current[n] for n in names if n in current)
     merged = upsert(_read_partitions(spark, base, hit), df, list(keys))
     version = _next_version(spark, base)
     for changed in names:  # also marks a partition that loses its last row
         fs, directory = _fs(spark, f"{version}/{changed}")
         fs.mkdirs(directory)
+    if not stable_partitions:
+        # Before the rows: a place that is named without need costs a look at it, one that is not named a lost copy.
+        locator.add(df, lake, layer, name, keys, partition_by)
     _write(merged, version, partition_by, "append")
+    return [tuple(row) for row in rows]
 
 
 def drop_superseded(spark: SparkSession, lake: Lake, layer: str, name: str,
@@ -259,6 +262,11 @@ def _delete(spark: SparkSession, paths: list[str]) -> None:
         fs.delete(directory, True)
 
 
+def drop_log(spark: SparkSession, lake: Lake, layer: str, name: str) -> None:
+    """Delete a log whose rows have served their purpose."""
+    _delete(spark, [lake.path(layer, name)])
+
+
 def append_table(df: DataFrame, lake: Lake, layer: str, name: str, /, **slice_of: str) -> None:
     """Add a slice, e.g. batch_id='B1', to a log table. The same slice again replaces itself.
 

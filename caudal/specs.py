@@ -16,6 +16,9 @@ MISSING_REQUIRED = "CAMPO_OBLIGATORIO_NULO"
 UNKNOWN_CLIENT = "ID_CLI_NO_EXISTE_EN_DIMENSION"
 UNKNOWN_PRODUCT = "COD_PROD_NO_EXISTE_EN_DIMENSION"
 DATE_OUT_OF_RANGE = "FECHA_FUERA_DE_RANGO"
+AMOUNT_OUT_OF_RANGE = "VALOR_FUERA_DE_RANGO"
+# The column that names the missing row, of reasons that pass once that row exists.
+REFERENCE_OF = {UNKNOWN_CLIENT: "id_cli", UNKNOWN_PRODUCT: "cod_prod"}
 
 
 @dataclass(frozen=True)
@@ -39,6 +42,8 @@ class TableSpec:
     upper: tuple[str, ...] = ()
     defaults: dict[str, object] = field(default_factory=dict)
     pii: tuple[str, ...] = ()
+    money: tuple[str, ...] = ()
+    watched: tuple[str, ...] = ()  # attributes that facts copy: a change of one changes the facts of the row
     partition_date: str | None = None  # silver is partitioned by year and month of this date
 
     @property
@@ -67,6 +72,7 @@ CUSTOMERS = TableSpec(
     upper=("cod_segmento", "estado_cli", "tip_doc"),
     defaults={"score_buro": 0, "ciudad_res": "DESCONOCIDO", "canal_adquis": "NO_INFORMADO"},
     pii=("nomb_cli", "apell_cli", "num_doc"),
+    watched=("cod_segmento", "ciudad_res", "depto_res"),
 )
 
 PRODUCTS = TableSpec(
@@ -79,6 +85,7 @@ PRODUCTS = TableSpec(
            "comision_admin": "double"},
     upper=("tip_prod", "estado_prod"),
     defaults={"cuota_min": 0.0, "comision_admin": 0.0},
+    watched=("desc_prod", "tip_prod", "tasa_ea"),
 )
 
 BRANCHES = TableSpec(
@@ -104,6 +111,7 @@ LOANS = TableSpec(
            "vr_cuota": "double", "dias_mora_act": "int"},
     dates=("fec_desembolso", "fec_venc"),
     defaults={"num_cuotas_pend": 0, "calif_riesgo": "A"},
+    money=("vr_aprobado", "vr_desembolsado", "sdo_capital", "vr_cuota"),
     partition_date="fec_desembolso",
 )
 
@@ -120,6 +128,7 @@ MOVEMENTS = TableSpec(
     upper=("cod_canal", "tip_mov"),
     defaults={"num_cuenta": "DESCONOCIDO", "cod_ciudad": "DESCONOCIDO",
               "id_dispositivo": "DESCONOCIDO"},
+    money=("vr_mov",),
     partition_date="fec_mov",
 )
 
@@ -134,6 +143,7 @@ FEES = TableSpec(
     dates=("fec_cobro",),
     defaults={"tip_comision": "NO_INFORMADO", "estado_cobro": "PENDIENTE"},
     upper=("tip_comision", "estado_cobro"),
+    money=("vr_comision",),
     partition_date="fec_cobro",
 )
 
@@ -160,5 +170,12 @@ DAILY_KPIS = GoldSpec(
     ("fecha_calculo", "cod_prod", "tip_prod", "cod_segmento", "depto_res"),
     ("anio_calculo", "mes_calculo"),
 )
+# What gold keeps beside its tables, so that a change of some months leaves the others unread.
+INCOME_STATE = GoldSpec("_state/ingresos", ("id_cli", "periodo"), ("_anio", "_mes"))
+PORTFOLIO_STATE = GoldSpec(
+    "_state/cartera",
+    ("_anio", "_mes", "cod_prod", "tip_prod", "cod_segmento", "depto_res", "bucket"), ("_anio", "_mes"))
+CLIENT_NUMBERS = GoldSpec("_state/clientes", ("id_cli",))
+STATE_TABLES = (INCOME_STATE, PORTFOLIO_STATE, CLIENT_NUMBERS)
 GOLD_TABLES = (DIM_CUSTOMERS, DIM_PRODUCTS, DIM_GEOGRAPHY, DIM_CHANNELS, FACT_TRANSACTIONS,
                FACT_PORTFOLIO, CLIENT_VALUE, DAILY_KPIS)

@@ -74,7 +74,8 @@ def test_a_check_that_throws_fails_alone(spark):
     def broken():
         return spark.range(1).select("nothing")
 
-    checks = {"bad": broken, "good": lambda: quality.check_not_null(spark.range(2), "id", **NAMES)}
+    checks = [quality.Check("bad", broken),
+              quality.Check("good", lambda: quality.check_not_null(spark.range(2), "id", **NAMES))]
     out = quality.run_suite(spark, checks, NOW)
     got = {r["check_name"]: r["passed"] for r in out.collect()}
     assert got == {"bad": False, "n": True}
@@ -107,11 +108,11 @@ def test_volume_anomaly(spark, totals, current, flagged):
 
 def test_run_summary(spark):
     counts = spark.createDataFrame(
-        [("B1", "bronze", "a", 10, "SUCCESS"), ("B1", "silver", "a", 9, "SUCCESS"),
-         ("B1", "gold", "a", 8, "SUCCESS")],
+        [("B9", "bronze", "a", 10, "SUCCESS"), ("B9", "silver", "a", 9, "SUCCESS"),
+         ("B9", "gold", "a", 8, "SUCCESS")],
         "batch_id string, layer string, table_name string, records long, status string")
-    checks = spark.createDataFrame([("B1", True), ("B1", False)], "batch_id string, passed boolean")
-    anomaly = monitor.volume_anomaly(log(spark, [100] * 4), 500, "B1")
+    checks = spark.createDataFrame([("B9", True), ("B9", False)], "batch_id string, passed boolean")
+    anomaly = monitor.volume_anomaly(log(spark, [100] * 4), 500, "B9")
 
     def status(c, k):
         return monitor.run_summary(c, k, anomaly).head()["status"]
