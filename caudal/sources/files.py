@@ -23,8 +23,9 @@ def scan_csv(spark: SparkSession, path: str, schema: StructType | str) -> DataFr
     whatever is selected, so that a line is judged the same in each reading.
     """
     schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    return spark.read.csv(path, header=True, schema=StructType([*schema.fields, StructField(CORRUPT, StringType())]),
-                          mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema=True)
+    return (spark.read.option("columnPruning", "false")
+            .csv(path, header=True, schema=StructType([*schema.fields, StructField(CORRUPT, StringType())]),
+                 mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, enforceSchema=True))
 
 
 def split_csv(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -1,6 +1,7 @@
 import random
 import statistics
 from datetime import date, timedelta
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -175,3 +176,29 @@ def test_hot_day_of_a_client_is_split(spark, small_skew_limits):
     out = rolling_stats(hot_facts(spark), "c", "d", "v")
     assert len(out.collect()) == 200_000
     assert "skew=true" in final_plan(out)
+
+
+def test_amounts_past_eighteen_digits_stay_in_the_window(spark):
+    day = date(2024, 1, 1)
+    rows = [("c", day, 100.0), ("c", day + timedelta(days=1), 2e16), ("c", day + timedelta(days=2), 100.0),
+            ("n", day, -3e20), ("n", day + timedelta(days=1), 5e20), ("n", day + timedelta(days=2), 1.0),
+            ("b", day, 1e22), ("b", day + timedelta(days=1), 7.0), ("b", day + timedelta(days=40), 8.0),
+            ("b", day + timedelta(days=41), 9.0)]
+    got = {(r["c"], r["d"]): (r["mean_30d"], r["sd_30d"]) for r in rolling_stats(movements(spark, rows), "c", "d", "v").collect()}
+    third = day + timedelta(days=2)
+    assert got["c", third] == (pytest.approx(1e16 + 50), pytest.approx(statistics.stdev([100, 2e16])))
+    assert got["n", third] == (pytest.approx(1e20), pytest.approx(statistics.stdev([-3e20, 5e20])))
+    assert got["b", day + timedelta(days=1)] == (None, None)  # not computed from a part of the window
+    assert got["b", day + timedelta(days=41)] == (8.0, None)
+
+
+def test_small_differences_of_huge_amounts(spark):
+    """Amounts around a limb boundary: the parts of the squares must not cancel in floating point."""
+    day = date(2024, 1, 1)
+    values = [1e10 - 0.01, 1e10, 1e10 + 0.01, 9e20, 9e20 + 262144, 9e20 - 131072]
+    rows = [("a", day + timedelta(days=n), v) for n, v in enumerate(values[:3] + [1.0])]
+    rows += [("b", day + timedelta(days=n), v) for n, v in enumerate(values[3:] + [1.0])]
+    got = {(r["c"], r["v"]): r["sd_30d"] for r in rolling_stats(movements(spark, rows), "c", "d", "v").collect()}
+    assert got["a", 1.0] == pytest.approx(0.01, rel=1e-9)
+    exact = statistics.stdev([Decimal(repr(v)) for v in values[3:]])  # an amount is what its text says
+    assert got["b", 1.0] == pytest.approx(float(exact), rel=1e-6)
