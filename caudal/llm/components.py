@@ -44,3 +44,19 @@ def components(edges: DataFrame) -> DataFrame:
             before = total
         roots = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
         return work.result(roots.unionByName(roots.select(F.col("component").alias("id"), "component").distinct()))
+
+
+def refined(first: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, component) of the components `first` after further links (a, b) between their smallest nodes.
+
+    A node that `first` does not have is a component of its own so far. Only the links are looked at, which are few.
+    """
+    if links.isEmpty():
+        return first
+    with scope() as work:
+        second = components(links)
+        alone = second.join(first.select(F.col("component").alias("id")).distinct(), "id", "left_anti")
+        every = first.unionByName(alone.select("id", F.col("id").alias("component")))
+        upper = second.select(F.col("id").alias("component"), F.col("component").alias("_upper"))
+        joined = keyed_join(every, upper, ["component"], "left")
+        return work.result(joined.select("id", F.coalesce("_upper", "component").alias("component")))

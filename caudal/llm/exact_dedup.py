@@ -30,11 +30,9 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from caudal.llm.shared import in_batches, keyed_join, scope, staged
+from caudal.llm.shared import bitmap_of, in_batches, in_bitmap, keyed_join, scope, staged
 
 BLOCK_BYTES = 8192
-BITMAP_BITS = 1 << 26  # 8 MB that the driver sends to each executor
-PART_BITS = 1 << 15  # of one bitmap aggregate, fixed by Spark
 
 
 def fingerprint(block: bytes) -> int:
@@ -69,28 +67,12 @@ def _heads(docs: DataFrame, size: int, hashed: Callable[[bytes], int],
                       "row long, doc_id long, blocks long, pos long, hash long, sha string, block binary")
 
 
-def bitmap_of(hashes: DataFrame) -> np.ndarray:
-    """A bitmap with the bit of each hash set; its size does not depend on the number of hashes."""
-    bit = F.pmod("hash", F.lit(BITMAP_BITS))
-    parts = (hashes.select(F.floor(bit / PART_BITS).alias("part"), F.pmod(bit, F.lit(PART_BITS)).alias("bit"))
-             .groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits"))).collect()
-    out = np.zeros((BITMAP_BITS // PART_BITS, PART_BITS // 8), np.uint8)
-    for row in parts:
-        out[row.part] = np.frombuffer(row.bits, np.uint8)
-    return out.reshape(-1)
-
-
 def _contents(docs: DataFrame, size: int, hashed: Callable[[bytes], int], wanted) -> DataFrame:
     """Distinct blocks of each batch whose hash has its bit set in `wanted`."""
     def each(columns):
-        bits = wanted.value
-        found = {}
-        for text in columns["text"]:
-            for block in _blocks(text, size)[1]:
-                value = hashed(block)
-                at = value % BITMAP_BITS
-                if bits[at >> 3] >> (at & 7) & 1:
-                    found[block] = value
+        found = {block: hashed(block) for text in columns["text"] for block in _blocks(text, size)[1]}
+        named = in_bitmap(wanted.value, np.array(list(found.values()), np.int64))
+        found = {block: value for (block, value), keep in zip(found.items(), named.tolist(), strict=True) if keep}
         yield {"hash": list(found.values()), "block": list(found)}
 
     return in_batches(docs, each, "hash long, block binary", "text")
@@ -100,7 +82,7 @@ def _ordinals(docs: DataFrame, heads: DataFrame, size: int,
               hashed: Callable[[bytes], int]) -> DataFrame:
     """(hash, block, ordinal) of all hashes that different blocks share; nearly always empty."""
     repeated = staged(heads.groupBy("hash").count().filter("count > 1").select("hash"))
-    wanted = docs.sparkSession.sparkContext.broadcast(bitmap_of(repeated))
+    wanted = docs.sparkSession.sparkContext.broadcast(bitmap_of(repeated, "hash"))
     # Distinct first: a task sends a block that all its rows share once.
     contested = _contents(docs, size, hashed, wanted).distinct().join(repeated, "hash", "left_semi")
     several = contested.groupBy("hash").count().filter("count > 1").select("hash")

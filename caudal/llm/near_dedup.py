@@ -11,9 +11,9 @@
    batch. The surviving pairs of a bucket only need to be known up to connection: a spanning forest
    of them is emitted, not the pairs. A bucket of more than BLOCK classes is a star first, each member against four
    centres; only members that are not connected by then meet the others, in blocks.
-4. Connected survivors form clusters; all links of a class lie within its cluster. Each class is verified on the full sets
-   against one survivor, its smallest one: two texts for each class. What is linked is contracted.
-5. In clusters that still have several components, members outside the largest one meet all members: pairs of different
+4. Each class is verified on the full sets against one survivor, its smallest one: two texts for each class. What is
+   linked is contracted. The other survivors connect components to clusters; all links that are left lie within them.
+5. In each cluster, members outside the largest component meet all members: pairs of different
    components are pruned the same way, and survivors are verified on the full sets. Again a spanning forest is
    emitted, now of exact links.
 6. Connected components of the exact links; every row gets its class's component.
@@ -38,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caudal.llm.components import components
+from caudal.llm.components import components, refined
 from caudal.llm.shared import crossing, dealt, in_batches, keyed_join, numbered, release, scope, staged
 
 SHINGLE = 5
@@ -236,9 +236,10 @@ def _forest(threshold: float):
 
 
 def _across(threshold: float, percent: int | None):
-    """A function from a part of `crossing` to links (a, b) between labels, one for each two labels it connects.
+    """A function from a part of `crossing` to links (a, b), one for each two labels it connects.
 
-    With `percent`, links are verified on the full sets of the texts; without it survivors are links.
+    With `percent`, links are verified on the full sets of the texts, and are given as labels; without it
+    survivors are links, given as the classes themselves.
     """
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         found = [links(group) for _, group in rows.groupby(["cluster", "_block", "_chunk"], sort=False)]
@@ -250,7 +251,7 @@ def _across(threshold: float, percent: int | None):
         left, right = np.flatnonzero(minor), np.flatnonzero(~minor)
         out = []
         if len(left) and len(right):
-            uids = group["uid"].to_numpy()
+            ends = group["label" if percent else "uid"].to_numpy()
             names, places = np.unique(group["label"].to_numpy(), return_inverse=True)
             forest = Forest(len(names))
             minima = np.frombuffer(b"".join(group["signature"]), "<u2").reshape(len(group), -1)
@@ -267,7 +268,7 @@ def _across(threshold: float, percent: int | None):
                 if forest.root(places[i]) != forest.root(places[j]) and (
                         percent is None or similar(shingles(i), shingles(j), percent)):
                     forest.join(places[i], places[j])
-                    out.append((uids[i], uids[j]))
+                    out.append((ends[i], ends[j]))
         return out
     return run
 
@@ -347,14 +348,23 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, rows: int = ROWS, b
         release(docs.sparkSession)
 
         first = staged(verified(edges.groupBy("a").agg(F.min("b").alias("b")), docs, percent))
-        known = components(first).select(F.col("id").alias("uid"), F.col("component").alias("label"))
-        clusters = components(edges).select(F.col("id").alias("uid"), F.col("component").alias("cluster"))
-        named = (clusters.join(known, "uid", "left").withColumn("label", F.coalesce("label", "uid"))
-                 .join(reps.select("uid", "signature"), "uid"))
-        rest = crossing(named, "cluster", "label", block)
-        met = rest.join(docs.select("uid", "text"), "uid")
-        second = met.groupBy("part").applyInPandas(_across(threshold, percent), "a long, b long")
-        exact = components(first.unionByName(second))
+        known = components(first)
+        # Edges between what is not connected yet, and the clusters that they make of it.
+        ends = {c: known.select(F.col("id").alias(c), F.col("component").alias(f"_{c}")) for c in ("a", "b")}
+        open_edges = keyed_join(keyed_join(edges, ends["a"], ["a"], "left"), ends["b"], ["b"], "left").select(
+            F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b")).filter("a != b").distinct()
+        open_edges = staged(open_edges)
+        exact = known
+        if not open_edges.isEmpty():
+            clusters = components(open_edges).select(F.col("id").alias("label"), F.col("component").alias("cluster"))
+            nodes = edges.select(F.col("a").alias("uid")).unionByName(edges.select(F.col("b").alias("uid"))).distinct()
+            named = (nodes.join(known.select(F.col("id").alias("uid"), F.col("component").alias("label")), "uid", "left")
+                     .withColumn("label", F.coalesce("label", "uid")))
+            named = keyed_join(named, clusters, ["label"]).join(reps.select("uid", "signature"), "uid")
+            rest = crossing(named, "cluster", "label", block)
+            met = rest.join(docs.select("uid", "text"), "uid")
+            second = met.groupBy("part").applyInPandas(_across(threshold, percent), "a long, b long")
+            exact = refined(known, staged(second.distinct()))
 
         linked = (keyed_join(signed.select("uid", "doc_id", "n_shingles", "words"), classes, ["words"], "left")
                   .join(exact.select(F.col("id").alias("class"), "component"), "class", "left")

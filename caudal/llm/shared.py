@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -179,6 +180,29 @@ def keyed_join(rows: DataFrame, side: DataFrame, keys: list[str], how: str = "in
     return rows.join(side, [*keys, twin], how).drop(twin)
 
 
+BITMAP_BITS = 1 << 26  # 8 MB that the driver sends to each executor
+PART_BITS = 1 << 15  # of one bitmap aggregate, fixed by Spark
+
+
+def bitmap_of(rows: DataFrame, column: str) -> np.ndarray:
+    """A bitmap with a bit set for each integer of the column; its size does not depend on their number.
+
+    It tells which rows may have one of these integers. As it fills, it tells less, but never wrongly that one has not.
+    """
+    bit = F.pmod(column, F.lit(BITMAP_BITS))
+    parts = (rows.select(F.floor(bit / PART_BITS).alias("part"), F.pmod(bit, F.lit(PART_BITS)).alias("bit"))
+             .groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits"))).collect()
+    out = np.zeros((BITMAP_BITS // PART_BITS, PART_BITS // 8), np.uint8)
+    for row in parts:
+        out[row.part] = np.frombuffer(row.bits, np.uint8)
+    return out.reshape(-1)
+
+
+def in_bitmap(bitmap: np.ndarray, values: np.ndarray) -> np.ndarray:
+    at = values % BITMAP_BITS
+    return (bitmap[at >> 3] >> (at & 7) & 1).astype(bool)
+
+
 def _lists(batch: pa.RecordBatch) -> dict[str, list]:
     """Columns as Python lists; lists of numbers without nulls as numpy views."""
     out = {}

@@ -6,17 +6,19 @@
    perfect: any word has one codeword within three errors. A segment's keys are the codewords of itself and of all
    words that differ in one bit: one key if the word is within two errors of a codeword, else six. Segments that differ in two
    bits at most have a word between them, and so a key in common.
-3. Of four differing bits, the worst segment has two or more, or none has over one; the other two segments then differ in two bits
-   at most together, and share a key each. So near fingerprints share a bucket: two segments and a key of each.
-4. Each bucket is a star first: its members are checked against the least and greatest fingerprint and two random ones. The
-   links found give components, which hold nearly all of a dense group.
-5. Buckets whose members are in several components are joined: members outside the bucket's largest component meet all
-   members. Pairs of other components are verified by counting bits. Links between components are what is kept.
-6. Components of both kinds of links give every row its smallest document.
+3. Near fingerprints share a bucket. Of four differing bits, either no segment has more than two, and they share a key of
+   all three segments; or one segment has three or four, and of the others one is equal and the other differs in one bit at
+   most: they share the equal segment and a key of the other. A bucket is 34 or 36 bits and hardly ever shared by chance.
+4. Buckets are counted, with their least and greatest member. For nearly all shared ones these are both members, and the pair
+   is verified by counting bits. Only members of larger buckets are made again: a bitmap of fixed size picks them.
+5. Each larger bucket is a star first: its members are checked against its least and greatest one and two random
+   ones. The links found so far give components, which hold nearly all of a dense group.
+6. Buckets whose members are still in several components are joined: members outside the bucket's largest component meet all
+   members. Pairs of other components are verified. Links between components are what is kept.
+7. Components of both kinds of links give every row its smallest document.
 
 No pairs within a group of copies are made: copies are one fingerprint, a dense group is connected by stars, and hot buckets
-are split by adaptive joins. The members of a bucket that are no copies grow with the number of fingerprints / 2 ** 24, and
-checks with its square.
+are split by adaptive joins.
 
 Defined cases: a null text or one without words has fingerprint zero and is linked like others; fewer than four words are one
 shingle; repeated rows share a component; a null doc_id takes part and gives a null component where no other id is in it; very long
@@ -26,15 +28,15 @@ texts are hashed in slices; an empty table gives an empty result; columns beside
 from __future__ import annotations
 
 from functools import lru_cache
-from itertools import combinations
+from itertools import combinations, permutations
 
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caudal.llm.components import components
-from caudal.llm.shared import in_batches, keyed_join, release, scope, staged
+from caudal.llm.components import components, refined
+from caudal.llm.shared import bitmap_of, in_batches, in_bitmap, keyed_join, release, scope, staged
 
 SHINGLE = 4
 SEED = 42
@@ -115,76 +117,91 @@ def segment_keys(words: np.ndarray, width: int) -> np.ndarray:
 
 
 def buckets_of(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place of a fingerprint, bucket) of all buckets: the pair of segments and a key of each."""
-    keys, at = [], 0
+    """(place of a fingerprint, bucket) of all buckets of each fingerprint."""
+    words, keys, at = [], [], 0
     for width in SEGMENTS:
-        words = (prints >> np.uint64(at) & np.uint64((1 << width) - 1)).astype(np.int64)
-        keys.append(segment_keys(words, width))
+        words.append((prints >> np.uint64(at) & np.uint64((1 << width) - 1)).astype(np.int64))
+        keys.append(segment_keys(words[-1], width))
         at += width
+    one, two, three = keys
+    families = [((one[:, :, None, None] << DATA_BITS | two[:, None, :, None]) << DATA_BITS | three[:, None, None, :],
+                 (one >= 0)[:, :, None, None] & (two >= 0)[:, None, :, None] & (three >= 0)[:, None, None, :])]
+    for a, b in permutations(range(len(SEGMENTS)), 2):
+        families.append((words[a][:, None] << DATA_BITS | keys[b], keys[b] >= 0))
     places, found = [], []
-    for number, (a, b) in enumerate(combinations(range(len(SEGMENTS)), 2)):
-        pairs = keys[a][:, :, None] << DATA_BITS | keys[b][:, None, :]
-        there = (keys[a][:, :, None] >= 0) & (keys[b][:, None, :] >= 0)
+    for number, (buckets, there) in enumerate(families):
         places.append(np.nonzero(there)[0])
-        found.append(pairs[there] | number << 2 * DATA_BITS)
+        found.append(buckets[there] | number << 3 * DATA_BITS)
     return np.concatenate(places), np.concatenate(found)
 
 
-def bucketed(prints: DataFrame) -> DataFrame:
-    """fp and bucket of each distinct fingerprint, some 85 rows each."""
+def bucketed(prints: DataFrame, wanted=None) -> DataFrame:
+    """fp and bucket of each distinct fingerprint, some 200 rows each; `wanted` is a broadcast bitmap of buckets to keep."""
     def each(columns):
         values = np.array(columns["fp"], np.int64)
-        places, buckets = buckets_of(values.view(np.uint64))
-        yield {"fp": values[places], "bucket": buckets}
+        for at in range(0, len(values), 1000):
+            part = values[at:at + 1000]
+            places, buckets = buckets_of(part.view(np.uint64))
+            if wanted is not None:
+                keep = in_bitmap(wanted.value, buckets)
+                places, buckets = places[keep], buckets[keep]
+            yield {"fp": part[places], "bucket": buckets}
 
-    return in_batches(prints, each, "fp long, bucket int", "fp")
+    return in_batches(prints, each, "fp long, bucket long", "fp")
 
 
 def near(a: str, b: str, most: int = DIFFERENT) -> Column:
     return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= most
 
 
+def _link(a: str, b: str) -> list[Column]:
+    return [F.greatest(a, b).alias("a"), F.least(a, b).alias("b")]
+
+
 def star_links(entries: DataFrame, most: int) -> DataFrame:
     """Links (a, b) of the members of each bucket to four of its members."""
     order = F.xxhash64("fp", "bucket")
     centres = entries.groupBy("bucket").agg(
         F.min("fp").alias("c0"), F.max("fp").alias("c1"),
         F.min(F.struct(order, "fp"))["fp"].alias("c2"), F.max(F.struct(order, "fp"))["fp"].alias("c3"))
-    rows = keyed_join(entries, centres.filter("c0 < c1"), ["bucket"])
+    rows = keyed_join(entries, centres, ["bucket"])
     links = F.array(*(F.when((F.col("fp") != F.col(c)) & near("fp", c, most), F.col(c)) for c in ("c0", "c1", "c2", "c3")))
     return (rows.select("fp", F.explode(F.array_distinct(F.array_compact(links))).alias("to"))
-            .select(F.greatest("fp", "to").alias("a"), F.least("fp", "to").alias("b")).distinct())
+            .select(*_link("fp", "to")).distinct())
 
 
 def crossing_links(entries: DataFrame, labels: DataFrame, most: int) -> DataFrame:
     """Links (a, b) between components, of near fingerprints in a bucket."""
     with scope() as work:
-        named = staged(entries.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp")))
+        named = staged(entries.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp")), "zstd")
         sizes = named.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
         largest = (sizes.groupBy("bucket").agg(F.max(F.struct("n", "label"))["label"].alias("main"),
                                                F.count(F.lit(1)).alias("labels")).filter("labels > 1"))
-        several = staged(keyed_join(named, largest.drop("labels"), ["bucket"]))
+        several = staged(keyed_join(named, largest.drop("labels"), ["bucket"]), "zstd")
         work.drop(named)
+        release(entries.sparkSession)
         other = several.select("bucket", F.col("fp").alias("fp2"), F.col("label").alias("label2"))
         pairs = several.filter("label != main").join(other, "bucket").filter(
             (F.col("label") != F.col("label2")) & near("fp", "fp2", most))
-        return work.result(pairs.select(F.greatest("label", "label2").alias("a"),
-                                        F.least("label", "label2").alias("b")).distinct())
+        return work.result(pairs.select(*_link("label", "label2")).distinct())
 
 
 def linked_prints(prints: DataFrame, most: int = DIFFERENT) -> DataFrame:
     """fp, label: the component of each distinct fingerprint that has a near one."""
     with scope() as work:
-        entries = bucketed(prints)
-        first = components(star_links(entries, most))
+        shared = staged(bucketed(prints).groupBy("bucket").agg(
+            F.count(F.lit(1)).alias("members"), F.min("fp").alias("c0"), F.max("fp").alias("c1"))
+            .filter("members > 1"), "zstd")
+        release(prints.sparkSession)
+        pairs = shared.filter(near("c0", "c1", most)).select(*_link("c0", "c1"))
+        larger = shared.filter("members > 2").select("bucket")
+        wanted = prints.sparkSession.sparkContext.broadcast(bitmap_of(larger, "bucket"))
+        entries = staged(bucketed(prints, wanted).join(larger, "bucket", "left_semi"), "zstd")
+        first = components(pairs.unionByName(star_links(entries, most)))
         release(prints.sparkSession)
         labels = first.select(F.col("id").alias("fp"), F.col("component").alias("label"))
-        second = components(crossing_links(entries, labels, most))
-        joined = (labels.unionByName(
-                      second.join(labels.select(F.col("label").alias("id")).distinct(), "id", "left_anti")
-                      .select(F.col("id").alias("fp"), F.col("id").alias("label")))
-                  .join(second.select(F.col("id").alias("label"), "component"), "label", "left"))
-        return work.result(joined.select("fp", F.coalesce("component", "label").alias("label")))
+        joined = refined(first, crossing_links(entries, labels, most))
+        return work.result(joined.select(F.col("id").alias("fp"), F.col("component").alias("label")))
 
 
 def simhash_duplicates(docs: DataFrame, size: int = SHINGLE, most: int = DIFFERENT) -> DataFrame:
