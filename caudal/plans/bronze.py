@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,12 +61,17 @@ def csv_source(spark: SparkSession, lake: Lake, folder: str, batch: Batch, inclu
 
 
 def jdbc_source(spark: SparkSession, url: str, partitions: dict[str, Partitioning] | None = None,
-                inclusive: bool = True, **connection: str) -> Source:
-    """A source over a relational database; `partitions` says how each table's scan is split."""
+                inclusive: bool = True, until: date | None = None, **connection: str) -> Source:
+    """A source over a relational database; `partitions` says how each table's full scan is split.
+
+    With `until`, the day of the batch, an increment is split from the mark to that day.
+    """
     def read(spec: TableSpec, mark: str | None) -> DataFrame:
         watermark = (spec.watermark, mark) if spec.watermark and mark is not None else None
-        return read_jdbc(spark, url, spec.name, (partitions or {}).get(spec.name),
-                         watermark=watermark, inclusive=inclusive, **connection)
+        partition = (partitions or {}).get(spec.name)
+        if partition and watermark and until:
+            partition = partition.since(*watermark, until)
+        return read_jdbc(spark, url, spec.name, partition, watermark=watermark, inclusive=inclusive, **connection)
     return read
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,6 +26,14 @@ class Partitioning:
     num_partitions: int = 8
     predicates: tuple[str, ...] = ()
 
+    def since(self, column: str, mark: str, until: date) -> Partitioning:
+        """For the rows from a mark on: bounds from the mark to the day of the batch, if the mark's column is the one
+        that splits the scan. Bounds of the full load would leave all new rows to the last task."""
+        if self.column != column:
+            return self
+        upper = max(until, date.fromisoformat(mark) + timedelta(days=1))
+        return replace(self, lower=mark, upper=str(upper))
+
     def options(self) -> dict[str, str]:
         if self.column is None:
             return {}

@@ -2,8 +2,8 @@
 
 An upsert has to rewrite the partition that holds the old copy of a key, which need not be the one the new row belongs to.
 Instead of joining all files of the table, it asks the locator. Rows are only added: a key may have several places, of which
-all but the newest are stale. A stale place costs a look at a partition, and nothing else. The locator is laid out by a hash
-of the key in BUCKETS directories, so that an upsert of few keys reads few of them.
+all but the newest are stale. A stale place costs a look at a partition, and nothing else. Files are sorted by a hash
+of the key, so that an upsert of few keys reads few row groups of them.
 """
 
 from __future__ import annotations
@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from caudal.sources.lake import Lake
 
-BUCKETS = 64
-FEW = 32  # buckets that are named in a filter; beyond it all are read
+BUCKETS = 4096
+FEW = 1000  # buckets that are named in a filter; beyond it all are read
+ROW_GROUP = str(4 << 20)
 
 
 def _path(lake: Lake, layer: str, name: str) -> str:
@@ -34,8 +35,8 @@ def _places(df: DataFrame, keys: tuple[str, ...], parts: tuple[str, ...]) -> Dat
 
 
 def _write(df: DataFrame, lake: Lake, layer: str, name: str, keys, parts, mode: str) -> None:
-    rows = _places(df, keys, parts)
-    rows.hint("rebalance", "bucket").write.mode(mode).partitionBy("bucket").parquet(_path(lake, layer, name))
+    rows = _places(df, keys, parts).hint("rebalance", "bucket").sortWithinPartitions("bucket")
+    rows.write.mode(mode).option("parquet.block.size", ROW_GROUP).parquet(_path(lake, layer, name))
 
 
 def restart(df: DataFrame, lake: Lake, layer: str, name: str, keys: tuple[str, ...], parts: tuple[str, ...]) -> None:
@@ -62,7 +63,7 @@ def partitions_of(known: DataFrame, df: DataFrame, keys: tuple[str, ...], parts:
     """Distinct partitions that hold, or held, a key of `df`."""
     asked = _places(df, keys, ()).withColumnsRenamed(
         {"bucket": "_bucket"} | {f"k{n}": f"_k{n}" for n in range(len(keys))})
-    buckets = [row[0] for row in asked.select("_bucket").distinct().collect()]  # BUCKETS at most
+    buckets = [row[0] for row in asked.select("_bucket").distinct().limit(FEW + 1).collect()]
     if len(buckets) <= FEW:
         known = known.filter(F.col("bucket").isin(buckets))
     match = reduce(lambda a, b: a & b, [F.col(f"k{n}").eqNullSafe(F.col(f"_k{n}")) for n in range(len(keys))])

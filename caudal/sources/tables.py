@@ -15,6 +15,7 @@ import json
 import re
 import tempfile
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -193,9 +194,11 @@ def upsert_table(df: DataFrame, lake: Lake, layer: str, name: str, keys: tuple[s
         raise DuplicateKeyError(f"{layer}/{name}: duplicate key in source: {twice[0].asDict()}")
     if not table_exists(spark, lake, layer, name):
         overwrite_table(df, lake, layer, name, partition_by)
-        if partition_by and not stable_partitions:
-            locator.restart(df, lake, layer, name, keys, partition_by)
-        return [tuple(row) for row in df.select(*partition_by).distinct().collect()] if partition_by else []
+        if not partition_by:
+            return []
+        if not stable_partitions:
+            locator.restart(read_table(spark, lake, layer, name, partition_by), lake, layer, name, keys, partition_by)
+        return [_values(name_) for name_ in current_partitions(spark, lake, layer, name, len(partition_by))]
     if not partition_by:
         merged = upsert(read_table(spark, lake, layer, name), df, list(keys))
         _write(merged, _next_version(spark, lake.path(layer, name)), (), "overwrite")
@@ -229,6 +232,12 @@ def upsert_table(df: DataFrame, lake: Lake, layer: str, name: str, keys: tuple[s
     return [tuple(row) for row in rows]
 
 
+def _values(partition: str) -> tuple[str | None, ...]:
+    """The values in a partition's path below its table: 'a=1/b=2' gives ('1', '2')."""
+    found = [unquote(part.split("=", 1)[1]) for part in partition.split("/")]
+    return tuple(None if value == _NULL else value for value in found)
+
+
 def drop_superseded(spark: SparkSession, lake: Lake, layer: str, name: str,
                     partition_by: tuple[str, ...] = (), keep: int = 1) -> None:
     """Delete what no reader of the `keep` newest snapshots needs any more.

@@ -10,7 +10,8 @@ from caudal.functions.audit import INGEST_PARTS
 from caudal.plans import batch as runs
 from caudal.plans.bronze import ERROR_SCHEMA, LOG_SCHEMA, frames_source
 from caudal.sources.marks import read_mark
-from caudal.sources.tables import Lake, read_log, read_table
+from caudal.plans.changes import read_changes
+from caudal.sources.tables import Lake, _leaves, _versions, read_log, read_table
 from caudal.specs import CUSTOMERS, GOLD_TABLES, MOVEMENTS, PRODUCTS, SOURCE_TABLES, Batch
 
 FIRST = Batch("BATCH_20240601", date(2024, 12, 31), datetime(2024, 6, 1, 7))
@@ -90,6 +91,19 @@ def test_late_rows_of_the_marked_day_arrive(spark, first_run):
     silver = runs.read_silver(spark, lake, MOVEMENTS)
     assert {r["id_mov"] for r in silver.collect()} == {"M1", "M2", "M3", "M8", "M20", "M21"}
     assert read_mark(spark, lake, MOVEMENTS.name) == "2024-03-06"
+    # Gold took over the changes alone: of the facts only the month that the new rows lie in.
+    written = {name: _newest(spark, lake, name, 2) for name in ("fact_transacciones", "_state/ingresos")}
+    assert written["fact_transacciones"] == {"anio_mov=2024/mes_mov=03"}
+    assert written["_state/ingresos"] == {"_anio=2024/_mes=03"}
+    facts = read_table(spark, lake, "gold", "fact_transacciones", ("anio_mov", "mes_mov"))
+    assert {r["id_mov"] for r in facts.collect()} == {"M1", "M2", "M3", "M8", "M20", "M21"}
+    assert read_changes(spark, lake).batches == ()
+
+
+def _newest(spark, lake, name, depth):
+    """Partitions of the newest snapshot of a gold table."""
+    base = lake.path("gold", name)
+    return set(_leaves(spark, f"{base}/snapshot={_versions(spark, base)[-1]}", depth))
 
 
 def test_one_failing_table_stops_the_layer_at_its_end(spark, lake):
@@ -166,6 +180,7 @@ def test_cleaning_only_new_rows_equals_cleaning_all(spark, tmp_path):
             cleaned = runs.run_silver(spark, lake, batch, settings, only)
             assert {status for _, _, status, _ in loaded + cleaned} == {"SUCCESS"}
         df = runs.read_silver(spark, lake, MOVEMENTS).drop(*TIMES, "_batch_id_silver")
+        assert df.filter("_superseded").count() > 0  # a newer version of an accepted row was refused
         results[scope] = Counter(df.select(*sorted(df.columns)).collect())
         log = read_log(spark, lake, "silver", runs.QUALITY_LOG,
                        "n_input long, n_output long, n_rejected long, pct_conformes double").collect()

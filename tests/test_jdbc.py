@@ -1,5 +1,7 @@
 """JDBC without a database: options, order of statements, and the source's arguments."""
 
+from datetime import date
+
 from caudal.plans import bronze
 from caudal.sources import jdbc
 from caudal.sources.jdbc import Partitioning, jdbc_options, load_jdbc, read_jdbc
@@ -91,3 +93,22 @@ def test_source_passes_the_mark(monkeypatch):
     assert [kwargs["watermark"] for _, kwargs in seen] == [("fec_cobro", "2024-06-01"), None, None]
     assert seen[0][0][3] is split and seen[2][0][3] is None
     assert jdbc.FETCH_SIZE == 10_000
+
+
+def test_increments_are_split_from_the_mark_on():
+    full = jdbc.Partitioning("fec_cobro", "2020-01-01", "2024-01-01", 16)
+    assert full.since("fec_cobro", "2024-06-01", date(2024, 6, 20)).options() == {
+        "partitionColumn": "fec_cobro", "lowerBound": "2024-06-01", "upperBound": "2024-06-20", "numPartitions": "16"}
+    assert full.since("fec_cobro", "2024-06-20", date(2024, 6, 20)).upper == "2024-06-21"
+    assert full.since("other", "2024-06-01", date(2024, 6, 20)) is full
+    assert jdbc.Partitioning(predicates=("a = 1",)).since("x", "2024-06-01", date(2024, 6, 2)).predicates == ("a = 1",)
+
+
+def test_a_source_splits_increments_by_the_day_of_the_batch(monkeypatch):
+    seen = []
+    monkeypatch.setattr(bronze, "read_jdbc", lambda *args, **kwargs: seen.append(args[3]))
+    full = jdbc.Partitioning("fec_cobro", "2020-01-01", "2024-01-01", 16)
+    source = bronze.jdbc_source(None, "jdbc:x", {FEES.name: full}, until=date(2024, 6, 20))
+    source(FEES, None)
+    source(FEES, "2024-06-01")
+    assert seen[0] is full and (seen[1].lower, seen[1].upper) == ("2024-06-01", "2024-06-20")
