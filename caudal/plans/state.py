@@ -2,9 +2,10 @@
 
 * Income: a row per client and month, with sums and counts. Client value adds up twelve of them; of the first and last month
   of the trailing window, which it may cover in part, it reads the rows.
-* Portfolio: a row per month of disbursement, KPI group and block of client numbers, with sums, counts and a bitmap of the
-  clients with overdue loans. Sums add up over months; bitmaps are united, so a client with loans of several
-  months counts once. Clients are numbered from 0 on when they first appear, and keep their numbers.
+* Portfolio: a row per month of disbursement, KPI group and block of client numbers, with sums, counts and the set of the
+  block's clients with overdue loans. Sums add up over months; sets are united, so a client with loans of several
+  months counts once. Clients are numbered from 0 on when they first appear, and keep their numbers. A set is an array of
+  at most BLOCK small integers; a bitmap has 4 KB also where a group has one client.
 
 A month is recomputed as a whole from its partition. Keys that a month no longer has get rows of zeros.
 """
@@ -24,7 +25,7 @@ from caudal.operators.keyed import without_keys
 from caudal.plans.gold import COLLECTED
 from caudal.specs import INCOME_STATE, PORTFOLIO_STATE
 
-BITMAP = 32_768  # positions of one bitmap, fixed by Spark
+BLOCK = 4096  # client numbers whose sets share a row
 INTEREST = "decimal(38,8)"
 GROUP = ("cod_prod", "tip_prod", "cod_segmento", "depto_res")
 
@@ -131,12 +132,12 @@ def portfolio_state(fact: DataFrame, numbers: DataFrame) -> DataFrame:
     rows = skew_join(fact, numbers, "id_cli", "left")
     return rows.groupBy(
         F.col("anio_desembolso").alias("_anio"), F.col("mes_desembolso").alias("_mes"), *GROUP,
-        F.floor(F.col("number") / BITMAP).alias("bucket"),
+        F.floor(F.col("number") / BLOCK).alias("bucket"),
     ).agg(
         F.count("id_oblig").alias("loans"), F.sum(money("sdo_capital")).alias("balance"),
         rules.sum_if(money("sdo_capital"), overdue).cast("decimal(34,2)").alias("overdue"),
         F.sum(money("provision_estimada")).alias("provision"),
-        F.bitmap_construct_agg(F.when(overdue, F.pmod("number", F.lit(BITMAP)))).alias("clients"),
+        F.collect_set(F.when(overdue, F.pmod("number", F.lit(BLOCK)).cast("int"))).alias("clients"),
     )
 
 
@@ -144,22 +145,25 @@ def emptied_portfolio(before: DataFrame, now: DataFrame) -> DataFrame:
     """Rows of zeros for groups that the recomputed months no longer have."""
     gone = without_keys(before, now, list(PORTFOLIO_STATE.keys))
     zero = {name: F.lit(0).cast(kind) for name, kind in now.dtypes if name in ("loans", "balance", "overdue", "provision")}
-    return gone.withColumns({**zero, "clients": F.lit(None).cast("binary")}).select(*now.columns)
+    return gone.withColumns({**zero, "clients": F.array().cast("array<int>")}).select(*now.columns)
 
 
 def kpis_from_state(state: DataFrame, as_of: date) -> DataFrame:
-    """The daily KPIs: sums over months and blocks, and the clients of the united bitmaps."""
-    blocks = state.groupBy(*GROUP, "bucket").agg(
-        *[F.sum(c).alias(c) for c in ("loans", "balance", "overdue", "provision")],
-        F.bitmap_or_agg("clients").alias("clients"))
+    """The daily KPIs: sums over months and blocks, and the distinct clients of their sets, in one grouping."""
+    measures = ("loans", "balance", "overdue", "provision")
+    sums = state.select(*GROUP, *measures, F.lit(None).cast("long").alias("client"))
+    none = [F.lit(None).cast(kind).alias(name) for name, kind in sums.dtypes if name in measures]
+    member = F.explode("clients").alias("_place")
+    members = state.select(*GROUP, "bucket", member).select(
+        *GROUP, *none, (F.col("bucket") * BLOCK + F.col("_place")).alias("client"))
 
     def amount(column: str):
         return F.round(F.sum(column), 2).cast("double")
 
-    kpis = blocks.groupBy(F.lit(as_of).alias("fecha_calculo"), *GROUP).agg(
+    kpis = sums.unionByName(members).groupBy(F.lit(as_of).alias("fecha_calculo"), *GROUP).agg(
         F.sum("loans").alias("total_obligaciones_activas"), amount("balance").alias("monto_total_cartera"),
         amount("overdue").alias("monto_en_mora"), amount("provision").alias("provision_total_estimada"),
-        F.sum(F.bitmap_count("clients")).alias("clientes_con_mora"),
+        F.countDistinct("client").alias("clientes_con_mora"),
     ).filter("total_obligaciones_activas > 0")
     kpis = kpis.withColumn("tasa_mora_pct", rules.safe_pct("monto_en_mora", "monto_total_cartera"))
     return with_date_parts(kpis, "fecha_calculo", ("anio_calculo", "mes_calculo"))
