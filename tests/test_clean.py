@@ -75,7 +75,8 @@ def test_hidden_columns_are_hashed_in_the_payload(spark):
 def test_reject_envelope(spark):
     df = spark.createDataFrame([(1, "p")], "a int, b string")
     row = clean.reject(df, "t", "R", ("a", "b"), "B", NOW).head()
-    assert (row["row_key"], json.loads(row["payload"])) == ("1|p", {"a": 1, "b": "p"})
+    assert (row["row_key"], json.loads(row["payload"])) == ('["1","p"]', {"a": 1, "b": "p"})
+    assert clean.reject(df, "t", "R", ("b",), "B", NOW).head()["row_key"] == "p"
 
 
 def test_null_profile(spark):
