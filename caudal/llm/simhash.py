@@ -11,8 +11,8 @@
    most: they share the equal segment and a key of the other. A bucket is 34 or 36 bits and hardly ever shared by chance.
 4. Buckets are counted, with their least and greatest member. For nearly all shared ones these are both members, and the pair
    is verified by counting bits. Only members of larger buckets are made again: a bitmap of fixed size picks them.
-5. Each larger bucket is a star first: its members are checked against its least and greatest one and two random
-   ones. The links found so far give components, which hold nearly all of a dense group.
+5. Each larger bucket of an equal segment is a star first: its members are checked against its least and greatest one and two
+   random ones. The links found so far give components, which hold nearly all of a dense group.
 6. Buckets whose members are still in several components are joined: members outside the bucket's largest component meet all
    members. Pairs of other components are verified. Links between components are what is kept.
 7. Components of both kinds of links give every row its smallest document.
@@ -197,7 +197,8 @@ def linked_prints(prints: DataFrame, most: int = DIFFERENT) -> DataFrame:
         larger = shared.filter("members > 2").select("bucket")
         wanted = prints.sparkSession.sparkContext.broadcast(bitmap_of(larger, "bucket"))
         entries = staged(bucketed(prints, wanted).join(larger, "bucket", "left_semi"), "zstd")
-        first = components(pairs.unionByName(star_links(entries, most)))
+        equal_segment = entries.filter(F.col("bucket") >= 1 << 3 * DATA_BITS)
+        first = components(pairs.unionByName(star_links(equal_segment, most)))
         release(prints.sparkSession)
         labels = first.select(F.col("id").alias("fp"), F.col("component").alias("label"))
         joined = refined(first, crossing_links(entries, labels, most))
