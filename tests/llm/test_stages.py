@@ -1,8 +1,12 @@
 """The stages on repeated rows and nulls, which the small tables do not have."""
 
+import os
 from collections import Counter
 
-from caudal.llm import near_dedup, stages, suffix_dedup
+import pytest
+
+from caudal.llm import exact_dedup, near_dedup, stages, suffix_dedup
+from caudal.llm.shared import crossing, scope, staged
 from rows import WORDS, documents
 
 
@@ -67,3 +71,52 @@ def test_each_member_meets_its_own_text_only(session):
     assert len({(r.row, r.place) for r in rows}) == len(rows) and {r.row for r in rows} == set(range(12))
     found = near_dedup.near_duplicates(docs.drop("row")).collect()
     assert len(found) == 12 and sum(r.kept for r in found) == 6
+
+
+def folders(session):
+    root = session.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    return {name for name in os.listdir(root) if name.startswith("caudal-llm-")}
+
+
+def test_scratch_is_deleted(session):
+    """An operator leaves its result only, and a stage nothing once the next one begins."""
+    docs = documents(session)
+    before = folders(session)
+    exact_dedup.exact_dedup(docs).collect()
+    assert len(folders(session) - before) == 1
+    stages.exact(session, docs, "").collect()
+    left_over = folders(session)
+    kept = stages.exact(session, docs, "")
+    assert len(left_over - folders(session)) == 2 and kept.count() > 0
+    with pytest.raises(RuntimeError), scope():
+        staged(docs)
+        raise RuntimeError
+    assert len(folders(session) - before) == 3
+
+
+def test_a_stage_keeps_what_its_input_reads(session):
+    """Stages that are called one on another without writing between them."""
+    docs = documents(session)
+    once = stages.exact(session, docs, "")
+    assert left(stages.exact(session, once, "")) == left(once)
+
+
+def test_a_connected_cluster_is_copied_twice_at_most(session):
+    """What is verified in a cluster of 20,000 grows with its size, not with its pairs."""
+    rows = session.range(20_000).selectExpr("id AS uid", "0L AS cluster", "if(id % 4000 = 7, id, 1L) AS label")
+    met = crossing(rows, "cluster", "label", 1024)
+    assert met.count() <= 20_000 + 5 * 20
+    minor = met.filter("minor").select("uid", "_block", "_chunk")
+    every = met.filter("NOT minor").select(met.uid.alias("other"), "_block", "_chunk")
+    pairs = minor.join(every, ["_block", "_chunk"]).select("uid", "other")
+    assert pairs.count() == pairs.distinct().count() == 5 * 20_000
+
+
+def test_minor_rows_of_many_labels_meet_all(session):
+    rows = session.range(60).selectExpr("id AS uid", "id div 30 AS cluster", "id div 3 AS label")
+    met = crossing(rows, "cluster", "label", 4)
+    minor = met.filter("minor").select("cluster", "uid", "label", "_block", "_chunk")
+    every = met.filter("NOT minor").select("cluster", met.uid.alias("other"), met.label.alias("theirs"), "_block", "_chunk")
+    found = {frozenset((r.uid, r.other)) for r in minor.join(every, ["cluster", "_block", "_chunk"]).filter(
+        "label != theirs").collect()}
+    assert found == {frozenset((a, b)) for a in range(60) for b in range(60) if a // 30 == b // 30 and a // 3 != b // 3}
