@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -58,8 +59,8 @@ class Settings:
 def run_bronze(spark: SparkSession, lake: Lake, source: Source, batch: Batch,
                settings: Settings = Settings(),
                only: tuple[TableSpec, ...] = SOURCE_TABLES) -> list[Outcome]:
-    return [bronze.ingest_table(spark, lake, spec, source, batch, settings.source_system)
-            for spec in SOURCE_TABLES if spec in only]
+    return _together([lambda s=spec: bronze.ingest_table(spark, lake, s, source, batch, settings.source_system)
+                      for spec in SOURCE_TABLES if spec in only])
 
 
 def read_silver(spark: SparkSession, lake: Lake, spec: TableSpec) -> DataFrame:
@@ -205,17 +206,20 @@ def run_silver(spark: SparkSession, lake: Lake, batch: Batch, settings: Settings
         (FEES, lambda df: silver.silver_fees(df, *refs())),
     ]
 
+    referring = (LOANS, MOVEMENTS, FEES)  # to customers and products, which are cleaned before them
+
     def one(spec: TableSpec, clean: Callable[[DataFrame], DataFrame]) -> int:
         started = time.monotonic()
-        if spec in (LOANS, MOVEMENTS, FEES):
+        if spec in referring:
             delivery = pending(spark, lake, spec, batch, refs(), settings.scope)
         else:
             rows = raw(spec)
             delivery = Delivery(rows, rows.count())
         return _silver_table(spark, lake, spec, clean(delivery.rows), delivery, batch, started)
 
-    return [_try(spec.name, lambda s=spec, c=clean: one(s, c))
-            for spec, clean in steps if spec in only]
+    return [outcome for later in (False, True) for outcome in _together(
+        [lambda s=spec, c=clean: _try(s.name, lambda: one(s, c))
+         for spec, clean in steps if spec in only and (spec in referring) == later])]
 
 
 def run_gold(spark: SparkSession, lake: Lake, batch: Batch,
@@ -310,7 +314,16 @@ def run_gold(spark: SparkSession, lake: Lake, batch: Batch,
         work()
         return built(spec).count()
 
-    outcomes = [_try(spec.name, lambda s=spec, w=work: one(s, w)) for spec, work in steps]
+    def run(names: tuple[GoldSpec, ...]) -> list[Outcome]:
+        return [_try(spec.name, lambda s=spec, w=work: one(s, w)) for spec, work in steps if spec in names]
+
+    # Facts read dimensions, and the KPIs read the state that the loan fact leaves.
+    outcomes = []
+    for groups in (((DIM_CUSTOMERS,), (DIM_PRODUCTS,), (DIM_GEOGRAPHY,), (DIM_CHANNELS,)),
+                   ((FACT_PORTFOLIO, DAILY_KPIS), (CLIENT_VALUE,), (FACT_TRANSACTIONS,))):
+        outcomes += [found for part in _together([lambda g=group: run(g) for group in groups]) for found in part]
+    order = [spec.name for spec, _ in steps]
+    outcomes.sort(key=lambda outcome: order.index(outcome[0]))
     if overall_status(outcomes) == SUCCESS:
         append_table(spark.createDataFrame([(float(settings.usd_rate),)], "usd_rate double"), lake, "gold", GOLD_RATE)
         changes.forget_changes(spark, lake)
@@ -323,6 +336,14 @@ def _rate_changed(spark: SparkSession, lake: Lake, rate: float) -> bool:
     return before is None or before["usd_rate"] != float(rate)
 
 
+def _together(work: list[Callable[[], object]]) -> list:
+    """Results of steps that do not read each other's tables, run as concurrent jobs."""
+    if not work:
+        return []
+    with ThreadPoolExecutor(len(work)) as pool:
+        return [future.result() for future in [pool.submit(step) for step in work]]
+
+
 def _try(name: str, work: Callable[[], int]) -> Outcome:
     try:
         return name, work(), SUCCESS, ""

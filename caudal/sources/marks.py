@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from threading import Lock
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,8 @@ from caudal.operators.keyed import latest
 from caudal.sources.tables import Lake, read_table, table_exists, upsert_table
 
 MARKS = "_control/watermarks"
+# Tables are ingested side by side, and each writes its mark to the one table of marks.
+_writing = Lock()
 SCHEMA = "table_name string, last_watermark string, batch_id string, updated_at timestamp"
 
 
@@ -29,4 +32,5 @@ def read_mark(spark: SparkSession, lake: Lake, table: str) -> str | None:
 def write_mark(spark: SparkSession, lake: Lake, table: str, value: str, batch_id: str,
                now: datetime) -> None:
     row = spark.createDataFrame([(table, value, batch_id, now)], SCHEMA)
-    upsert_table(row, lake, "bronze", MARKS, ("table_name",))
+    with _writing:
+        upsert_table(row, lake, "bronze", MARKS, ("table_name",))

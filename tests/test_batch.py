@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 from datetime import date, datetime, timedelta
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
@@ -190,3 +191,25 @@ def test_cleaning_only_new_rows_equals_cleaning_all(spark, tmp_path):
     assert results["new"] == results["all"]
     assert {row["ind_sospechoso"] for row in results["new"]} == {0, 1}
     assert "C7" in {row["id_cli"] for row in results["new"]}
+
+
+def test_tables_of_a_layer_are_processed_side_by_side(spark, tmp_path, monkeypatch):
+    meeting = Barrier(3, timeout=120)  # broken unless three tables are on their way at once
+    ingest, pending = runs.bronze.ingest_table, runs.pending
+
+    def met(work):
+        def step(spark, lake, spec, *rest):
+            if spec.watermark and spec is not CUSTOMERS:
+                meeting.wait()
+            return work(spark, lake, spec, *rest)
+        return step
+
+    monkeypatch.setattr(runs.bronze, "ingest_table", met(ingest))
+    monkeypatch.setattr(runs, "pending", met(pending))
+    lake = Lake(str(tmp_path / "lake"))
+    outcomes = runs.run_bronze(spark, lake, frames_source(frames(spark)), FIRST)
+    assert [o[0] for o in outcomes] == [spec.name for spec in SOURCE_TABLES]
+    outcomes += runs.run_silver(spark, lake, FIRST)
+    assert [o[3] for o in outcomes] == [""] * 12
+    marks = {spec.name for spec in SOURCE_TABLES if spec.watermark and read_mark(spark, lake, spec.name)}
+    assert marks == {spec.name for spec in SOURCE_TABLES if spec.watermark}  # no mark lost to another's
