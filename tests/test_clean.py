@@ -117,3 +117,20 @@ def test_audit_columns(spark):
     assert (row["_ingestion_timestamp"], row["_source_system"], row["_batch_id"]) == (NOW, "core", "B")
     row = with_layer_meta(df, "silver", "B", NOW).head()
     assert (row["_silver_timestamp"], row["_batch_id_silver"]) == (NOW, "B")
+
+
+def test_fact_joined_twice_on_a_key_is_shuffled_once(spark):
+    from caudal.operators.attach import attach
+
+    facts = spark.range(100).selectExpr("cast(id % 7 as string) AS c", "id AS v")
+    dim = spark.range(5).selectExpr("cast(id as string) AS c", "id AS a", "id AS b")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        both = attach(attach(facts, dim, "c", ["a"]), dim, "c", ["b"])
+        plan = both._jdf.queryExecution().executedPlan().toString()
+        rows = both.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 3 and both.columns == ["c", "v", "a", "b"]
+    assert len(rows) == 100 and all((r.a, r.b) == ((int(r.c),) * 2 if int(r.c) < 5 else (None, None)) for r in rows)
