@@ -104,14 +104,20 @@ def _silver_table(spark: SparkSession, lake: Lake, spec: TableSpec, tagged: Data
     if marked is not None:
         marked = with_layer_meta(marked, "silver", batch.batch_id, batch.now)
         valid = valid.unionByName(_refreshed_mark(staged, marked, spec).select(*valid.columns))
-    touched = upsert_table(valid, lake, "silver", spec.name, spec.keys, spec.silver_parts,
-                           unique=False)  # cleaning leaves one row per key
-    if spec.silver_parts:
-        changes.note_parts(spark, lake, spec, batch, touched)
+
+    def write_valid() -> None:
+        touched = upsert_table(valid, lake, "silver", spec.name, spec.keys, spec.silver_parts,
+                               unique=False)  # cleaning leaves one row per key
+        if spec.silver_parts:
+            changes.note_parts(spark, lake, spec, batch, touched)
+
+    # All read staged rows and what earlier batches wrote, and none what another writes.
     known = rejects.open_rejects(spark, lake, spec, batch) if delivery.whole else delivery.waiting
-    rejects.write_rejects(delivered, lake, spec, batch, known)
+    writes = [write_valid, *rejects.reject_writes(delivered, lake, spec, batch, known)]
     if delivery.waiting is not None:
-        rejects.close_rejects(delivered, lake, spec, batch, delivery.waiting, delivery.ready)
+        writes.append(lambda: rejects.close_rejects(delivered, lake, spec, batch, delivery.waiting, delivery.ready))
+    _together(writes)
+    # Last, since silver takes a batch that has a report as done.
     columns = [c for c in valid.columns if c in spec.columns]
     counts = batch_counts(delivered, REASON, columns).withColumn("n_input", F.lit(delivery.n_rows))
     report = quality_report(counts, spec.name, batch.batch_id, batch.now,
@@ -241,17 +247,17 @@ def run_gold(spark: SparkSession, lake: Lake, batch: Batch,
         rows = clean(spec)
         return changes.changed_rows(rows, spec, noted) if exists(fact) and not whole else rows
 
-    def merge(spec: GoldSpec, rows: DataFrame) -> list[tuple[str | None, ...]]:
+    def merge(spec: GoldSpec, rows: DataFrame, stable_partitions: bool = False) -> list[tuple[str | None, ...]]:
         rows = with_layer_meta(rows, "gold", batch.batch_id, batch.now)
         # A first load writes the rows once; an upsert reads them more than once.
         again = exists(spec)
         if again:
             rows = stage(rows, lake, f"gold_{spec.name}", batch.batch_id)
-        return upsert_table(rows, lake, "gold", spec.name, spec.keys, spec.partition_by, unique=again)
+        return upsert_table(rows, lake, "gold", spec.name, spec.keys, spec.partition_by, unique=again,
+                            stable_partitions=stable_partitions)
 
     def keep(spec: GoldSpec, rows: DataFrame) -> None:
-        """Merge the rows of a state table; months are recomputed whole, so its keys stay in their partition."""
-        rows = stage(rows, lake, f"gold_{spec.name}", batch.batch_id)
+        """Merge staged rows of a state table; months are recomputed whole, so its keys stay in their partition."""
         upsert_table(rows, lake, "gold", spec.name, spec.keys, spec.partition_by, unique=False, stable_partitions=True)
 
     def merge_portfolio() -> None:
@@ -263,11 +269,11 @@ def run_gold(spark: SparkSession, lake: Lake, batch: Batch,
             fact = fact.filter(changes.in_parts(touched, FACT_PORTFOLIO.partition_by))
         known = built(CLIENT_NUMBERS) if exists(CLIENT_NUMBERS) else None
         placed = stage(state.new_clients(known, fact), lake, "gold_clients", batch.batch_id)
-        keep(CLIENT_NUMBERS, state.numbered_clients(known, placed))
+        keep(CLIENT_NUMBERS, stage(state.numbered_clients(known, placed), lake, "gold_numbers", batch.batch_id))
         now = stage(state.portfolio_state(fact, built(CLIENT_NUMBERS)), lake, "gold_state", batch.batch_id)
         if again:
             before = built(PORTFOLIO_STATE).filter(changes.in_parts(touched, PORTFOLIO_STATE.partition_by))
-            now = now.unionByName(state.emptied_portfolio(before, now))
+            now = now.unionByName(stage(state.emptied_portfolio(before, now), lake, "gold_state_gone", batch.batch_id))
         keep(PORTFOLIO_STATE, now)
 
     def income(months: list[tuple[str, str]] | None) -> DataFrame:
@@ -290,7 +296,7 @@ def run_gold(spark: SparkSession, lake: Lake, batch: Batch,
         now = stage(state.income_state(income(months)), lake, "gold_income", batch.batch_id)
         if months is not None:
             before = built(INCOME_STATE).filter(changes.in_parts(months, INCOME_STATE.partition_by))
-            now = now.unionByName(state.emptied_income(before, now))
+            now = now.unionByName(stage(state.emptied_income(before, now), lake, "gold_income_gone", batch.batch_id))
         keep(INCOME_STATE, now)
         _, partly = state.whole_months(batch.as_of)
         edges = income([(period[:4], period[5:]) for period in partly])
@@ -307,7 +313,9 @@ def run_gold(spark: SparkSession, lake: Lake, batch: Batch,
             settings.usd_rate))),
         (FACT_PORTFOLIO, merge_portfolio),
         (CLIENT_VALUE, merge_value),
-        (DAILY_KPIS, lambda: merge(DAILY_KPIS, state.kpis_from_state(built(PORTFOLIO_STATE), batch.as_of))),
+        # Its month is that of fecha_calculo, a part of the key.
+        (DAILY_KPIS, lambda: merge(DAILY_KPIS, state.kpis_from_state(built(PORTFOLIO_STATE), batch.as_of),
+                                   stable_partitions=True)),
     ]
 
     def one(spec: GoldSpec, work: Callable[[], object]) -> int:

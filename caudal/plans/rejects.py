@@ -8,6 +8,8 @@ waiting ones only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,12 +76,24 @@ def refused_rows(entries: DataFrame, spec: TableSpec) -> DataFrame:
     return entries.select(F.from_json("payload", spec.schema).alias("_row")).select("_row.*").select(*spec.columns)
 
 
-def write_rejects(tagged: DataFrame, lake: Lake, spec: TableSpec, batch: Batch, known: DataFrame) -> None:
-    """Log the refused rows of a staged delivery, but for those that the open rejects `known` have."""
+def reject_writes(tagged: DataFrame, lake: Lake, spec: TableSpec, batch: Batch,
+                  known: DataFrame) -> list[Callable[[], None]]:
+    """Steps, independent of each other, that log the refused rows of a staged delivery, but for those that the open
+    rejects `known` have. Equal rows refused for the same reason lack the same reference, so the waiting ones are
+    compared to waiting ones only, and the others to others."""
     refused = rejected(tagged, spec.name, spec.keys, batch.batch_id, batch.now, REFERENCE_OF)
-    fresh = _matching(refused, known, "left_anti")
-    for kind, part in ((WAITING, fresh.filter("ref_key IS NOT NULL")), (FINAL, fresh.filter("ref_key IS NULL"))):
-        append_table(part, lake, "errors", REJECTS, kind=kind, batch_id=batch.batch_id, source_table=spec.name)
+
+    def write(kind: str, part: str) -> None:
+        fresh = _matching(refused.filter(part), known.filter(part), "left_anti")
+        append_table(fresh, lake, "errors", REJECTS, kind=kind, batch_id=batch.batch_id, source_table=spec.name)
+
+    return [lambda: write(WAITING, "ref_key IS NOT NULL"), lambda: write(FINAL, "ref_key IS NULL")]
+
+
+def write_rejects(tagged: DataFrame, lake: Lake, spec: TableSpec, batch: Batch, known: DataFrame) -> None:
+    """The steps of `reject_writes`, one after the other."""
+    for write in reject_writes(tagged, lake, spec, batch, known):
+        write()
 
 
 def close_rejects(tagged: DataFrame, lake: Lake, spec: TableSpec, batch: Batch, entries: DataFrame,

@@ -11,7 +11,7 @@ REQUIRED = {
 }
 
 # Adaptive execution does the skew splitting and the partition sizing. All but the
-# last are Spark's defaults, written down because the plans in this library count on them.
+# last two are Spark's defaults, written down because the plans in this library count on them.
 ADAPTIVE = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -20,6 +20,9 @@ ADAPTIVE = {
     # Split a skewed join even where that costs one more shuffle downstream: a hot client
     # in a single task costs far more than re-shuffling an already joined fact.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Lake tables have a directory per month, 372 at most. The driver lists them; a job for it, with a task for
+    # each directory, would come before every read of a table.
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "400",
 }
 
 

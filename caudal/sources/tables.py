@@ -98,7 +98,24 @@ def _is_full(spark: SparkSession, base: str, version: int) -> bool:
 def _partitioned_schema(spark: SparkSession, base: str) -> StructType:
     """Schema stored beside the last full snapshot, so that reading lists and infers nothing."""
     version = max(n for n in _versions(spark, base) if _is_full(spark, base, n))
-    return StructType.fromJson(json.loads(spark.read.text(f"{base}/snapshot={version}/_schema").head()[0]))
+    fs, folder = _fs(spark, f"{base}/snapshot={version}/_schema")
+    names = [s.getPath().getName() for s in fs.listStatus(folder)]
+    name = next(name for name in names if not name.startswith(("_", ".")))
+    stream = fs.open(spark._jvm.org.apache.hadoop.fs.Path(folder, name))
+    try:
+        return StructType.fromJson(json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
+    finally:
+        stream.close()
+
+
+def _write_schema(spark: SparkSession, target: str, schema: StructType) -> None:
+    """A small file that the driver writes and reads itself: a job for it costs more than most tables' own."""
+    fs, file = _fs(spark, f"{target}/_schema/schema.json")
+    stream = fs.create(file, True)
+    try:
+        stream.write(bytearray(schema.json().encode()))
+    finally:
+        stream.close()
 
 
 def read_table(spark: SparkSession, lake: Lake, layer: str, name: str,
@@ -147,8 +164,7 @@ def overwrite_table(df: DataFrame, lake: Lake, layer: str, name: str,
     spark = df.sparkSession
     target = _next_version(spark, lake.path(layer, name))
     if partition_by:
-        text = spark.createDataFrame([(df.schema.json(),)], "value string")
-        text.coalesce(1).write.text(f"{target}/_schema")
+        _write_schema(spark, target, df.schema)
     _write(df, target, partition_by, "append")
 
 

@@ -213,3 +213,37 @@ def test_tables_of_a_layer_are_processed_side_by_side(spark, tmp_path, monkeypat
     assert [o[3] for o in outcomes] == [""] * 12
     marks = {spec.name for spec in SOURCE_TABLES if spec.watermark and read_mark(spark, lake, spec.name)}
     assert marks == {spec.name for spec in SOURCE_TABLES if spec.watermark}  # no mark lost to another's
+
+
+def test_rows_and_rejects_of_a_table_are_written_side_by_side(spark, tmp_path, monkeypatch):
+    meeting = Barrier(3, timeout=120)  # valid rows, waiting and final rejects
+    append, upsert = runs.rejects.append_table, runs.upsert_table
+
+    def append_met(df, lake, layer, name, /, **slice_of):
+        if name == runs.rejects.REJECTS and slice_of["source_table"] == MOVEMENTS.name:
+            meeting.wait()
+        append(df, lake, layer, name, **slice_of)
+
+    def upsert_met(df, lake, layer, name, *rest, **more):
+        if (layer, name) == ("silver", MOVEMENTS.name):
+            meeting.wait()
+        return upsert(df, lake, layer, name, *rest, **more)
+
+    monkeypatch.setattr(runs.rejects, "append_table", append_met)
+    monkeypatch.setattr(runs, "upsert_table", upsert_met)
+    lake = Lake(str(tmp_path / "lake"))
+    outcomes = runs.run_bronze(spark, lake, frames_source(frames(spark)), FIRST) + runs.run_silver(spark, lake, FIRST)
+    assert [o[3] for o in outcomes] == [""] * 12
+
+
+def test_states_are_staged_once_and_kpis_need_no_locator(spark, tmp_path):
+    lake = Lake(str(tmp_path / "lake"))
+    for batch in (FIRST, SECOND):
+        outcomes = runs.run_bronze(spark, lake, frames_source(frames(spark)), batch)
+        outcomes += runs.run_silver(spark, lake, batch) + runs.run_gold(spark, lake, batch)
+        assert not [o[3] for o in outcomes if o[3]]
+    staged = {path.name for path in (tmp_path / "lake" / "_stage").iterdir()}
+    assert {"gold_state", "gold_income", "gold_state_gone", "gold_income_gone"} <= staged
+    assert not (tmp_path / "lake" / "_stage" / "gold__state").exists()  # what `keep` wrote once more
+    located = {path.name for path in (tmp_path / "lake" / "_locator" / "gold").iterdir()}
+    assert located == {"fact_cartera", "fact_transacciones"}

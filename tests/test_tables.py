@@ -154,3 +154,15 @@ def test_files_round_trip(spark, tmp_path, fmt):
     assert rows(back) == rows(df)
     with pytest.raises(ValueError):
         write_files(df, path, "xml")
+
+
+def test_opening_a_partitioned_table_starts_no_job(spark, lake):
+    upsert_table(frame(spark, [(n, f"p{n}", "é") for n in range(40)]), lake, "gold", "t", ("k",), ("part",))
+    context = spark.sparkContext
+    context.setJobGroup("opening", "opening a table")
+    try:
+        df = read_table(spark, lake, "gold", "t", ("part",))
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert list(context.statusTracker().getJobIdsForGroup("opening")) == []
+    assert df.columns == ["k", "part", "v"] and df.count() == 40
