@@ -1,5 +1,6 @@
 """BPE, token files and packing against the tokenizers library."""
 
+import gc
 import hashlib
 import os
 import random
@@ -180,3 +181,25 @@ def test_packing(session):
     total = sum(r.length for r in got)
     assert len(by_sequence) <= -(-total // 2048) + 1
     assert pack_documents(empty(session), BYTE).count() == 0
+
+
+@pytest.mark.parametrize("on", [True, False])
+def test_encoding_pauses_the_cycle_collector(on):
+    seen = []
+
+    def encode_many(texts):
+        seen.append(gc.isenabled())
+        if "broken" in texts:
+            raise ValueError("broken")
+        return [text.encode() for text in texts]
+
+    before = gc.isenabled()
+    try:
+        (gc.enable if on else gc.disable)()
+        assert PieceCache(encode_many, False).ids(["a b", None]) == [b"ab", b""]
+        assert gc.isenabled() == on
+        with pytest.raises(ValueError):
+            PieceCache(encode_many, False).ids(["broken"])
+        assert gc.isenabled() == on and not any(seen)
+    finally:
+        (gc.enable if before else gc.disable)()
