@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from contextlib import suppress
 from dataclasses import dataclass
 from functools import reduce
 
@@ -22,9 +22,10 @@ from caudal.plans.monitor import SUCCESS, run_summary, volume_anomaly
 from caudal.plans.quality import run_suite, standard_checks
 from caudal.sources.marks import MARKS
 from caudal.sources.tables import (
-    Lake, append_table, drop_stage, drop_superseded, read_log, read_table, stage, table_exists,
+    Lake, append_table, driver_rows, drop_stage, drop_superseded, read_log, read_table, stage, table_exists,
     upsert_table,
 )
+from caudal.sources.together import together
 from caudal.specs import (
     BRANCHES, CLIENT_VALUE, CUSTOMERS, DAILY_KPIS, DIM_CHANNELS, DIM_CUSTOMERS, DIM_GEOGRAPHY,
     CLIENT_NUMBERS, DIM_PRODUCTS, FACT_PORTFOLIO, FACT_TRANSACTIONS, FEES, GOLD_TABLES, INCOME_STATE, LOANS, MOVEMENTS,
@@ -59,7 +60,7 @@ class Settings:
 def run_bronze(spark: SparkSession, lake: Lake, source: Source, batch: Batch,
                settings: Settings = Settings(),
                only: tuple[TableSpec, ...] = SOURCE_TABLES) -> list[Outcome]:
-    return _together([lambda s=spec: bronze.ingest_table(spark, lake, s, source, batch, settings.source_system)
+    return together([lambda s=spec: bronze.ingest_table(spark, lake, s, source, batch, settings.source_system)
                       for spec in SOURCE_TABLES if spec in only])
 
 
@@ -116,7 +117,7 @@ def _silver_table(spark: SparkSession, lake: Lake, spec: TableSpec, tagged: Data
     writes = [write_valid, *rejects.reject_writes(delivered, lake, spec, batch, known)]
     if delivery.waiting is not None:
         writes.append(lambda: rejects.close_rejects(delivered, lake, spec, batch, delivery.waiting, delivery.ready))
-    _together(writes)
+    together(writes)
     # Last, since silver takes a batch that has a report as done.
     columns = [c for c in valid.columns if c in spec.columns]
     counts = batch_counts(delivered, REASON, columns).withColumn("n_input", F.lit(delivery.n_rows))
@@ -156,16 +157,34 @@ def unseen_rows(spark: SparkSession, lake: Lake, spec: TableSpec, batch: Batch)
                          & F.col("_batch_id").isin(sorted({name for name, _ in found})))
 
 
-def pending(spark: SparkSession, lake: Lake, spec: TableSpec, batch: Batch, refs: tuple[DataFrame, DataFrame],
-            scope: str) -> Delivery:
-    """The delivery of a batch: all of bronze at first, then the unseen rows and the rejects whose reference has come."""
+@dataclass(frozen=True)
+class Found:
+    """What a delivery is made of, as far as it can be found before the tables it refers to are cleaned."""
+
+    landed: DataFrame
+    new: DataFrame | None = None  # none at first: all of bronze is the delivery
+    waiting: DataFrame | None = None
+
+
+def find(spark: SparkSession, lake: Lake, spec: TableSpec, batch: Batch, scope: str) -> Found:
+    """The rows of bronze that a batch has to clean, and the open rejects that lack a reference."""
     landed = read_table(spark, lake, "bronze", spec.name, INGEST_PARTS)
     if not table_exists(spark, lake, "silver", spec.name):
+        return Found(landed)
+    new, waiting = together([
+        lambda: (landed if scope == "all" else unseen_rows(spark, lake, spec, batch)).select(*spec.columns),
+        lambda: stage(rejects.open_rejects(spark, lake, spec, batch, (rejects.WAITING,)), lake,
+                      f"waiting_{spec.name}", batch.batch_id)])
+    return Found(landed, new, waiting)
+
+
+def pending(lake: Lake, spec: TableSpec, batch: Batch, refs: tuple[DataFrame, DataFrame], scope: str,
+            found: Found) -> Delivery:
+    """The delivery of a batch: all of bronze at first, then the unseen rows and the rejects whose reference has come."""
+    landed, new, waiting = found.landed, found.new, found.waiting
+    if new is None:
         return Delivery(landed, landed.count())  # counted from file footers
     whole = scope == "all"
-    new = (landed if whole else unseen_rows(spark, lake, spec, batch)).select(*spec.columns)
-    waiting = stage(rejects.open_rejects(spark, lake, spec, batch, (rejects.WAITING,)), lake,
-                    f"waiting_{spec.name}", batch.batch_id)
     ready = stage(rejects.arrived(waiting, *refs), lake, f"ready_{spec.name}", batch.batch_id)
     retried = rejects.refused_rows(ready, spec)
     if whole:  # bronze has most of them
@@ -213,19 +232,30 @@ def run_silver(spark: SparkSession, lake: Lake, batch: Batch, settings: Settings
     ]
 
     referring = (LOANS, MOVEMENTS, FEES)  # to customers and products, which are cleaned before them
+    found: dict[str, Found] = {}
+
+    def look(spec: TableSpec) -> None:
+        """While customers and products are cleaned. A failure is that of the table, which then looks again."""
+        with suppress(Exception):
+            found[spec.name] = find(spark, lake, spec, batch, settings.scope)
 
     def one(spec: TableSpec, clean: Callable[[DataFrame], DataFrame]) -> int:
         started = time.monotonic()
         if spec in referring:
-            delivery = pending(spark, lake, spec, batch, refs(), settings.scope)
+            seen = found.get(spec.name) or find(spark, lake, spec, batch, settings.scope)
+            delivery = pending(lake, spec, batch, refs(), settings.scope, seen)
         else:
             rows = raw(spec)
             delivery = Delivery(rows, rows.count())
         return _silver_table(spark, lake, spec, clean(delivery.rows), delivery, batch, started)
 
-    return [outcome for later in (False, True) for outcome in _together(
-        [lambda s=spec, c=clean: _try(s.name, lambda: one(s, c))
-         for spec, clean in steps if spec in only and (spec in referring) == later])]
+    def tables(later: bool) -> list[Callable[[], Outcome]]:
+        return [lambda s=spec, c=clean: _try(s.name, lambda: one(s, c))
+                for spec, clean in steps if spec in only and (spec in referring) == later]
+
+    first = tables(False)
+    looks = [lambda s=spec: look(s) for spec in referring if spec in only] if first else []
+    return together([*first, *looks])[:len(first)] + together(tables(True))
 
 
 def run_gold(spark: SparkSession, lake: Lake, batch: Batch,
@@ -329,11 +359,11 @@ def run_gold(spark: SparkSession, lake: Lake, batch: Batch,
     outcomes = []
     for groups in (((DIM_CUSTOMERS,), (DIM_PRODUCTS,), (DIM_GEOGRAPHY,), (DIM_CHANNELS,)),
                    ((FACT_PORTFOLIO, DAILY_KPIS), (CLIENT_VALUE,), (FACT_TRANSACTIONS,))):
-        outcomes += [found for part in _together([lambda g=group: run(g) for group in groups]) for found in part]
+        outcomes += [found for part in together([lambda g=group: run(g) for group in groups]) for found in part]
     order = [spec.name for spec, _ in steps]
     outcomes.sort(key=lambda outcome: order.index(outcome[0]))
     if overall_status(outcomes) == SUCCESS:
-        append_table(spark.createDataFrame([(float(settings.usd_rate),)], "usd_rate double"), lake, "gold", GOLD_RATE)
+        append_table(driver_rows(spark, [(float(settings.usd_rate),)], "usd_rate double"), lake, "gold", GOLD_RATE)
         changes.forget_changes(spark, lake)
     return outcomes
 
@@ -344,14 +374,6 @@ def _rate_changed(spark: SparkSession, lake: Lake, rate: float) -> bool:
     return before is None or before["usd_rate"] != float(rate)
 
 
-def _together(work: list[Callable[[], object]]) -> list:
-    """Results of steps that do not read each other's tables, run as concurrent jobs."""
-    if not work:
-        return []
-    with ThreadPoolExecutor(len(work)) as pool:
-        return [future.result() for future in [pool.submit(step) for step in work]]
-
-
 def _try(name: str, work: Callable[[], int]) -> Outcome:
     try:
         return name, work(), SUCCESS, ""

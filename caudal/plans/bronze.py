@@ -18,7 +18,7 @@ from caudal.sources.files import MALFORMED, scan_csv, split_csv
 from caudal.sources.jdbc import Partitioning, read_jdbc
 from caudal.sources.marks import read_mark, write_mark
 from caudal.sources.tables import (
-    Lake, append_table, overwrite_table, read_table, stage, table_exists, upsert_table,
+    Lake, append_table, driver_rows, overwrite_table, read_table, stage, table_exists, upsert_table,
 )
 from caudal.specs import Batch, TableSpec
 
@@ -79,17 +79,17 @@ def log_ingestion(spark: SparkSession, table: str, batch: Batch, records: int, s
                   status: str, error: str = "") -> DataFrame:
     row = (table, batch.batch_id, records, records * MB_PER_ROW, float(seconds), status, error,
            batch.now)
-    return spark.createDataFrame([row], LOG_SCHEMA)
+    return driver_rows(spark, [row], LOG_SCHEMA)
 
 
 def log_error(spark: SparkSession, table: str, batch: Batch, error: str) -> DataFrame:
-    return spark.createDataFrame([(table, batch.batch_id, error, batch.now)], ERROR_SCHEMA)
+    return driver_rows(spark, [(table, batch.batch_id, error, batch.now)], ERROR_SCHEMA)
 
 
 def layer_result(spark: SparkSession, layer: str, batch: Batch,
                  rows: list[tuple[str, int, str, str]]) -> DataFrame:
     """Per-table outcome of a layer: (table, records, status, error)."""
-    return spark.createDataFrame([(batch.batch_id, layer, *row) for row in rows], RESULT_SCHEMA)
+    return driver_rows(spark, [(batch.batch_id, layer, *row) for row in rows], RESULT_SCHEMA)
 
 
 def overall_status(rows: list[tuple[str, int, str, str]]) -> str:
@@ -140,7 +140,7 @@ def ingest_table(spark: SparkSession, lake: Lake, spec: TableSpec, source: Sourc
         if incremental and records == 0:
             return done(0, SKIPPED)
         # Noted before the rows land: silver finds them by it, whatever happens to the rest of this batch.
-        append_table(spark.createDataFrame([(batch.now,)], "noted_at timestamp"), lake, "bronze", INGEST_DAYS,
+        append_table(driver_rows(spark, [(batch.now,)], "noted_at timestamp"), lake, "bronze", INGEST_DAYS,
                      table_name=spec.name, batch_id=batch.batch_id, day=f"{batch.now:%Y-%m-%d}")
         if incremental:
             # Copies within a batch are kept: silver decides which one counts.

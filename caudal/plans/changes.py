@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from caudal.operators.attach import skew_join
 from caudal.operators.keyed import without_keys
 from caudal.sources.lake import Lake
-from caudal.sources.tables import append_table, drop_log, read_log, stage
+from caudal.sources.tables import append_table, driver_rows, drop_log, read_log, stage
 from caudal.specs import CUSTOMERS, PRODUCTS, Batch, TableSpec
 
 PARTS = "_control/changed_parts"
@@ -33,7 +33,7 @@ def note_parts(spark: SparkSession, lake: Lake, spec: TableSpec, batch: Batch,
                parts: list[tuple[str | None, ...]]) -> None:
     """Add partitions to the note of a table and batch. A rerun of the batch keeps those of the first run."""
     before = {(r.anio, r.mes) for r in _slice(spark, lake, PARTS, PARTS_SCHEMA, spec, batch).collect()}
-    rows = spark.createDataFrame(sorted(before | {tuple(p) for p in parts}, key=str), "anio string, mes string")
+    rows = driver_rows(spark, sorted(before | {tuple(p) for p in parts}, key=str), "anio string, mes string")
     append_table(rows, lake, "silver", PARTS, table_name=spec.name, batch_id=batch.batch_id)
 
 

@@ -17,6 +17,7 @@ from caudal.plans import batch as runs
 from caudal.plans import rejects, silver
 from caudal.queries import bank
 from caudal.sources.tables import Lake, read_log, read_table, scratch_lake
+from caudal.sources.together import together
 from caudal.specs import (
     CLIENT_VALUE, CUSTOMERS, DAILY_KPIS, FACT_PORTFOLIO, FACT_TRANSACTIONS, FEES, LOANS, MOVEMENTS, Batch,
     GoldSpec,
@@ -48,21 +49,29 @@ def two_deliveries(spark: SparkSession, sf_dir: str) -> Lake:
     key = spark.sparkContext.applicationId, sf_dir
     if key not in _lakes:
         lake = scratch_lake(spark)
-        for batch, late in ((FIRST, False), (SECOND, True)):
+
+        def landed(batch: Batch, late: bool) -> list[runs.Outcome]:
             frames = {name: raw(spark, sf_dir) for name, raw in bank.RAW.items()}
             # Tables without a watermark are delivered in full each time.
-            source = lambda spec, mark, late=late, frames=frames: (
-                frames[spec.name].filter(_is_late(spec.name) == late) if spec.watermark else frames[spec.name])
-            outcomes = runs.run_bronze(spark, lake, source, batch)
-            outcomes += runs.run_silver(spark, lake, batch)
-            outcomes += runs.run_gold(spark, lake, batch)
-            failed = {name: error for name, _, _, error in outcomes if error}
-            if failed:
-                raise runs.BatchFailed(f"{batch.batch_id}: {failed}")
+            return runs.run_bronze(spark, lake, lambda spec, mark: (
+                frames[spec.name].filter(_is_late(spec.name) == late) if spec.watermark else frames[spec.name]), batch)
+
+        first = landed(FIRST, late=False) + runs.run_silver(spark, lake, FIRST)
+        # Gold reads silver alone, so the second delivery lands meanwhile.
+        modelled, second = together([lambda: runs.run_gold(spark, lake, FIRST), lambda: landed(SECOND, late=True)])
+        _check(FIRST, first + modelled)
+        second += runs.run_silver(spark, lake, SECOND)
+        _check(SECOND, second + runs.run_gold(spark, lake, SECOND))
         _lakes[key] = lake
     return _lakes[key]
 
 
+def _check(batch: Batch, outcomes: list[runs.Outcome]) -> None:
+    failed = {name: error for name, _, _, error in outcomes if error}
+    if failed:
+        raise runs.BatchFailed(f"{batch.batch_id}: {failed}")
+
+
 def _gold(spec: GoldSpec) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = read_table(spark, two_deliveries(spark, sf_dir), "gold", spec.name, spec.partition_by)

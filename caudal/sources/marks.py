@@ -9,7 +9,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from caudal.operators.keyed import latest
-from caudal.sources.tables import Lake, read_table, table_exists, upsert_table
+from caudal.sources.tables import Lake, driver_rows, read_table, table_exists, upsert_table
 
 MARKS = "_control/watermarks"
 # Tables are ingested side by side, and each writes its mark to the one table of marks.
@@ -31,6 +31,6 @@ def read_mark(spark: SparkSession, lake: Lake, table: str) -> str | None:
 
 def write_mark(spark: SparkSession, lake: Lake, table: str, value: str, batch_id: str,
                now: datetime) -> None:
-    row = spark.createDataFrame([(table, value, batch_id, now)], SCHEMA)
+    row = driver_rows(spark, [(table, value, batch_id, now)], SCHEMA)
     with _writing:
         upsert_table(row, lake, "bronze", MARKS, ("table_name",))

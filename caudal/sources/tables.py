@@ -17,13 +17,14 @@ import tempfile
 import uuid
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from caudal.operators.keyed import duplicate_keys, upsert
 from caudal.sources import locator
 from caudal.sources.lake import Lake
+from caudal.sources.together import together
 
 _NULL = "__HIVE_DEFAULT_PARTITION__"  # Spark's directory name for a NULL partition value
 
@@ -139,6 +140,11 @@ def _read_partitions(spark: SparkSession, base: str, paths: list[str]) -> DataFr
     return df.select(*schema.fieldNames())
 
 
+def driver_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few rows that the driver made, as one task. Unasked, writing them starts a task for each core."""
+    return spark.createDataFrame(rows, schema).coalesce(1)
+
+
 def read_log(spark: SparkSession, lake: Lake, layer: str, name: str,
              schema: StructType | str) -> DataFrame:
     """All slices of a log table, or no rows where nothing was written yet."""
@@ -206,9 +212,13 @@ def upsert_table(df: DataFrame, lake: Lake, layer: str, name: str, keys: tuple[s
     keys are. `stable_partitions` states that a key never changes its partition, which saves looking.
     """
     spark = df.sparkSession
-    if unique and (twice := duplicate_keys(df, list(keys)).head(1)):
-        raise DuplicateKeyError(f"{layer}/{name}: duplicate key in source: {twice[0].asDict()}")
+
+    def refuse_copies() -> None:
+        if unique and (twice := duplicate_keys(df, list(keys)).head(1)):
+            raise DuplicateKeyError(f"{layer}/{name}: duplicate key in source: {twice[0].asDict()}")
+
     if not table_exists(spark, lake, layer, name):
+        refuse_copies()
         overwrite_table(df, lake, layer, name, partition_by)
         if not partition_by:
             return []
@@ -216,21 +226,26 @@ def upsert_table(df: DataFrame, lake: Lake, layer: str, name: str, keys: tuple[s
             locator.restart(read_table(spark, lake, layer, name, partition_by), lake, layer, name, keys, partition_by)
         return [_values(name_) for name_ in current_partitions(spark, lake, layer, name, len(partition_by))]
     if not partition_by:
+        refuse_copies()
         merged = upsert(read_table(spark, lake, layer, name), df, list(keys))
         _write(merged, _next_version(spark, lake.path(layer, name)), (), "overwrite")
         return []
 
     base = lake.path(layer, name)
     current = current_partitions(spark, lake, layer, name, len(partition_by))
-    touched = df.select(*partition_by).distinct()
-    if not stable_partitions:
-        known = locator.read(spark, lake, layer, name, keys, partition_by)
-        if known is None:  # written by other means
-            target = _read_partitions(spark, base, sorted(current.values()))
-            locator.restart(target, lake, layer, name, keys, partition_by)
+
+    def touched() -> list[Row]:
+        found = df.select(*partition_by).distinct()
+        if not stable_partitions:
             known = locator.read(spark, lake, layer, name, keys, partition_by)
-        touched = touched.unionByName(locator.partitions_of(known, df, keys, partition_by)).distinct()
-    rows = touched.collect()  # bounded by the number of partitions
+            if known is None:  # written by other means
+                target = _read_partitions(spark, base, sorted(current.values()))
+                locator.restart(target, lake, layer, name, keys, partition_by)
+                known = locator.read(spark, lake, layer, name, keys, partition_by)
+            found = found.unionByName(locator.partitions_of(known, df, keys, partition_by)).distinct()
+        return found.collect()  # bounded by the number of partitions
+
+    _, rows = together([refuse_copies, touched])
     if not rows:
         return []
     names = ["/".join(f"{c}={_NULL if row[c] is None else row[c]}" for c in partition_by)
