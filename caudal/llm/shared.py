@@ -162,9 +162,11 @@ def numbered(df: DataFrame, number: str) -> DataFrame:
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished, unreachable queries.
 
-    It does so when the driver collects its garbage, which an idle driver may put off for half an hour.
+    It does so when the driver collects its garbage, which an idle driver may put off for half an hour. The memory of tables
+    that came to the driver goes back to the system.
     """
     gc.collect()
+    pa.default_memory_pool().release_unused()
     spark.sparkContext._jvm.System.gc()
 
 
