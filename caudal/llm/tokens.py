@@ -267,3 +267,15 @@ def byte_level_core(path: str):
         return out.tobytes()
 
     return ids
+
+
+@lru_cache(maxsize=1)
+def token_bytes(path: str) -> tuple[list[bytes], set[int]]:
+    """The bytes of each id of a byte-level file, and the ids of special tokens."""
+    with open(path) as file:
+        described = json.load(file)
+    byte_of = {chr(code): byte for byte, code in byte_letters().items()}
+    out = {i: bytes(byte_of[c] for c in word) for word, i in described["model"]["vocab"].items()}
+    special = {token["id"]: token["content"].encode() for token in described["added_tokens"]}
+    out |= special
+    return [out.get(i, b"") for i in range(max(out) + 1)], set(special)

@@ -11,8 +11,20 @@ from pyspark.sql import functions as F
 
 from caudal.llm import lm_scoring
 from caudal.llm import toxicity as toxic_module
-from caudal.llm.attention import CLASSES, CONTEXT, STRIDE, Attention, Vocabulary, cluster, windows
+from caudal.llm.attention import (
+    BATCH,
+    CLASSES,
+    CONTEXT,
+    RATE,
+    STRIDE,
+    Attention,
+    Vocabulary,
+    cluster,
+    windows,
+    windows_of,
+)
 from caudal.llm.lm_scoring import head_words, lm_scores
+from caudal.llm.tokens import token_bytes
 from caudal.llm.toxicity import DEFAULT, PARTS, TextCnn, threshold, toxicity, word_ids
 from rows import documents, empty
 
@@ -251,3 +263,53 @@ def test_thresholds_come_from_all_calibrating_documents(session, monkeypatch):
     # `de` has the threshold of all languages together.
     pooled = threshold(np.array([score[n] for n in held]), np.array([toxic[n] for n in held]))
     assert math.isclose(got["de"], pooled, abs_tol=0.01) and pooled != DEFAULT
+
+
+def test_texts_are_encoded_once_and_words_come_back(session, monkeypatch):
+    rng = random.Random(5)
+    texts = [None, "", "  ", "it's  a\tb", "a   b  c", "x\x1c y\x85 z", "<|ENDOFTEXT|>q <|endoftext|>", "ÀÉ é 12!?"]
+    texts += ["".join(rng.choices("ab1 !'s\n  \x85é᠎\x1c", k=rng.randint(0, 30))) for _ in range(300)]
+    want = [lm_scoring.subwords(text, BYTE).tolist() for text in texts]
+    words = lm_scoring._Words(BYTE)
+    got = [ids.tolist() for at in range(0, len(texts), 50) for ids in words.encode(texts[at:at + 50])[0]]
+    assert got == want
+    pieces, _ = token_bytes(BYTE)
+    assert all(b"".join(pieces[i] for i in ids).split() == (text or "").encode().lower().split()
+               for ids, text in zip(want, texts, strict=True))
+
+    def again(*_):
+        raise AssertionError("encoded a second time")
+
+    monkeypatch.setattr(lm_scoring, "encoded", again)
+    docs = session.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert lm_scores(docs, BYTE, 50257).count() == len(texts)
+
+
+def test_windows_of_several_texts_are_those_of_each():
+    _, vocabulary = small_vocabulary()
+    texts = [np.arange(size) % 59 for size in (0, 1, STRIDE - 1, STRIDE, 3 * CONTEXT + 5, 0)]
+    rows, classes, steps = windows_of(texts, vocabulary)
+    single = [windows(ids, vocabulary) for ids in texts]
+    assert steps.tolist() == [len(own) for own, _, _ in single] and len(windows_of([], vocabulary)[0]) == 0
+    assert (rows == np.concatenate([own for own, _, _ in single])).all()
+    assert (classes == np.concatenate([own for _, own, _ in single])).all()
+
+
+def test_fit_moves_the_windows_rows_as_plain_adam_does():
+    _, vocabulary = small_vocabulary()
+    rows, classes, _ = windows(np.arange(80 * STRIDE) * 7 % 23, vocabulary)
+    model, plain = Attention(vocabulary), Attention(vocabulary)
+    model.fit(rows, classes)
+    first, second = ({n: np.zeros_like(v) for n, v in plain.p.items()} for _ in range(2))
+    order = np.random.default_rng(13).permutation(len(rows))
+    for step, at in enumerate(range(0, len(order), BATCH), 1):
+        batch = order[at:at + BATCH]
+        for name, change in plain.gradients(rows[batch], classes[batch]).items():
+            first[name] = 0.9 * first[name] + 0.1 * change
+            second[name] = 0.99 * second[name] + 0.01 * change ** 2
+            plain.p[name] = plain.p[name] - RATE * first[name] / (1 - 0.9 ** step) / (
+                np.sqrt(second[name] / (1 - 0.99 ** step)) + 1e-7)
+    assert all(np.allclose(model.p[n], plain.p[n], atol=1e-3) for n in plain.p)
+    unused = np.setdiff1d(np.arange(len(plain.p["embed"])), rows)
+    assert (model.p["embed"][unused] == Attention(vocabulary).p["embed"][unused]).all()
+    assert model.none_row == vocabulary.none_row
