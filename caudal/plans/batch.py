@@ -20,10 +20,11 @@ from caudal.plans import bronze, changes, gold, rejects, silver, state
 from caudal.plans.bronze import FAILED, LOG_SCHEMA, Source, layer_result, overall_status
 from caudal.plans.monitor import SUCCESS, run_summary, volume_anomaly
 from caudal.plans.quality import run_suite, standard_checks
+from caudal.sources import locator
 from caudal.sources.marks import MARKS
 from caudal.sources.tables import (
-    Lake, append_table, driver_rows, drop_stage, drop_superseded, read_log, read_table, stage, table_exists,
-    upsert_table,
+    Lake, append_table, driver_rows, drop_stage, drop_superseded, read_log, read_table, release, replace_partitions,
+    stage, table_exists, upsert_table,
 )
 from caudal.sources.together import together
 from caudal.specs import (
@@ -94,7 +95,8 @@ def _silver_table(spark: SparkSession, lake: Lake, spec: TableSpec, tagged: Data
         valid = valid.withColumn(silver.SUPERSEDED, F.lit(False))
     marked = None
     if again:
-        marked = silver.superseded_rows(delivered, existing, spec.keys)
+        around = _around(spark, lake, spec, existing, delivered.filter(F.col(REASON).isNotNull()))
+        marked = silver.superseded_rows(delivered, around, spec.keys)
         marked = stage(marked, lake, f"silver_{spec.name}_superseded", batch.batch_id)
         valid = without_keys(valid, marked, list(spec.keys)) if silver.REFRESHED in tagged.columns else valid
     if spec.watched:
@@ -113,7 +115,10 @@ def _silver_table(spark: SparkSession, lake: Lake, spec: TableSpec, tagged: Data
             changes.note_parts(spark, lake, spec, batch, touched)
 
     # All read staged rows and what earlier batches wrote, and none what another writes.
-    known = rejects.open_rejects(spark, lake, spec, batch) if delivery.whole else delivery.waiting
+    known = delivery.waiting
+    if delivery.whole:
+        logged = rejects.has_entries(spark, lake, spec, batch)
+        known = rejects.open_rejects(spark, lake, spec, batch) if logged else None
     writes = [write_valid, *rejects.reject_writes(delivered, lake, spec, batch, known)]
     if delivery.waiting is not None:
         writes.append(lambda: rejects.close_rejects(delivered, lake, spec, batch, delivery.waiting, delivery.ready))
@@ -125,9 +130,28 @@ def _silver_table(spark: SparkSession, lake: Lake, spec: TableSpec, tagged: Data
                             time.monotonic() - started)
     append_table(report, lake, "silver", QUALITY_LOG,
                  batch_id=batch.batch_id, table_name=spec.name)
+    drop_stage(spark, lake, batch.batch_id, *_staged_for(spec))
+    if spec.silver_parts:
+        release(spark)
     return read_silver(spark, lake, spec).count()
 
 
+def _staged_for(spec: TableSpec) -> list[str]:
+    """Names of the copies that a silver table stages on its way."""
+    name = f"silver_{spec.name}"
+    return [name, f"{name}_superseded", f"{name}_new", f"{name}_spans",
+            *[f"{step}_{spec.name}" for step in ("waiting", "arrived", "ready", "pending", "keys")]]
+
+
+def _around(spark: SparkSession, lake: Lake, spec: TableSpec, existing: DataFrame, asked: DataFrame) -> DataFrame:
+    """Silver rows of the partitions that hold a key of `asked`, or all where no locator says so."""
+    known = locator.read(spark, lake, "silver", spec.name, spec.keys, spec.silver_parts) if spec.silver_parts else None
+    if known is None:
+        return existing
+    found = locator.partitions_of(known, asked, spec.keys, spec.silver_parts).collect()  # bounded by the partitions
+    return existing.filter(changes.in_parts([tuple(row) for row in found], spec.silver_parts))
+
+
 def _refreshed_mark(staged: DataFrame, marked: DataFrame, spec: TableSpec) -> DataFrame:
     """Superseded rows as they are after the batch: a row that is flagged again keeps its new flags."""
     flags = [c for c in ("ind_sospechoso", "ind_horario_habil") if c in staged.columns and c in marked.columns]
@@ -171,21 +195,28 @@ def find(spark: SparkSession, lake: Lake, spec: TableSpec, batch: Batch, scope:
     landed = read_table(spark, lake, "bronze", spec.name, INGEST_PARTS)
     if not table_exists(spark, lake, "silver", spec.name):
         return Found(landed)
+
+    def open_rejects() -> DataFrame:
+        entries = rejects.open_rejects(spark, lake, spec, batch, (rejects.WAITING,))
+        if not rejects.has_closed(spark, lake, spec, batch):
+            return entries  # files of earlier batches, as they are
+        return stage(entries, lake, f"waiting_{spec.name}", batch.batch_id)
+
     new, waiting = together([
         lambda: (landed if scope == "all" else unseen_rows(spark, lake, spec, batch)).select(*spec.columns),
-        lambda: stage(rejects.open_rejects(spark, lake, spec, batch, (rejects.WAITING,)), lake,
-                      f"waiting_{spec.name}", batch.batch_id)])
+        open_rejects])
     return Found(landed, new, waiting)
 
 
-def pending(lake: Lake, spec: TableSpec, batch: Batch, refs: tuple[DataFrame, DataFrame], scope: str,
-            found: Found) -> Delivery:
+def pending(spark: SparkSession, lake: Lake, spec: TableSpec, batch: Batch, refs: tuple[DataFrame, DataFrame],
+            scope: str, found: Found) -> Delivery:
     """The delivery of a batch: all of bronze at first, then the unseen rows and the rejects whose reference has come."""
     landed, new, waiting = found.landed, found.new, found.waiting
     if new is None:
         return Delivery(landed, landed.count())  # counted from file footers
     whole = scope == "all"
-    ready = stage(rejects.arrived(waiting, *refs), lake, f"ready_{spec.name}", batch.batch_id)
+    come = stage(rejects.arrived_refs(waiting, *refs), lake, f"arrived_{spec.name}", batch.batch_id)
+    ready = stage(rejects.lacking(waiting, come), lake, f"ready_{spec.name}", batch.batch_id)
     retried = rejects.refused_rows(ready, spec)
     if whole:  # bronze has most of them
         retried = without_keys(retried, landed, spec.columns)
@@ -243,7 +274,7 @@ def run_silver(spark: SparkSession, lake: Lake, batch: Batch, settings: Settings
         started = time.monotonic()
         if spec in referring:
             seen = found.get(spec.name) or find(spark, lake, spec, batch, settings.scope)
-            delivery = pending(lake, spec, batch, refs(), settings.scope, seen)
+            delivery = pending(spark, lake, spec, batch, refs(), settings.scope, seen)
         else:
             rows = raw(spec)
             delivery = Delivery(rows, rows.count())
@@ -277,18 +308,26 @@ def run_gold(spark: SparkSession, lake: Lake, batch: Batch,
         rows = clean(spec)
         return changes.changed_rows(rows, spec, noted) if exists(fact) and not whole else rows
 
-    def merge(spec: GoldSpec, rows: DataFrame, stable_partitions: bool = False) -> list[tuple[str | None, ...]]:
+    def merge(spec: GoldSpec, rows: DataFrame, stable_partitions: bool = False,
+              gather: bool = True) -> list[tuple[str | None, ...]]:
         rows = with_layer_meta(rows, "gold", batch.batch_id, batch.now)
         # A first load writes the rows once; an upsert reads them more than once.
         again = exists(spec)
         if again:
             rows = stage(rows, lake, f"gold_{spec.name}", batch.batch_id)
-        return upsert_table(rows, lake, "gold", spec.name, spec.keys, spec.partition_by, unique=again,
-                            stable_partitions=stable_partitions)
+        touched = upsert_table(rows, lake, "gold", spec.name, spec.keys, spec.partition_by, unique=again,
+                               stable_partitions=stable_partitions, gather=gather)
+        drop_stage(spark, lake, batch.batch_id, f"gold_{spec.name}")
+        return touched
+
+    def staged_again(spec: GoldSpec, rows: DataFrame, name: str) -> DataFrame:
+        """Rows of a state table, staged if it exists: a first load reads them once."""
+        return stage(rows, lake, name, batch.batch_id) if exists(spec) else rows
 
     def keep(spec: GoldSpec, rows: DataFrame) -> None:
-        """Merge staged rows of a state table; months are recomputed whole, so its keys stay in their partition."""
-        upsert_table(rows, lake, "gold", spec.name, spec.keys, spec.partition_by, unique=False, stable_partitions=True)
+        """Write recomputed months of a state table. They are whole, with zeros for keys that are gone, so they take the
+        place of the month as it was."""
+        replace_partitions(rows, lake, "gold", spec.name, spec.partition_by)
 
     def merge_portfolio() -> None:
         again = exists(PORTFOLIO_STATE) and exists(FACT_PORTFOLIO)
@@ -299,12 +338,14 @@ def run_gold(spark: SparkSession, lake: Lake, batch: Batch,
             fact = fact.filter(changes.in_parts(touched, FACT_PORTFOLIO.partition_by))
         known = built(CLIENT_NUMBERS) if exists(CLIENT_NUMBERS) else None
         placed = stage(state.new_clients(known, fact), lake, "gold_clients", batch.batch_id)
-        keep(CLIENT_NUMBERS, stage(state.numbered_clients(known, placed), lake, "gold_numbers", batch.batch_id))
-        now = stage(state.portfolio_state(fact, built(CLIENT_NUMBERS)), lake, "gold_state", batch.batch_id)
+        numbers = stage(state.numbered_clients(known, placed), lake, "gold_numbers", batch.batch_id)
+        upsert_table(numbers, lake, "gold", CLIENT_NUMBERS.name, CLIENT_NUMBERS.keys, unique=False)
+        now = staged_again(PORTFOLIO_STATE, state.portfolio_state(fact, built(CLIENT_NUMBERS)), "gold_state")
         if again:
             before = built(PORTFOLIO_STATE).filter(changes.in_parts(touched, PORTFOLIO_STATE.partition_by))
             now = now.unionByName(stage(state.emptied_portfolio(before, now), lake, "gold_state_gone", batch.batch_id))
         keep(PORTFOLIO_STATE, now)
+        drop_stage(spark, lake, batch.batch_id, "gold_clients", "gold_numbers", "gold_state", "gold_state_gone")
 
     def income(months: list[tuple[str, str]] | None) -> DataFrame:
         """Income rows of some months (partitions of silver), or of all."""
@@ -323,11 +364,12 @@ def run_gold(spark: SparkSession, lake: Lake, batch: Batch,
                 rows = clean(LOANS).join(products, "cod_prod", "left_semi").select(*LOANS.silver_parts).distinct()
                 found |= {tuple(row) for row in rows.collect() if None not in row}
             months = sorted(found)
-        now = stage(state.income_state(income(months)), lake, "gold_income", batch.batch_id)
+        now = staged_again(INCOME_STATE, state.income_state(income(months)), "gold_income")
         if months is not None:
             before = built(INCOME_STATE).filter(changes.in_parts(months, INCOME_STATE.partition_by))
             now = now.unionByName(stage(state.emptied_income(before, now), lake, "gold_income_gone", batch.batch_id))
         keep(INCOME_STATE, now)
+        drop_stage(spark, lake, batch.batch_id, "gold_income", "gold_income_gone")
         _, partly = state.whole_months(batch.as_of)
         edges = income([(period[:4], period[5:]) for period in partly])
         merge(CLIENT_VALUE, state.value_from_state(built(INCOME_STATE), edges, clean(CUSTOMERS), batch.as_of))
@@ -343,13 +385,15 @@ def run_gold(spark: SparkSession, lake: Lake, batch: Batch,
             settings.usd_rate))),
         (FACT_PORTFOLIO, merge_portfolio),
         (CLIENT_VALUE, merge_value),
-        # Its month is that of fecha_calculo, a part of the key.
+        # Its month is that of fecha_calculo, a part of the key, and a batch has one.
         (DAILY_KPIS, lambda: merge(DAILY_KPIS, state.kpis_from_state(built(PORTFOLIO_STATE), batch.as_of),
-                                   stable_partitions=True)),
+                                   stable_partitions=True, gather=False)),
     ]
 
     def one(spec: GoldSpec, work: Callable[[], object]) -> int:
         work()
+        if spec.partition_by:
+            release(spark)
         return built(spec).count()
 
     def run(names: tuple[GoldSpec, ...]) -> list[Outcome]:

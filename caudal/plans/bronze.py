@@ -18,7 +18,7 @@ from caudal.sources.files import MALFORMED, scan_csv, split_csv
 from caudal.sources.jdbc import Partitioning, read_jdbc
 from caudal.sources.marks import read_mark, write_mark
 from caudal.sources.tables import (
-    Lake, append_table, driver_rows, overwrite_table, read_table, stage, table_exists, upsert_table,
+    Lake, append_table, driver_rows, drop_stage, overwrite_table, read_table, stage, table_exists, upsert_table,
 )
 from caudal.specs import Batch, TableSpec
 
@@ -113,7 +113,8 @@ def ingest_table(spark: SparkSession, lake: Lake, spec: TableSpec, source: Sourc
 
     Full load: the table is replaced. Incremental load: rows from the mark's day on are read
     again (rows of that day may arrive late), those already landed are set aside, and the
-    rest replaces rows of the same key. The source is read once, into a staged copy.
+    rest replaces rows of the same key. The source is read once, into the table or, for an
+    increment, a staged copy. Rows of a batch have one ingest day, so nothing is gathered for their partition.
     """
     started = time.monotonic()
 
@@ -135,23 +136,26 @@ def ingest_table(spark: SparkSession, lake: Lake, spec: TableSpec, source: Sourc
             incoming = not_yet_landed(incoming, landed, spec, mark)
         rows = with_date_parts(with_audit(incoming, source_system, batch.batch_id, batch.now),
                                "_ingestion_timestamp", INGEST_PARTS)
-        staged = stage(rows, lake, f"bronze_{spec.name}", batch.batch_id)
-        records = staged.count()
-        if incremental and records == 0:
-            return done(0, SKIPPED)
+        if incremental:
+            rows = stage(rows, lake, f"bronze_{spec.name}", batch.batch_id)
+            if (records := rows.count()) == 0:
+                return done(0, SKIPPED)
         # Noted before the rows land: silver finds them by it, whatever happens to the rest of this batch.
         append_table(driver_rows(spark, [(batch.now,)], "noted_at timestamp"), lake, "bronze", INGEST_DAYS,
                      table_name=spec.name, batch_id=batch.batch_id, day=f"{batch.now:%Y-%m-%d}")
         if incremental:
             # Copies within a batch are kept: silver decides which one counts.
-            upsert_table(staged, lake, "bronze", spec.name, spec.keys, INGEST_PARTS, unique=False)
+            upsert_table(rows, lake, "bronze", spec.name, spec.keys, INGEST_PARTS, unique=False)
         else:
-            overwrite_table(staged, lake, "bronze", spec.name, INGEST_PARTS)
+            overwrite_table(rows, lake, "bronze", spec.name, INGEST_PARTS, gather=False)
+            rows = read_table(spark, lake, "bronze", spec.name, INGEST_PARTS)
+            records = rows.count()
         if spec.watermark:
-            highest = next_mark(staged, spec.watermark, batch.as_of).head()["last_watermark"]
+            highest = next_mark(rows, spec.watermark, batch.as_of).head()["last_watermark"]
             if highest is not None:
                 write_mark(spark, lake, spec.name, max(highest, mark or highest),
                            batch.batch_id, batch.now)
+        drop_stage(spark, lake, batch.batch_id, f"bronze_{spec.name}")
         return done(records, SUCCESS)
     except Exception as error:  # noqa: BLE001 - one bad table must not stop the others
         append_table(log_error(spark, spec.name, batch, str(error)), lake, "errors",

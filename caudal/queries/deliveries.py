@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from caudal.plans import batch as runs
 from caudal.plans import rejects, silver
 from caudal.queries import bank
-from caudal.sources.tables import Lake, read_log, read_table, scratch_lake
+from caudal.sources.tables import Lake, read_log, read_table, release, scratch_lake
 from caudal.sources.together import together
 from caudal.specs import (
     CLIENT_VALUE, CUSTOMERS, DAILY_KPIS, FACT_PORTFOLIO, FACT_TRANSACTIONS, FEES, LOANS, MOVEMENTS, Batch,
@@ -60,8 +60,12 @@ def two_deliveries(spark: SparkSession, sf_dir: str) -> Lake:
         # Gold reads silver alone, so the second delivery lands meanwhile.
         modelled, second = together([lambda: runs.run_gold(spark, lake, FIRST), lambda: landed(SECOND, late=True)])
         _check(FIRST, first + modelled)
+        runs.clean_up(spark, lake, FIRST, keep=1)
         second += runs.run_silver(spark, lake, SECOND)
+        runs.clean_up(spark, lake, SECOND, keep=1)  # gold reads the newest silver
         _check(SECOND, second + runs.run_gold(spark, lake, SECOND))
+        runs.clean_up(spark, lake, SECOND, keep=1)
+        release(spark)
         _lakes[key] = lake
     return _lakes[key]
 

@@ -2,14 +2,13 @@
 
 An upsert has to rewrite the partition that holds the old copy of a key, which need not be the one the new row belongs to.
 Instead of joining all files of the table, it asks the locator. Rows are only added: a key may have several places, of which
-all but the newest are stale. A stale place costs a look at a partition, and nothing else. Files are sorted by a hash
-of the key, so that an upsert of few keys reads few row groups of them.
+all but the newest are stale. A stale place costs a look at a partition, and nothing else. So does a key that shares the
+hash of another, wherefore the locator holds 64-bit hashes and no keys. Files are sorted by a part of the hash, so that an
+upsert of few keys reads few row groups of them.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,22 +20,33 @@ ROW_GROUP = str(4 << 20)
 
 
 def _path(lake: Lake, layer: str, name: str) -> str:
-    return lake.path("_locator", f"{layer}/{name}")
+    return lake.path("_locator", f"{layer}/{name}/hashes")
+
+
+def _hash(keys: tuple[str, ...]) -> Column:
+    return F.xxhash64(*[F.col(k).cast("string") for k in keys])
 
 
-def _bucket(keys: tuple[str, ...]) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(BUCKETS)).cast("int")
+def _bucket(key: str) -> Column:
+    return F.pmod(F.col(key), F.lit(BUCKETS)).cast("int")
 
 
 def _places(df: DataFrame, keys: tuple[str, ...], parts: tuple[str, ...]) -> DataFrame:
-    return df.select(*[F.col(k).cast("string").alias(f"k{n}") for n, k in enumerate(keys)],
-                     *[F.col(p).cast("string").alias(f"p{n}") for n, p in enumerate(parts)],
-                     _bucket(keys).alias("bucket")).distinct()
+    """A row for each row of the table: copies of a place do no harm."""
+    return df.select(_hash(keys).alias("key"), *[F.col(p).cast("string").alias(f"p{n}") for n, p in enumerate(parts)])
 
 
 def _write(df: DataFrame, lake: Lake, layer: str, name: str, keys, parts, mode: str) -> None:
-    rows = _places(df, keys, parts).hint("rebalance", "bucket").sortWithinPartitions("bucket")
-    rows.write.mode(mode).option("parquet.block.size", ROW_GROUP).parquet(_path(lake, layer, name))
+    rows = _places(df, keys, parts).withColumn("bucket", _bucket("key"))
+    rows = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket")
+    rows.write.mode(mode).option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(
+        _path(lake, layer, name))
+
+
+def forget(spark: SparkSession, lake: Lake, layer: str, name: str) -> None:
+    """Delete a locator; the next upsert makes a new one."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(_path(lake, layer, name))
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def restart(df: DataFrame, lake: Lake, layer: str, name: str, keys: tuple[str, ...], parts: tuple[str, ...]) -> None:
@@ -55,17 +65,15 @@ def read(spark: SparkSession, lake: Lake, layer: str, name: str, keys: tuple[str
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     if not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
         return None
-    columns = [f"k{n} string" for n in range(len(keys))] + [f"p{n} string" for n in range(len(parts))]
-    return spark.read.schema(", ".join([*columns, "bucket int"])).parquet(path)
+    columns = ["key long", *[f"p{n} string" for n in range(len(parts))], "bucket int"]
+    return spark.read.schema(", ".join(columns)).parquet(path)
 
 
 def partitions_of(known: DataFrame, df: DataFrame, keys: tuple[str, ...], parts: tuple[str, ...]) -> DataFrame:
     """Distinct partitions that hold, or held, a key of `df`."""
-    asked = _places(df, keys, ()).withColumnsRenamed(
-        {"bucket": "_bucket"} | {f"k{n}": f"_k{n}" for n in range(len(keys))})
-    buckets = [row[0] for row in asked.select("_bucket").distinct().limit(FEW + 1).collect()]
+    asked = df.select(_hash(keys).alias("key")).distinct()
+    buckets = [row[0] for row in asked.select(_bucket("key")).distinct().limit(FEW + 1).collect()]
     if len(buckets) <= FEW:
         known = known.filter(F.col("bucket").isin(buckets))
-    match = reduce(lambda a, b: a & b, [F.col(f"k{n}").eqNullSafe(F.col(f"_k{n}")) for n in range(len(keys))])
-    return known.join(asked, match, "left_semi").select(
+    return known.join(asked, "key", "left_semi").select(
         *[F.col(f"p{n}").alias(part) for n, part in enumerate(parts)]).distinct()
