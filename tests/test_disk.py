@@ -4,9 +4,9 @@ from collections import Counter
 from datetime import date, datetime
 
 from bank_rows import LOAN_ROWS, frames
-from caudal.operators.clean import start_tags, tag
-from caudal.plans import bronze, rejects
-from caudal.queries import deliveries
+from caudal.operators.clean import accepted, start_tags, tag
+from caudal.plans import bronze, gold, rejects, silver
+from caudal.queries import bank, catalog, deliveries
 from caudal.sources import locator, tables
 from caudal.sources.tables import append_table, overwrite_table, read_table, replace_partitions, upsert_table
 from caudal.specs import LOANS, UNKNOWN_CLIENT, Batch
@@ -106,3 +106,26 @@ def test_two_deliveries_leave_no_copies(spark, tmp_path, monkeypatch):
     for layer in ("bronze", "silver"):  # delivered in full twice
         assert len(list((tmp_path / "lake" / layer / "TB_PRODUCTOS_CAT").glob("**/*.parquet"))) > 0
         assert len(tables._versions(spark, lake.path(layer, "TB_PRODUCTOS_CAT"))) == 1
+
+
+def test_the_suite_stages_what_is_read_more_than_once(spark, tmp_path, monkeypatch):
+    for name, ddl in bank.SCHEMAS.items():
+        spark.createDataFrame([], ddl).write.parquet(str(tmp_path / f"{name}.parquet"))
+    kept = []
+    monkeypatch.setattr(catalog, "stage", lambda df, lake, name, batch: kept.append(name) or df)
+    catalog.quality_suite(spark, str(tmp_path))
+    assert set(kept) == {"customers", "products", "branches", "portfolio", "movements"}
+
+
+def test_client_value_is_the_same_from_loans_and_from_their_fact(spark):
+    data = frames(spark)
+    customers = accepted(silver.silver_customers(data["TB_CLIENTES_CORE"]))
+    products = accepted(silver.silver_products(data["TB_PRODUCTOS_CAT"]))
+    loans = accepted(silver.silver_loans(data[LOANS.name], customers, products))
+    fees = accepted(silver.silver_fees(data["TB_COMISIONES_LOG"], customers, products))
+    moved = accepted(silver.silver_movements(data["TB_MOV_FINANCIEROS"], customers, products))
+    dim = gold.build_dim_products(products)
+    fact = gold.build_fact_portfolio(loans, customers, dim)
+    one, two = (gold.build_client_value(fees, df, moved, dim, customers, date(2024, 12, 31)).collect()
+                for df in (loans, fact))
+    assert len(one) == 2 and Counter(one) == Counter(two) and fact.count() == loans.count()
